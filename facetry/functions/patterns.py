@@ -1,0 +1,63 @@
+"""Regular expressions built from word lists."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterable
+
+# Up to this many entries a list travels as one regular expression; more are joined.
+PATTERN_MAX_WORDS = 5_000
+
+
+_FAN = 8
+
+
+def _either(options: list[tuple[str, str, str]]) -> str:
+    """Alternatives ``(first, last, pattern)`` by their first character, in order.
+
+    Wide choices are nested behind range checks, so a place is tried against a handful of
+    alternatives instead of every possible first character.
+    """
+    while len(options) > _FAN:
+        groups = [options[i : i + _FAN] for i in range(0, len(options), _FAN)]
+        options = [
+            (g[0][0], g[-1][1], f"(?=[{re.escape(g[0][0])}-{re.escape(g[-1][1])}])(?:{'|'.join(o[2] for o in g)})")
+            for g in groups
+        ]
+    return "|".join(o[2] for o in options)
+
+
+def any_of(words: Iterable[str]) -> str:
+    """A regular expression for the longest listed word at a place ('' without words).
+
+    Words that share a prefix share the path to it. The optional tails are greedy, which
+    makes the longest word win.
+    """
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for ch in word:
+            node = node.setdefault(ch, {})
+        if word:
+            node[""] = {}
+
+    def render(node: dict) -> str:
+        options = [(ch, ch, re.escape(ch) + render(node[ch])) for ch in sorted(node) if ch]
+        if not options:
+            return ""
+        single = len(options) == 1 and "" not in node
+        body = options[0][2] if single else f"(?:{_either(options)})"
+        return body + ("?" if "" in node else "")
+
+    return render(tree)
+
+
+def word_or_char(words: Iterable[str]) -> str:
+    """Match the longest listed word, else a single character."""
+    known = any_of(words)
+    return f"{known}|(?s:.)" if known else "(?s:.)"
+
+
+def word_at_every_char(words: Iterable[str]) -> str:
+    """Match every single character; group 1 holds the longest listed word starting there."""
+    return f"(?s)(?=({any_of(words)})).|."
