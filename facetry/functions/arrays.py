@@ -15,16 +15,18 @@ def _col(c: Column | str) -> Column:
 
 
 def _code_point(hex_digits: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+    """The character of a hexadecimal code point (UTF-32 alone would swallow U+FEFF as a mark)."""
+    full = F.lpad(hex_digits, 8, "0")
+    wide = F.decode(F.unhex(full), "UTF-32")
+    plain = F.decode(F.unhex(F.right(full, F.lit(4))), "UTF-16BE")
+    return F.when(full.startswith("0000"), plain).otherwise(wide)
 
 
 def _unescape(item: Column) -> Column:
     """Resolve the backslash escapes of a quoted list item."""
     pieces = F.regexp_extract_all(
         item,
-        F.lit(
-            r"(?s)\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\.|[^\\]+"
-        ),
+        F.lit(r"(?s)\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\.|[^\\]+"),
         F.lit(0),
     )
 
@@ -92,7 +94,9 @@ def argmax_class(p: Column | str, classes: Sequence[int] = CLASSES) -> Column:
     label = F.element_at(
         F.array(*[F.lit(c) for c in classes]), F.array_position(p, top).cast("int")
     )
-    return F.when(F.isnan(top), F.raise_error(F.lit("NaN in a score vector"))).otherwise(label)
+    nan = F.raise_error(F.lit("NaN in a score vector"))
+    # asked for by hand: under ANSI rules Spark takes element_at of a null place as never null
+    return F.when(F.isnan(top), nan).when(top.isNotNull(), label)
 
 
 def one_hot(y: Column | str, classes: Sequence[int] = CLASSES) -> Column:

@@ -33,6 +33,9 @@ _EMOJI_UNIT = rf"[{EMOJI_CLASS}]\x{{FE0F}}?[\x{{1F3FB}}-\x{{1F3FF}}]?"
 # A flag pair, or one emoji with its variation selector / skin tone and joined followers.
 EMOJI_PATTERN = rf"(?:[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{_EMOJI_UNIT}(?:\x{{200D}}{_EMOJI_UNIT})*)"
 
+# What counts as white space at the ends of a list entry.
+SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
 # Character classes as regular-expression sets. "not_han" is not the
 # complement of "han": U+4E00 and U+9FFF belong to both.
 CHAR_CLASSES: dict[str, str] = {
@@ -48,6 +51,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(text: Column | str) -> Column:
+    """Trim white space of any kind at both ends, as for an entry of a line list."""
+    return F.regexp_replace(_col(text), f"^{SPACE}|{SPACE}$", "")
+
+
 def is_han(c: Column | str) -> Column:
     return _col(c).between("\u4e00", "\u9fff")
 
@@ -72,7 +80,9 @@ def is_blank(c: Column | str) -> Column:
 
 def char_class_counts(text: Column | str) -> dict[str, Column]:
     """How many characters of a text fall into each class, without exploding the text."""
-    return {name: F.regexp_count(_col(text), F.lit(p)) for name, p in CHAR_CLASSES.items()}
+    text = _col(text)
+    rest = {name: F.regexp_replace(text, f"{p}+", "") for name, p in CHAR_CLASSES.items()}
+    return {name: F.length(text) - F.length(r) for name, r in rest.items()}
 
 
 def stop_chars(words: Iterable[str]) -> str:
@@ -111,6 +121,16 @@ def keep_non_han(text: Column | str, words: Iterable[str]) -> Column:
     return F.translate(rest, stop_chars(words) + BLANKS, "")
 
 
+def has_non_han(text: Column | str, words: Iterable[str]) -> Column:
+    """Whether ``keep_non_han`` leaves anything, found at the first such character.
+
+    Filtering on this instead of on the kept text spares computing that twice, since Spark
+    evaluates a filter on a computed column ahead of the column.
+    """
+    dropped = "".join(f"\\x{{{ord(c):x}}}" for c in stop_chars(words) + BLANKS)
+    return F.rlike(_col(text), F.lit(f"[^\\x{{4e01}}-\\x{{9ffe}}{dropped}]"))
+
+
 def emojis(text: Column | str) -> Column:
     """Every emoji of a text in order, multi-code-point sequences kept whole."""
     return F.regexp_extract_all(_col(text), F.lit(EMOJI_PATTERN), F.lit(0))

@@ -59,7 +59,7 @@ def lookup_by_join(
     A token outside the hot part may still be frequent when the vocabulary lacks it, so the
     shuffle join is salted.
     """
-    rows = docs.select("id", F.posexplode("tokens").alias("_pos", "token"))
+    rows = docs.select("id", F.posexplode_outer("tokens").alias("_pos", "token")).where("_pos IS NOT NULL")
     hot = vocab.where(F.col("idx") <= hot_tokens).select("token", F.col("idx").alias("_hot"))
     marked = rows.join(F.broadcast(hot), "token", "left")
     common = marked.where("_hot IS NOT NULL").select("id", "_pos", F.col("_hot").alias("idx"))

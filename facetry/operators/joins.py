@@ -38,4 +38,4 @@ def lookup_join(
 
 def drop_listed(rows: DataFrame, listed: DataFrame, key: str, small: bool) -> DataFrame:
     """Rows whose ``key`` is not in ``listed`` (distinct), e.g. exploded tokens minus stop words."""
-    return lookup_join(rows, listed.select(key), [key], small, "left_anti")
+    return lookup_join(rows, listed.select(key), [key], small, "left_anti").select(*rows.columns)

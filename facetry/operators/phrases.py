@@ -56,8 +56,8 @@ def _matches_by_join(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     windows = docs.select(
         "id",
         F.length("text").alias("_n"),
-        F.posexplode(F.regexp_extract_all("text", F.lit(window), F.lit(1))).alias("_w", "_window"),
-    )
+        F.posexplode_outer(F.regexp_extract_all("text", F.lit(window), F.lit(1))).alias("_w", "_window"),
+    ).where("_window IS NOT NULL")
     in_window = F.least(F.lit(STEP), F.col("_n") - F.col("_w") * STEP)
     starts = windows.select(
         "id",
@@ -129,7 +129,7 @@ def _occurrences(docs: DataFrame, phrases: DataFrame, pattern_max_words: int) ->
 
     chosen = F.aggregate("_all", F.array().cast("array<int>"), take)
     kept = F.when(F.col("_border"), chosen).otherwise(F.col("_all"))
-    return grouped.select("id", F.explode(kept).alias("pos"), "ord")
+    return grouped.select("id", F.explode_outer(kept).alias("pos"), "ord").where("pos IS NOT NULL")
 
 
 def phrase_hits(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetry.functions.patterns import PATTERN_MAX_WORDS, word_or_char
+from facetry.functions.text import strip
 from facetry.operators.joins import lookup_join
 from facetry.operators.phrases import phrase_matches
 from facetry.operators.vocabulary import number_rows
@@ -20,7 +21,7 @@ from facetry.session import fits_broadcast, materialize
 def extend_dictionary(base: DataFrame, added: DataFrame, freq: int | None = None) -> DataFrame:
     """``(token, freq)`` with the added words (trimmed) replacing or joining the base ones."""
     new = added.select(
-        F.trim("token").alias("token"),
+        strip("token").alias("token"),
         (F.lit(freq) if freq is not None else F.col("freq")).cast("long").alias("freq"),
         F.lit(1).alias("_rank"),
     )
@@ -55,64 +56,62 @@ def _cut_longest(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.
     return pd.Series([cut(*row) for row in zip(texts, starts, lengths)], dtype=object)
 
 
-def _likeliest(text: str, words_at, floor: float) -> list[str]:
-    """Cut a text so that the summed word log-probabilities are largest.
-
-    ``words_at(i)`` yields ``(length, weight)`` of the listed words that start at ``i``; a
-    character that is no listed word weighs ``floor``. Of equal cuts the longer word wins.
-    """
-    best = [(0.0, 0)] * (len(text) + 1)
-    for at in range(len(text) - 1, -1, -1):
-        top, single = (floor + best[at + 1][0], 1), True
-        for n, weight in words_at(at):
-            option = (weight + best[at + n][0], n)
-            if n == 1 and single:
-                top, single = option, False
-            elif option > top:
-                top = option
-        best[at] = top
-    return _cuts(text, {at: n for at, (_, n) in enumerate(best)})
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _cut_likeliest(
     texts: pd.Series, starts: pd.Series, lengths: pd.Series, weights: pd.Series, floors: pd.Series
 ) -> pd.Series:
+    """Cut each text so that the summed log-probabilities of its words are largest.
+
+    A character that is no listed word weighs the floor. Of equal cuts the longer word wins.
+    """
+
     def cut(text, pos, size, weight, floor):
         words: dict[int, list] = {}
         for n, p, w in sorted(zip(size, pos, weight)) if pos is not None else ():
             words.setdefault(p, []).append((n, w))
-        return _likeliest(text, lambda at: words.get(at, ()), floor)
+        best, step = [0.0] * (len(text) + 1), {}
+        for at in range(len(text) - 1, -1, -1):
+            options = {1: floor, **dict(words.get(at, ()))}
+            best[at], step[at] = max((w + best[at + n], n) for n, w in options.items())
+        return _cuts(text, step)
 
     rows = zip(texts, starts, lengths, weights, floors)
     return pd.Series([cut(*row) for row in rows], dtype=object)
 
 
 def _cut_with_list(dictionary: DataFrame, total: float):
-    """Likeliest cuts with a measured dictionary that travels to the tasks whole."""
-    weights: dict[str, float | None] = {}
+    """The same cuts with a measured dictionary that travels to the tasks whole.
+
+    Prefixes of words are listed too, with a weight that never wins, so that looking for
+    words at a place ends at the first string that is neither.
+    """
+    weights: dict[str, float] = {}
     listed = dictionary.select("token", F.log(F.greatest("freq", F.lit(1)) / F.lit(total)).alias("w"))
     for token, weight in listed.collect():
         weights[token] = weight
         for n in range(1, len(token)):
-            weights.setdefault(token[:n], None)  # a prefix that is no word itself
+            weights.setdefault(token[:n], -math.inf)
     shared = dictionary.sparkSession.sparkContext.broadcast(weights)
     floor = -math.log(total)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def cut(texts: pd.Series) -> pd.Series:
-        known = shared.value
+        weight_of = shared.value.get
 
         def one(text):
-            def words_at(at):
-                for end in range(at + 1, len(text) + 1):
-                    word = text[at:end]
-                    if word not in known:
-                        return
-                    if known[word] is not None:
-                        yield end - at, known[word]
-
-            return _likeliest(text, words_at, floor)
+            size = len(text)
+            best, step = [0.0] * (size + 1), [1] * size
+            for at in range(size - 1, -1, -1):
+                end = at + 1
+                weight = weight_of(text[at])
+                top = (floor if weight is None or weight == -math.inf else weight) + best[end]
+                while weight is not None and end < size:
+                    end += 1
+                    weight = weight_of(text[at:end])
+                    if weight is not None and weight + best[end] >= top:
+                        top, step[at] = weight + best[end], end - at
+                best[at] = top
+            return _cuts(text, dict(enumerate(step)))
 
         return pd.Series([one(t) for t in texts], dtype=object)
 

@@ -156,9 +156,8 @@ def _steps(docs: DataFrame, table: DataFrame, dim: int, mask_pads: bool, *carry:
     The index is a frequency rank, so the hot tokens are known: they are broadcast, and only
     the infrequent rest is shuffled.
     """
-    rows = docs.select("id", *carry, F.posexplode("seq").alias("pos", "idx")).withColumn(
-        "idx", F.col("idx").cast("long")
-    )
+    rows = docs.select("id", *carry, F.posexplode_outer("seq").alias("pos", "idx"))
+    rows = rows.withColumn("idx", F.col("idx").cast("long")).where("idx IS NOT NULL")
     if mask_pads:
         rows = rows.where("idx <> 0")
     hot, rest = F.col("idx") <= HOT_ROWS, F.col("idx") > HOT_ROWS
@@ -318,7 +317,7 @@ def train_vectors(
     Sentences are never cut: the limit is set to the longest token list of the input.
     """
     spark = docs.sparkSession
-    counts = docs.select(F.explode(tokens).alias("t")).groupBy("t").count()
+    counts = docs.select(F.explode_outer(tokens).alias("t")).where("t IS NOT NULL").groupBy("t").count()
     words = counts.where(F.col("count") >= min_count).count()
     if words > max_vocabulary:
         raise ValueError(f"{words} tokens exceed max_vocabulary={max_vocabulary}; raise min_count")

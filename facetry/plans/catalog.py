@@ -28,7 +28,7 @@ from facetry.operators.joins import drop_listed
 from facetry.plans import classify, preprocess
 from facetry.schema import ASPECT_COLUMNS, aspect_table, route_table
 from facetry.session import ensure_checkpoint_dir, fits_broadcast, materialize, read_spread
-from facetry.sources.reviews import CSV_OPTIONS
+from facetry.sources.reviews import CSV_OPTIONS, READ_OPTIONS
 from facetry.sources.vectors import read_vectors_text, write_vectors_text
 
 # Parameters of the queries below; the oracle uses the same ones.
@@ -253,8 +253,8 @@ def keep_non_han(spark, sf):
 
 
 def symbol_lines(spark, sf):
-    kept = _han(spark, sf).withColumn("text", tx.keep_non_han(tx.strip_symbols("text"), STOP_CHARS))
-    return _as_doc(kept.where(F.length("text") > 0))
+    docs = _han(spark, sf).where(tx.has_non_han("text", STOP_CHARS))
+    return _as_doc(docs.withColumn("text", tx.keep_non_han("text", STOP_CHARS)))
 
 
 def char_class_counts(spark, sf):
@@ -475,7 +475,7 @@ def _sequences(spark, sf):
 
 
 def _dims(df: DataFrame, column: str) -> DataFrame:
-    rows = df.select(F.col("id").alias("doc_id"), F.posexplode(column).alias("dim", "value"))
+    rows = df.select(F.col("id").alias("doc_id"), F.posexplode_outer(column).alias("dim", "value"))
     return rows.withColumn("value", F.round("value", 6))
 
 
@@ -529,7 +529,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 def csv_roundtrip(spark, sf):
     path = _scratch(spark, "reviews")
     _documents(spark, sf).write.options(**CSV_OPTIONS).csv(path)
-    back = spark.read.options(**CSV_OPTIONS).schema("id long, text string").csv(path)
+    back = spark.read.options(**READ_OPTIONS).schema("id long, text string").csv(path)
     return _as_doc(back)
 
 

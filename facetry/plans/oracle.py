@@ -224,7 +224,7 @@ def statements() -> dict[str, str]:
         "score_vector_text_roundtrip": f"WITH {SCORES} SELECT vec_id, aspect_idx, model, {four} FROM {both}",
         "keep_han": f"SELECT doc_id, regexp_replace({HAN}, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g') AS text FROM documents",
         "keep_non_han": f"SELECT doc_id, {_drop_stop(_non_han(HAN))} AS text FROM documents",
-        "symbol_lines": f"SELECT * FROM (SELECT doc_id, {_drop_stop(_non_han(_strip(HAN)))} AS text FROM documents) WHERE length(text) > 0",
+        "symbol_lines": f"SELECT * FROM (SELECT doc_id, {_drop_stop(_non_han(HAN))} AS text FROM documents) WHERE length(text) > 0",
         "char_class_counts": f"SELECT doc_id, {class_columns} FROM documents",
         "char_class_totals": f"WITH chars AS (SELECT unnest(string_split({HAN}, '')) AS c FROM documents) SELECT c, count(*) AS n, c BETWEEN '一' AND '鿿' AS han, c <= '一' OR c >= '鿿' AS not_han, c BETWEEN '0' AND '9' AS digit, c BETWEEN 'A' AND 'Z' OR c BETWEEN 'a' AND 'z' AS letter, c IN (' ', chr(160), chr(10), chr(65279), chr(13)) AS blank FROM chars WHERE c <> '' GROUP BY c",
         "strip_symbols": f"SELECT doc_id, {_strip(HAN)} AS text FROM documents",

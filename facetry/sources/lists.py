@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What counts as white space at the ends of a list entry.
-_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-
-
-def strip(value: Column | str) -> Column:
-    return F.regexp_replace(value, f"^{_SPACE}|{_SPACE}$", "")
+from facetry.functions.text import strip
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

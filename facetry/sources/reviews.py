@@ -16,13 +16,23 @@ from facetry.functions.arrays import (
 )
 from facetry.schema import ASPECT_COLUMNS, review_schema
 
-# Quoted fields hold line breaks and doubled quotes.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# Quoted fields hold line breaks and doubled quotes; blanks at the ends belong to the value.
+CSV_OPTIONS = {
+    "header": "true",
+    "multiLine": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "encoding": "UTF-8",
+}
+# An empty field is null, a quoted empty field is an empty text: no text equals this marker.
+READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\x00"}
 
 
 def read_reviews(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """``id``, ``content`` and the label columns, under a fixed schema."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema or review_schema()).csv(path)
+    return spark.read.options(**READ_OPTIONS).schema(schema or review_schema()).csv(path)
 
 
 def read_tokenised(spark: SparkSession, path: str) -> DataFrame:
