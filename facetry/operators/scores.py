@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetry.functions.arrays import argmax_class
-from facetry.schema import ASPECT_COLUMNS, ASPECT_INDEX, ASPECTS, CLASSES
+from facetry.schema import ASPECT_COLUMNS, ASPECT_INDEX, CLASSES
 
 
 def pick_aspects(long: DataFrame, indexes: Sequence[int]) -> DataFrame:
@@ -30,8 +30,13 @@ def wide_to_long(
 def long_to_wide(
     long: DataFrame, value: str = "y", columns: Sequence[str] = ASPECT_COLUMNS
 ) -> DataFrame:
-    """One row per id; the column list is given, so no extra pass looks for it."""
-    return long.groupBy("id").pivot("aspect", list(columns)).agg(F.max(value))
+    """One row per id, by one aggregation.
+
+    A review's rows meet in the scan stage already, so about one row per review is shuffled
+    (``pivot`` would group by review and aspect first, and shuffle twice).
+    """
+    cells = [F.max(F.when(F.col("aspect_idx") == ASPECT_INDEX[c], F.col(value))).alias(c) for c in columns]
+    return long.groupBy("id").agg(*cells)
 
 
 def average_models(scores: DataFrame, models: Sequence[str]) -> DataFrame:
@@ -90,9 +95,6 @@ def classify(scores: DataFrame) -> DataFrame:
 
 def routed_labels(scores: DataFrame, routes: DataFrame) -> DataFrame:
     """Route, classify and widen; a review without a label for some aspect is an error."""
-    labels = classify(route(scores, routes))
-    wide = labels.groupBy("id").pivot("aspect_idx", [i for i, _, _ in ASPECTS]).agg(F.max("yhat"))
+    wide = long_to_wide(classify(route(scores, routes)), "yhat")
     missing = F.raise_error(F.lit("an aspect has no routed model score")).cast("int")
-    return wide.select(
-        "id", *[F.coalesce(F.col(str(i)), missing).alias(name) for i, _, name in ASPECTS]
-    )
+    return wide.select("id", *[F.coalesce(F.col(c), missing).alias(c) for c in ASPECT_COLUMNS])

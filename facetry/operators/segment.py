@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from facetry.functions.patterns import PATTERN_MAX_WORDS, word_or_char
 from facetry.functions.text import strip
@@ -17,6 +19,8 @@ from facetry.operators.phrases import phrase_matches
 from facetry.operators.vocabulary import number_rows
 from facetry.session import fits_broadcast, materialize
 
+HOT_TOKENS = 50_000
+
 
 def extend_dictionary(base: DataFrame, added: DataFrame, freq: int | None = None) -> DataFrame:
     """``(token, freq)`` with the added words (trimmed) replacing or joining the base ones."""
@@ -171,22 +175,52 @@ def segment(
     return _segment_by_matches(docs, dictionary, total, pattern_max_words)
 
 
-def keywords(docs: DataFrame, top: int = 40) -> DataFrame:
-    """``(id, token, weight, rank)``: the ``top`` TF-IDF tokens of each ``docs(id, tokens)``.
+def _top_in_tasks(documents: int, spread: DataFrame, top: int):
+    """Rank each document's tokens where it is read, with the measured document counts."""
+    table = spread.select("token", "_docs").sort("token").toArrow()
+    weights = np.log(documents / table["_docs"].to_numpy().astype(float))
+    shared = spread.sparkSession.sparkContext.broadcast((table["token"].combine_chunks(), weights))
+    kind = T.StructType(
+        [T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("weights", T.ArrayType(T.DoubleType()))]
+    )
 
-    Weight is ``count * ln(documents / documents with the token)``, rounded to nine places
-    so that equal weights rank by token. Texts are shuffled once, on ``id``; counting and
-    ranking both run on that partitioning. ``explode_outer`` keeps Spark from testing the
-    token expression for emptiness ahead of evaluating it again.
+    @arrow_udf(kind)
+    def best(tokens):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names, weight_of = shared.value
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        flat = tokens.flatten()
+        place = pc.fill_null(pc.index_in(flat, value_set=names.cast(flat.type)), -1).to_numpy()
+        pairs, count = np.unique((owner * len(names) + place)[place >= 0], return_counts=True)
+        owner, place = np.divmod(pairs, max(len(names), 1))
+        weight = np.round(count * weight_of[place], 9)
+        order = np.lexsort((place, -weight, owner))  # the names are sorted: place breaks ties
+        owner, place, weight = owner[order], place[order], weight[order]
+        first = np.searchsorted(owner, owner)
+        keep = np.arange(len(owner)) - first < top
+        ends = np.concatenate(([0], np.cumsum(np.bincount(owner[keep], minlength=len(lengths)))))
+        offsets = pa.array(ends.astype(np.int32))
+        chosen = names.take(pa.array(place[keep])).cast(pa.string())
+        return pa.StructArray.from_arrays(
+            [
+                pa.ListArray.from_arrays(offsets, chosen),
+                pa.ListArray.from_arrays(offsets, pa.array(weight[keep])),
+            ],
+            names=["tokens", "weights"],
+        )
+
+    return best
+
+
+def _keywords_by_join(docs: DataFrame, documents: int, spread: DataFrame, top: int) -> DataFrame:
+    """Count, weigh and rank with one shuffle of the texts on ``id``.
+
+    A token has exactly as many (document, token) rows as its document count says. The most
+    frequent ones are broadcast, so that the shuffle on the token only sees rare tokens.
     """
-    total = docs.count()
-    spread = (
-        docs.select(F.explode_outer(F.array_distinct("tokens")).alias("token"))
-        .where("token IS NOT NULL")
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("_docs"))
-    )
-    spread = materialize(spread)
     counts = (
         docs.select("id", "tokens")
         .repartition("id")
@@ -195,8 +229,37 @@ def keywords(docs: DataFrame, top: int = 40) -> DataFrame:
         .groupBy("id", "token")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    weighed = lookup_join(counts, spread, ["token"], fits_broadcast(spread, "token")).select(
-        "id", "token", F.round(F.col("_n") * F.log(F.lit(float(total)) / F.col("_docs")), 9).alias("weight")
-    )
+    head = spread.select("_docs").orderBy(F.desc("_docs")).limit(HOT_TOKENS)
+    cutoff = head.agg(F.min("_docs")).first()[0] or 0
+    hot = spread.where(F.col("_docs") > cutoff).withColumnRenamed("_docs", "_hot")
+    marked = counts.join(F.broadcast(hot), "token", "left")
+    common = marked.where("_hot IS NOT NULL").withColumnRenamed("_hot", "_docs")
+    rare = marked.where("_hot IS NULL").drop("_hot").join(spread.where(F.col("_docs") <= cutoff), "token")
+    weight = F.round(F.col("_n") * F.log(F.lit(float(documents)) / F.col("_docs")), 9)
+    weighed = common.unionByName(rare).select("id", "token", weight.alias("weight"))
     ranked = Window.partitionBy("id").orderBy(F.desc("weight"), "token")
     return weighed.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+
+
+def keywords(docs: DataFrame, top: int = 40, small: bool | None = None) -> DataFrame:
+    """``(id, token, weight, rank)``: the ``top`` TF-IDF tokens of each ``docs(id, tokens)``.
+
+    Weight is ``count * ln(documents / documents with the token)``, rounded to nine places
+    so that equal weights rank by token. Document counts that pass the size check go to the
+    tasks and nothing else is shuffled; otherwise they are joined. ``small`` overrides the
+    check. (``explode_outer`` keeps Spark from evaluating the token expression twice.)
+    """
+    documents = docs.count()
+    spread = materialize(
+        docs.select(F.explode_outer(F.array_distinct("tokens")).alias("token"))
+        .where("token IS NOT NULL")
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("_docs"))
+    )
+    if not (fits_broadcast(spread, "token") if small is None else small):
+        return _keywords_by_join(docs, documents, spread, top)
+    best = docs.select("id", _top_in_tasks(documents, spread, top)("tokens").alias("_b"))
+    rows = best.select("id", F.posexplode_outer(F.arrays_zip("_b.tokens", "_b.weights")).alias("rank", "_t"))
+    return rows.where("_t IS NOT NULL").select(
+        "id", F.col("_t.tokens").alias("token"), F.col("_t.weights").alias("weight"), (F.col("rank") + 1).alias("rank")
+    )

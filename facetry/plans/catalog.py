@@ -196,9 +196,7 @@ def wide_to_long(spark, sf):
 
 
 def long_to_wide(spark, sf):
-    labels = scores.classify(_long_scores(spark, sf).where("model = 'bigru'")).join(
-        F.broadcast(aspect_table(spark)), "aspect_idx"
-    )
+    labels = scores.classify(_long_scores(spark, sf).where("model = 'bigru'"))
     return scores.long_to_wide(labels, "yhat").withColumnRenamed("id", "vec_id")
 
 

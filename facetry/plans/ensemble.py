@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from facetry.operators.metrics import align, class_report, confusion, macro, mean_f1
-from facetry.operators.scores import average_wide, routed_labels, wide_to_long
+from facetry.operators.scores import average_wide, routed_labels
 from facetry.schema import ASPECT_COLUMNS, route_table
 from facetry.sources.reviews import read_reviews, read_scores, write_csv
 
@@ -24,10 +25,14 @@ def route_scores(spark: SparkSession, scores: DataFrame, routes: dict | None = N
 
 
 def evaluate(labels: DataFrame, gold: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Class reports, macro scores per aspect and the mean F1 of wide labels against wide gold."""
-    predicted = wide_to_long(labels.select("id", *ASPECT_COLUMNS), "yhat").select("id", "aspect_idx", "yhat")
-    actual = wide_to_long(gold.select("id", *ASPECT_COLUMNS), "y").select("id", "aspect_idx", "y")
-    counts = confusion(align(predicted, actual, ("id", "aspect_idx")))
+    """Class reports, macro scores per aspect and the mean F1 of wide labels against wide gold.
+
+    The tables are matched as one row per review and taken apart into aspects afterwards.
+    """
+    predicted = labels.select("id", F.array(*ASPECT_COLUMNS).alias("yhat"))
+    actual = gold.select("id", F.array(*ASPECT_COLUMNS).alias("y"))
+    cells = align(predicted, actual, ["id"]).select(F.posexplode(F.arrays_zip("y", "yhat")).alias("a", "c"))
+    counts = confusion(cells.select((F.col("a") + 1).alias("aspect_idx"), "c.y", "c.yhat"))
     per_aspect = macro(counts)
     return class_report(counts), per_aspect, mean_f1(per_aspect)
 

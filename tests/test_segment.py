@@ -77,7 +77,8 @@ def test_extend_dictionary(spark, dictionary):
     assert got == {**WORDS, "面": 20000, "一家人在": 20000}
 
 
-def test_keywords(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_keywords(spark, small):
     rng = random.Random(2)
     rows = [(i, rng.choices([f"t{k}" for k in range(80)], k=rng.randint(0, 120), weights=range(1, 81))) for i in range(30)]
     rows.append((99, None))
@@ -88,7 +89,7 @@ def test_keywords(spark):
         ranked = sorted(weights, key=lambda t: (-weights[t], t))[:5]
         want |= {(i, t, r + 1) for r, t in enumerate(ranked)}
     docs = spark.createDataFrame(rows, "id long, tokens array<string>")
-    got = keywords(docs, 5).collect()
+    got = keywords(docs.repartition(3), 5, small).collect()
     assert {(r["id"], r["token"], r["rank"]) for r in got} == want
 
 
