@@ -74,10 +74,11 @@ def average_wide(a: DataFrame, b: DataFrame, columns: Sequence[str] = ASPECT_COL
     left = a.select("id", F.array(*columns).alias("_a"))
     right = b.select("id", F.array(*columns).alias("_b"))
 
-    def vote(x: Column, y: Column) -> Column:
-        return argmax_class(F.zip_with(x, y, lambda p, q: 0.5 * p + 0.5 * q))
+    def mean(x: Column, y: Column) -> Column:
+        return F.zip_with(x, y, lambda p, q: 0.5 * p + 0.5 * q)
 
-    labels = left.join(right, "id").select("id", F.zip_with("_a", "_b", vote).alias("_y"))
+    means = F.zip_with("_a", "_b", mean)
+    labels = left.join(right, "id").select("id", F.transform(means, lambda p: argmax_class(p)).alias("_y"))
     return labels.select("id", *[F.col("_y")[i].alias(c) for i, c in enumerate(columns)])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetry.session import materialize
@@ -15,24 +15,20 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "idx") -> DataF
 
     The rows are sorted by range and written to the checkpoint folder, which fixes their
     partitions. The number is the row's place in its partition plus the sizes of the
-    partitions before it; that offset table has one row per partition.
+    partitions before it; only those sizes, one per partition, come to the driver.
     """
     placed = materialize(df.orderBy(*order)).select(
         "*",
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
     )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_row") + 1)
-        .drop("_part", "_row", "_before")
-    )
+    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
+    before, total = [], 0
+    for part in range(max(sizes, default=0) + 1):
+        before.append(total)
+        total += sizes.get(part, 0)
+    offsets = F.from_json(F.lit(str(before)), "array<long>")
+    return placed.withColumn(name, offsets[F.col("_part")] + F.col("_row") + 1).drop("_part", "_row")
 
 
 def token_stats(docs: DataFrame, tokens: Column | str = "tokens", token: str = "token") -> DataFrame:
