@@ -202,7 +202,7 @@ def statements() -> dict[str, str]:
     four = ", ".join(f"round(p[{k + 1}], 9) AS p{k}" for k in range(4))
     routed = ARGMAX.format(f"(CASE WHEN aspect_idx IN {ROUTE_BIGRU} THEN pa ELSE pb END)")
     both = "(SELECT vec_id, aspect_idx, 'bigru' AS model, pa AS p FROM scores UNION ALL SELECT vec_id, aspect_idx, 'capsule', pb FROM scores)"
-    class_columns = ", ".join(f"{_count(p)} AS {n}" for n, p in CHAR_CLASSES.items())
+    class_columns = ", ".join(f"{_count(p)}::INTEGER AS {n}" for n, p in CHAR_CLASSES.items())
     keep_tokens = f"list_filter(tokens, lambda t: t NOT IN {IN_LIST})"
     stop_words = "({})".format(", ".join(_q(w) for w in c.STOP_WORDS))
     report = _report("aspect_idx")
@@ -231,8 +231,8 @@ def statements() -> dict[str, str]:
         "strip_symbols_latin": f"SELECT doc_id, {_strip('text')} AS text FROM documents",
         "drop_stop_chars": f"SELECT doc_id, {_drop_stop(HAN)} AS text FROM documents",
         "spaced_chars": f"SELECT doc_id, array_to_string(string_split({_drop_stop(HAN)}, ''), ' ') AS text FROM documents",
-        "char_tokens": f"SELECT doc_id, length(t) AS n_tokens, array_to_string(string_split(t, ''), '|') AS tokens FROM (SELECT doc_id, {_drop_stop(HAN)} AS t FROM documents)",
-        "list_text_roundtrip": "SELECT doc_id, length(text) AS n_tokens, text FROM documents",
+        "char_tokens": f"SELECT doc_id, length(t)::INTEGER AS n_tokens, array_to_string(string_split(t, ''), '|') AS tokens FROM (SELECT doc_id, {_drop_stop(HAN)} AS t FROM documents)",
+        "list_text_roundtrip": "SELECT doc_id, length(text)::INTEGER AS n_tokens, text FROM documents",
         "emoji_list": f"WITH found AS (SELECT doc_id, regexp_extract_all({EMOJI}, {_q(EMOJI_PATTERN)}) AS e FROM documents) SELECT doc_id, (unnest(range(len(e))))::INTEGER AS ord, unnest(e) AS emoji FROM found",
         "emoji_counts": f"SELECT emoji, count(*) AS n FROM (SELECT unnest(regexp_extract_all({EMOJI}, {_q(EMOJI_PATTERN)})) AS emoji FROM documents) GROUP BY emoji",
         "distinct_chars": f"WITH chars AS (SELECT doc_id, unnest(string_split({EMOJI}, '')) AS value, generate_subscripts(string_split({EMOJI}, ''), 1) AS pos FROM documents) SELECT value, row_number() OVER (ORDER BY min({{'id': doc_id, 'pos': pos}})) AS idx FROM chars WHERE value NOT IN ('', chr(10)) GROUP BY value",
@@ -240,16 +240,16 @@ def statements() -> dict[str, str]:
         "dictionary_lines": "SELECT conv_id, turn, text || ' 2000' AS line FROM conversations",
         "phrase_hits": f"WITH {PHRASES} SELECT doc_id, pos::INTEGER AS pos, arg_max(token, ord) AS token FROM found WHERE k < parts GROUP BY doc_id, pos",
         "phrase_counts": f"WITH {PHRASES} SELECT doc_id, token, count(*) AS n FROM found WHERE k < parts GROUP BY doc_id, token",
-        "occurrence_counts": "SELECT doc_id, len(string_split(text, 'erer')) - 1 AS n FROM documents",
+        "occurrence_counts": "SELECT doc_id, (len(string_split(text, 'erer')) - 1)::INTEGER AS n FROM documents",
         "vocab_fit": f"WITH {_vocab(CHARS)} SELECT token, n, idx FROM vocab",
         "vocab_fit_words": f"WITH {_vocab(WORDS)} SELECT token, n, idx FROM vocab",
-        "vocab_lookup": f"WITH {BENCH_VOCAB}, {DOC_WORDS}, found AS (SELECT doc_id, count(*) AS n, string_agg(idx, ' ' ORDER BY pos) AS seq FROM doc_words JOIN bench USING (token) GROUP BY doc_id) SELECT doc_id, coalesce(n, 0) AS n, coalesce(seq, '') AS seq FROM documents LEFT JOIN found USING (doc_id)",
-        "vocab_lookup_zero": f"WITH {BENCH_VOCAB}, {DOC_WORDS}, found AS (SELECT doc_id, count(*) AS n, string_agg(coalesce(idx, 0), ' ' ORDER BY pos) AS seq FROM doc_words LEFT JOIN bench USING (token) GROUP BY doc_id) SELECT doc_id, coalesce(n, 0) AS n, coalesce(seq, '') AS seq FROM documents LEFT JOIN found USING (doc_id)",
+        "vocab_lookup": f"WITH {BENCH_VOCAB}, {DOC_WORDS}, found AS (SELECT doc_id, count(*) AS n, string_agg(idx, ' ' ORDER BY pos) AS seq FROM doc_words JOIN bench USING (token) GROUP BY doc_id) SELECT doc_id, coalesce(n, 0)::INTEGER AS n, coalesce(seq, '') AS seq FROM documents LEFT JOIN found USING (doc_id)",
+        "vocab_lookup_zero": f"WITH {BENCH_VOCAB}, {DOC_WORDS}, found AS (SELECT doc_id, count(*) AS n, string_agg(coalesce(idx, 0), ' ' ORDER BY pos) AS seq FROM doc_words LEFT JOIN bench USING (token) GROUP BY doc_id) SELECT doc_id, coalesce(n, 0)::INTEGER AS n, coalesce(seq, '') AS seq FROM documents LEFT JOIN found USING (doc_id)",
         "encode_pad": f"WITH {_vocab(CHARS)}, doc_chars AS (SELECT id AS doc_id, token, pos FROM vocab_tokens), {_encoded('doc_chars', 'vocab')}",
         "encode_pad_words": f"WITH {BENCH_VOCAB}, {DOC_WORDS}, {_encoded('doc_words', 'bench')}",
-        "segment_longest_match": f"WITH {_dictionary(LOWER, c.WORD)}, cut AS (SELECT doc_id, regexp_extract_all(lower(text), {LONGEST}) AS tokens FROM documents) SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, '/') AS tokens FROM cut",
-        "word_tokens": f"WITH {_dictionary(HAN, chr(91) + '一-鿿' + chr(93) + '+')}, cut AS (SELECT doc_id, regexp_extract_all({_strip(HAN)}, {LONGEST}) AS tokens FROM documents), kept AS (SELECT doc_id, {keep_tokens} AS tokens FROM cut) SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, '/') AS tokens FROM kept",
-        "stop_words_removed": f"WITH kept AS (SELECT doc_id, list_filter({WORDS}, lambda t: t NOT IN {stop_words}) AS tokens FROM documents) SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM kept",
+        "segment_longest_match": f"WITH {_dictionary(LOWER, c.WORD)}, cut AS (SELECT doc_id, regexp_extract_all(lower(text), {LONGEST}) AS tokens FROM documents) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '/') AS tokens FROM cut",
+        "word_tokens": f"WITH {_dictionary(HAN, chr(91) + '一-鿿' + chr(93) + '+')}, cut AS (SELECT doc_id, regexp_extract_all({_strip(HAN)}, {LONGEST}) AS tokens FROM documents), kept AS (SELECT doc_id, {keep_tokens} AS tokens FROM cut) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '/') AS tokens FROM kept",
+        "stop_words_removed": f"WITH kept AS (SELECT doc_id, list_filter({WORDS}, lambda t: t NOT IN {stop_words}) AS tokens FROM documents) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM kept",
         "stop_words_joined": f"WITH {_dictionary(LOWER, c.WORD)}, {DOC_WORDS} SELECT token, count(*) AS n FROM doc_words WHERE token NOT IN (SELECT token FROM dictionary) GROUP BY token",
         "keywords_top40": f"WITH {DOC_WORDS}, tf AS (SELECT doc_id, token, count(*) AS n FROM doc_words GROUP BY doc_id, token), df AS (SELECT token, count(*) AS d FROM tf GROUP BY token), weighed AS (SELECT doc_id, token, round(n * ln((SELECT count(*) FROM documents)::DOUBLE / d), 9) AS weight FROM tf JOIN df USING (token)), ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, token) AS rank FROM weighed) SELECT doc_id, token, round(weight, 6) AS weight, rank::INTEGER AS rank FROM ranked WHERE rank <= 40",
         "extended_dictionary": f"WITH {_dictionary(LOWER, c.WORD)}, added AS (SELECT DISTINCT unnest({WORDS}) AS token FROM conversations) SELECT coalesce(a.token, d.token) AS token, CASE WHEN a.token IS NULL THEN {c.FREQ_BASE} ELSE {c.FREQ_ADDED} END::BIGINT AS freq FROM dictionary d FULL JOIN added a ON a.token = d.token",
