@@ -8,7 +8,10 @@ in which no token is frequent, is shuffled on the token.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import sys
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -16,13 +19,14 @@ from pyspark.sql.functions import arrow_udf
 from facetry.functions.arrays import pad_left
 from facetry.operators.joins import salted_join
 from facetry.schema import MAXLEN
-from facetry.session import fits_broadcast
+from facetry.session import fits_broadcast, ship_package
 
 HOT_TOKENS = 50_000
 
 
 def _probe(vocab: DataFrame, keep_unknown: bool):
     """An Arrow function mapping token lists to index lists through a broadcast vocabulary."""
+    ship_package(vocab.sparkSession)
     table = vocab.select("token", "idx").toArrow()
     shared = vocab.sparkSession.sparkContext.broadcast(
         (table["token"].combine_chunks(), table["idx"].to_numpy())
@@ -30,7 +34,6 @@ def _probe(vocab: DataFrame, keep_unknown: bool):
 
     @arrow_udf(T.ArrayType(T.IntegerType()))
     def probe(tokens):
-        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -51,6 +54,38 @@ def _probe(vocab: DataFrame, keep_unknown: bool):
     return probe
 
 
+def lookup_chars(docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False) -> DataFrame:
+    """``(id, seq)`` of the characters of ``docs(id, text)``, without building token arrays.
+
+    A character vocabulary cannot outgrow the code points there are, so it always fits: it
+    becomes an array indexed by code point, and a batch of texts is one array lookup.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    single = vocab.where(F.length("token") == 1).select("token", "idx").toArrow()
+    index = np.zeros(sys.maxunicode + 1, dtype=np.int32)
+    index[[ord(c) for c in single["token"].to_pylist()]] = single["idx"].to_numpy()
+    shared = spark.sparkContext.broadcast(index)
+
+    @arrow_udf(T.ArrayType(T.IntegerType()))
+    def probe(texts):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        joined = "".join(texts.to_pylist()).encode("utf-32-le", "surrogatepass")
+        found = shared.value[np.frombuffer(joined, dtype=np.uint32)]
+        lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+        edges = np.concatenate(([0], np.cumsum(lengths)))
+        if not keep_unknown:
+            known = found > 0
+            edges = np.concatenate(([0], np.cumsum(known)))[edges]
+            found = found[known]
+        return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(found))
+
+    return docs.select("id", probe("text").alias("seq"))
+
+
 def lookup_by_join(
     docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False, hot_tokens: int = HOT_TOKENS
 ) -> DataFrame:
@@ -94,5 +129,6 @@ def encode(docs: DataFrame, vocab: DataFrame, maxlen: int = MAXLEN) -> DataFrame
     return lookup(docs, vocab).select("id", pad_left("seq", maxlen).alias("seq"))
 
 
-def encode_text(docs: DataFrame, tokens: Column, vocab: DataFrame, maxlen: int = MAXLEN) -> DataFrame:
-    return encode(docs.select("id", tokens.alias("tokens")), vocab, maxlen)
+def encode_chars(docs: DataFrame, vocab: DataFrame, maxlen: int = MAXLEN) -> DataFrame:
+    """``encode`` for one token per character, straight from ``docs(id, text)``."""
+    return lookup_chars(docs, vocab).select("id", pad_left("seq", maxlen).alias("seq"))

@@ -17,7 +17,7 @@ from facetry.functions.text import strip
 from facetry.operators.joins import lookup_join
 from facetry.operators.phrases import phrase_matches
 from facetry.operators.vocabulary import number_rows
-from facetry.session import fits_broadcast, materialize
+from facetry.session import fits_broadcast, materialize, ship_package
 
 HOT_TOKENS = 50_000
 
@@ -89,6 +89,7 @@ def _cut_with_list(dictionary: DataFrame, total: float):
     Prefixes of words are listed too, with a weight that never wins, so that looking for
     words at a place ends at the first string that is neither.
     """
+    ship_package(dictionary.sparkSession)
     weights: dict[str, float] = {}
     listed = dictionary.select("token", F.log(F.greatest("freq", F.lit(1)) / F.lit(total)).alias("w"))
     for token, weight in listed.collect():
@@ -126,6 +127,7 @@ def _segment_by_matches(
     docs: DataFrame, dictionary: DataFrame, total: float | None, pattern_max_words: int
 ) -> DataFrame:
     """Find all dictionary words, then cut each text with the words found in it."""
+    ship_package(docs.sparkSession)
     words = number_rows(dictionary, "token", name="ord")
     weight = F.log(F.greatest("freq", F.lit(1)) / F.lit(total)) if total else F.lit(0.0)
     sized = words.select("ord", F.length("token").alias("len"), weight.alias("weight"))
@@ -177,6 +179,7 @@ def segment(
 
 def _top_in_tasks(documents: int, spread: DataFrame, top: int):
     """Rank each document's tokens where it is read, with the measured document counts."""
+    ship_package(spread.sparkSession)
     table = spread.select("token", "_docs").sort("token").toArrow()
     weights = np.log(documents / table["_docs"].to_numpy().astype(float))
     shared = spread.sparkSession.sparkContext.broadcast((table["token"].combine_chunks(), weights))

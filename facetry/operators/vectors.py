@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from facetry.operators.joins import lookup_join
-from facetry.session import fits_broadcast
+from facetry.session import fits_broadcast, ship_package
 
 EPSILON = 1e-7  # fixed value: keeps an attention weight sum away from zero
 HOT_ROWS = 50_000
@@ -72,6 +72,7 @@ def _bias_column(step_bias: Sequence[float] | float) -> Column:
 
 def _shared_matrix(embeddings: DataFrame, dim: int):
     """Collect a measured table and broadcast ``(sorted idx, matrix)``, last row zeros."""
+    ship_package(embeddings.sparkSession)
     rows = embeddings.select(F.col("idx").cast("long").alias("idx"), "v").toArrow()
     keys = rows["idx"].to_numpy()
     vectors = rows["v"].combine_chunks().flatten().to_numpy().reshape(len(keys), dim)

@@ -385,8 +385,8 @@ def vocab_lookup_joined(spark, sf):
 
 
 def encode_pad(spark, sf):
-    docs = _char_docs(spark, sf)
-    return _seq_text(enc.encode(docs, vocabulary.fit_vocabulary(docs), MAXLEN))
+    vocab = vocabulary.fit_vocabulary(_char_docs(spark, sf))
+    return _seq_text(enc.encode_chars(_documents(spark, sf, F.lower("text")), vocab, MAXLEN))
 
 
 def encode_pad_words(spark, sf):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,26 @@ def local_session(app: str = "facetry", cpus: str = "*", **conf: str) -> SparkSe
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application.
+
+    The operators that run Python in tasks call this, so nothing has to be installed on the
+    executors.
+    """
+    application = spark.sparkContext.applicationId
+    package = Path(__file__).resolve().parent
+    if application in _shipped or not package.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="facetry-package-")) / "facetry"
+    spark.sparkContext.addPyFile(
+        shutil.make_archive(str(target), "zip", str(package.parent), package.name)
+    )
+    _shipped.add(application)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's ``spark.checkpoint.dir``; only a local session gets a folder of its own."""
     sc = spark.sparkContext

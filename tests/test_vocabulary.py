@@ -4,7 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from facetry.operators.encode import encode, lookup, lookup_by_join
+from facetry.functions.text import char_tokens
+from facetry.operators.encode import encode, encode_chars, lookup, lookup_by_join, lookup_chars
 from facetry.operators.vocabulary import distinct_in_order, fit_vocabulary, number_rows
 
 
@@ -67,6 +68,18 @@ def test_encode_cuts_after_dropping_unknown_tokens(spark):
     assert got == {1: [2, 3, 4], 2: [0, 0, 0], 3: [0, 5, 5], 4: [0, 0, 0]}
 
 
+@pytest.mark.parametrize("keep", [False, True])
+def test_character_lookup_needs_no_token_arrays(spark, texts, keep):
+    rows = [*enumerate(texts), (9000, None)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    tokens = docs.select("id", char_tokens("text").alias("tokens"))
+    vocab = fit_vocabulary(tokens.where("id % 3 = 0"))
+    want = {r["id"]: r["seq"] for r in lookup(tokens, vocab, keep).collect()}
+    assert {r["id"]: r["seq"] for r in lookup_chars(docs, vocab, keep).collect()} == want
+    padded = {r["id"]: r["seq"] for r in encode(tokens, vocab, 7).collect()}
+    assert {r["id"]: r["seq"] for r in encode_chars(docs, vocab, 7).collect()} == padded
+
+
 def test_distinct_in_order(spark):
     rows = [(3, ["b", "z"]), (1, ["c", "a", "c"]), (2, ["a", "b"]), (4, [])]
     got = distinct_in_order(frame(spark, rows), "tokens").orderBy("idx").collect()
