@@ -9,7 +9,7 @@ from collections.abc import Iterable
 PATTERN_MAX_WORDS = 5_000
 
 
-_FAN = 8
+_FAN = 4
 
 
 def _either(options: list[tuple[str, str, str]]) -> str:
@@ -58,6 +58,6 @@ def word_or_char(words: Iterable[str]) -> str:
     return f"{known}|(?s:.)" if known else "(?s:.)"
 
 
-def word_at_every_char(words: Iterable[str]) -> str:
-    """Match every single character; group 1 holds the longest listed word starting there."""
-    return f"(?s)(?=({any_of(words)})).|."
+def word_starts(words: Iterable[str]) -> str:
+    """Match one character wherever a listed word starts; group 1 is the longest such word."""
+    return f"(?s)(?=({any_of(words)}))."

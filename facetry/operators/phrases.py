@@ -11,10 +11,12 @@ overlapping windows for that, so that one long text is many short rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetry.functions.patterns import PATTERN_MAX_WORDS, word_at_every_char
+from facetry.functions.patterns import PATTERN_MAX_WORDS, word_starts
 from facetry.operators.joins import lookup_join
 from facetry.session import fits_broadcast
 
@@ -22,18 +24,54 @@ ANCHORS = (1, 2, 4, 8)
 STEP = 128
 
 
-def _matches_by_pattern(docs: DataFrame, listed: list[tuple[str, int]]) -> DataFrame:
+def _by_id(hits: DataFrame) -> DataFrame:
+    """Shuffle the matches on ``id``.
+
+    The number of partitions is given, and unlike that of texts already spread on ``id``, so
+    that the shuffle stays in the plan: the readers of the matches share it instead of
+    finding them anew.
+    """
+    usual = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hits.repartition(2 * usual, "id")
+
+
+def _marks(tokens: Iterable[str]) -> list[str]:
+    """Three noncharacters that occur in no phrase."""
+    used = set("".join(tokens))
+    return [chr(c) for c in range(0xFDD0, 0xFDF0) if chr(c) not in used][:3]
+
+
+def _matches_by_pattern(docs: DataFrame, listed: list[tuple[str, int]], marks: list[str]) -> DataFrame:
+    """Mark every match in the text itself, then take the text apart at the marks.
+
+    One replacement writes ``open phrase close`` in front of each place a phrase starts at,
+    so only places with a match leave the regular expression. What follows a mark up to the
+    next one is as long as the distance between the two matches; adding up the distances
+    from the end of the text backwards gives the positions.
+    """
+    opening, closing, neutral = marks
     number = dict(listed)
     prefixes = [
         (token, [number[token[:n]] for n in range(1, len(token) + 1) if token[:n] in number])
         for token in number
     ]
     table = docs.sparkSession.createDataFrame(prefixes, "_longest string, _ords array<long>")
-    found = F.regexp_extract_all("text", F.lit(word_at_every_char(number)), F.lit(1))
+    text = F.col("text")
+    has_marks = F.contains(text, F.lit(opening)) | F.contains(text, F.lit(closing))
+    plain = F.when(has_marks, F.translate(text, opening + closing, neutral * 2)).otherwise(text)
+    marked = F.regexp_replace(plain, word_starts(number), f"{opening}$1{closing}$0")
+    parts = docs.select(
+        "id", F.length("text").alias("_n"), F.posexplode_outer(F.split(marked, opening)).alias("_k", "_part")
+    ).where("_k > 0")
+    longest = F.substring_index("_part", closing, 1)
+    hits = _by_id(
+        parts.select("id", "_n", "_k", longest.alias("_longest"), F.length("_part").alias("_size"))
+    )
+    rest = F.col("_size") - F.length("_longest") - 1
+    to_end = Window.partitionBy("id").orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = hits.select("id", (F.col("_n") - F.sum(rest).over(to_end)).cast("int").alias("pos"), "_longest")
     return (
-        docs.select("id", F.posexplode_outer(found).alias("pos", "_longest"))
-        .where("_longest <> ''")
-        .join(F.broadcast(table), "_longest")  # at most PATTERN_MAX_WORDS rows
+        placed.join(F.broadcast(table), "_longest")  # at most PATTERN_MAX_WORDS rows
         .select("id", "pos", F.explode("_ords").alias("ord"))
     )
 
@@ -81,17 +119,19 @@ def _matches_by_join(docs: DataFrame, phrases: DataFrame) -> DataFrame:
 def phrase_matches(
     docs: DataFrame, phrases: DataFrame, pattern_max_words: int = PATTERN_MAX_WORDS
 ) -> DataFrame:
-    """``(id, pos, ord)`` of every match, overlapping ones included.
+    """``(id, pos, ord)`` of every match, overlapping ones included, partitioned by ``id``.
 
-    ``docs`` is ``(id, text)``; ``phrases`` is ``(token, ord)`` with distinct tokens.
+    ``docs`` is ``(id, text)`` with unique ids; ``phrases`` is ``(token, ord)`` with distinct
+    tokens. Only matches are shuffled.
     """
     phrases = phrases.where(F.length("token") > 0).select("token", F.col("ord").cast("long").alias("ord"))
     head = phrases.limit(pattern_max_words + 1).collect()
     if not head:
         return docs.select("id", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("ord")).where("false")
-    if len(head) <= pattern_max_words:
-        return _matches_by_pattern(docs, [tuple(r) for r in head])
-    return _matches_by_join(docs, phrases)
+    marks = _marks(r["token"] for r in head)
+    if len(head) <= pattern_max_words and len(marks) == 3:
+        return _matches_by_pattern(docs, [tuple(r) for r in head], marks)
+    return _by_id(_matches_by_join(docs, phrases))
 
 
 def _with_border(phrases: DataFrame) -> DataFrame:
@@ -109,18 +149,20 @@ def _with_border(phrases: DataFrame) -> DataFrame:
 def _occurrences(docs: DataFrame, phrases: DataFrame, pattern_max_words: int) -> DataFrame:
     """``(id, pos, ord)``, non-overlapping per phrase from the left, partitioned by ``id``.
 
-    Only matches travel, once; all later grouping is on ``id`` and something else. A group
-    of one text and one phrase is bounded by the text.
+    Grouping on ``id`` and something else keeps that partitioning. A group of one text and
+    one phrase is bounded by the text.
     """
-    matches = phrase_matches(docs, phrases, pattern_max_words).repartition("id")
+    matches = phrase_matches(docs, phrases, pattern_max_words)
     bordered = _with_border(phrases)
     if bordered.where("_border").isEmpty():
         return matches
-    grouped = lookup_join(
-        matches.groupBy("id", "ord").agg(F.array_sort(F.collect_list("pos")).alias("_all")),
-        bordered,
-        ["ord"],
-        fits_broadcast(phrases, "token"),
+    # Both branches read the one shuffle of the matches; only overlapping phrases are collected.
+    small = fits_broadcast(phrases, "token")
+    simple = lookup_join(matches, bordered.where("NOT _border"), ["ord"], small)
+    grouped = (
+        lookup_join(matches, bordered.where("_border"), ["ord"], small)
+        .groupBy("id", "ord", "_len")
+        .agg(F.array_sort(F.collect_list("pos")).alias("_all"))
     )
 
     def take(kept: Column, pos: Column) -> Column:
@@ -128,8 +170,8 @@ def _occurrences(docs: DataFrame, phrases: DataFrame, pattern_max_words: int) ->
         return F.when(free, F.concat(kept, F.array(pos))).otherwise(kept)
 
     chosen = F.aggregate("_all", F.array().cast("array<int>"), take)
-    kept = F.when(F.col("_border"), chosen).otherwise(F.col("_all"))
-    return grouped.select("id", F.explode_outer(kept).alias("pos"), "ord").where("pos IS NOT NULL")
+    kept = grouped.select("id", F.explode_outer(chosen).alias("pos"), "ord").where("pos IS NOT NULL")
+    return simple.select("id", "pos", "ord").unionByName(kept)
 
 
 def phrase_hits(

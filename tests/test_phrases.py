@@ -25,7 +25,7 @@ def sample():
     parts = [*PHRASES, "a", "x", "^", "(", "c", " ", "\n", "好"]
     rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 25)))) for i in range(120)]
     long = "".join(rng.choices(parts, k=2000))
-    return rows + [(900, long), (901, "aaaaaaa"), (902, ""), (903, None), (904, "xAyA")]
+    return rows + [(900, long), (901, "aaaaaaa"), (902, ""), (903, None), (904, "xAyA"), (905, "\ufdd0aa\ufdd1b\ufdd2aa$1"), (906, "\ufdd1")]
 
 
 @pytest.mark.parametrize("limit", [5000, 0])

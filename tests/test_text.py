@@ -48,6 +48,7 @@ def test_char_tokens_are_code_points(spark, texts):
 
 
 def test_strip_symbols_matches_the_two_runs_of_symbols(spark, texts):
+    # fixed values: the two symbol runs as they are defined for this step
     two = r"[\s+./_,$%^*();；:-【】']+|[+—！，;:。、~#￥%&*（）]+"
     every = [chr(c) for c in [*range(1, 0x3100), *range(0xFF00, 0xFFEF), 0x4E00, 0x9FFF, 0x1F600]]
     assert run(spark, texts, tx.strip_symbols("text")) == [re.sub(two, "", t) for t in texts]
