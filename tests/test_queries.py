@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, normal
+from facetry.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
@@ -21,7 +22,7 @@ def database():
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
     df = entry.queries()[name](spark, SF)
     shown = io.StringIO()
@@ -41,5 +42,5 @@ def test_entry(spark):
 
 
 def test_only_queries_that_sql_cannot_express_lack_a_statement():
-    assert set(entry.queries()) - set(SQL) == {"segment_likeliest", "aspect_scores", "aspect_epochs"}
+    assert set(QUERIES) - set(SQL) == {"segment_likeliest", "aspect_scores", "aspect_epochs"}
     assert set(SQL) <= set(entry.queries())
