@@ -66,11 +66,19 @@ def format_token_list(tokens: Column | str) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(_col(tokens), quote), ", "), F.lit("]"))
 
 
-def parse_score_vector(text: Column | str) -> Column:
-    """Read ``[a b c d]`` as an array of doubles; text that is no number gives null."""
+def checked_vector(p: Column | str, size: int = len(CLASSES)) -> Column:
+    """The score vector itself; an error unless it has ``size`` numbers. A null vector stays null."""
+    p = _col(p)
+    good = (F.size(p) == size) & F.forall(p, lambda x: x.isNotNull() & ~F.isnan(x))
+    failed = F.raise_error(F.concat(F.lit("not a vector of numbers: "), p.cast("string")))
+    return F.when(p.isNull() | good, p).otherwise(failed.cast("array<double>"))
+
+
+def parse_score_vector(text: Column | str, size: int = len(CLASSES)) -> Column:
+    """Read ``[a b c d]`` as an array of doubles; a null cell is null, any other text an error."""
     inner = F.btrim(_col(text), F.lit("[] \n"))
     parts = F.filter(F.split(inner, r"\s+"), lambda p: p != "")
-    return F.transform(parts, lambda p: p.try_cast("double"))
+    return checked_vector(F.transform(parts, lambda p: p.try_cast("double")), size)
 
 
 def format_score_vector(p: Column | str) -> Column:
@@ -88,15 +96,18 @@ def pad_left(seq: Column | str, maxlen: int) -> Column:
 
 
 def argmax_class(p: Column | str, classes: Sequence[int] = CLASSES) -> Column:
-    """The class of the largest score; the first one wins a tie. NaN is an error."""
+    """The class of the largest score; the first one wins a tie.
+
+    A vector of another size, or with a null or NaN in it, is an error; a null vector has no class.
+    """
     p = _col(p)
     top = F.array_max(p)
     label = F.element_at(
         F.array(*[F.lit(c) for c in classes]), F.array_position(p, top).cast("int")
     )
-    nan = F.raise_error(F.lit("NaN in a score vector"))
-    # asked for by hand: under ANSI rules Spark takes element_at of a null place as never null
-    return F.when(F.isnan(top), nan).when(top.isNotNull(), label)
+    good = (F.size(p) == len(classes)) & F.forall(p, lambda x: x.isNotNull() & ~F.isnan(x))
+    failed = F.raise_error(F.lit(f"NaN or null in a score vector, or not {len(classes)} numbers")).cast("int")
+    return F.when(p.isNotNull(), F.when(good, label).otherwise(failed))
 
 
 def one_hot(y: Column | str, classes: Sequence[int] = CLASSES) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetry.functions.arrays import argmax_class
+from facetry.functions.arrays import argmax_class, checked_vector
 from facetry.schema import CLASSES
 
 KEYS = ("aspect_idx",)
@@ -21,19 +21,42 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
 
+def line_up(parts: Sequence[DataFrame], keys: Sequence[str], error: str) -> DataFrame:
+    """One row per key with the columns of all parts, which must each hold every key exactly once.
+
+    The parts are stacked and grouped, one exchange for any number of them; a key that a part
+    lacks or repeats is an error. Columns besides the keys have different names.
+    """
+    stacked = None
+    for n, part in enumerate(parts):
+        marked = part.withColumn("_part", F.lit(n))
+        stacked = marked if stacked is None else stacked.unionByName(marked, allowMissingColumns=True)
+    values = [c for part in parts for c in part.columns if c not in keys]
+    grouped = stacked.groupBy(*keys).agg(
+        *[F.max(F.col(f"`{c}`")).alias(c) for c in values],
+        *[F.count_if(F.col("_part") == n).alias(f"_n{n}") for n in range(len(parts))],
+    )
+    return grouped.where(_all_once([f"_n{n}" for n in range(len(parts))], error)).select(*keys, *values)
+
+
+def _all_once(counts: Sequence[str], error: str) -> Column:
+    once = F.lit(True)
+    for c in counts:
+        once = once & (F.col(c) == 1)
+    return F.when(once, F.lit(True)).otherwise(F.raise_error(F.lit(error)).cast("boolean"))
+
+
 def align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Match two tables row for row on their keys; a row on one side only is an error."""
-    lhs = left.withColumn("_l", F.lit(1))
-    rhs = right.withColumn("_r", F.lit(1))
-    both = lhs.join(rhs, list(keys), "full_outer")
-    matched = F.col("_l").isNotNull() & F.col("_r").isNotNull()
-    failed = F.raise_error(F.lit("rows of the two tables do not match")).cast("boolean")
-    return both.where(F.when(matched, F.lit(True)).otherwise(failed)).drop("_l", "_r")
+    """Match two tables row for row on their keys; a row on one side only, or twice, is an error."""
+    return line_up([left, right], keys, "rows of the two tables do not match")
 
 
 def confusion(pairs: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``(keys, y, yhat, n)`` from rows that hold gold ``y`` and predicted ``yhat``."""
-    return pairs.groupBy(*keys, "y", "yhat").agg(F.count(F.lit(1)).alias("n"))
+    """``(keys, y, yhat, n)`` from rows that hold gold ``y`` and predicted ``yhat``; a null is an error."""
+    counts = pairs.groupBy(*keys, "y", "yhat").agg(F.count(F.lit(1)).alias("n"))
+    missing = F.raise_error(F.lit("a label is null")).cast("long")
+    unknown = F.col("y").isNull() | F.col("yhat").isNull()
+    return counts.withColumn("n", F.when(unknown, missing).otherwise(F.col("n")))
 
 
 def ensemble_confusion(scores: DataFrame, gold: DataFrame, models: Sequence[str]) -> DataFrame:
@@ -41,11 +64,12 @@ def ensemble_confusion(scores: DataFrame, gold: DataFrame, models: Sequence[str]
 
     ``scores`` ``(id, aspect_idx, model, p)`` and ``gold`` ``(id, aspect_idx, y)`` are
     stacked and grouped on ``(id, aspect_idx)``; the group holds running sums only. Each
-    group must have every model once and gold once.
+    group must have every model once, with a whole vector, and gold once.
     """
     size = len(CLASSES)
     stacked = (
         scores.where(F.col("model").isin(*models))
+        .withColumn("p", checked_vector("p"))
         .select("id", "aspect_idx", "model", *[F.col("p")[i].alias(f"_p{i}") for i in range(size)])
         .unionByName(
             gold.select("id", "aspect_idx", "y"), allowMissingColumns=True
@@ -54,10 +78,12 @@ def ensemble_confusion(scores: DataFrame, gold: DataFrame, models: Sequence[str]
     grouped = stacked.groupBy("id", "aspect_idx").agg(
         *[F.avg(f"_p{i}").alias(f"_p{i}") for i in range(size)],
         *[F.count_if(F.col("model") == m).alias(f"_n{j}") for j, m in enumerate(models)],
+        # a null vector has no numbers to average
+        F.count("_p0").alias("_scored"),
         F.count_if(F.col("model").isNull()).alias("_gold"),
         F.max("y").alias("y"),
     )
-    complete = F.col("_gold") == 1
+    complete = (F.col("_gold") == 1) & (F.col("_scored") == len(models))
     for j in range(len(models)):
         complete = complete & (F.col(f"_n{j}") == 1)
     label = argmax_class(F.array(*[F.col(f"_p{i}") for i in range(size)]))

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetry.functions.arrays import argmax_class
+from facetry.functions.arrays import argmax_class, checked_vector
+from facetry.operators.metrics import line_up
 from facetry.schema import ASPECT_COLUMNS, ASPECT_INDEX, CLASSES
 
 
@@ -43,16 +44,17 @@ def average_models(scores: DataFrame, models: Sequence[str]) -> DataFrame:
     """Equal-weight mean of the given models' vectors per (id, aspect).
 
     The models are lined up by grouping instead of joining: one exchange whatever their
-    number, with four running sums per group. A group that lacks a model, or has one
-    twice, is an error rather than a wrong mean.
+    number, with four running sums per group. A group that lacks a model, has one twice, or has
+    a vector that is null or not four numbers is an error rather than a wrong mean.
     """
     size = len(CLASSES)
-    chosen = scores.where(F.col("model").isin(*models))
+    chosen = scores.where(F.col("model").isin(*models)).withColumn("p", checked_vector("p"))
     sums = chosen.groupBy("id", "aspect_idx").agg(
         *[F.avg(F.col("p")[i]).alias(f"_p{i}") for i in range(size)],
         *[F.count_if(F.col("model") == m).alias(f"_n{j}") for j, m in enumerate(models)],
+        F.count("p").alias("_scored"),
     )
-    complete = F.lit(True)
+    complete = F.col("_scored") == len(models)
     for j in range(len(models)):
         complete = complete & (F.col(f"_n{j}") == 1)
     vector = F.array(*[F.col(f"_p{i}") for i in range(size)])
@@ -66,20 +68,25 @@ def average_models(scores: DataFrame, models: Sequence[str]) -> DataFrame:
 
 
 def average_wide(a: DataFrame, b: DataFrame, columns: Sequence[str] = ASPECT_COLUMNS) -> DataFrame:
-    """Two wide score tables to one wide label table, joined on ``id`` as one row per review.
+    """Two wide score tables to one wide label table, matched on ``id`` as one row per review.
+
+    Both tables must hold the same ids, each once. Columns of ``a`` besides ``id`` and the
+    scores (the review's text) are carried along.
 
     The label columns are computed in one expression over arrays of vectors; one expression
     per column would outgrow what Spark compiles into a single method.
     """
-    left = a.select("id", F.array(*columns).alias("_a"))
+    kept = [c for c in a.columns if c != "id" and c not in columns]
+    left = a.select("id", *kept, F.array(*columns).alias("_a"))
     right = b.select("id", F.array(*columns).alias("_b"))
 
     def mean(x: Column, y: Column) -> Column:
-        return F.zip_with(x, y, lambda p, q: 0.5 * p + 0.5 * q)
+        return F.zip_with(checked_vector(x), checked_vector(y), lambda p, q: 0.5 * p + 0.5 * q)
 
-    means = F.zip_with("_a", "_b", mean)
-    labels = left.join(right, "id").select("id", F.transform(means, lambda p: argmax_class(p)).alias("_y"))
-    return labels.select("id", *[F.col("_y")[i].alias(c) for i, c in enumerate(columns)])
+    both = line_up([left, right], ["id"], "the two score tables do not match row for row")
+    labels = F.transform(F.zip_with("_a", "_b", mean), lambda p: argmax_class(p)).alias("_y")
+    named = [F.col("_y")[i].alias(c) for i, c in enumerate(columns)]
+    return both.select("id", *kept, labels).select("id", *kept, *named)
 
 
 def route(scores: DataFrame, routes: DataFrame) -> DataFrame:
@@ -95,7 +102,22 @@ def classify(scores: DataFrame) -> DataFrame:
 
 
 def routed_labels(scores: DataFrame, routes: DataFrame) -> DataFrame:
-    """Route, classify and widen; a review without a label for some aspect is an error."""
-    wide = long_to_wide(classify(route(scores, routes)), "yhat")
-    missing = F.raise_error(F.lit("an aspect has no routed model score")).cast("int")
-    return wide.select("id", *[F.coalesce(F.col(c), missing).alias(c) for c in ASPECT_COLUMNS])
+    """Route, classify and widen. Every review of ``scores`` needs one row of the routed model
+    for each aspect: none, two, or a null vector are an error.
+    """
+    marked = scores.join(
+        F.broadcast(routes.withColumn("_routed", F.lit(True))), ["aspect_idx", "model"], "left"
+    ).select("id", "aspect_idx", "_routed", F.when(F.col("_routed"), argmax_class("p")).alias("yhat"))
+    mine = {c: F.col("_routed") & (F.col("aspect_idx") == ASPECT_INDEX[c]) for c in ASPECT_COLUMNS}
+    wide = marked.groupBy("id").agg(
+        *[F.max(F.when(m, F.col("yhat"))).alias(c) for c, m in mine.items()],
+        *[F.count_if(m).alias(f"_n{ASPECT_INDEX[c]}") for c, m in mine.items()],
+    )
+    failed = F.raise_error(F.lit("an aspect has no routed model score, or more than one")).cast("int")
+    return wide.select(
+        "id",
+        *[
+            F.when((F.col(f"_n{ASPECT_INDEX[c]}") == 1) & F.col(c).isNotNull(), F.col(c)).otherwise(failed).alias(c)
+            for c in ASPECT_COLUMNS
+        ],
+    )

@@ -13,8 +13,7 @@ from facetry.sources.reviews import read_reviews, read_scores, write_csv
 
 def average_files(spark: SparkSession, scores_a: str, scores_b: str, out: str) -> DataFrame:
     """Two score files to one label file by averaging."""
-    a, b = read_scores(spark, scores_a), read_scores(spark, scores_b)
-    labels = a.select("id", "content").join(average_wide(a, b), "id")
+    labels = average_wide(read_scores(spark, scores_a), read_scores(spark, scores_b))
     write_csv(labels, out)
     return labels
 

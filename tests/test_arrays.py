@@ -34,10 +34,12 @@ def test_token_list_text_is_read_back(spark, texts):
 
 
 def test_score_vector_text(spark):
-    given = ["[0.1 0.2 0.3 0.4]", "[ 1.5e-05  2.  .5 1e3]", "[0.1 0.2\n 0.3 0.4]", "[]"]
-    want = [[0.1, 0.2, 0.3, 0.4], [1.5e-05, 2.0, 0.5, 1000.0], [0.1, 0.2, 0.3, 0.4], []]
+    given = ["[0.1 0.2 0.3 0.4]", "[ 1.5e-05  2.  .5 1e3]", "[0.1 0.2\n 0.3 0.4]", None]
+    want = [[0.1, 0.2, 0.3, 0.4], [1.5e-05, 2.0, 0.5, 1000.0], [0.1, 0.2, 0.3, 0.4], None]
     assert run(spark, given, "string", parse_score_vector("x")) == want
-    assert run(spark, ["[a 1]"], "string", parse_score_vector("x")) == [[None, 1.0]]
+    for bad in ("[a 1 2 3]", "[]", "[1 2 3]", "[1 2 3 nan]"):
+        with pytest.raises(Exception, match="not a vector of numbers"):
+            run(spark, [bad], "string", parse_score_vector("x"))
     vectors = [[0.1, 1e-9, 3.0, 123456.789]]
     assert run(spark, vectors, "array<double>", parse_score_vector(format_score_vector("x"))) == vectors
 

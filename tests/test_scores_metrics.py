@@ -107,6 +107,56 @@ def test_missing_or_doubled_model_is_an_error(spark, rows):
         scores.average_models(spark.createDataFrame(rows, SCORES), ("a", "b")).collect()
 
 
+@pytest.mark.parametrize("bad", [None, [0.1, None, 0.2, 0.3], [0.1, 0.2, 0.3], [0.1, float("nan"), 0.2, 0.3], [0.1] * 5])
+def test_vectors_that_are_not_four_numbers_are_an_error(spark, bad):
+    rows = [(1, 1, "a", [0.1, 0.2, 0.3, 0.4]), (1, 1, "b", bad)]
+    long = spark.createDataFrame(rows, SCORES)
+    gold = spark.createDataFrame([(1, 1, 0)], "id long, aspect_idx int, y int")
+    with pytest.raises(Exception, match="each model must score|not a vector of numbers"):
+        scores.average_models(long, ("a", "b")).collect()
+    with pytest.raises(Exception, match="do not match|not a vector of numbers"):
+        metrics.ensemble_confusion(long, gold, ("a", "b")).collect()
+    if bad is not None:
+        with pytest.raises(Exception, match="not 4 numbers"):
+            scores.classify(long).collect()
+
+
+def wide_scores(spark, ids, cell=(0.1, 0.2, 0.3, 0.0)):
+    return spark.createDataFrame([(i, *[list(cell)] * 20) for i in ids], f"id long, {', '.join(c + ' array<double>' for c in ASPECT_COLUMNS)}")
+
+
+def test_average_wide_needs_the_same_reviews_once(spark):
+    assert scores.average_wide(wide_scores(spark, [1, 2]), wide_scores(spark, [2, 1])).count() == 2
+    for left, right in (([1, 2, 3], [2, 3, 4]), ([1, 1], [1]), ([1, 2], [1])):
+        with pytest.raises(Exception, match="do not match row for row"):
+            scores.average_wide(wide_scores(spark, left), wide_scores(spark, right)).collect()
+    with pytest.raises(Exception, match="not a vector of numbers"):
+        scores.average_wide(wide_scores(spark, [1]), wide_scores(spark, [1], (0.1, 0.2, 0.3))).collect()
+
+
+def test_null_labels_are_an_error(spark):
+    pairs = spark.createDataFrame([(1, 0, 0), (1, None, 0)], "aspect_idx int, y int, yhat int")
+    with pytest.raises(Exception, match="a label is null"):
+        metrics.macro(metrics.confusion(pairs)).collect()
+
+
+def test_align_rejects_repeated_rows(spark):
+    once = spark.createDataFrame([(1, 5), (2, 6)], "id int, x int")
+    twice = spark.createDataFrame([(1, 7), (1, 7), (2, 8)], "id int, y int")
+    with pytest.raises(Exception, match="do not match"):
+        metrics.align(once, twice, ["id"]).collect()
+
+
+def test_routing_sees_every_review_of_its_input(spark):
+    rows = vector_rows(("bigru", "capsule"))
+    long = spark.createDataFrame(rows, SCORES)
+    routes = route_table(spark)
+    other = long.join(routes, ["aspect_idx", "model"], "left_anti").where("id = 3").select(*long.columns)
+    for table in (long.where("id <> 3").unionByName(other), long.unionByName(long.where("id = 4"))):
+        with pytest.raises(Exception, match="no routed model score, or more than one"):
+            scores.routed_labels(table, routes).collect()
+
+
 def test_ensemble_confusion_equals_the_steps_taken_one_by_one(spark):
     long = spark.createDataFrame(vector_rows(), SCORES)
     rng = random.Random(4)
