@@ -1,26 +1,25 @@
 """Find a list of phrases (emoticons) in texts, with true code-point positions.
 
-A list of ordinary length becomes one prefix-sharing regular expression, and each text is
-read once. Of the phrases that start at one place all are prefixes of the longest, so a
-small table from each phrase to its listed prefixes completes the matches.
+A list that passes the size check travels to the tasks, and each text is searched where it is
+read (``operators.matcher``); only matches leave the scan.
 
-A longer list meets the texts in an equi-join: every phrase is filed under an anchor, its
-first characters, and every text position offers its own anchors. Texts are cut into
-overlapping windows for that, so that one long text is many short rows.
+A longer list meets the texts in an equi-join: every phrase is filed under the hash of an anchor,
+its first characters up to a power of two, and every text position offers its own anchors.
+Texts are cut into overlapping windows for that, so that one long text is many short rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
-from facetry.functions.patterns import PATTERN_MAX_WORDS, word_starts
 from facetry.operators.joins import lookup_join
-from facetry.session import fits_broadcast
+from facetry.operators.matcher import Matcher, slices
+from facetry.session import fits_broadcast, materialize, ship_package
 
-ANCHORS = (1, 2, 4, 8)
 STEP = 128
 
 
@@ -35,102 +34,97 @@ def _by_id(hits: DataFrame) -> DataFrame:
     return hits.repartition(2 * usual, "id")
 
 
-def _marks(tokens: Iterable[str]) -> list[str]:
-    """Three noncharacters that occur in no phrase."""
-    used = set("".join(tokens))
-    return [chr(c) for c in range(0xFDD0, 0xFDF0) if chr(c) not in used][:3]
-
-
-def _matches_by_pattern(docs: DataFrame, listed: list[tuple[str, int]], marks: list[str]) -> DataFrame:
-    """Mark every match in the text itself, then take the text apart at the marks.
-
-    One replacement writes ``open phrase close`` in front of each place a phrase starts at,
-    so only places with a match leave the regular expression. What follows a mark up to the
-    next one is as long as the distance between the two matches; adding up the distances
-    from the end of the text backwards gives the positions.
-    """
-    opening, closing, neutral = marks
-    number = dict(listed)
-    prefixes = [
-        (token, [number[token[:n]] for n in range(1, len(token) + 1) if token[:n] in number])
-        for token in number
-    ]
-    table = docs.sparkSession.createDataFrame(prefixes, "_longest string, _ords array<long>")
-    text = F.col("text")
-    has_marks = F.contains(text, F.lit(opening)) | F.contains(text, F.lit(closing))
-    plain = F.when(has_marks, F.translate(text, opening + closing, neutral * 2)).otherwise(text)
-    marked = F.regexp_replace(plain, word_starts(number), f"{opening}$1{closing}$0")
-    parts = docs.select(
-        "id", F.length("text").alias("_n"), F.posexplode_outer(F.split(marked, opening)).alias("_k", "_part")
-    ).where("_k > 0")
-    longest = F.substring_index("_part", closing, 1)
-    hits = _by_id(
-        parts.select("id", "_n", "_k", longest.alias("_longest"), F.length("_part").alias("_size"))
-    )
-    rest = F.col("_size") - F.length("_longest") - 1
-    to_end = Window.partitionBy("id").orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = hits.select("id", (F.col("_n") - F.sum(rest).over(to_end)).cast("int").alias("pos"), "_longest")
-    return (
-        placed.join(F.broadcast(table), "_longest")  # at most PATTERN_MAX_WORDS rows
-        .select("id", "pos", F.explode("_ords").alias("ord"))
+def _matches_in_tasks(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(id, pos, ord)`` by searching each text for a measured list."""
+    ship_package(docs.sparkSession)
+    listed = phrases.select("token", "ord").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (Matcher(listed["token"].to_pylist()), listed["ord"].to_numpy())
     )
-
-
-def _anchor_length(n: Column) -> Column:
-    longest = F.lit(ANCHORS[0])
-    for a in ANCHORS[1:]:
-        longest = F.when(n >= a, F.lit(a)).otherwise(longest)
-    return longest
+    hit = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("ord", T.LongType())])
+
+    @arrow_udf(T.ArrayType(hit))
+    def find(texts):
+        import pyarrow as pa
+
+        matcher, numbers = shared.value
+        values = ["" if t is None else t for t in texts.to_pylist()]
+        parts = []
+        for begin, end in slices(values):
+            start, word, ends = matcher.matches(values[begin:end])
+            order = np.argsort(start, kind="stable")
+            start, word = start[order], word[order]
+            owner = np.searchsorted(ends, start, side="right")
+            own = start - np.concatenate([[0], ends])[owner]
+            rows = pa.StructArray.from_arrays(
+                [pa.array(own.astype(np.int32)), pa.array(numbers[word])], fields=list(pa.struct([("pos", pa.int32()), ("ord", pa.int64())]))
+            )
+            offsets = np.concatenate([[0], np.searchsorted(start, ends)]).astype(np.int32)
+            parts.append(pa.ListArray.from_arrays(pa.array(offsets), rows))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.struct([("pos", pa.int32()), ("ord", pa.int64())])))
+
+    found = docs.select("id", F.explode_outer(find("text")).alias("_m")).where("_m IS NOT NULL")
+    return found.select("id", "_m.pos", "_m.ord")
+
+
+def _anchor_length(n: Column, longest: int) -> Column:
+    """The largest power of two up to ``n``."""
+    size, length = F.lit(1), 2
+    while length <= longest:
+        size = F.when(n >= length, F.lit(length)).otherwise(size)
+        length *= 2
+    return size
 
 
 def _matches_by_join(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    filed = (
-        phrases.withColumn("_len", F.length("token"))
-        .withColumn("_k", _anchor_length(F.col("_len")))
-        .withColumn("_anchor", F.expr("left(token, _k)"))
-    )
-    shape = filed.agg(F.max("_len").alias("m"), F.collect_set("_k").alias("ks")).first()
-    window = rf"(?s)(?=(.{{1,{STEP + shape['m'] - 1}}})).{{1,{STEP}}}"
+    """Positions and phrases meet on anchor hashes alone; the text joins what is left of them."""
+    longest = phrases.agg(F.max(F.length("token"))).first()[0]
+    filed = phrases.withColumn("_len", F.length("token"))
+    filed = filed.withColumn("_k", _anchor_length(F.col("_len"), longest))
+    filed = filed.withColumn("_anchor", F.xxhash64(F.expr("left(token, _k)")))
+    sizes = [r["_k"] for r in filed.select("_k").distinct().orderBy("_k").collect()]
+    window = rf"(?s)(?=(.{{1,{STEP + longest - 1}}})).{{1,{STEP}}}"
     windows = docs.select(
         "id",
         F.length("text").alias("_n"),
         F.posexplode_outer(F.regexp_extract_all("text", F.lit(window), F.lit(1))).alias("_w", "_window"),
     ).where("_window IS NOT NULL")
+    # written once: the anchors are made from it and the candidates are compared with it
+    windows = materialize(windows)
     in_window = F.least(F.lit(STEP), F.col("_n") - F.col("_w") * STEP)
-    starts = windows.select(
-        "id",
-        (F.col("_w") * STEP).alias("_base"),
-        "_window",
-        F.explode(F.sequence(F.lit(1), in_window)).alias("_p"),
-    )
-    anchors = F.array_distinct(
-        F.array(*[F.substring("_window", F.col("_p"), F.lit(k)) for k in sorted(shape["ks"])])
+    # an anchor that would leave the text is none
+    offered = F.filter(
+        F.array(*[
+            F.when(F.length("_window") >= F.col("_p") + k - 1, F.xxhash64(F.substring("_window", F.col("_p"), F.lit(k))))
+            for k in sizes
+        ]),
+        lambda x: x.isNotNull(),
     )
+    starts = windows.select("id", "_w", "_window", F.explode(F.sequence(F.lit(1), in_window)).alias("_p"))
+    small = fits_broadcast(phrases, "token")
     pairs = lookup_join(
-        starts.select("id", "_base", "_window", "_p", F.explode(anchors).alias("_anchor")),
+        starts.select("id", "_w", "_p", F.explode(F.array_distinct(offered)).alias("_anchor")),
         filed.select("_anchor", "token", "_len", "ord"),
         ["_anchor"],
-        fits_broadcast(phrases, "token"),
+        small,
     )
     exact = F.substring("_window", F.col("_p"), F.col("_len")) == F.col("token")
-    return pairs.where(exact).select("id", (F.col("_base") + F.col("_p") - 1).alias("pos"), "ord")
+    compared = pairs.join(windows.select("id", "_w", "_window"), ["id", "_w"])
+    return compared.where(exact).select("id", (F.col("_w") * STEP + F.col("_p") - 1).alias("pos"), "ord")
 
 
-def phrase_matches(
-    docs: DataFrame, phrases: DataFrame, pattern_max_words: int = PATTERN_MAX_WORDS
-) -> DataFrame:
+def phrase_matches(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:
     """``(id, pos, ord)`` of every match, overlapping ones included, partitioned by ``id``.
 
     ``docs`` is ``(id, text)`` with unique ids; ``phrases`` is ``(token, ord)`` with distinct
-    tokens. Only matches are shuffled.
+    tokens. Only matches are shuffled. ``small`` overrides the size check of the list.
     """
     phrases = phrases.where(F.length("token") > 0).select("token", F.col("ord").cast("long").alias("ord"))
-    head = phrases.limit(pattern_max_words + 1).collect()
-    if not head:
+    phrases = materialize(phrases)
+    if phrases.isEmpty():
         return docs.select("id", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("ord")).where("false")
-    marks = _marks(r["token"] for r in head)
-    if len(head) <= pattern_max_words and len(marks) == 3:
-        return _matches_by_pattern(docs, [tuple(r) for r in head], marks)
+    if fits_broadcast(phrases, "token", row_bytes=60) if small is None else small:
+        return _by_id(_matches_in_tasks(docs, phrases))
     return _by_id(_matches_by_join(docs, phrases))
 
 
@@ -146,21 +140,21 @@ def _with_border(phrases: DataFrame) -> DataFrame:
     )
 
 
-def _occurrences(docs: DataFrame, phrases: DataFrame, pattern_max_words: int) -> DataFrame:
+def _occurrences(docs: DataFrame, phrases: DataFrame, small: bool | None) -> DataFrame:
     """``(id, pos, ord)``, non-overlapping per phrase from the left, partitioned by ``id``.
 
     Grouping on ``id`` and something else keeps that partitioning. A group of one text and
     one phrase is bounded by the text.
     """
-    matches = phrase_matches(docs, phrases, pattern_max_words)
+    matches = phrase_matches(docs, phrases, small)
     bordered = _with_border(phrases)
     if bordered.where("_border").isEmpty():
         return matches
     # Both branches read the one shuffle of the matches; only overlapping phrases are collected.
-    small = fits_broadcast(phrases, "token")
-    simple = lookup_join(matches, bordered.where("NOT _border"), ["ord"], small)
+    fits = fits_broadcast(phrases, "token")
+    simple = lookup_join(matches, bordered.where("NOT _border"), ["ord"], fits)
     grouped = (
-        lookup_join(matches, bordered.where("_border"), ["ord"], small)
+        lookup_join(matches, bordered.where("_border"), ["ord"], fits)
         .groupBy("id", "ord", "_len")
         .agg(F.array_sort(F.collect_list("pos")).alias("_all"))
     )
@@ -174,25 +168,21 @@ def _occurrences(docs: DataFrame, phrases: DataFrame, pattern_max_words: int) ->
     return simple.select("id", "pos", "ord").unionByName(kept)
 
 
-def phrase_hits(
-    docs: DataFrame, phrases: DataFrame, pattern_max_words: int = PATTERN_MAX_WORDS
-) -> DataFrame:
+def phrase_hits(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:
     """``(id, pos, token)``: one phrase per position, the later list entry wins a tie."""
-    hits = _occurrences(docs, phrases, pattern_max_words)
+    hits = _occurrences(docs, phrases, small)
     last = hits.groupBy("id", "pos").agg(F.max("ord").alias("ord"))
-    small = fits_broadcast(phrases, "token")
-    return lookup_join(last, phrases.select("ord", "token"), ["ord"], small).select("id", "pos", "token")
+    fits = fits_broadcast(phrases, "token")
+    return lookup_join(last, phrases.select("ord", "token"), ["ord"], fits).select("id", "pos", "token")
 
 
-def phrase_counts(
-    docs: DataFrame, phrases: DataFrame, pattern_max_words: int = PATTERN_MAX_WORDS
-) -> DataFrame:
+def phrase_counts(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:
     """``(id, token, n)``: how often each phrase occurs in each text that has it."""
-    counts = _occurrences(docs, phrases, pattern_max_words).groupBy("id", "ord").agg(
+    counts = _occurrences(docs, phrases, small).groupBy("id", "ord").agg(
         F.count(F.lit(1)).alias("n")
     )
-    small = fits_broadcast(phrases, "token")
-    return lookup_join(counts, phrases.select("ord", "token"), ["ord"], small).select("id", "token", "n")
+    fits = fits_broadcast(phrases, "token")
+    return lookup_join(counts, phrases.select("ord", "token"), ["ord"], fits).select("id", "token", "n")
 
 
 def hit_map(hits: DataFrame) -> DataFrame:

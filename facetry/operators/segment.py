@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,14 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from facetry.functions.patterns import PATTERN_MAX_WORDS, word_or_char
 from facetry.functions.text import strip
+from facetry.operators.encode import TokenIndex
 from facetry.operators.joins import lookup_join
+from facetry.operators.matcher import Matcher, cut_places, slices, token_lists
 from facetry.operators.phrases import phrase_matches
 from facetry.operators.vocabulary import number_rows
 from facetry.session import fits_broadcast, materialize, ship_package
 
 HOT_TOKENS = 50_000
+UNITS = float(1 << 32)  # log-probabilities are summed as whole numbers, so that equal cuts are equal
+
+
+def _weight(total: float) -> Column:
+    return F.round(F.log(F.greatest("freq", F.lit(1)) / F.lit(total)) * UNITS).cast("long")
+
+
+def _floor(total: float) -> int:
+    """The weight of a character that is no word."""
+    return round(-math.log(total) * UNITS)
 
 
 def extend_dictionary(base: DataFrame, added: DataFrame, freq: int | None = None) -> DataFrame:
@@ -34,11 +43,6 @@ def extend_dictionary(base: DataFrame, added: DataFrame, freq: int | None = None
     return merged.agg(F.max(F.struct("_rank", "freq")).alias("_m")).select("token", "_m.freq")
 
 
-def segment_column(text: Column | str, words: Iterable[str]) -> Column:
-    """Forward longest match with a short word list, as one expression."""
-    return F.regexp_extract_all(text, F.lit(word_or_char(words)), F.lit(0))
-
-
 def _cuts(text: str, lengths: dict[int, int]) -> list[str]:
     cut, at = [], 0
     while at < len(text):
@@ -73,7 +77,7 @@ def _cut_likeliest(
         words: dict[int, list] = {}
         for n, p, w in sorted(zip(size, pos, weight)) if pos is not None else ():
             words.setdefault(p, []).append((n, w))
-        best, step = [0.0] * (len(text) + 1), {}
+        best, step = [0] * (len(text) + 1), {}
         for at in range(len(text) - 1, -1, -1):
             options = {1: floor, **dict(words.get(at, ()))}
             best[at], step[at] = max((w + best[at + n], n) for n, w in options.items())
@@ -83,56 +87,41 @@ def _cut_likeliest(
     return pd.Series([cut(*row) for row in rows], dtype=object)
 
 
-def _cut_with_list(dictionary: DataFrame, total: float):
-    """The same cuts with a measured dictionary that travels to the tasks whole.
-
-    Prefixes of words are listed too, with a weight that never wins, so that looking for
-    words at a place ends at the first string that is neither.
-    """
+def _cut_with_list(dictionary: DataFrame, total: float | None):
+    """The same cuts with a measured dictionary that travels to the tasks whole."""
     ship_package(dictionary.sparkSession)
-    weights: dict[str, float] = {}
-    listed = dictionary.select("token", F.log(F.greatest("freq", F.lit(1)) / F.lit(total)).alias("w"))
-    for token, weight in listed.collect():
-        weights[token] = weight
-        for n in range(1, len(token)):
-            weights.setdefault(token[:n], -math.inf)
-    shared = dictionary.sparkSession.sparkContext.broadcast(weights)
-    floor = -math.log(total)
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(texts: pd.Series) -> pd.Series:
-        weight_of = shared.value.get
-
-        def one(text):
-            size = len(text)
-            best, step = [0.0] * (size + 1), [1] * size
-            for at in range(size - 1, -1, -1):
-                end = at + 1
-                weight = weight_of(text[at])
-                top = (floor if weight is None or weight == -math.inf else weight) + best[end]
-                while weight is not None and end < size:
-                    end += 1
-                    weight = weight_of(text[at:end])
-                    if weight is not None and weight + best[end] >= top:
-                        top, step[at] = weight + best[end], end - at
-                best[at] = top
-            return _cuts(text, dict(enumerate(step)))
-
-        return pd.Series([one(t) for t in texts], dtype=object)
+    weight = _weight(total) if total else F.lit(0).cast("long")
+    listed = dictionary.select("token", weight.alias("w")).toArrow()
+    # built here once; the tasks only search
+    matcher = Matcher(listed["token"].to_pylist())
+    shared = dictionary.sparkSession.sparkContext.broadcast((matcher, listed["w"].to_numpy()))
+    floor = _floor(total) if total else 0
+
+    @arrow_udf(T.ArrayType(T.StringType()))
+    def cut(texts):
+        import pyarrow as pa
+
+        matcher, weights = shared.value
+        values, parts = texts.to_pylist(), []
+        for begin, end in slices(values):
+            some = values[begin:end]
+            steps, ends = matcher.likeliest_steps(some, weights, floor) if total else matcher.longest_steps(some)
+            parts.append(token_lists(some, cut_places(steps), ends))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
 
     return cut
 
 
 def _segment_by_matches(
-    docs: DataFrame, dictionary: DataFrame, total: float | None, pattern_max_words: int
+    docs: DataFrame, dictionary: DataFrame, total: float | None
 ) -> DataFrame:
     """Find all dictionary words, then cut each text with the words found in it."""
     ship_package(docs.sparkSession)
     words = number_rows(dictionary, "token", name="ord")
-    weight = F.log(F.greatest("freq", F.lit(1)) / F.lit(total)) if total else F.lit(0.0)
+    weight = _weight(total) if total else F.lit(0).cast("long")
     sized = words.select("ord", F.length("token").alias("len"), weight.alias("weight"))
     matches = lookup_join(
-        phrase_matches(docs.select("id", "text"), words.select("token", "ord"), pattern_max_words),
+        phrase_matches(docs.select("id", "text"), words.select("token", "ord"), False),
         sized,
         ["ord"],
         fits_broadcast(words, "token"),
@@ -140,7 +129,7 @@ def _segment_by_matches(
     found = matches.groupBy("id").agg(F.collect_list(F.struct("pos", "len", "weight")).alias("_words"))
     args = [F.coalesce("text", F.lit("")), F.col("_words.pos"), F.col("_words.len")]
     if total:
-        cut = _cut_likeliest(*args, F.col("_words.weight"), F.lit(-math.log(total)))
+        cut = _cut_likeliest(*args, F.col("_words.weight"), F.lit(_floor(total)))
     else:
         cut = _cut_longest(*args)
     joined = docs.join(found, "id", "left")
@@ -148,11 +137,7 @@ def _segment_by_matches(
 
 
 def segment(
-    docs: DataFrame,
-    dictionary: DataFrame,
-    method: str = "longest",
-    small: bool | None = None,
-    pattern_max_words: int = PATTERN_MAX_WORDS,
+    docs: DataFrame, dictionary: DataFrame, method: str = "longest", small: bool | None = None
 ) -> DataFrame:
     """Add ``tokens``: the words of ``docs(id, text)`` under a ``(token, freq)`` dictionary.
 
@@ -160,21 +145,15 @@ def segment(
     passes the size check goes to the tasks whole; for a larger one its words are found by
     join first. Both ways give the same result. ``small`` overrides the check.
     """
-    dictionary = dictionary.where(F.length("token") > 0)
-    if method == "longest":
-        head = dictionary.select("token").limit(pattern_max_words + 1).collect()
-        if small is None:
-            small = len(head) <= pattern_max_words
-        if small:
-            return docs.withColumn("tokens", segment_column("text", [r["token"] for r in head]))
-        return _segment_by_matches(docs, dictionary, None, pattern_max_words)
-    if method != "frequency":
+    if method not in ("longest", "frequency"):
         raise ValueError(method)
-    total = float(dictionary.agg(F.sum("freq")).first()[0] or 1)
-    if fits_broadcast(dictionary, "token") if small is None else small:
+    dictionary = materialize(dictionary.where(F.length("token") > 0).dropDuplicates(["token"]))
+    total = float(dictionary.agg(F.sum("freq")).first()[0] or 1) if method == "frequency" else None
+    # a word's hash and place take some 60 bytes beside its characters
+    if fits_broadcast(dictionary, "token", row_bytes=60) if small is None else small:
         cut = _cut_with_list(dictionary, total)(F.coalesce("text", F.lit("")))
         return docs.withColumn("tokens", F.when(F.col("text").isNotNull(), cut))
-    return _segment_by_matches(docs, dictionary, total, pattern_max_words)
+    return _segment_by_matches(docs, dictionary, total)
 
 
 def _top_in_tasks(documents: int, spread: DataFrame, top: int):
@@ -182,7 +161,7 @@ def _top_in_tasks(documents: int, spread: DataFrame, top: int):
     ship_package(spread.sparkSession)
     table = spread.select("token", "_docs").sort("token").toArrow()
     weights = np.log(documents / table["_docs"].to_numpy().astype(float))
-    shared = spread.sparkSession.sparkContext.broadcast((table["token"].combine_chunks(), weights))
+    shared = spread.sparkSession.sparkContext.broadcast(TokenIndex(table["token"].combine_chunks(), weights))
     kind = T.StructType(
         [T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("weights", T.ArrayType(T.DoubleType()))]
     )
@@ -192,11 +171,10 @@ def _top_in_tasks(documents: int, spread: DataFrame, top: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        names, weight_of = shared.value
+        names, weight_of = shared.value.tokens, shared.value.idx
         lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
         owner = np.repeat(np.arange(len(lengths)), lengths)
-        flat = tokens.flatten()
-        place = pc.fill_null(pc.index_in(flat, value_set=names.cast(flat.type)), -1).to_numpy()
+        place = shared.value.places(tokens.flatten())
         pairs, count = np.unique((owner * len(names) + place)[place >= 0], return_counts=True)
         owner, place = np.divmod(pairs, max(len(names), 1))
         weight = np.round(count * weight_of[place], 9)

@@ -25,21 +25,21 @@ def sample():
     parts = [*PHRASES, "a", "x", "^", "(", "c", " ", "\n", "好"]
     rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 25)))) for i in range(120)]
     long = "".join(rng.choices(parts, k=2000))
-    return rows + [(900, long), (901, "aaaaaaa"), (902, ""), (903, None), (904, "xAyA"), (905, "\ufdd0aa\ufdd1b\ufdd2aa$1"), (906, "\ufdd1")]
+    return rows + [(900, long), (901, "aaaaaaa"), (902, ""), (903, None), (904, "xAyA"), (905, "\ufdd0aa\ufdd1b\ufdd2aa$1"), (906, "\ufdd1"), (907, "x" + "ab" * 1501 + "aba")]
 
 
-@pytest.mark.parametrize("limit", [5000, 0])
-def test_hits_and_counts(spark, sample, limit):
+@pytest.mark.parametrize("small", [True, False])
+def test_hits_and_counts(spark, sample, small):
     docs = spark.createDataFrame(sample, "id long, text string").repartition(4)
-    listed = PHRASES + ["A"]
+    listed = PHRASES + ["A", "ab" * 750]
     table = spark.createDataFrame([(p, i) for i, p in enumerate(listed)], "token string, ord long")
     want_hits, want_counts = set(), set()
     for i, text in sample:
         hits, counts = brute(text or "", listed)
         want_hits |= {(i, at, p) for at, p in hits.items()}
         want_counts |= {(i, p, n) for p, n in counts.items()}
-    assert {tuple(r) for r in phrase_hits(docs, table, limit).collect()} == want_hits
-    assert {tuple(r) for r in phrase_counts(docs, table, limit).collect()} == want_counts
+    assert {tuple(r) for r in phrase_hits(docs, table, small).collect()} == want_hits
+    assert {tuple(r) for r in phrase_counts(docs, table, small).collect()} == want_counts
 
 
 def test_true_offsets_after_the_first_hit(spark):
@@ -56,8 +56,7 @@ def test_no_phrases(spark):
     assert phrase_hits(docs, table).count() == 0
 
 
-def test_wide_first_characters(spark):
-    """More first characters than one level of the pattern holds."""
+def test_many_first_characters(spark):
     listed = [chr(0x4E00 + 3 * i) + "x" for i in range(300)] + [chr(0x4E00 + 3 * i) for i in range(0, 300, 2)]
     text = "".join(chr(0x4E00 + i) + ("x" if i % 2 else "") for i in range(1000))
     docs = spark.createDataFrame([(1, text)], "id long, text string")

@@ -90,6 +90,12 @@ def test_emojis_keep_sequences_whole(spark):
     ]
 
 
+def test_emoji_are_those_with_the_emoji_property(spark):
+    flag = "\U0001F3F4\U000E0067\U000E0062\U000E0065\U000E006E\U000E0067\U000E007F"
+    texts = ["★ ✓ ☆ ♪ → ①", "1️⃣#⃣ *️⃣ 12", f"a{flag}b", "☎️✔", "🜁 🄰"]
+    assert run(spark, texts, tx.emojis("text")) == [[], ["1️⃣", "#⃣", "*️⃣"], [flag], ["☎️", "✔"], []]
+
+
 def test_count_occurrences(spark, texts):
     for phrase in ("a", "aa", "好吃", "😀"):
         assert run(spark, texts + ["aaaa"], tx.count_occurrences("text", phrase)) == [
