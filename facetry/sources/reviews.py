@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +30,31 @@ CSV_OPTIONS = {
 READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\x00"}
 
 
+def _strict(cell: Column, kind: T.DataType, name: str) -> Column:
+    """The cell as ``kind``; blank is null, anything else that does not convert is an error."""
+    if isinstance(kind, T.StringType):
+        return cell.alias(name)
+    blank = F.btrim(cell) == ""
+    failed = F.raise_error(F.concat(F.lit(f"column {name}: "), cell)).cast(kind)
+    value = F.when(cell.isNotNull() & ~blank, F.coalesce(cell.try_cast(kind), failed))
+    return value.alias(name)
+
+
 def read_reviews(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """``id``, ``content`` and the label columns, under a fixed schema."""
-    return spark.read.options(**READ_OPTIONS).schema(schema or review_schema()).csv(path)
+    """``id``, ``content`` and the label columns, found by name in the files' header.
+
+    The columns may stand in any order and others may be there too; every file must have the
+    header of the first one. A cell that is no number, or a row with too few or too many
+    fields, is an error.
+    """
+    schema = schema or review_schema()
+    header = spark.read.options(**READ_OPTIONS).csv(path).columns
+    missing = [f.name for f in schema if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {missing[0]}")
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    rows = spark.read.options(**READ_OPTIONS, enforceSchema="false", mode="FAILFAST").schema(text).csv(path)
+    return rows.select(*[_strict(F.col(f"`{f.name}`"), f.dataType, f.name) for f in schema])
 
 
 def read_tokenised(spark: SparkSession, path: str) -> DataFrame:

@@ -33,6 +33,56 @@ def test_csv_as_written_elsewhere(spark, tmp_path):
     assert row[ASPECT_COLUMNS[0]] == -2 and row[ASPECT_COLUMNS[19]] == 1
 
 
+def write_lines_file(path, lines):
+    path.write_text("\n".join(lines) + "\n", encoding="utf8")
+    return str(path)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    names = ["extra", *reversed(ASPECT_COLUMNS), "content", "id"]
+    values = ["e", *[str(k % 4 - 2) for k in reversed(range(20))], '"a, b"', "7"]
+    path = write_lines_file(tmp_path / "p.csv", [",".join(names), ",".join(values)])
+    row = reviews.read_reviews(spark, path).first()
+    assert tuple(row) == (7, "a, b", *[k % 4 - 2 for k in range(20)])
+    with pytest.raises(ValueError, match="no column id"):
+        reviews.read_reviews(spark, write_lines_file(tmp_path / "q.csv", ["a,b", "1,2"]))
+
+
+def test_files_with_another_header_are_an_error(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    labels = ",".join(["1"] * 20)
+    write_lines_file(folder / "a.csv", ["id,content," + ",".join(ASPECT_COLUMNS), f"1,x,{labels}"])
+    write_lines_file(folder / "b.csv", ["content,id," + ",".join(ASPECT_COLUMNS), f"x,1,{labels}"])
+    with pytest.raises(Exception, match="CSV header|header"):
+        reviews.read_reviews(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize("cell", ["1.0", "x", "1 2"])
+def test_bad_cells_are_an_error(spark, tmp_path, cell):
+    head = "id,content," + ",".join(ASPECT_COLUMNS)
+    path = write_lines_file(tmp_path / "r.csv", [head, f"1,x,{cell}," + ",".join(["1"] * 19)])
+    with pytest.raises(Exception, match=ASPECT_COLUMNS[0]):
+        reviews.read_reviews(spark, path).collect()
+
+
+def test_blank_cells_are_null_and_short_rows_an_error(spark, tmp_path):
+    head = "id,content," + ",".join(ASPECT_COLUMNS)
+    path = write_lines_file(tmp_path / "r.csv", [head, "1,x," + '" "' + "," * 19])
+    assert tuple(reviews.read_reviews(spark, path).first()) == (1, "x", *[None] * 20)
+    path = write_lines_file(tmp_path / "s.csv", [head, "1,x,1"])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        reviews.read_reviews(spark, path).collect()
+
+
+@pytest.mark.parametrize("cell", ["[0.1 x 0.9 0.2]", "[0.1 0.2 0.3]", "[]", "[0.1 nan 0.2 0.3]"])
+def test_bad_score_cells_are_an_error(spark, tmp_path, cell):
+    head = "id,content," + ",".join(ASPECT_COLUMNS)
+    path = write_lines_file(tmp_path / "s.csv", [head, f"4,text,{cell}," + ",".join(["[0 0 0 1]"] * 19)])
+    with pytest.raises(Exception, match="not a vector of numbers"):
+        reviews.read_scores(spark, path).collect()
+
+
 def test_score_tables(spark, tmp_path):
     head = "id,content," + ",".join(ASPECT_COLUMNS)
     cells = ",".join(['"[0.1 0.7\n 0.1  1e-05]"'] * 20)
@@ -80,6 +130,24 @@ def test_vector_files(spark, tmp_path):
     assert {r["token"]: r["v"] for r in headed} == {"好": [0.5, 1.0, 2.0], "b": [1.0, 2.0, 3.0]}
 
 
+def test_vector_files_with_any_token(spark, tmp_path):
+    rows = [(t, [1.5, -2.0]) for t in (" ", "\n", "", "a b", "\\", "\\s", "\\n x", "\t", "\r\n", "2 3", "7")]
+    write_vectors_text(spark.createDataFrame(rows, "token string, v array<float>"), str(tmp_path / "odd"))
+    assert sorted(map(tuple, read_vectors_text(spark, str(tmp_path / "odd")).collect())) == sorted(rows)
+    one = [("a", [1.0]), ("b", [2.0])]
+    write_vectors_text(spark.createDataFrame(one, "token string, v array<float>"), str(tmp_path / "one"))
+    assert sorted(map(tuple, read_vectors_text(spark, str(tmp_path / "one")).collect())) == one
+
+
+@pytest.mark.parametrize("line", ["c 0.5", "c 0.5 x", "c", "c 1 2 3"])
+def test_damaged_vector_lines_are_an_error(spark, tmp_path, line):
+    path = write_lines_file(tmp_path / "bad.vec", ["2 2", "a 1 2", line])
+    with pytest.raises(Exception, match="not a vector line"):
+        read_vectors_text(spark, path).collect()
+    foreign = write_lines_file(tmp_path / "f.vec", ["1 2", "new york 1 2"])
+    assert read_vectors_text(spark, foreign, escaped=False).first()["token"] == "new york"
+
+
 def test_build_if_absent(spark, tmp_path):
     path, calls = str(tmp_path / "kept"), []
 
