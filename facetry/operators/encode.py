@@ -24,12 +24,32 @@ from facetry.session import fits_broadcast, ship_package
 HOT_TOKENS = 50_000
 
 
+class TokenIndex:
+    """Token to index; the hash table is built once per worker process, at the first batch."""
+
+    def __init__(self, tokens, idx: np.ndarray):
+        self.tokens, self.idx = tokens, idx
+        self.table: dict[str, int] | None = None
+
+    def __getstate__(self):
+        return {"tokens": self.tokens, "idx": self.idx, "table": None}
+
+    def places(self, flat):
+        """For each token of an Arrow array its place in ``tokens``, -1 if it has none."""
+        if self.table is None:
+            self.table = dict(zip(self.tokens.to_pylist(), range(len(self.tokens)), strict=True))
+        coded = flat.dictionary_encode()
+        get = self.table.get
+        each = np.array([get(t, -1) for t in coded.dictionary.to_pylist()] + [-1], dtype=np.int64)
+        return each[coded.indices.fill_null(len(coded.dictionary)).to_numpy(zero_copy_only=False)]
+
+
 def _probe(vocab: DataFrame, keep_unknown: bool):
     """An Arrow function mapping token lists to index lists through a broadcast vocabulary."""
     ship_package(vocab.sparkSession)
     table = vocab.select("token", "idx").toArrow()
     shared = vocab.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks(), table["idx"].to_numpy())
+        TokenIndex(table["token"].combine_chunks(), table["idx"].to_numpy())
     )
 
     @arrow_udf(T.ArrayType(T.IntegerType()))
@@ -37,11 +57,10 @@ def _probe(vocab: DataFrame, keep_unknown: bool):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        keys, idx = shared.value
+        index = shared.value
         lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-        flat = tokens.flatten()
-        place = pc.fill_null(pc.index_in(flat, value_set=keys.cast(flat.type)), -1).to_numpy()
-        found = np.append(idx, 0)[place].astype(np.int32)
+        place = index.places(tokens.flatten())
+        found = np.append(index.idx, 0)[place].astype(np.int32)
         if not keep_unknown:
             known = place >= 0
             upto = np.concatenate(([0], np.cumsum(known)))
@@ -58,11 +77,15 @@ def lookup_chars(docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False)
     """``(id, seq)`` of the characters of ``docs(id, text)``, without building token arrays.
 
     A character vocabulary cannot outgrow the code points there are, so it always fits: it
-    becomes an array indexed by code point, and a batch of texts is one array lookup.
+    becomes an array indexed by code point, and a batch of texts is one array lookup. An entry
+    that is not one character is an error.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    single = vocab.where(F.length("token") == 1).select("token", "idx").toArrow()
+    longer = vocab.where(F.length("token") != 1).limit(1).collect()
+    if longer:
+        raise ValueError(f"not a character: {longer[0]['token']!r}")
+    single = vocab.select("token", "idx").toArrow()
     index = np.zeros(sys.maxunicode + 1, dtype=np.int32)
     index[[ord(c) for c in single["token"].to_pylist()]] = single["idx"].to_numpy()
     shared = spark.sparkContext.broadcast(index)

@@ -39,3 +39,17 @@ def lookup_join(
 def drop_listed(rows: DataFrame, listed: DataFrame, key: str, small: bool) -> DataFrame:
     """Rows whose ``key`` is not in ``listed`` (distinct), e.g. exploded tokens minus stop words."""
     return lookup_join(rows, listed.select(key), [key], small, "left_anti").select(*rows.columns)
+
+
+def without_listed_tokens(docs: DataFrame, listed: DataFrame, small: bool) -> DataFrame:
+    """``docs(id, tokens, ..)`` without the tokens in ``listed(token)``, order and repeats kept.
+
+    The way for stop lists too long for an expression. Ids are unique; a text without tokens left
+    has an empty array, a null one stays null.
+    """
+    rows = docs.select("id", F.posexplode_outer("tokens").alias("_pos", "token")).where("token IS NOT NULL")
+    kept = lookup_join(rows, listed.select("token").distinct(), ["token"], small, "left_anti")
+    back = kept.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_t"))
+    empty = F.array().cast("array<string>")
+    tokens = F.when(F.col("tokens").isNotNull(), F.coalesce(F.col("_t.token"), empty))
+    return docs.join(back, "id", "left").withColumn("tokens", tokens).drop("_t")

@@ -9,10 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import (
+    LogisticRegression,
+    LogisticRegressionModel,
+    NaiveBayes,
+    NaiveBayesModel,
+)
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from facetry.functions.arrays import argmax_class
 from facetry.operators.metrics import align, confusion, macro, running_best
@@ -25,6 +32,19 @@ def training_table(features: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(features.join(labels, "id"))
 
 
+def _vector(table: DataFrame) -> Column:
+    """The feature column as a vector, if it is not one."""
+    is_array = isinstance(table.schema["features"].dataType, T.ArrayType)
+    return (array_to_vector("features") if is_array else F.col("features")).alias("features")
+
+
+def count_features(seqs: DataFrame, size: int) -> DataFrame:
+    """``(id, features)``: how often each index from 1 to ``size`` occurs, as a sparse vector."""
+    names = [str(i) for i in range(1, size + 1)]
+    counter = CountVectorizerModel.from_vocabulary(names, inputCol="_t", outputCol="features")
+    return counter.transform(seqs.select("id", F.col("seq").cast("array<string>").alias("_t"))).drop("_t")
+
+
 def class_position(y: Column, classes: Sequence[int] = CLASSES) -> Column:
     """Label to its place in the class order; the metadata keeps absent classes counted."""
     place = F.array_position(F.array(*[F.lit(c) for c in classes]), y) - 1
@@ -50,20 +70,26 @@ def train(
     classes: Sequence[int] = CLASSES,
     reg: float = 0.01,
     threads: int = 4,
+    kind: str = "logistic",
 ) -> None:
-    """Fit and save a multinomial model per aspect and epoch.
+    """Fit and save a model per aspect and epoch.
+
+    ``kind`` is ``logistic`` (multinomial regression over an array column) or ``bayes``
+    (multinomial naive Bayes with one added count, over ``count_features``; it has no epochs).
 
     ``epochs`` counts passes over the data. The optimiser is deterministic, so a fit with
-    fewer passes is the earlier state of the longer one. Rows whose label is outside the
-    classes are left out of that aspect.
+    fewer passes is the earlier state of the longer one. A row whose label for an aspect is null
+    is not labelled for it; a label outside the classes is an error.
     """
 
     def fit(aspect: int, epoch: int) -> None:
         y = F.col((columns or {}).get(aspect, aspect_name(aspect) if aspect <= len(ASPECTS) else ""))
-        rows = table.where(y.isin(*classes)).select(
-            array_to_vector("features").alias("features"), class_position(y, classes)
-        )
-        model = LogisticRegression(family="multinomial", maxIter=epoch, regParam=reg).fit(rows)
+        known = F.when(y.isin(*classes), y).otherwise(F.raise_error(F.lit("a label outside the classes")).cast("int"))
+        rows = table.where(y.isNotNull()).select(_vector(table), class_position(known, classes))
+        if kind == "bayes":
+            model = NaiveBayes(smoothing=1.0, modelType="multinomial").fit(rows)
+        else:
+            model = LogisticRegression(family="multinomial", maxIter=epoch, regParam=reg).fit(rows)
         model.write().overwrite().save(model_path(model_dir, aspect, epoch))
 
     _in_threads(fit, [(a, e) for a in aspects for e in epochs], threads)
@@ -76,12 +102,14 @@ def score(
     epoch: int = 10,
     model: str = "model",
     classes: Sequence[int] = CLASSES,
+    kind: str = "logistic",
 ) -> DataFrame:
     """``(id, aspect_idx, model, p, yhat)``: all aspects in one pass, each scored once."""
-    rows = features.select("id", array_to_vector("features").alias("features"))
+    rows = features.select("id", _vector(features))
+    saved = {"logistic": LogisticRegressionModel, "bayes": NaiveBayesModel}[kind]
     cells = []
     for aspect in aspects:
-        fitted = LogisticRegressionModel.load(model_path(model_dir, aspect, epoch))
+        fitted = saved.load(model_path(model_dir, aspect, epoch))
         fitted.setProbabilityCol(f"_p{aspect}").setRawPredictionCol("").setPredictionCol("")
         rows = fitted.transform(rows)
         cells += [F.lit(aspect), vector_to_array(f"_p{aspect}")]

@@ -8,7 +8,7 @@ the token index and folded per (document, dimension). Whatever depends on a vect
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.ml.feature import Word2Vec
@@ -37,48 +37,55 @@ def embedding_rows(vocab: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     return rows.unionByName(pad)
 
 
-def join_by_rank(rows: DataFrame, table: DataFrame, small: bool, hot: int = HOT_ROWS) -> DataFrame:
-    """Inner join on ``idx``, a frequency rank with 0 for pads.
-
-    A table known to be small is broadcast whole. Otherwise its first ``hot`` entries are,
-    and only the infrequent rest is shuffled.
-    """
-    if small:
-        return rows.join(F.broadcast(table), "idx")
-    head = rows.where(F.col("idx") <= hot).join(
-        F.broadcast(table.where(F.col("idx") <= hot)), "idx"
-    )
-    tail = rows.where(F.col("idx") > hot).join(table.where(F.col("idx") > hot), "idx")
-    return head.unionByName(tail)
-
-
 def _dot(v: Column, weights: Sequence[float]) -> Column:
     terms = [v[i] * F.lit(float(w)) for i, w in enumerate(weights)]
     return sum(terms[1:], terms[0])
 
 
-def _bias_array(step_bias: Sequence[float] | float, steps: int) -> np.ndarray:
+StepBias = Sequence[float] | float | Callable
+
+
+def _bias_array(step_bias: StepBias, steps: int) -> np.ndarray:
+    """The bias of the first ``steps`` steps; a list that ends before them is an error."""
+    if callable(step_bias):
+        return np.asarray(step_bias(np.arange(steps)), dtype=float)
     if isinstance(step_bias, (int, float)):
         return np.full(steps, float(step_bias))
-    given = np.asarray(step_bias, dtype=float)[:steps]
-    return np.concatenate([given, np.zeros(max(steps - len(given), 0))])
+    if len(step_bias) < steps:
+        raise ValueError(f"a text of {steps} steps, but only {len(step_bias)} step biases")
+    return np.asarray(step_bias, dtype=float)[:steps]
 
 
-def _bias_column(step_bias: Sequence[float] | float) -> Column:
+def _bias_column(step_bias: StepBias) -> Column:
+    if callable(step_bias):
+        return step_bias(F.col("pos")).cast("double")
     if isinstance(step_bias, (int, float)):
         return F.lit(float(step_bias))
-    return F.coalesce(F.get(F.array(*[F.lit(float(b)) for b in step_bias]), F.col("pos")), F.lit(0.0))
+    given = F.get(F.array(*[F.lit(float(b)) for b in step_bias]), F.col("pos"))
+    failed = F.raise_error(F.lit(f"a text has more steps than the {len(step_bias)} step biases"))
+    return F.coalesce(given, failed.cast("double"))
+
+
+def _largest_bias(docs: DataFrame, step_bias: StepBias) -> float:
+    if callable(step_bias):
+        longest = docs.agg(F.max(F.size("seq"))).first()[0] or 0
+        return float(np.abs(_bias_array(step_bias, max(longest, 1))).max())
+    return max(abs(b) for b in ([step_bias] if isinstance(step_bias, (int, float)) else step_bias))
 
 
-def _shared_matrix(embeddings: DataFrame, dim: int):
-    """Collect a measured table and broadcast ``(sorted idx, matrix)``, last row zeros."""
+def _shared_matrix(embeddings: DataFrame, dim: int, project: Callable | None = None):
+    """Collect a measured table and broadcast ``(sorted idx, matrix, projected)``, last row zeros.
+
+    ``project`` maps the matrix to what depends on a vector alone; it is computed here, once.
+    """
     ship_package(embeddings.sparkSession)
     rows = embeddings.select(F.col("idx").cast("long").alias("idx"), "v").toArrow()
     keys = rows["idx"].to_numpy()
     vectors = rows["v"].combine_chunks().flatten().to_numpy().reshape(len(keys), dim)
     order = np.argsort(keys)
     matrix = np.vstack([vectors[order], np.zeros((1, dim), vectors.dtype)])
-    return embeddings.sparkSession.sparkContext.broadcast((keys[order], matrix))
+    projected = project(matrix) if project else None
+    return embeddings.sparkSession.sparkContext.broadcast((keys[order], matrix, projected))
 
 
 def _document_blocks(seq, keys, mask_pads):
@@ -121,12 +128,12 @@ def _as_list_array(values: np.ndarray):
 
 
 def _pool_in_tasks(docs, embeddings, dim, kinds, weights, step_bias, mask_pads):
-    shared = _shared_matrix(embeddings, dim)
+    project = (lambda m: m @ np.asarray(weights, dtype=float)) if weights is not None else None
+    shared = _shared_matrix(embeddings, dim, project)
 
     @arrow_udf(T.ArrayType(T.DoubleType()))
     def pooled(seq):
-        keys, vectors = shared.value
-        scores = vectors @ np.asarray(weights, dtype=float) if weights is not None else None
+        keys, vectors, scores = shared.value
         out = np.zeros((len(seq), dim * len(kinds)))
         blocks = _document_blocks(seq, keys, mask_pads)
         for first, last, filled, starts, counts, _, position, row in blocks:
@@ -198,7 +205,7 @@ def pool(
     dim: int,
     kinds: Sequence[str] = KINDS,
     attention_weights: Sequence[float] | None = None,
-    step_bias: Sequence[float] | float = 0.0,
+    step_bias: StepBias = 0.0,
     mask_pads: bool = True,
     in_tasks: bool | None = None,
 ) -> DataFrame:
@@ -206,8 +213,9 @@ def pool(
 
     ``embeddings`` is a materialised ``(idx, v)`` table; a step whose index it lacks counts as
     a zero vector, so all-zero rows may be left out of it. Attention weighs step ``t`` by
-    ``exp(tanh(v . w + b_t))``. A document without any step gets zeros. ``in_tasks`` is decided
-    by the size of the table unless given.
+    ``exp(tanh(v . w + b_t))``. ``step_bias`` is a number, a list (an error for a text that is
+    longer) or a function of the step that works on columns and on arrays. A document without any
+    step gets zeros. ``in_tasks`` is decided by the size of the table unless given.
     """
     weights = attention_weights if "attention" in kinds else None
     if in_tasks is None:
@@ -235,7 +243,7 @@ def query_attention_pool(
     w_out: Sequence[float],
     b_query: Sequence[float] | None = None,
     b_step: Sequence[float] | None = None,
-    step_bias: Sequence[float] | float = 0.0,
+    step_bias: StepBias = 0.0,
     mask_pads: bool = True,
     in_tasks: bool | None = None,
 ) -> DataFrame:
@@ -269,18 +277,18 @@ def query_attention_pool(
     terms = [F.lit(float(w)) * F.tanh(F.col("_q")[j] + F.col("_h")[j]) for j, w in enumerate(w_out)]
     steps = steps.withColumn("_e", sum(terms[1:], terms[0]) + _bias_column(step_bias))
     # |e| cannot exceed this bound, so the shifted exponentials cannot overflow.
-    bias = [step_bias] if isinstance(step_bias, (int, float)) else step_bias
-    bound = F.lit(float(sum(abs(w) for w in w_out) + max(abs(b) for b in bias)))
+    bound = F.lit(float(sum(abs(w) for w in w_out) + _largest_bias(docs, step_bias)))
     return _fold(docs, steps.withColumn("_a", F.exp(F.col("_e") - bound)), dim, ("attention",), bound)
 
 
 def _query_pool_in_tasks(asked, embeddings, dim, w_step, b_step, w_out, step_bias, mask_pads):
-    shared = _shared_matrix(embeddings, dim)
+    shared = _shared_matrix(
+        embeddings, dim, lambda m: m @ np.asarray(w_step, dtype=float) + np.asarray(b_step, dtype=float)
+    )
 
     @arrow_udf(T.ArrayType(T.DoubleType()))
     def pooled(seq, query):
-        keys, vectors = shared.value
-        projected = vectors @ np.asarray(w_step, dtype=float) + np.asarray(b_step, dtype=float)
+        keys, vectors, projected = shared.value
         asked_for = query.flatten().to_numpy().reshape(len(seq), -1)
         out = np.zeros((len(seq), dim))
         blocks = _document_blocks(seq, keys, mask_pads)

@@ -25,10 +25,12 @@ from facetry.functions.arrays import (
 from facetry.operators import encode as enc
 from facetry.operators import metrics, models, phrases, scores, segment, vectors, vocabulary
 from facetry.operators.joins import drop_listed
-from facetry.plans import classify, preprocess
+from facetry.plans import preprocess
 from facetry.schema import ASPECT_COLUMNS, aspect_table, route_table
 from facetry.session import ensure_checkpoint_dir, fits_broadcast, materialize, read_spread
-from facetry.sources.reviews import CSV_OPTIONS, READ_OPTIONS
+from facetry.sources.artifacts import build_if_absent, load_embeddings, load_vocabulary, save_table
+from facetry.sources.lists import read_lines, read_stop_words, write_lines
+from facetry.sources.reviews import read_reviews, write_csv
 from facetry.sources.vectors import read_vectors_text, write_vectors_text
 
 # Parameters of the queries below; the oracle uses the same ones.
@@ -42,18 +44,25 @@ WORD = r"[\p{L}]+"
 DIM = 64
 HIDDEN = 3
 ATTENTION = [((7 * i) % 11 - 5) / 10 for i in range(DIM)]
-STEP_BIAS = [((3 * t) % 7 - 3) / 20 for t in range(200)]
 W_QUERY = [[((i + 2 * j) % 5 - 2) / 4 for j in range(HIDDEN)] for i in range(4)]
 W_STEP = [[((i * (j + 1)) % 7 - 3) / 8 for j in range(HIDDEN)] for i in range(DIM)]
 W_OUT = [0.5, -0.75, 0.25]
 B_QUERY = [0.125, -0.25, 0.5]
 B_STEP = [0.25, 0.0, -0.125]
 MAXLEN = 1200
+VOCAB_MAX = 5000
+PHRASE_SIZES = [6, 12, 24, 48]
+ODD_TOKENS = [" ", "\n", "", "a b", "\\", "\\n", "\t", "2 3"]
 FREQ_BASE, FREQ_ADDED = 3, 20000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def step_bias(t):
+    """The attention bias of step ``t`` (a column or an array), for texts of any length."""
+    return ((3 * t) % 7 - 3) / 20
+
+
 def _documents(spark: SparkSession, sf: str, text: Column | None = None) -> DataFrame:
     docs = read_spread(spark, f"{sf}/documents.parquet", "doc_id", "doc_id", "text")
     return docs.select(F.col("doc_id").alias("id"), (F.col("text") if text is None else text).alias("text"))
@@ -343,6 +352,18 @@ def phrase_counts(spark, sf):
     return _as_doc(phrases.phrase_counts(_documents(spark, sf), _phrase_list(spark, sf)))
 
 
+def _large_phrase_list(spark, sf):
+    """Thousands of phrases, many with a common start: beginnings of all lines of the conversations."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    lines = turns.select(F.explode_outer(F.split("text", "\n")).alias("line"), F.explode(F.lit(PHRASE_SIZES)).alias("k"))
+    phrases_ = lines.where(F.length("line") >= F.col("k")).select(F.expr("left(line, k)").alias("token")).distinct()
+    return materialize(vocabulary.number_rows(phrases_, "token", name="ord"))
+
+
+def phrase_hits_large(spark, sf):
+    return _as_doc(phrases.phrase_hits(_documents(spark, sf), _large_phrase_list(spark, sf)))
+
+
 def occurrence_counts(spark, sf):
     """How often one phrase occurs in each text, without building hits."""
     return _as_doc(_documents(spark, sf).select("id", tx.count_occurrences("text", "erer").alias("n")))
@@ -414,6 +435,15 @@ def segment_likeliest(spark, sf):
     return _as_doc(cut.select("id", F.size("tokens").alias("n_tokens"), _joined("tokens", "/").alias("tokens")))
 
 
+def segment_large_dictionary(spark, sf):
+    """Longest match under a dictionary of all words of the documents."""
+    docs = _documents(spark, sf, F.lower("text"))
+    found = docs.select(F.explode_outer(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("token"))
+    listed = found.where("token IS NOT NULL").groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    cut = segment.segment(docs, listed)
+    return _as_doc(cut.select("id", F.size("tokens").alias("n_tokens"), _joined("tokens", "/").alias("tokens")))
+
+
 def word_tokens(spark, sf):
     """Word mode of preprocessing on Han text: strip symbols, segment, drop stop words."""
     dictionary = _dictionary(spark, sf, han(F.col("text")), r"[\x{4e00}-\x{9fff}]+")
@@ -449,9 +479,13 @@ def extended_dictionary(spark, sf):
 
 
 def _word_vectors(spark, sf, vocab):
-    """Vector ``vec_id`` belongs to the word of that index; other words have none."""
-    given = _vectors(spark, sf).select(F.col("vec_id").alias("idx"), F.col("embedding").alias("v"))
-    return vocab.join(given, "idx").select("token", "v")
+    """Vectors belong to the words in order; later words have none."""
+    return vocab.join(_ranked_vectors(spark, sf), "idx").select("token", "v")
+
+
+def _ranked_vectors(spark, sf):
+    """Indexes count from 1, ``vec_id`` from 0."""
+    return _vectors(spark, sf).select((F.col("vec_id") + 1).alias("idx"), F.col("embedding").alias("v"))
 
 
 def embedding_rows(spark, sf):
@@ -468,7 +502,7 @@ def _sequences(spark, sf):
     """Whole word sequences and the embedding rows that are not zero."""
     docs = _word_docs(spark, sf)
     vocab = vocabulary.fit_vocabulary(docs)
-    given = _vectors(spark, sf).where("vec_id > 0").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("v"))
+    given = _ranked_vectors(spark, sf)
     return enc.lookup(docs, vocab), materialize(given.join(vocab.select("idx"), "idx", "left_semi"))
 
 
@@ -481,7 +515,7 @@ def _pooled(kind: str) -> Query:
     def query(spark, sf):
         seqs, rows = _sequences(spark, sf)
         weights = ATTENTION if kind == "attention" else None
-        return _dims(vectors.pool(seqs, rows, DIM, (kind,), weights, STEP_BIAS), kind)
+        return _dims(vectors.pool(seqs, rows, DIM, (kind,), weights, step_bias), kind)
 
     return query
 
@@ -496,14 +530,14 @@ def query_attention_pool(spark, sf):
     seqs, rows = _sequences(spark, sf)
     asked = seqs.withColumn("q", F.array(*[F.pmod(F.col("id") + i, F.lit(5)) / 5.0 for i in range(4)]))
     pooled = vectors.query_attention_pool(
-        asked, rows, DIM, W_QUERY, W_STEP, W_OUT, B_QUERY, B_STEP, STEP_BIAS
+        asked, rows, DIM, W_QUERY, W_STEP, W_OUT, B_QUERY, B_STEP, step_bias
     )
     return _dims(pooled, "attention")
 
 
 def document_features(spark, sf):
     seqs, rows = _sequences(spark, sf)
-    pooled = vectors.pool(seqs, rows, DIM, attention_weights=ATTENTION, step_bias=STEP_BIAS)
+    pooled = vectors.pool(seqs, rows, DIM, attention_weights=ATTENTION, step_bias=step_bias)
     return _dims(vectors.document_features(pooled), "features")
 
 
@@ -525,59 +559,138 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def csv_roundtrip(spark, sf):
+    """All 22 columns written in another order, and read back by name."""
+    labels = [((F.col("id") * 7 + a) % 4 - 2).cast("int").alias(c) for a, c in enumerate(ASPECT_COLUMNS)]
+    table = _documents(spark, sf).select(*reversed(labels), F.col("text").alias("content"), "id")
     path = _scratch(spark, "reviews")
-    _documents(spark, sf).write.options(**CSV_OPTIONS).csv(path)
-    back = spark.read.options(**READ_OPTIONS).schema("id long, text string").csv(path)
-    return _as_doc(back)
+    write_csv(table, path)
+    back = read_reviews(spark, path)
+    return back.withColumnsRenamed({"id": "doc_id", "content": "text"})
+
+
+def csv_append(spark, sf):
+    """Rows appended to a file that is there: the even ids, then the odd ones."""
+    path = _scratch(spark, "appended")
+    docs = _documents(spark, sf)
+    empty = [F.lit(None).cast("int").alias(c) for c in ASPECT_COLUMNS]
+    table = docs.select("id", F.col("text").alias("content"), *empty)
+    write_csv(table.where("id % 2 = 0"), path)
+    write_csv(table.where("id % 2 = 1"), path, "append")
+    return read_reviews(spark, path).select(F.col("id").alias("doc_id"), F.col("content").alias("text"))
+
+
+def stop_words_file(spark, sf):
+    """Every document's lines as entries of a stop list: trimmed, distinct, none empty."""
+    path = _scratch(spark, "stop")
+    lines = _documents(spark, sf).select(F.explode_outer(F.split("text", "\n")).alias("line"))
+    write_lines(lines.select(F.concat(F.lit(" \t"), "line", F.lit(" ")).alias("line")), "line", path)
+    return read_stop_words(spark, path)
+
+
+def line_list_roundtrip(spark, sf):
+    """Lines written and read, counted because a file's lines have no key."""
+    path = _scratch(spark, "lines")
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    write_lines(turns.select(F.translate("text", "\r\n", "  ").alias("line")), "line", path)
+    return read_lines(spark, path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def vocabulary_roundtrip(spark, sf):
+    path = _scratch(spark, "vocabulary")
+    save_table(vocabulary.fit_vocabulary(_word_docs(spark, sf)), path)
+    return load_vocabulary(spark, path)
+
+
+def embedding_roundtrip(spark, sf):
+    path = _scratch(spark, "embedding")
+    save_table(_ranked_vectors(spark, sf), path)
+    rows = load_embeddings(spark, path).select("idx", F.posexplode("v").alias("dim", "value"))
+    return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
+
+
+def build_if_absent_twice(spark, sf):
+    """Kept on the first call, read on the second, whose own plan is never built."""
+    path = _scratch(spark, "kept")
+    counts = spark.read.parquet(f"{sf}/documents.parquet").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    build_if_absent(spark, path, lambda: counts)
+    return build_if_absent(spark, path, lambda: counts.where("false"))
 
 
 def vector_file_roundtrip(spark, sf):
+    """Tokens with blanks, line breaks, backslashes and nothing at all among them."""
     path = _scratch(spark, "vectors")
-    table = _vectors(spark, sf).select(F.col("vec_id").cast("string").alias("token"), F.col("embedding").alias("v"))
-    write_vectors_text(table, path)
-    back = read_vectors_text(spark, path)
-    rows = back.select(F.col("token").cast("long").alias("vec_id"), F.posexplode("v").alias("dim", "value"))
+    odd = F.array(*[F.lit(t) for t in ODD_TOKENS])
+    token = F.coalesce(F.get(odd, F.col("vec_id").cast("int")), F.col("vec_id").cast("string"))
+    write_vectors_text(_vectors(spark, sf).select(token.alias("token"), F.col("embedding").alias("v")), path)
+    rows = read_vectors_text(spark, path).select("token", F.posexplode("v").alias("dim", "value"))
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 # --- models -------------------------------------------------------------------------------
 
-# The two binary columns of ``labels`` stand in for two aspects.
+# The two binary columns of ``labels`` stand in for two aspects. Models learn from the labelled
+# documents of even id; every document is scored, and the labelled ones of odd id evaluate.
 LABEL_ASPECTS = {1: "quality", 2: "toxic"}
 
 
-def _labelled(spark, sf):
+def _labels(spark, sf, remainder: int):
     labels = spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("doc_id", "id")
-    docs = _word_docs(spark, sf).join(labels, "id")
-    vocab = vocabulary.fit_vocabulary(docs.select("id", "tokens"))
-    rows = _vectors(spark, sf).where("vec_id > 0").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("v"))
-    feats = classify.features(docs.select("id", "tokens"), vocab, materialize(rows), DIM, ATTENTION, MAXLEN)
-    return models.training_table(feats, labels)
+    return labels.where(F.pmod("id", F.lit(2)) == remainder)
+
+
+def _pooled_features(spark, sf):
+    """``(id, features)`` of every document, over whole texts."""
+    seqs, rows = _sequences(spark, sf)
+    pooled = vectors.pool(seqs, rows, DIM, attention_weights=ATTENTION, step_bias=step_bias)
+    return materialize(vectors.document_features(pooled))
 
 
 def _trained(spark, sf, epochs):
-    table = _labelled(spark, sf)
+    features = _pooled_features(spark, sf)
+    table = models.training_table(features, _labels(spark, sf, 0))
     path = _scratch(spark, "models")
     models.train(table, path, tuple(LABEL_ASPECTS), epochs, LABEL_ASPECTS, classes=(0, 1))
-    return table, path
+    return features, path
 
 
 def aspect_scores(spark, sf):
-    table, path = _trained(spark, sf, (8,))
-    scored = models.score(table.select("id", "features"), path, tuple(LABEL_ASPECTS), 8, classes=(0, 1))
+    """Two scores and a class for every document and aspect. The optimiser's values cannot be stated
+    in SQL; that each pair sums to one and the class is its larger one can.
+    """
+    features, path = _trained(spark, sf, (8,))
+    scored = models.score(features, path, tuple(LABEL_ASPECTS), 8, classes=(0, 1))
+    p0, p1 = F.col("p")[0], F.col("p")[1]
     return scored.select(
-        F.col("id").alias("doc_id"), "aspect_idx", F.round(F.col("p")[0], 6).alias("p0"),
-        F.round(F.col("p")[1], 6).alias("p1"), "yhat",
+        F.col("id").alias("doc_id"), "aspect_idx", F.round(p0 + p1, 6).alias("total"),
+        (F.col("yhat") == F.when(p1 > p0, 1).otherwise(0)).alias("largest"),
     )
 
 
 def aspect_epochs(spark, sf):
-    table, path = _trained(spark, sf, (2, 8))
-    gold = table.select("id", F.stack(F.lit(2), F.lit(1), F.col("quality"), F.lit(2), F.col("toxic")).alias("aspect_idx", "y"))
-    history = models.epoch_history(table.select("id", "features"), gold, path, tuple(LABEL_ASPECTS), (2, 8), (0, 1))
+    """F1 after each number of passes, on labelled documents that no model learned from."""
+    features, path = _trained(spark, sf, (2, 8))
+    held = _labels(spark, sf, 1)
+    gold = held.select("id", F.stack(F.lit(2), F.lit(1), F.col("quality"), F.lit(2), F.col("toxic")).alias("aspect_idx", "y"))
+    rows = features.join(held.select("id"), "id", "left_semi")
+    history = models.epoch_history(rows, gold, path, tuple(LABEL_ASPECTS), (2, 8), (0, 1))
     return _round(history, "precision", "recall", "f1", "best_f1", places=6)
 
 
+def aspect_naive_bayes(spark, sf):
+    """Every document scored by naive Bayes over word counts, learned from the even labelled ids."""
+    docs = _word_docs(spark, sf)
+    vocab = vocabulary.fit_vocabulary(docs).where(F.col("idx") <= VOCAB_MAX)
+    counts = materialize(models.count_features(enc.lookup(docs, materialize(vocab)), VOCAB_MAX))
+    table = models.training_table(counts, _labels(spark, sf, 0))
+    path = _scratch(spark, "bayes")
+    models.train(table, path, tuple(LABEL_ASPECTS), (1,), LABEL_ASPECTS, classes=(0, 1), kind="bayes")
+    scored = models.score(counts, path, tuple(LABEL_ASPECTS), 1, classes=(0, 1), kind="bayes")
+    return scored.select(
+        F.col("id").alias("doc_id"), "aspect_idx", F.round(F.col("p")[0], 6).alias("p0"),
+        F.round(F.col("p")[1], 6).alias("p1"), "yhat",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "soft_vote_macro_f1": soft_vote_macro_f1,
     "mean_macro_f1": mean_macro_f1,
@@ -612,6 +725,7 @@ QUERIES: dict[str, Query] = {
     "dictionary_lines": dictionary_lines,
     "phrase_hits": phrase_hits,
     "phrase_counts": phrase_counts,
+    "phrase_hits_large": phrase_hits_large,
     "occurrence_counts": occurrence_counts,
     "vocab_fit": vocab_fit,
     "vocab_fit_words": vocab_fit_words,
@@ -622,6 +736,7 @@ QUERIES: dict[str, Query] = {
     "encode_pad_words": encode_pad_words,
     "segment_longest_match": segment_longest_match,
     "segment_likeliest": segment_likeliest,
+    "segment_large_dictionary": segment_large_dictionary,
     "word_tokens": word_tokens,
     "stop_words_removed": stop_words_removed,
     "stop_words_joined": stop_words_joined,
@@ -636,7 +751,14 @@ QUERIES: dict[str, Query] = {
     "document_features": document_features,
     "word2vec_train": word2vec_train,
     "csv_roundtrip": csv_roundtrip,
+    "csv_append": csv_append,
+    "stop_words_file": stop_words_file,
+    "line_list_roundtrip": line_list_roundtrip,
+    "vocabulary_roundtrip": vocabulary_roundtrip,
+    "embedding_roundtrip": embedding_roundtrip,
+    "build_if_absent_twice": build_if_absent_twice,
     "vector_file_roundtrip": vector_file_roundtrip,
     "aspect_scores": aspect_scores,
     "aspect_epochs": aspect_epochs,
+    "aspect_naive_bayes": aspect_naive_bayes,
 }

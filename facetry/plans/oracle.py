@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from facetry.functions.text import BLANKS, CHAR_CLASSES, EMOJI_PATTERN, SYMBOL_CLASS
 from facetry.plans import catalog as c
 from facetry.schema import ASPECTS, ROUTE_BIGRU
 
+# The character sets as they are expected to be, stated here on their own.
+BLANKS = "".join(map(chr, (0x20, 0xA0, 0x0A, 0xFEFF, 0x0D)))
+# two runs of symbols, the first with a range from the colon to U+3010; this dialect's \\s lacks
+# the vertical tab
+SYMBOL_RUNS = (
+    r"[\s\x0b\x1c\x1d\x1e\x1f+./_,$%^*();\x{FF1B}:-\x{3010}\x{3011}']"
+    r"|[+\x{2014}\x{FF01}\x{FF0C};:\x{3002}\x{3001}~#\x{FFE5}%&*\x{FF08}\x{FF09}]"
+)
+CHAR_CLASSES = {
+    "han": r"[\x{4E00}-\x{9FFF}]",
+    "not_han": r"[\x{0}-\x{4E00}\x{9FFF}-\x{10FFFF}]",
+    "digit": "[0123456789]",
+    "letter": "[[:alpha:]]",
+    "blank": r"[\x{20}\x{A0}\x{0A}\x{FEFF}\x{0D}]",
+}
+# the emoji that the transliteration can put into a text: a flag of two letters, or one of a smiling
+# face, a heart, a woman, a computer, a star, a skin tone, with a selector, a tone and joined ones
+_FOUND = r"[\x{1F600}\x{2764}\x{1F469}\x{1F4BB}\x{2B50}\x{1F3FD}]\x{FE0F}?\x{1F3FD}?"
+EMOJI_FOUND = rf"[\x{{1F1E8}}\x{{1F1F3}}][\x{{1F1E8}}\x{{1F1F3}}]|{_FOUND}(?:\x{{200D}}{_FOUND})*"
+
 
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -28,9 +47,7 @@ def _drop_stop(text: str) -> str:
 
 
 def _strip(text: str) -> str:
-    # this dialect's \s lacks the vertical tab
-    symbols = "[" + SYMBOL_CLASS.replace("\\s", "\\s\\x0b") + "]+"
-    return f"regexp_replace({text}, {_q(symbols)}, '', 'g')"
+    return f"regexp_replace({text}, {_q(SYMBOL_RUNS)}, '', 'g')"
 
 
 def _non_han(text: str) -> str:
@@ -118,13 +135,21 @@ SELECT d.doc_id, {c.MAXLEN} AS n, array_to_string({padded}, ' ') AS seq
 FROM documents d LEFT JOIN found s USING (doc_id)"""
 
 
-PHRASES = """fragments AS (
+FRAGMENTS = """fragments AS (
   SELECT item_id, unnest(string_split_regex(text, '[.,\\n]')) AS raw,
     generate_subscripts(string_split_regex(text, '[.,\\n]'), 1) AS pos FROM benchmark),
 phrases AS (
   SELECT trim(raw) AS token, row_number() OVER (ORDER BY min({'item_id': item_id, 'pos': pos})) AS ord
   FROM fragments WHERE trim(raw) <> '' GROUP BY trim(raw)),
-parts AS (
+"""
+
+LINE_STARTS = f"""line_starts AS (SELECT unnest(string_split(text, chr(10))) AS line FROM conversations),
+phrases AS (
+  SELECT token, row_number() OVER (ORDER BY token) AS ord FROM (
+    SELECT DISTINCT left(line, k) AS token FROM line_starts, (SELECT unnest({c.PHRASE_SIZES}) AS k) WHERE length(line) >= k)),
+"""
+
+FOUND = """parts AS (
   SELECT doc_id, token, ord, unnest(string_split(text, token)) AS part,
     generate_subscripts(string_split(text, token), 1) AS k, len(string_split(text, token)) AS parts
   FROM documents JOIN phrases ON contains(text, token)),
@@ -133,6 +158,51 @@ found AS (
     sum(length(part)) OVER (PARTITION BY doc_id, token ORDER BY k) + (k - 1) * length(token) AS pos
   FROM parts)"""
 
+PHRASES = FRAGMENTS + FOUND
+
+# The likeliest cut: dictionary words are letters only, so every other character stands alone and
+# every distinct run of letters is solved once, from its end, over the words found in it.
+LIKELIEST = """total AS (SELECT sum(freq)::DOUBLE AS t FROM dictionary),
+weights AS (SELECT token, length(token) AS n, round(ln(freq / t) * 4294967296)::BIGINT AS w FROM dictionary, total),
+parts AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}]+|(?s:.)')) AS part,
+    generate_subscripts(regexp_extract_all(lower(text), '[\\p{L}]+|(?s:.)'), 1) AS pos FROM documents),
+runs AS (SELECT DISTINCT part FROM parts),
+places AS (SELECT part, unnest(range(1, length(part) + 1)) AS place FROM runs),
+pieces AS (
+  SELECT part, length(part) - place + 1 AS rest, l.n, substr(part, place, l.n) AS token
+  FROM places JOIN (SELECT DISTINCT n FROM weights) l ON place + l.n - 1 <= length(part)),
+found AS (
+  SELECT part, rest, list({'n': w.n, 'w': w.w}) AS words
+  FROM pieces JOIN weights w USING (token) GROUP BY part, rest),
+open AS (
+  SELECT p.part, length(p.part) - p.place + 1 AS rest, [{'n': 1, 'w': round(-ln(t) * 4294967296)::BIGINT}] AS words
+  FROM places p CROSS JOIN total
+  WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.part = p.part AND f.rest = length(p.part) - p.place + 1)),
+choices AS (
+  SELECT part, rest,
+    CASE WHEN len(list_filter(words, lambda x: x.n = 1)) = 0 THEN list_append(words, {'n': 1, 'w': round(-ln(t) * 4294967296)::BIGINT}) ELSE words END AS words
+  FROM found CROSS JOIN total
+  UNION ALL SELECT part, rest, words FROM open),
+solved AS (
+  SELECT part, 0::BIGINT AS k, [0::BIGINT] AS best, []::BIGINT[] AS step FROM runs
+  UNION ALL
+  SELECT part, rest, list_append(best, top.s), list_append(step, top.n) FROM (
+    SELECT s.part, c.rest, s.best, s.step,
+      list_max(list_transform(c.words, lambda x: {'s': x.w + s.best[c.rest - x.n + 1], 'n': x.n})) AS top
+    FROM solved s JOIN choices c ON c.part = s.part AND c.rest = s.k + 1)),
+ready AS (SELECT part, step FROM solved WHERE k = length(part)),
+walk AS (
+  SELECT part, step, length(part) AS rest, []::VARCHAR[] AS tokens FROM ready
+  UNION ALL
+  SELECT part, step, rest - step[rest], list_append(tokens, substr(part, length(part) - rest + 1, step[rest]))
+  FROM walk WHERE rest > 0),
+cut AS (SELECT part, tokens FROM walk WHERE rest = 0),
+joined AS (
+  SELECT doc_id, sum(len(tokens))::INTEGER AS n_tokens, string_agg(array_to_string(tokens, '/'), '/' ORDER BY pos) AS tokens
+  FROM parts JOIN cut USING (part) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(tokens, '') AS tokens FROM documents d LEFT JOIN joined USING (doc_id)"""
+
 
 def _dictionary(text: str, pattern: str, name: str = "dictionary") -> str:
     return f"""{name}_words AS (SELECT unnest(regexp_extract_all({text}, {_q(pattern)})) AS token FROM benchmark),
@@ -145,12 +215,12 @@ SEQUENCES = f"""{_vocab(WORDS)},
 steps AS (
   SELECT t.id AS doc_id, t.pos - 1 AS pos, v.idx,
     CASE WHEN e.vec_id IS NULL THEN list_resize(CAST([] AS FLOAT[]), {c.DIM}, 0) ELSE e.embedding END AS v
-  FROM vocab_tokens t JOIN vocab v USING (token) LEFT JOIN embeddings e ON e.vec_id = v.idx),
+  FROM vocab_tokens t JOIN vocab v USING (token) LEFT JOIN embeddings e ON e.vec_id + 1 = v.idx),
 cells AS (
   SELECT doc_id, pos, unnest(range(0, {c.DIM}))::INTEGER AS dim, unnest(v)::DOUBLE AS x FROM steps),
 grid AS (SELECT doc_id, unnest(range(0, {c.DIM}))::INTEGER AS dim FROM documents)"""
 
-BIAS = f"coalesce({_nums(c.STEP_BIAS)}[pos + 1], 0.0)"
+BIAS = "((3 * pos) % 7 - 3) / 20.0"
 ATTENTION = f"""weights AS (
   SELECT doc_id, pos, exp(tanh(list_sum(list_transform(range(1, {c.DIM + 1}),
     lambda i: v[i]::DOUBLE * {_nums(c.ATTENTION)}[i])) + {BIAS})) AS a FROM steps),
@@ -189,6 +259,30 @@ attended AS (
 SELECT doc_id, dim, round(coalesce(value, 0.0), 6) AS value FROM grid LEFT JOIN attended USING (doc_id, dim)"""
 
 
+# Multinomial naive Bayes, one count added to every word and class; two classes, two aspects.
+BAYES = f"""WITH {_vocab(WORDS)},
+counts AS (SELECT id AS doc_id, idx, count(*) AS n FROM vocab_tokens JOIN vocab USING (token) WHERE idx <= {c.VOCAB_MAX} GROUP BY ALL),
+gold AS (
+  SELECT doc_id, 1 AS aspect_idx, quality AS y FROM labels WHERE doc_id % 2 = 0
+  UNION ALL SELECT doc_id, 2, toxic FROM labels WHERE doc_id % 2 = 0),
+docs AS (SELECT aspect_idx, y, count(*) AS n FROM gold JOIN documents USING (doc_id) GROUP BY ALL),
+prior AS (SELECT aspect_idx, y, ln(n + 1.0::DOUBLE) - ln(sum(n) OVER (PARTITION BY aspect_idx) + 2.0::DOUBLE) AS pi FROM docs),
+seen AS (SELECT aspect_idx, y, idx, sum(n) AS n FROM gold JOIN counts USING (doc_id) GROUP BY ALL),
+totals AS (SELECT aspect_idx, y, sum(n) AS total FROM seen GROUP BY ALL),
+theta AS (
+  SELECT t.aspect_idx, t.y, v.idx, ln(coalesce(s.n, 0) + 1.0::DOUBLE) - ln(t.total + {c.VOCAB_MAX}.0::DOUBLE) AS w
+  FROM totals t CROSS JOIN (SELECT idx FROM vocab WHERE idx <= {c.VOCAB_MAX}) v
+  LEFT JOIN seen s ON s.aspect_idx = t.aspect_idx AND s.y = t.y AND s.idx = v.idx),
+sums AS (SELECT doc_id, aspect_idx, y, sum(n * w) AS s FROM counts JOIN theta USING (idx) GROUP BY ALL),
+raw AS (
+  SELECT d.doc_id, p.aspect_idx, p.y, p.pi + coalesce(s.s, 0.0) AS s
+  FROM documents d CROSS JOIN prior p LEFT JOIN sums s ON s.doc_id = d.doc_id AND s.aspect_idx = p.aspect_idx AND s.y = p.y),
+pair AS (
+  SELECT doc_id, aspect_idx, max(s) FILTER (y = 0) AS s0, max(s) FILTER (y = 1) AS s1 FROM raw GROUP BY ALL)
+SELECT doc_id, aspect_idx, round(1.0::DOUBLE / (1.0::DOUBLE + exp(s1 - s0)), 6) AS p0,
+  round(1.0::DOUBLE / (1.0::DOUBLE + exp(s0 - s1)), 6) AS p1, (s1 > s0)::INTEGER AS yhat FROM pair"""
+
+
 def _wide(expression: str, source: str) -> str:
     columns = ", ".join(f"any_value(v) FILTER (aspect_idx = {i}) AS {name}" for i, _, name in ASPECTS)
     return f"SELECT vec_id, {columns} FROM (SELECT vec_id, aspect_idx, {expression} AS v FROM {source}) GROUP BY vec_id"
@@ -233,8 +327,8 @@ def statements() -> dict[str, str]:
         "spaced_chars": f"SELECT doc_id, array_to_string(string_split({_drop_stop(HAN)}, ''), ' ') AS text FROM documents",
         "char_tokens": f"SELECT doc_id, length(t)::INTEGER AS n_tokens, array_to_string(string_split(t, ''), '|') AS tokens FROM (SELECT doc_id, {_drop_stop(HAN)} AS t FROM documents)",
         "list_text_roundtrip": "SELECT doc_id, length(text)::INTEGER AS n_tokens, text FROM documents",
-        "emoji_list": f"WITH found AS (SELECT doc_id, regexp_extract_all({EMOJI}, {_q(EMOJI_PATTERN)}) AS e FROM documents) SELECT doc_id, (unnest(range(len(e))))::INTEGER AS ord, unnest(e) AS emoji FROM found",
-        "emoji_counts": f"SELECT emoji, count(*) AS n FROM (SELECT unnest(regexp_extract_all({EMOJI}, {_q(EMOJI_PATTERN)})) AS emoji FROM documents) GROUP BY emoji",
+        "emoji_list": f"WITH found AS (SELECT doc_id, regexp_extract_all({EMOJI}, {_q(EMOJI_FOUND)}) AS e FROM documents) SELECT doc_id, (unnest(range(len(e))))::INTEGER AS ord, unnest(e) AS emoji FROM found",
+        "emoji_counts": f"SELECT emoji, count(*) AS n FROM (SELECT unnest(regexp_extract_all({EMOJI}, {_q(EMOJI_FOUND)})) AS emoji FROM documents) GROUP BY emoji",
         "distinct_chars": f"WITH chars AS (SELECT doc_id, unnest(string_split({EMOJI}, '')) AS value, generate_subscripts(string_split({EMOJI}, ''), 1) AS pos FROM documents) SELECT value, row_number() OVER (ORDER BY min({{'id': doc_id, 'pos': pos}})) AS idx FROM chars WHERE value NOT IN ('', chr(10)) GROUP BY value",
         "distinct_lines": "WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) SELECT line, row_number() OVER (ORDER BY min({'id': doc_id, 'pos': pos})) AS idx FROM lines GROUP BY line",
         "dictionary_lines": "SELECT conv_id, turn, text || ' 2000' AS line FROM conversations",
@@ -248,12 +342,15 @@ def statements() -> dict[str, str]:
         "encode_pad": f"WITH {_vocab(CHARS)}, doc_chars AS (SELECT id AS doc_id, token, pos FROM vocab_tokens), {_encoded('doc_chars', 'vocab')}",
         "encode_pad_words": f"WITH {BENCH_VOCAB}, {DOC_WORDS}, {_encoded('doc_words', 'bench')}",
         "segment_longest_match": f"WITH {_dictionary(LOWER, c.WORD)}, cut AS (SELECT doc_id, regexp_extract_all(lower(text), {LONGEST}) AS tokens FROM documents) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '/') AS tokens FROM cut",
+        "segment_likeliest": f"WITH RECURSIVE {_dictionary(LOWER, c.WORD)}, {LIKELIEST}",
+        "segment_large_dictionary": f"WITH cut AS (SELECT doc_id, regexp_extract_all({LOWER}, {_q(c.WORD + '|(?s:.)')}) AS tokens FROM documents) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '/') AS tokens FROM cut",
+        "phrase_hits_large": f"WITH {LINE_STARTS}{FOUND} SELECT doc_id, pos::INTEGER AS pos, arg_max(token, ord) AS token FROM found WHERE k < parts GROUP BY doc_id, pos",
         "word_tokens": f"WITH {_dictionary(HAN, chr(91) + '一-鿿' + chr(93) + '+')}, cut AS (SELECT doc_id, regexp_extract_all({_strip(HAN)}, {LONGEST}) AS tokens FROM documents), kept AS (SELECT doc_id, {keep_tokens} AS tokens FROM cut) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '/') AS tokens FROM kept",
         "stop_words_removed": f"WITH kept AS (SELECT doc_id, list_filter({WORDS}, lambda t: t NOT IN {stop_words}) AS tokens FROM documents) SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM kept",
         "stop_words_joined": f"WITH {_dictionary(LOWER, c.WORD)}, {DOC_WORDS} SELECT token, count(*) AS n FROM doc_words WHERE token NOT IN (SELECT token FROM dictionary) GROUP BY token",
         "keywords_top40": f"WITH {DOC_WORDS}, tf AS (SELECT doc_id, token, count(*) AS n FROM doc_words GROUP BY doc_id, token), df AS (SELECT token, count(*) AS d FROM tf GROUP BY token), weighed AS (SELECT doc_id, token, round(n * ln((SELECT count(*) FROM documents)::DOUBLE / d), 9) AS weight FROM tf JOIN df USING (token)), ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, token) AS rank FROM weighed) SELECT doc_id, token, round(weight, 6) AS weight, rank::INTEGER AS rank FROM ranked WHERE rank <= 40",
         "extended_dictionary": f"WITH {_dictionary(LOWER, c.WORD)}, added AS (SELECT DISTINCT unnest({WORDS}) AS token FROM conversations) SELECT coalesce(a.token, d.token) AS token, CASE WHEN a.token IS NULL THEN {c.FREQ_BASE} ELSE {c.FREQ_ADDED} END::BIGINT AS freq FROM dictionary d FULL JOIN added a ON a.token = d.token",
-        "embedding_rows": f"WITH {_vocab(WORDS)}, rows AS (SELECT idx, embedding AS v FROM vocab LEFT JOIN embeddings ON vec_id = idx UNION ALL SELECT 0, NULL) SELECT idx, {c.DIM} AS dim, round(coalesce(v[1], 0)::DOUBLE, 6) AS first, round(coalesce(v[{c.DIM}], 0)::DOUBLE, 6) AS last, round(coalesce(list_sum(list_transform(v, lambda x: x::DOUBLE)), 0), 6) AS total FROM rows",
+        "embedding_rows": f"WITH {_vocab(WORDS)}, rows AS (SELECT idx, embedding AS v FROM vocab LEFT JOIN embeddings ON vec_id + 1 = idx UNION ALL SELECT 0, NULL) SELECT idx, {c.DIM} AS dim, round(coalesce(v[1], 0)::DOUBLE, 6) AS first, round(coalesce(v[{c.DIM}], 0)::DOUBLE, 6) AS last, round(coalesce(list_sum(list_transform(v, lambda x: x::DOUBLE)), 0), 6) AS total FROM rows",
         "mean_pool": _pooled("avg"),
         "max_pool": _pooled("max"),
         "mean_pool_joined": _pooled("avg"),
@@ -261,8 +358,16 @@ def statements() -> dict[str, str]:
         "query_attention_pool": _query_attention(),
         "document_features": f"WITH {SEQUENCES}, {ATTENTION}, pooled AS (SELECT doc_id, dim, avg(x) AS m, max(x) AS x FROM cells GROUP BY doc_id, dim), parts AS (SELECT doc_id, dim, m AS value FROM pooled UNION ALL SELECT doc_id, dim + {c.DIM}, x FROM pooled UNION ALL SELECT doc_id, dim + {2 * c.DIM}, value FROM attended), wide AS (SELECT doc_id, unnest(range(0, {3 * c.DIM}))::INTEGER AS dim FROM documents) SELECT doc_id, dim, round(coalesce(value, 0.0), 6) AS value FROM wide LEFT JOIN parts USING (doc_id, dim)",
         "word2vec_train": "SELECT DISTINCT unnest(string_split(text, '')) AS token, 20 AS dim, true AS finite FROM documents WHERE length(text) > 0",
-        "csv_roundtrip": "SELECT doc_id, text FROM documents",
-        "vector_file_roundtrip": f"SELECT vec_id, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
+        "csv_roundtrip": "SELECT doc_id, text, " + ", ".join(f"((doc_id * 7 + {i - 1}) % 4 - 2)::INTEGER AS {name}" for i, _, name in ASPECTS) + " FROM documents",
+        "csv_append": "SELECT doc_id, text FROM documents",
+        "stop_words_file": "SELECT DISTINCT regexp_replace(line, '^[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+|[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+$', '', 'g') AS token FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE token <> ''",
+        "line_list_roundtrip": "SELECT translate(text, chr(13) || chr(10), '  ') AS line, count(*) AS n FROM conversations GROUP BY ALL",
+        "vocabulary_roundtrip": f"WITH {_vocab(WORDS)} SELECT token, n, idx FROM vocab",
+        "embedding_roundtrip": f"SELECT vec_id + 1 AS idx, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
+        "build_if_absent_twice": "SELECT source, count(*) AS n FROM documents GROUP BY source",
+        "vector_file_roundtrip": f"SELECT coalesce(([' ', chr(10), '', 'a b', chr(92), chr(92) || 'n', chr(9), '2 3'])[vec_id + 1], vec_id::VARCHAR) AS token, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
+        "aspect_scores": "SELECT doc_id, aspect_idx, 1.0::DOUBLE AS total, true AS largest FROM documents, (VALUES (1), (2)) a(aspect_idx)",
+        "aspect_naive_bayes": BAYES,
     }
 
 

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetry.functions.text import char_tokens, drop_stop_chars, strip_symbols, without_stop_words
+from facetry.operators.joins import without_listed_tokens
 from facetry.operators.segment import segment
 from facetry.operators.vectors import train_vectors
+from facetry.session import fits_broadcast, materialize
 from facetry.sources.artifacts import build_if_absent
 from facetry.sources.lists import read_dictionary, read_stop_words, stop_word_list
 from facetry.sources.reviews import read_reviews
 
+STOP_LIST_MAX = 10_000  # longer stop lists are joined
+
 
 def preprocess_chars(reviews: DataFrame, stop: Iterable[str], text: str = "content") -> DataFrame:
     """Drop stop characters and blanks, then one token per character."""
@@ -23,14 +28,20 @@ def preprocess_chars(reviews: DataFrame, stop: Iterable[str], text: str = "conte
 def preprocess_words(
     reviews: DataFrame,
     dictionary: DataFrame,
-    stop: Iterable[str],
+    stop: Iterable[str] | DataFrame,
     text: str = "content",
     method: str = "longest",
 ) -> DataFrame:
-    """Strip symbols, cut into dictionary words, drop stop words."""
+    """Strip symbols, cut into dictionary words, drop stop words.
+
+    ``stop`` is a list of words, or a table ``(token)`` when it is too long for an expression.
+    """
     stripped = reviews.withColumn("text", strip_symbols(text)).drop(*({text} - {"text"}))
-    words = segment(stripped, dictionary, method)
-    return words.withColumn("tokens", without_stop_words("tokens", stop)).drop("text")
+    words = segment(stripped, dictionary, method).drop("text")
+    if isinstance(stop, DataFrame):
+        stop = materialize(stop)
+        return without_listed_tokens(words, stop, fits_broadcast(stop, "token"))
+    return words.withColumn("tokens", without_stop_words("tokens", stop))
 
 
 def preprocess_split(
@@ -48,12 +59,16 @@ def preprocess_split(
 
     def build() -> DataFrame:
         reviews = read_reviews(spark, csv_path)
-        stop = stop_word_list(read_stop_words(spark, stop_path))
+        stop = read_stop_words(spark, stop_path)
         if mode == "char":
-            return preprocess_chars(reviews, stop)
+            # only entries of one character can match, and there are no more of those than code points
+            single = stop.where(F.length("token") == 1)
+            return preprocess_chars(reviews, stop_word_list(single, sys.maxunicode))
         if dictionary_path is None:
             raise ValueError("word mode needs a dictionary")
-        return preprocess_words(reviews, read_dictionary(spark, dictionary_path), stop)
+        few = stop.limit(STOP_LIST_MAX + 1).count() <= STOP_LIST_MAX
+        words = stop_word_list(stop, STOP_LIST_MAX) if few else stop
+        return preprocess_words(reviews, read_dictionary(spark, dictionary_path), words)
 
     return build_if_absent(spark, f"{out_dir}/mode={mode}/split={split}", build)
 

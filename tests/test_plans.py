@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -100,3 +101,42 @@ def test_routed_scores_never_take_gold(spark):
     assert all(row[c] == 0 for c in ASPECT_COLUMNS)
     with pytest.raises(Exception, match="no routed model score"):
         ensemble.route_scores(spark, scores, {"bigru": tuple(range(1, 21))}).collect()
+
+
+def test_labels_outside_the_classes_are_an_error(spark, tmp_path):
+    rows = [(i, [float(i % 2), 1.0], (0, 1, None)[i % 3]) for i in range(30)]
+    table = spark.createDataFrame(rows, "id long, features array<double>, quality int")
+    models.train(table, str(tmp_path / "m"), (1,), (2,), {1: "quality"}, classes=(0, 1))
+    bad = table.unionByName(table.where("id = 0").withColumn("quality", F.lit(7)))
+    with pytest.raises(Exception, match="outside the classes"):
+        models.train(bad, str(tmp_path / "n"), (1,), (2,), {1: "quality"}, classes=(0, 1))
+
+
+def test_naive_bayes_against_its_formula(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.choices(range(1, 7), k=rng.randint(0, 12)), i % 2) for i in range(40)]
+    seqs = spark.createDataFrame([(i, s) for i, s, _ in rows], "id long, seq array<int>")
+    counts = models.count_features(seqs, 6)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 25], "id long, quality int")
+    models.train(models.training_table(counts, labels), str(tmp_path), (1,), (1,), {1: "quality"}, classes=(0, 1), kind="bayes")
+    got = {r["id"]: r["p"][1] for r in models.score(counts, str(tmp_path), (1,), 1, classes=(0, 1), kind="bayes").collect()}
+    seen = [[t for i, s, y in rows if i < 25 and y == c for t in s] for c in (0, 1)]
+    docs = [sum(y == c for i, _, y in rows if i < 25) for c in (0, 1)]
+    for i, s, _ in rows:
+        log = [
+            math.log((docs[c] + 1) / 27) + sum(math.log((seen[c].count(t) + 1) / (len(seen[c]) + 6)) for t in s)
+            for c in (0, 1)
+        ]
+        assert got[i] == pytest.approx(1 / (1 + math.exp(log[0] - log[1])))
+
+
+def test_a_stop_list_too_long_for_an_expression(spark, monkeypatch):
+    rows = [(1, "好吃的面"), (2, None), (3, "的的"), (4, "")]
+    reviews = spark.createDataFrame(rows, "id long, content string")
+    dictionary = spark.createDataFrame([("好吃", 1), ("面", 1)], "token string, freq long")
+    stop = ["的", "面"]
+    table = spark.createDataFrame([(w,) for w in stop], "token string")
+    short = preprocess.preprocess_words(reviews, dictionary, stop)
+    long = preprocess.preprocess_words(reviews, dictionary, table)
+    assert short.columns == long.columns
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect()))

@@ -42,5 +42,5 @@ def test_entry(spark):
 
 
 def test_only_queries_that_sql_cannot_express_lack_a_statement():
-    assert set(QUERIES) - set(SQL) == {"segment_likeliest", "aspect_scores", "aspect_epochs"}
+    assert set(QUERIES) - set(SQL) == {"aspect_epochs"}
     assert set(SQL) <= set(entry.queries())

@@ -11,7 +11,15 @@ DIM = 6
 RNG = random.Random(21)
 VECTORS = {i: [RNG.uniform(-2, 2) for _ in range(DIM)] for i in (1, 2, 3, 5, 8)}
 WEIGHTS = [RNG.uniform(-1, 1) for _ in range(DIM)]
-BIAS = [0.1 * i for i in range(4)]
+
+
+def make_bias():
+    """A function that works on columns and on arrays; a local one, so that tasks get its code."""
+    return lambda t: ((7 * t) % 5 - 2) / 10
+
+
+BIAS = make_bias()
+
 
 
 @pytest.fixture
@@ -39,7 +47,7 @@ def expected(seq, mask, weights=WEIGHTS):
     if not at:
         return {k: np.zeros(DIM) for k in vectors.KINDS}
     xs = np.array([x for _, x in at])
-    a = np.array([math.exp(math.tanh(x @ weights + (BIAS[t] if t < len(BIAS) else 0))) for t, x in at])
+    a = np.array([math.exp(math.tanh(x @ weights + BIAS(t))) for t, x in at])
     return {
         "mean": xs.mean(0),
         "max": xs.max(0),
@@ -61,6 +69,15 @@ def test_pool(spark, table, sequences, in_tasks, mask):
             assert rows[i][kind] == pytest.approx(want, abs=1e-6), (i, kind)
 
 
+@pytest.mark.parametrize("in_tasks", [True, False])
+def test_a_list_of_biases_must_reach_the_longest_text(spark, table, in_tasks):
+    docs = spark.createDataFrame([(1, [1, 2, 3]), (2, [1, 2, 3, 5])], "id long, seq array<int>")
+    pool = lambda bias: vectors.pool(docs, table, DIM, attention_weights=WEIGHTS, step_bias=bias, in_tasks=in_tasks)
+    assert len(pool([0.1, 0.2, 0.3, 0.4]).collect()) == 2
+    with pytest.raises(Exception, match="step biases"):
+        pool([0.1, 0.2, 0.3]).collect()
+
+
 @pytest.mark.parametrize("in_tasks", [True, False])
 def test_query_attention(spark, table, sequences, in_tasks):
     rng = random.Random(3)
@@ -79,7 +96,7 @@ def test_query_attention(spark, table, sequences, in_tasks):
         if at:
             e = [
                 np.tanh(np.array(q) @ w_query + b_query + x @ np.array(w_step) + b_step) @ w_out
-                + (BIAS[t] if t < len(BIAS) else 0)
+                + BIAS(t)
                 for t, x in at
             ]
             a = np.exp(np.array(e) - max(e))

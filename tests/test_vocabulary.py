@@ -84,3 +84,9 @@ def test_distinct_in_order(spark):
     rows = [(3, ["b", "z"]), (1, ["c", "a", "c"]), (2, ["a", "b"]), (4, [])]
     got = distinct_in_order(frame(spark, rows), "tokens").orderBy("idx").collect()
     assert [(r["value"], r["idx"]) for r in got] == [("c", 1), ("a", 2), ("b", 3), ("z", 4)]
+
+
+def test_character_lookup_takes_characters_only(spark):
+    vocab = spark.createDataFrame([("a", 1, 1), ("ab", 1, 2)], "token string, n long, idx long")
+    with pytest.raises(ValueError, match="not a character"):
+        lookup_chars(frame(spark, [(1, ["a"])]).select("id", F.lit("a").alias("text")), vocab)
