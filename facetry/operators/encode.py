@@ -19,7 +19,7 @@ from pyspark.sql.functions import arrow_udf
 from facetry.functions.arrays import pad_left
 from facetry.operators.joins import salted_join
 from facetry.schema import MAXLEN
-from facetry.session import fits_broadcast, ship_package
+from facetry.session import fits_broadcast, hot_limit, materialize, ship_package
 
 HOT_TOKENS = 50_000
 
@@ -115,8 +115,10 @@ def lookup_by_join(
     """``(id, seq)`` by joins only, for vocabularies of any size.
 
     A token outside the hot part may still be frequent when the vocabulary lacks it, so the
-    shuffle join is salted.
+    shuffle join is salted. The tokens are written once, as hot and other ones are read apart.
     """
+    docs = materialize(docs.select("id", "tokens"))
+    hot_tokens = hot_limit(vocab, "idx", hot_tokens, "token")
     rows = docs.select("id", F.posexplode_outer("tokens").alias("_pos", "token")).where("_pos IS NOT NULL")
     hot = vocab.where(F.col("idx") <= hot_tokens).select("token", F.col("idx").alias("_hot"))
     marked = rows.join(F.broadcast(hot), "token", "left")

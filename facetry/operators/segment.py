@@ -196,22 +196,55 @@ def _top_in_tasks(documents: int, spread: DataFrame, top: int):
     return best
 
 
+_COUNTED = T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("n", T.LongType())]))
+
+
+@arrow_udf(_COUNTED)
+def _token_counts(tokens):
+    """Each list's distinct tokens with their counts."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    coded = tokens.flatten().dictionary_encode()
+    known = coded.is_valid().to_numpy(zero_copy_only=False)
+    code = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)
+    size = max(len(coded.dictionary), 1)
+    pairs, n = np.unique((owner * size + code)[known], return_counts=True)
+    owner, code = np.divmod(pairs, size)
+    ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(lengths)))))
+    fields = [pa.field("token", pa.string()), pa.field("n", pa.int64())]
+    rows = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code)).cast(pa.string()), pa.array(n)], fields=fields)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), rows)
+
+
+def _frequent_cutoff(spread: DataFrame) -> int:
+    """Document counts above this belong to tokens few and short enough to broadcast."""
+    most = HOT_TOKENS
+    while most:
+        head = spread.select("_docs").orderBy(F.desc("_docs")).limit(most + 1)
+        cutoff = head.agg(F.min("_docs")).first()[0] or 0
+        if fits_broadcast(spread.where(F.col("_docs") > cutoff), "token", 24, max_rows=HOT_TOKENS):
+            return cutoff
+        most //= 4
+    return spread.agg(F.max("_docs")).first()[0] or 0
+
+
 def _keywords_by_join(docs: DataFrame, documents: int, spread: DataFrame, top: int) -> DataFrame:
     """Count, weigh and rank with one shuffle of the texts on ``id``.
 
     A token has exactly as many (document, token) rows as its document count says. The most
-    frequent ones are broadcast, so that the shuffle on the token only sees rare tokens.
+    frequent ones are broadcast, so that the shuffle on the token only sees rare tokens. A
+    document is one row, so its tokens are counted in the scan; the counts are written once.
     """
-    counts = (
-        docs.select("id", "tokens")
-        .repartition("id")
-        .select("id", F.explode_outer("tokens").alias("token"))
-        .where("token IS NOT NULL")
-        .groupBy("id", "token")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    ship_package(docs.sparkSession)
+    counts = materialize(
+        docs.select("id", F.explode_outer(_token_counts("tokens")).alias("c"))
+        .where("c IS NOT NULL")
+        .select("id", "c.token", F.col("c.n").alias("_n"))
     )
-    head = spread.select("_docs").orderBy(F.desc("_docs")).limit(HOT_TOKENS)
-    cutoff = head.agg(F.min("_docs")).first()[0] or 0
+    cutoff = _frequent_cutoff(spread)
     hot = spread.where(F.col("_docs") > cutoff).withColumnRenamed("_docs", "_hot")
     marked = counts.join(F.broadcast(hot), "token", "left")
     common = marked.where("_hot IS NOT NULL").withColumnRenamed("_hot", "_docs")

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from facetry.operators.joins import lookup_join
-from facetry.session import fits_broadcast, ship_package
+from facetry.session import fits_broadcast, hot_limit, materialize, ship_package
 
 EPSILON = 1e-7  # fixed value: keeps an attention weight sum away from zero
 HOT_ROWS = 50_000
@@ -162,13 +162,15 @@ def _steps(docs: DataFrame, table: DataFrame, dim: int, mask_pads: bool, *carry:
     """One row per step with its vector, by joins only; no vector means zeros.
 
     The index is a frequency rank, so the hot tokens are known: they are broadcast, and only
-    the infrequent rest is shuffled.
+    the infrequent rest is shuffled. The sequences are written once, as both parts read them.
     """
+    docs = materialize(docs)
+    most = hot_limit(table, "idx", HOT_ROWS, row_bytes=4 * dim + 64)
     rows = docs.select("id", *carry, F.posexplode_outer("seq").alias("pos", "idx"))
     rows = rows.withColumn("idx", F.col("idx").cast("long")).where("idx IS NOT NULL")
     if mask_pads:
         rows = rows.where("idx <> 0")
-    hot, rest = F.col("idx") <= HOT_ROWS, F.col("idx") > HOT_ROWS
+    hot, rest = F.col("idx") <= most, F.col("idx") > most
     joined = lookup_join(rows.where(hot), table.where(hot), ["idx"], True, "left").unionByName(
         rows.where(rest).join(table.where(rest), "idx", "left")
     )
@@ -326,11 +328,17 @@ def train_vectors(
     Sentences are never cut: the limit is set to the longest token list of the input.
     """
     spark = docs.sparkSession
-    counts = docs.select(F.explode_outer(tokens).alias("t")).where("t IS NOT NULL").groupBy("t").count()
-    words = counts.where(F.col("count") >= min_count).count()
+    # one pass: how many tokens are frequent enough, and how long the longest list is
+    counts = (
+        docs.select(F.size(tokens).alias("_n"), F.explode_outer(tokens).alias("t"))
+        .groupBy("t")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("_n").alias("_n"))
+    )
+    frequent = F.count_if(F.col("t").isNotNull() & (F.col("n") >= min_count))
+    row = counts.agg(frequent.alias("words"), F.max("_n").alias("longest")).first()
+    words, longest = row["words"], row["longest"] or 1
     if words > max_vocabulary:
         raise ValueError(f"{words} tokens exceed max_vocabulary={max_vocabulary}; raise min_count")
-    longest = docs.agg(F.max(F.size(tokens))).first()[0] or 1
     model = Word2Vec(
         vectorSize=size,
         windowSize=window,
@@ -346,3 +354,22 @@ def train_vectors(
         F.col("word").alias("token"),
         vector_to_array("vector", "float32").alias("v"),
     )
+
+
+def nearest_tokens(vectors: DataFrame, asked: Sequence[str]) -> DataFrame:
+    """``(token, nearest)``: for each asked token the other one with the largest cosine.
+
+    The few vectors asked for become literals; one aggregation compares them with every row.
+    """
+    given = {r["token"]: r["v"] for r in vectors.where(F.col("token").isin(*asked)).collect()}
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    best = []
+    for token, vector in given.items():
+        other = F.array(*[F.lit(float(x)) for x in vector])
+        dot = F.aggregate(F.zip_with("v", other, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        # the asked token's own length is the same for all candidates
+        closeness = F.when(F.col("token") != token, dot / norm)
+        best.append(F.struct(F.lit(token).alias("token"), F.max_by("token", closeness).alias("nearest")))
+    if not best:
+        return vectors.select("token", F.lit(None).cast("string").alias("nearest")).where("false")
+    return vectors.agg(F.array(*best).alias("b")).select(F.explode("b").alias("b")).select("b.*")

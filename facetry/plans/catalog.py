@@ -51,6 +51,7 @@ B_QUERY = [0.125, -0.25, 0.5]
 B_STEP = [0.25, 0.0, -0.125]
 MAXLEN = 1200
 VOCAB_MAX = 5000
+TWINS = ["e"]
 PHRASE_SIZES = [6, 12, 24, 48]
 ODD_TOKENS = [" ", "\n", "", "a b", "\\", "\\n", "\t", "2 3"]
 FREQ_BASE, FREQ_ADDED = 3, 20000
@@ -542,11 +543,20 @@ def document_features(spark, sf):
 
 
 def word2vec_train(spark, sf):
-    """Character vectors of the raw texts; values depend on scheduling, so their shape is shown."""
-    docs = _documents(spark, sf).select(tx.char_tokens("text").alias("tokens")).where(F.size("tokens") > 0)
-    trained = vectors.train_vectors(docs, size=20, window=5, iterations=1)
+    """Character vectors of the raw texts. Their values depend on scheduling, so a property of them is
+    shown: at odd places a character is replaced by a twin, which then has the same neighbours,
+    and the token nearest to the twin must be the character it stands for.
+    """
+    chars = F.transform(
+        tx.char_tokens(F.lower("text")),
+        lambda c, i: F.when((i % 2 == 1) & c.isin(*TWINS), F.upper(c)).otherwise(c),
+    )
+    docs = _documents(spark, sf).select(chars.alias("tokens")).where(F.size("tokens") > 0)
+    trained = materialize(vectors.train_vectors(docs, size=20, window=5, iterations=1))
     finite = F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(1e6)))
-    return trained.select("token", F.size("v").alias("dim"), finite.alias("finite"))
+    near = vectors.nearest_tokens(trained, [c.upper() for c in TWINS])
+    shown = trained.select("token", F.size("v").alias("dim"), finite.alias("finite"))
+    return shown.join(F.broadcast(near), "token", "left")
 
 
 # --- files --------------------------------------------------------------------------------

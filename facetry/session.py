@@ -24,6 +24,7 @@ def local_session(app: str = "facetry", cpus: str = "*", **conf: str) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -74,17 +75,23 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def read_spread(spark: SparkSession, path: str, key: str, *columns: str) -> DataFrame:
-    """Read some columns of a Parquet table with at least one task per core.
+    """Read some columns of a Parquet table, a small one with at least one task per core.
 
-    Parquet is split by row group, so a small table arrives as one task. Only then is it
-    hash-partitioned on ``key``; a table with enough splits is read as it is, unshuffled.
+    Parquet is split by row group, so a small table arrives as one task. Only then, and only
+    up to ``SPREAD_MAX_BYTES`` of files, is it hash-partitioned on ``key``; any other table is read
+    as it is, unshuffled (lower ``spark.sql.files.maxPartitionBytes`` for more tasks).
     """
-    df = spark.read.parquet(path)
-    if columns:
-        df = df.select(*columns)
+    whole = spark.read.parquet(path)
+    df = whole.select(*columns) if columns else whole
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = int(str(whole._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size <= SPREAD_MAX_BYTES else df
 
 
 def fits_broadcast(
@@ -100,3 +107,13 @@ def fits_broadcast(
     text = F.sum(F.octet_length(text_column)) if text_column else F.lit(0)
     row = lookup.agg(F.count(F.lit(1)).alias("n"), F.coalesce(text, F.lit(0)).alias("b")).first()
     return row["n"] <= max_rows and row["b"] + row["n"] * row_bytes <= max_bytes
+
+
+def hot_limit(
+    lookup: DataFrame, rank: str, most: int, text_column: str | None = None, row_bytes: int = 16
+) -> int:
+    """The largest rank, ``most`` or a fraction of it, up to which the rows may be broadcast."""
+    hot = most
+    while hot and not fits_broadcast(lookup.where(F.col(rank) <= hot), text_column, row_bytes, max_rows=most):
+        hot //= 4
+    return hot
