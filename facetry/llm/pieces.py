@@ -5,10 +5,10 @@ come from a model file given by path, nothing is trained here.
 
 A batch's texts are cut at blanks (a blank becomes the mark U+2581 at the start of the next
 word, and no piece holds a mark after another character, so no piece crosses a cut). The distinct
-words that are not in the worker's cache are concatenated and indexed by a suffix array: positions sorted by their
-next 20 characters, more than the longest piece. Every piece is binary-searched for its range of
-occurrences, all pieces in step. Each occurrence is an edge (start, end, piece); the edges are
-sorted by their end.
+words that are not in the worker's cache are concatenated and indexed by a suffix array:
+positions sorted by more of their next characters than the longest piece has. Every piece whose
+characters occur is binary-searched for its range of occurrences, all pieces in step. Each
+occurrence is an edge (start, end, piece); the edges are sorted by their end.
 
 Relaxing. The pieces of a BPE encoding are not those with the best sum of scores, so the edges are
 relaxed by compatibility: a prefix of a word has one BPE encoding, and its last piece t is the
@@ -39,8 +39,7 @@ from pyspark.sql import functions as F
 from facetry.session import ship_package
 
 MARK = "▁"
-WIDTH, BITS = 5, 12  # characters per packed key and bits per character
-KEYS = 4
+KEY_BITS = 63  # of a packed key of characters
 PLACES = 20  # bits of the table of borders that were asked for
 LONG_WORD = 256  # words beyond this are relaxed on their own
 
@@ -110,32 +109,36 @@ class Encoder:
         plain, score = vocabulary.plain, vocabulary.score
         self.mark = plain.get(MARK)
         alphabet = sorted({c for p in plain for c in p})
-        if len(alphabet) + 2 >= 1 << BITS:
-            raise ValueError("too many characters for the packed keys")
         self.code = np.zeros(0x110000, np.uint16)  # 0: a cut or a character without piece
         self.code[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
         # the last merge that makes each piece; pieces that merging never makes are no edges
         n = len(score)
-        self.rank, self.halves, self.join = [-1.0] * n, [None] * n, {}
-        for piece, i in plain.items():
-            if len(piece) > 1 and set(piece) != {MARK}:
-                self.rank[i] = -score[i]
-        usable = []
+        self.rank = np.full(n, -1, np.int64)
+        self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        long = sorted((i for p, i in plain.items() if len(p) > 1 and set(p) != {MARK}), key=lambda i: -score[i])
+        for place, i in enumerate(long):
+            # equal scores are equal ranks
+            self.rank[i] = self.rank[long[place - 1]] if place and score[long[place - 1]] == score[i] else place
+        usable, joins = [], {}
         for piece, i in plain.items():
             if len(piece) == 1:
                 usable.append((piece, i))
             elif set(piece) != {MARK}:
                 cut = self._last_merge(piece)
                 if cut:
-                    self.halves[i] = (plain[piece[:cut]], plain[piece[cut:]])
+                    self.left[i], self.right[i] = plain[piece[:cut]], plain[piece[cut:]]
                     usable.append((piece, i))
                 for k in range(1, len(piece)):
                     if piece[:k] in plain and piece[k:] in plain:
-                        self.join[plain[piece[:k]], plain[piece[k:]]] = self.rank[i]
+                        joins[plain[piece[:k]] << 20 | plain[piece[k:]]] = self.rank[i]
+        self.joins = np.array(sorted(joins), np.int64)
+        self.join_ranks = np.array([joins[k] for k in self.joins.tolist()], np.int64)
         self.pieces = np.array([i for _, i in usable], np.int64)
         self.lengths = np.array([len(p) for p, _ in usable], np.int64)
-        coded = [self.code[[ord(c) for c in p]] for p, _ in usable]
-        self.low, self.high = self._pad(coded, 0), self._pad(coded, (1 << BITS) - 1)
+        self.longest = int(self.lengths.max())
+        self.coded = np.zeros((len(usable), self.longest), np.uint16)
+        for row, (piece, _) in zip(self.coded, usable, strict=True):
+            row[: len(piece)] = self.code[[ord(c) for c in piece]]
 
     def _last_merge(self, piece: str) -> int:
         """Where the last merge of ``piece`` joins its halves; 0 if merging does not end in it."""
@@ -151,42 +154,15 @@ class Encoder:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return len(parts[0])
 
-    @staticmethod
-    def _pack(codes: np.ndarray) -> np.ndarray:
-        """Keys of ``WIDTH`` characters from every position on; ``codes`` ends in enough zeros."""
-        size = len(codes) - WIDTH + 1
-        key = np.zeros(size, np.uint64)
-        for i in range(WIDTH):
-            key = (key << np.uint64(BITS)) | codes[i : i + size].astype(np.uint64)
-        return key
-
-    def _pad(self, coded: list[np.ndarray], fill: int) -> np.ndarray:
-        table = np.full((len(coded), WIDTH * KEYS), fill, np.uint16)
-        for row, codes in zip(table, coded, strict=True):
-            row[: len(codes)] = codes
-        shift = (np.uint64(BITS) * np.arange(WIDTH - 1, -1, -1, dtype=np.uint64))[None, None, :]
-        return (table.reshape(-1, KEYS, WIDTH).astype(np.uint64) << shift).sum(axis=2, dtype=np.uint64)
-
-    def _suffixes(self, keys: np.ndarray, size: int) -> np.ndarray:
-        """Positions below ``size`` sorted by their next WIDTH * KEYS characters (rank doubling)."""
-        rank = np.unique(keys, return_inverse=True)[1].astype(np.int64)
-        step = WIDTH
-        while step < WIDTH * KEYS:
-            next_ = np.zeros_like(rank)
-            next_[:-step] = rank[step:] + 1
-            rank = np.unique(rank * (len(rank) + 2) + next_, return_inverse=True)[1].astype(np.int64)
-            step *= 2
-        return np.argsort(rank[:size], kind="stable")
-
-    def _search(self, wanted: np.ndarray, order: np.ndarray, keys: np.ndarray, after: bool) -> np.ndarray:
-        """For every piece the first suffix that is not below (``after``: that is above) its key."""
+    def _search(self, wanted: np.ndarray, order: np.ndarray, keys: np.ndarray, width: int, after: bool) -> np.ndarray:
+        """For every piece the first suffix that is not below (``after``: that is above) its keys."""
         low, high = np.zeros(len(wanted), np.int64), np.full(len(wanted), len(order), np.int64)
         while (open_ := np.flatnonzero(low < high)).size:
             middle = (low[open_] + high[open_]) // 2
             place = order[middle]
             below, equal = np.zeros(len(open_), bool), np.ones(len(open_), bool)
-            for i in range(KEYS):
-                mine, theirs = keys[place + WIDTH * i], wanted[open_, i]
+            for i in range(wanted.shape[1]):
+                mine, theirs = keys[place + width * i], wanted[open_, i]
                 below |= equal & (mine < theirs)
                 equal &= mine == theirs
             if after:
@@ -198,34 +174,75 @@ class Encoder:
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece) of all occurrences, by end, the longest first."""
         size = len(codes)
-        padded = np.concatenate([codes, np.zeros(WIDTH * (KEYS + 1), np.uint16)])
-        keys = self._pack(padded)
-        order = self._suffixes(keys[: size + WIDTH * KEYS], size)
-        first = self._search(self.low, order, keys, after=False)
-        last = self._search(self.high, order, keys, after=True)
+        # only characters that occur get a number, so that many fit into one key
+        present = np.bincount(codes, minlength=int(self.code.max()) + 1) > 0
+        present[0] = True
+        dense = (np.cumsum(present) - 1).astype(np.int64)
+        bits = max(1, int(dense[-1]).bit_length())
+        width = min(KEY_BITS // bits, self.longest)
+        n_keys = -(-self.longest // width)
+        possible = np.flatnonzero(present[self.coded].all(axis=1))
+        if not size or not possible.size:
+            return (np.empty(0, np.int64),) * 3
+        # the key of a place holds its next ``width`` characters; behind the end there is nothing
+        padded = np.concatenate([dense[codes], np.zeros(width * (n_keys + 1), np.int64)])
+        keys = np.zeros(size + width * n_keys, np.int64)
+        for i in range(width):
+            keys = keys << bits | padded[i : i + len(keys)]
+        # sort by one key, then by pairs of ranks, until all characters of a piece are covered
+        rank, covered = keys, width
+        while covered < self.longest:
+            rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
+            following = np.zeros_like(rank)
+            following[:-covered] = rank[covered:] + 1
+            rank = rank * (len(rank) + 2) + following
+            covered *= 2
+        order = np.argsort(rank[:size])
+        low = np.zeros((len(possible), width * n_keys), np.int64)
+        low[:, : self.longest] = dense[self.coded[possible]]
+        beyond = np.arange(width * n_keys)[None, :] >= self.lengths[possible][:, None]
+        high = np.where(beyond, (1 << bits) - 1, low)
+        low[beyond] = 0
+        shift = bits * np.arange(width - 1, -1, -1)
+        pack = lambda x: (x.reshape(len(x), n_keys, width) << shift).sum(axis=2)
+        first = self._search(pack(low), order, keys, width, after=False)
+        last = self._search(pack(high), order, keys, width, after=True)
         counts = np.maximum(last - first, 0)
         hit = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(len(hit)) - np.repeat(np.cumsum(counts) - counts, counts)
-        start = order[first[hit] + within]
-        length = self.lengths[hit]
-        by_end = np.argsort((start + length) * 32 - length, kind="stable")
-        return start[by_end], (start + length)[by_end], self.pieces[hit][by_end]
-
-    def keeps_border(self, p: int, t: int) -> bool:
-        """Whether merging p's and t's characters together leaves the border between them."""
-        limit, rank, halves, join = float("inf"), self.rank, self.halves, self.join
-        while True:
-            crossing = join.get((p, t))
-            if crossing is not None and crossing < limit:
-                return False
-            # undo the later of the two merges; at equal rank the left one was done first
-            if rank[p] > rank[t]:
-                limit, p = rank[p], halves[p][1]
-            elif halves[t] is not None:
-                # the crossing pair stands to the left, so at the same rank it would go first
-                limit, t = np.nextafter(rank[t], np.inf), halves[t][0]
-            else:
-                return True
+        length = self.lengths[possible][hit]
+        end = order[first[hit] + within] + length
+        # sorted as one number: the end, then the longest first, and the piece
+        packed = np.sort(((end << 6 | 63 - length) << 20) | self.pieces[possible][hit])
+        end, length = packed >> 26, 63 - (packed >> 20 & 63)
+        return end - length, end, packed & 0xFFFFF
+
+    def keep_borders(self, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Whether merging p's and t's characters together leaves the border between them, for many pairs.
+
+        The merges of both are undone, the later one first. If the two pieces that then stand at the
+        border would have been merged before the merge just undone, the border is not kept. Of merges of
+        equal rank the left one was done first: a crossing pair loses to p's and beats t's.
+        """
+        p, t = p.copy(), t.copy()
+        kept = np.ones(len(p), bool)
+        limit = np.full(len(p), np.iinfo(np.int64).max)
+        todo = np.arange(len(p))
+        while todo.size:
+            pair = p[todo] << 20 | t[todo]
+            place = np.minimum(np.searchsorted(self.joins, pair), len(self.joins) - 1)
+            crossed = (self.joins[place] == pair) & (self.join_ranks[place] < limit[todo])
+            kept[todo[crossed]] = False
+            todo = todo[~crossed]
+            rank_p, rank_t = self.rank[p[todo]], self.rank[t[todo]]
+            undo_p = rank_p > rank_t
+            some = todo[undo_p]
+            limit[some], p[some] = rank_p[undo_p], self.right[p[some]]
+            undo_t = ~undo_p & (self.left[t[todo]] >= 0)
+            some = todo[undo_t]
+            limit[some], t[some] = rank_t[undo_t] + 1, self.left[t[some]]
+            todo = todo[undo_p | undo_t]
+        return kept
 
     def borders(self, p: np.ndarray, t: np.ndarray) -> np.ndarray:
         """``keeps_border`` of many pairs; answers are kept in a table with one place per hash."""
@@ -235,7 +252,7 @@ class Encoder:
         new = np.flatnonzero(self.asked[place] != pair)
         if new.size:
             listed, first, back = np.unique(pair[new], return_index=True, return_inverse=True)
-            made = np.array([self.keeps_border(int(x) >> 20, int(x) & 0xFFFFF) for x in listed], bool)
+            made = self.keep_borders(listed >> 20, listed & 0xFFFFF)
             answer[new] = made[back]
             self.asked[place[new[first]]], self.answers[place[new[first]]] = listed, made
         return answer
@@ -269,7 +286,7 @@ class Encoder:
             for e in range(first[at], first[at + 1]):
                 s, t = int(start[e]), int(piece[e])
                 p = int(last[s])
-                if s == begin or (origin[s] >= 0 and (p < 0 or self.keeps_border(p, t))):
+                if s == begin or (origin[s] >= 0 and (p < 0 or self.borders(np.array([p]), np.array([t]))[0])):
                     origin[at], last[at] = s, t
                     break
             else:
@@ -327,14 +344,14 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """Ids of each text (32-bit, as bytes); the texts' words are indexed together."""
         cut = [None if t is None else t.replace(MARK, " ").split(" ") for t in texts]
-        new = {w for parts in cut if parts for w in parts if w not in self.words}
-        new.discard("")
+        every = set().union(*[parts for parts in cut if parts])
+        every.discard("")
+        new = every - self.words.keys()
         if len(self.words) + len(new) > self.cache_words:
             self.words.clear()
-            new = {w for parts in cut if parts for w in parts}
-            new.discard("")
+            new = every
         if new:
-            listed = sorted(new)
+            listed = list(new)
             self.words.update(zip(listed, self.encode_words(listed), strict=True))
         get = self.words.__getitem__
         out: list[bytes | None] = []
@@ -364,15 +381,19 @@ class Encoder:
 
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
-        self.raw = vocabulary.raw
+        self.sizes = np.array([len(r) for r in vocabulary.raw], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(vocabulary.raw), np.uint8)
 
     def decode(self, ids: Sequence[int] | None) -> str | None:
         if ids is None:
             return None
-        ids = ids.tolist() if isinstance(ids, np.ndarray) else list(ids)
-        if ids and not 0 <= min(ids) <= max(ids) < len(self.raw):
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.sizes):
             raise ValueError("an id outside the vocabulary")
-        data = b"".join(map(self.raw.__getitem__, ids))
+        sizes = self.sizes[ids]
+        shift = self.begins[ids] - (np.cumsum(sizes) - sizes)
+        data = self.data[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))].tobytes()
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
