@@ -57,3 +57,19 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
 def digest_order(doc_id: str) -> Column:
     """A fixed pseudo-random order of the ids, for bounded samples that do not depend on layout."""
     return F.md5(F.col(doc_id).cast("string").cast("binary"))
+
+
+def most_frequent(table: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows with the highest counts ``n``, as many whole counts as fit into ``most`` rows.
+
+    Rows of one count stay or go together, so ties need no order, and nothing is sorted: the number
+    of rows per count decides on the lowest count kept.
+    """
+    kept, lowest = 0, None
+    sizes = table.groupBy(F.col(n).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    # counts grow slowly in number; beyond the first ``most`` of them nothing can fit
+    for row in sizes.orderBy(F.desc("n")).limit(most).collect():
+        if kept + row["rows"] > most:
+            break
+        kept, lowest = kept + row["rows"], row["n"]
+    return table.where(F.col(n) >= lowest) if lowest is not None else table.where("false")
