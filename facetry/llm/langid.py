@@ -8,8 +8,9 @@ divided by the square root of the words so that long texts do not all read 1.
 
 Training counts words on Spark over a bounded sample of labelled documents (about ``sample`` rows
 per language, drawn by a hash of the id) and keeps the ``max_words`` most frequent (word,
-language) counts; the n-grams are those of the kept words, weighted by their counts. The model's
-size is bounded by these parameters, so it is broadcast.
+language) counts (at the border all of one count go together); the n-grams are those of the kept
+words, weighted by their counts. The model's size is bounded by these parameters, so it is
+broadcast.
 
 Defined cases: a word is a run of letters, lower-cased; a null text or one without a letter is
 ``und`` with score 0; with no labelled text everything is ``und``. Ties go to the first language
@@ -28,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetry.session import ship_package
+from facetry.llm.common import most_frequent
+from facetry.session import materialize, ship_package
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+CACHE_WORDS, CACHE_LETTERS = 200_000, 64  # of words not seen in training, per worker process
 
 
 class Table:
@@ -49,7 +52,6 @@ class Model:
     def __init__(self, counts: dict[tuple[str, str], int], docs: dict[str, int], orders: int = 5, floor: float = 0.5):
         self.langs = sorted(docs)
         self.orders = orders
-        self.cache: dict[str, np.ndarray] = {}
         column = {lang: i for i, lang in enumerate(self.langs)}
         tables: list[dict[str, list[float]]] = [{} for _ in range(orders + 1)]
         zero = [0.0] * len(column)
@@ -71,40 +73,48 @@ class Model:
         return [edged[i : i + order] for i in range(len(edged) - order + 1)]
 
     def unseen(self, word: str) -> np.ndarray:
+        """Mean over the known n-grams of the longest order that has any; zeros if none has."""
         for order in range(self.orders, 0, -1):
             table = self.grams[order]
-            known = [i for x in self.split(word, order) if (i := table.row.get(x)) is not None]
+            get = table.row.get
+            known = [i for x in self.split(word, order) if (i := get(x)) is not None]
             if known:
-                return table.logs[known].mean(axis=0)
+                return np.add.reduce(table.logs[known]) / np.float32(len(known))
         return np.zeros(len(self.langs), np.float32)
 
-    def word(self, word: str) -> np.ndarray:
-        at = self.words.row.get(word)
-        if at is not None:
-            return self.words.logs[at]
-        found = self.cache.get(word)
-        if found is None:
-            found = self.unseen(word)
-            if len(self.cache) >= 100_000:
-                self.cache.clear()
-            if len(word) <= 64:
-                self.cache[word] = found
-        return found
+    def _open_cache(self) -> None:
+        """Places of the words seen, and room for words that were not; kept by the worker."""
+        self.place = dict(self.words.row)
+        self.vectors = np.concatenate([self.words.logs, np.zeros((CACHE_WORDS, len(self.langs)), np.float32)])
+        self.used = len(self.words.row)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("place", "vectors", "used")}
+
+    def _remember(self, word: str) -> int:
+        self.vectors[self.used] = self.unseen(word)
+        self.place[word] = self.used
+        self.used += 1
+        return self.used - 1
 
     def predict(self, text: str | None) -> tuple[str, float]:
         tally = Counter(LETTERS.findall((text or "").lower()))
         if not tally or not self.langs:
             return UNKNOWN, 0.0
-        known, unknown = [], []
-        for word, n in tally.items():
-            at = self.words.row.get(word)
-            known.append((at, n)) if at is not None else unknown.append((word, n))
-        total = np.zeros(len(self.langs))
-        if known:
-            at, n = np.array(known).T
-            total += n @ self.words.logs[at]
-        for word, n in unknown:
-            total += n * self.word(word)
+        if not hasattr(self, "place") or self.used + len(tally) > len(self.vectors):
+            self._open_cache()
+        at = list(map(self.place.get, tally))
+        n = np.fromiter(tally.values(), np.float64, len(tally))
+        rest = np.zeros(len(self.langs))
+        if None in at:
+            for i, (word, found) in enumerate(zip(tally, at, strict=True)):
+                if found is None:
+                    if len(word) <= CACHE_LETTERS and self.used < len(self.vectors):
+                        at[i] = self._remember(word)
+                    else:
+                        rest += n[i] * self.unseen(word)
+                        at[i], n[i] = 0, 0.0
+        total = n @ self.vectors[at] + rest
         scaled = self.prior + total / sum(tally.values()) ** 0.5
         scaled = np.exp(scaled - scaled.max())
         best = int(np.argmax(self.prior + total))
@@ -132,13 +142,8 @@ def train(
     draw = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
     chosen = usable.where(draw < F.element_at(shares, F.col("lang")))
     words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("body"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    counts = (
-        words.groupBy("lang", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "word", "lang")
-        .limit(max_words)
-        .toPandas()
-    )
+    counted = materialize(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+    counts = most_frequent(counted, "n", max_words).toPandas().sort_values(["word", "lang"])
     table = {(w, x): int(n) for x, w, n in zip(counts["lang"], counts["word"], counts["n"], strict=True)}
     return Model(table, sizes)
 
