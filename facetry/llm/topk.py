@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from facetry.session import materialize, ship_package
 
-EXACT = 2.0**53
+EXACT = ((np.float32, 2.0**24), (np.float64, 2.0**53))
 LONG = 2**63 - 1
 
 
@@ -39,41 +39,57 @@ def threshold_top_k(
     by_id = np.argsort(ids, kind="stable")
     ids, rows = ids[by_id], rows[by_id]
     n, dims = rows.shape
-    # doubles hold all sums exactly up to 2**53; beyond that Python's integers do the work
+    # floats hold all sums exactly up to a bound; beyond the last one Python's integers do the work
     bound = max(1, dims) * float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0))
-    kind = np.float64 if bound < EXACT else object
+    kind = next((kind for kind, exact in EXACT if bound < exact), object)
     table, asked = rows.astype(kind), queries.astype(kind)
     lists = np.argsort(rows, axis=0, kind="stable")
     values = np.take_along_axis(table, lists, axis=0)
     found = []
     for own, q in zip(query_ids, asked, strict=True):
-        up = np.array([x >= 0 for x in q], bool)
+        up = np.array(q >= 0, bool)
         met = np.zeros(n, bool)
         met[np.searchsorted(ids, own) : np.searchsorted(ids, own, "right")] = True
         best_ids, best = np.empty(0, np.int64), np.empty(0, kind)
-        depth, step = 0, max(1, k)
+        depth, step = 0, max(8, k)
         while depth < n:
             upto = min(n, depth + step)
-            ranks = np.where(up[None, :], n - 1 - np.arange(depth, upto)[:, None], np.arange(depth, upto)[:, None])
-            near = np.unique(np.take_along_axis(lists, ranks, axis=0)) if dims else np.arange(n)
-            new = near[~met[near]]
-            met[new] = True
-            best_ids = np.concatenate([best_ids, new])
-            best = np.concatenate([best, table[new] @ q if dims else np.zeros(len(new), kind)])
-            order = np.lexsort((best_ids, -best))[:k] if kind is np.float64 else sorted(
-                range(len(best)), key=lambda i: (-best[i], best_ids[i])
-            )[:k]
+            near = np.zeros(n, bool)
+            near[lists[n - upto : n - depth, up].ravel()] = True
+            near[lists[depth:upto, ~up].ravel()] = True
+            if not dims:
+                near[:] = True
+            new = np.flatnonzero(near & ~met)
+            met |= near
+            # scoring many rows is faster in place than picking them first
+            scores = (table @ q)[new] if 4 * len(new) > n else table[new] @ q
+            if best.size == k:
+                higher = scores >= best[-1]
+                new, scores = new[higher], scores[higher]
+            best_ids, best = np.concatenate([best_ids, new]), np.concatenate([best, scores])
+            order = _best(best_ids, best, k)
             best_ids, best = best_ids[order], best[order]
             if met.all():
                 break
-            bottom = values[np.where(up, n - upto, upto - 1), np.arange(dims)]
-            if len(best) == k and (bottom * q).sum() < best[-1]:
+            last = np.where(up, values[n - upto], values[upto - 1])
+            if len(best) == k and (last * q).sum() < best[-1]:
                 break
-            depth, step = upto, step * 2
+            depth, step = upto, step * 4
         found.extend((int(own), int(ids[i]), max(-LONG, min(LONG, int(s)))) for i, s in zip(best_ids, best, strict=True))
     return found
 
 
+def _best(places: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """The k highest scores, ties to the earlier place."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], places[i]))[:k], np.int64)
+    if len(scores) > 4 * k:
+        # all that reach the k-th highest score, ties with it included
+        some = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+        return some[np.lexsort((places[some], -scores[some]))[:k]]
+    return np.lexsort((places, -scores))[:k]
+
+
 def integer_vectors(rows: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
     """``(id, v array<long>)`` of the rows that take part."""
     v = F.col(embedding)
