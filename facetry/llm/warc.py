@@ -234,8 +234,8 @@ def write_archives(
 ) -> DataFrame:
     """``(archive, content)``. Payloads under ``min_bytes`` are never written as revisits.
 
-    The dictionary comes from a bounded sample: the first ``SAMPLE_CHARS`` characters of
-    ``DICTIONARY_SAMPLES`` pages in a fixed pseudo-random order of their ids.
+    The dictionary comes from a sample of bounded size: the first ``SAMPLE_CHARS`` characters of
+    about ``DICTIONARY_SAMPLES`` pages, drawn by a hash of the id.
     """
     spark = pages.sparkSession
     ship_package(spark)
@@ -251,13 +251,9 @@ def write_archives(
         .where("n > 1")
     )
     total = slim.count()
-    sample = [
-        r[0].encode()
-        for r in rows.select(F.substring("html", 1, SAMPLE_CHARS), F.md5(F.col("id").cast("string")).alias("o"))
-        .orderBy("o")
-        .limit(DICTIONARY_SAMPLES)
-        .collect()
-    ]
+    draw = F.pmod(F.xxhash64("id", F.lit("dictionary")), F.lit(1 << 30)) < (DICTIONARY_SAMPLES << 30) // max(1, total)
+    drawn = rows.where(draw).select(F.substring("html", 1, SAMPLE_CHARS).alias("s")).limit(4 * DICTIONARY_SAMPLES)
+    sample = sorted(r["s"].encode() for r in drawn.collect())
     dictionary = train_dictionary([s for s in sample if s], dictionary_bytes)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
