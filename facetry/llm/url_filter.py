@@ -61,8 +61,8 @@ def _one_bit(picks: Column, shift: int) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
-def bloom_blocks(rules: DataFrame, max_blocks: int) -> tuple[DataFrame, int]:
-    """One row with the filter's blocks as an array (block 0 first), and their number."""
+def bloom_blocks(rules: DataFrame, max_blocks: int) -> tuple[list[int], int]:
+    """The filter's words, block after block, and the number of blocks (at most ``max_blocks``)."""
     n = rules.count()
     blocks = 1
     while blocks < max_blocks and blocks * BLOCK_BITS < n * BITS_PER_RULE:
@@ -70,14 +70,11 @@ def bloom_blocks(rules: DataFrame, max_blocks: int) -> tuple[DataFrame, int]:
     place, masks = _bits(F.col("key"), blocks)
     words = [f"w{i}" for i in range(WORDS)]
     filled = rules.select(place.alias("block"), *[m.alias(w) for m, w in zip(masks, words, strict=True)])
-    sums = filled.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in words])
-    # blocks that hold no key are zero
-    every = rules.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"))
-    full = every.join(sums, "block", "left").select(
-        "block", F.array(*[F.coalesce(F.col(w), F.lit(0).cast("long")) for w in words]).alias("words")
-    )
-    one = full.agg(F.array_sort(F.collect_list(F.struct("block", "words"))).alias("a"))
-    return one.select(F.transform("a", lambda x: x["words"]).alias("bits")), blocks
+    sums = filled.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in words]).collect()
+    flat = [0] * (blocks * WORDS)
+    for row in sums:
+        flat[row["block"] * WORDS : (row["block"] + 1) * WORDS] = [row[w] for w in words]
+    return flat, blocks
 
 
 def judge_urls(
@@ -137,17 +134,16 @@ def judge_urls(
 
     def possible(key: Column) -> Column:
         place, masks = _bits(key, blocks)
-        words = F.col("bits")[place]
         hit = key.isNotNull()
         for i, mask in enumerate(masks):
-            hit = hit & (words[i].bitwiseAND(mask) == mask)
+            hit = hit & (filter_words[place * WORDS + i].bitwiseAND(mask) == mask)
         return hit
 
-    # the filter is one bounded array; as a scalar subquery it is computed once and sent as a value
+    # one bounded array, parsed once when the plan is made and sent to the tasks as a constant
+    filter_words = F.from_json(F.lit(str(bits)), "array<bigint>")
     marked = (
         rows.withColumn("row", F.monotonically_increasing_id())
         .withColumn("keys", F.array_distinct(F.array(*candidates)))
-        .withColumn("bits", bits.scalar())
         .select("row", "id", "host", "path", F.filter("keys", possible).alias("keys"))
     )
     marked = materialize(marked)
