@@ -102,10 +102,8 @@ def links(distinct: DataFrame, max_bits: int = 2, list_rows: int = 64) -> DataFr
     masks = [_mask(tuple(sorted(x + y))) for x, y in combinations(groups, 2)]
     keyed = distinct.select(
         "fp",
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)])
-        ).alias("at"),
-    ).select("fp", "at.list", "at.key")
+        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("list", "key"),
+    )
     keyed = materialize(keyed)
     sizes = keyed.groupBy("list", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = materialize(sizes)
@@ -167,7 +165,8 @@ def simhash_groups(
     )
     named = materialize(named)
     # the smallest id of each group of fingerprints: only groups with links need a second look
-    joined = named.join(found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).distinct(), "fp", "left_semi")
+    ends = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).distinct()
+    joined = named.join(ends, "fp", "left_semi")
     smallest = materialize(
         joined.groupBy("component").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("fps"))
     )
@@ -193,6 +192,7 @@ def drop_near_copies(
     Rows without an id stay. Rows that repeat the smallest id all stay: they are one document.
     """
     groups = simhash_groups(docs, doc_id, text, words, max_bits)
-    gone = materialize(groups.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("id")).distinct())
+    gone = groups.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("id")).distinct()
+    gone = materialize(gone)
     full = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"))
     return full.join(gone, "id", "left_anti").select("row.*")

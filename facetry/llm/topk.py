@@ -18,8 +18,6 @@ to it. Empty tables give an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame

@@ -82,7 +82,7 @@ def test_classifiers_on_held_out_labels(spark, name, label):
     sf = "/root/testdata/sf0.01"
     got = queries.QUERIES[name](spark, sf).toPandas()
     labels = duckdb.sql(f"SELECT doc_id, {label} AS y FROM '{sf}/labels.parquet'").df()
-    assert len(got) == duckdb.sql(f"SELECT count(*) FROM '{sf}/documents.parquet'").fetchone()[0]
+    assert len(got) == duckdb.sql(f"SELECT count(*) FROM '{sf}/documents.parquet'").fetchall()[0][0]
     assert got["score"].between(0, 1).all()
     assert ((got["score"] >= 0.5).astype(int) == got["predicted"]).all()
     held = got.merge(labels, on="doc_id").query("held_out")

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from facetry.llm.topk import threshold_top_k, top_k
+from facetry.llm import topk
+from facetry.llm.topk import top_k
 
 
 def brute(rows, k=5, step=50, scale=256):
@@ -55,14 +56,18 @@ def test_huge_components_do_not_overflow(spark):
     assert [r[2] for r in got] == [1, 2, 3] and got[0][3] == 2**63 - 1 and got[2][3] == -(2**63 - 1)
 
 
-def test_the_search_stops_early():
+def test_the_search_stops_early(monkeypatch):
     """With one strong row the bound falls below the best score long before the lists end."""
+    scored = []
+    choose = topk._best
 
-    class Counting(np.ndarray):
-        pass
+    def counting(places, scores, k):
+        scored.append(len(places))
+        return choose(places, scores, k)
 
-    rng = np.random.default_rng(1)
-    rows = rng.integers(-5, 6, (5000, 4))
+    monkeypatch.setattr(topk, "_best", counting)
+    rows = np.random.default_rng(1).integers(-5, 6, (5000, 4))
     rows[77] = 1000
-    found = threshold_top_k(np.arange(5000), rows, np.array([9999]), np.array([[1, 1, 1, 1]]), 1)
+    found = topk.threshold_top_k(np.arange(5000), rows, np.array([9999]), np.array([[1, 1, 1, 1]]), 1)
     assert found == [(9999, 77, 4000)]
+    assert sum(scored) < 200
