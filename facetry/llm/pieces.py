@@ -41,6 +41,7 @@ from facetry.session import ship_package
 MARK = "▁"
 KEY_BITS = 63  # of a packed key of characters
 PLACES = 20  # bits of the table of borders that were asked for
+SLICE_CHARS, INDEX_CHARS = 2_000_000, 400_000  # of texts handled together, of words in one index
 LONG_WORD = 256  # words beyond this are relaxed on their own
 
 
@@ -98,6 +99,16 @@ def merge(symbols: Sequence[str], vocabulary: Vocabulary) -> list[str]:
     return [p for p in part if p is not None]
 
 
+def _ranges(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Cut items, whose running sizes are ``ends``, into ranges of about ``size`` (one item at least)."""
+    begin = 0
+    while begin < len(ends):
+        upto = (ends[begin - 1] if begin else 0) + size
+        end = max(begin + 1, int(np.searchsorted(ends, upto, side="right")))
+        yield begin, end
+        begin = end
+
+
 class Encoder:
     """Encodes batches of texts; keeps a bounded cache of words and of borders."""
 
@@ -350,9 +361,11 @@ class Encoder:
         if len(self.words) + len(new) > self.cache_words:
             self.words.clear()
             new = every
-        if new:
-            listed = list(new)
-            self.words.update(zip(listed, self.encode_words(listed), strict=True))
+        listed = list(new)
+        sizes = np.cumsum([len(w) + 2 for w in listed])
+        for begin, end in _ranges(sizes, INDEX_CHARS):
+            part = listed[begin:end]
+            self.words.update(zip(part, self.encode_words(part), strict=True))
         get = self.words.__getitem__
         out: list[bytes | None] = []
         lone = np.array([self.mark], "<i4").tobytes()
@@ -397,21 +410,6 @@ class Decoder:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
-SLICE_CHARS = 2_000_000
-
-
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``SLICE_CHARS`` characters, which bound the index."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= SLICE_CHARS:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
 _encoders: dict[int, Encoder] = {}
 
 
@@ -428,7 +426,8 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
             _encoders[key] = Encoder(shared.value)
         encoder, decoder = _encoders[key], Decoder(shared.value)
         for batch in batches:
-            for begin, end in _slices(texts := batch.column(1).to_pylist()):
+            texts = batch.column(1).to_pylist()
+            for begin, end in _ranges(np.cumsum([len(t or "") for t in texts]), SLICE_CHARS):
                 made = encoder.encode(texts[begin:end])
                 sizes = np.array([len(m or b"") // 4 for m in made], np.int32)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
