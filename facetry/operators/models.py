@@ -6,17 +6,19 @@ a few driver threads submit them side by side.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
     NaiveBayes,
     NaiveBayesModel,
 )
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +26,7 @@ from pyspark.sql import types as T
 from facetry.functions.arrays import argmax_class
 from facetry.operators.metrics import align, confusion, macro, running_best
 from facetry.schema import ASPECTS, CLASSES, aspect_code, aspect_name
-from facetry.session import materialize
+from facetry.session import materialize, ship_package
 
 
 def training_table(features: DataFrame, labels: DataFrame) -> DataFrame:
@@ -40,9 +42,21 @@ def _vector(table: DataFrame) -> Column:
 
 def count_features(seqs: DataFrame, size: int) -> DataFrame:
     """``(id, features)``: how often each index from 1 to ``size`` occurs, as a sparse vector."""
-    names = [str(i) for i in range(1, size + 1)]
-    counter = CountVectorizerModel.from_vocabulary(names, inputCol="_t", outputCol="features")
-    return counter.transform(seqs.select("id", F.col("seq").cast("array<string>").alias("_t"))).drop("_t")
+    ship_package(seqs.sparkSession)
+    # made from the indices themselves: a CountVectorizer would hold the vocabulary on the driver
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for seq in batch.column(1):
+                values = np.asarray([] if seq.values is None else seq.values.drop_null(), np.int64)
+                index, n = np.unique(values[(values >= 1) & (values <= size)] - 1, return_counts=True)
+                found.append({"type": 0, "size": size, "indices": index.astype(np.int32), "values": n.astype(float)})
+            yield pa.record_batch([batch.column(0), pa.array(found, kind)], ["id", "features"])
+
+    fields = T.StructType([seqs.schema["id"], T.StructField("features", VectorUDT())])
+    return seqs.select("id", F.col("seq").cast("array<int>").alias("seq")).mapInArrow(count, fields)
 
 
 def class_position(y: Column, classes: Sequence[int] = CLASSES) -> Column:

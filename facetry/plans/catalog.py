@@ -687,10 +687,12 @@ def aspect_epochs(spark, sf):
 
 
 def aspect_naive_bayes(spark, sf):
-    """Every document scored by naive Bayes over word counts, learned from the even labelled ids."""
+    """Every document scored by naive Bayes over the counts of all words, learned from the even
+    labelled ids.
+    """
     docs = _word_docs(spark, sf)
-    vocab = vocabulary.fit_vocabulary(docs).where(F.col("idx") <= VOCAB_MAX)
-    counts = materialize(models.count_features(enc.lookup(docs, materialize(vocab)), VOCAB_MAX))
+    vocab = materialize(vocabulary.fit_vocabulary(docs))
+    counts = materialize(models.count_features(enc.lookup(docs, vocab), max(1, vocab.count())))
     table = models.training_table(counts, _labels(spark, sf, 0))
     path = _scratch(spark, "bayes")
     models.train(table, path, tuple(LABEL_ASPECTS), (1,), LABEL_ASPECTS, classes=(0, 1), kind="bayes")

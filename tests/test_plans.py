@@ -1,12 +1,14 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from facetry.operators import models
 from facetry.operators.scores import wide_to_long
 from facetry.plans import classify, ensemble, preprocess
+from facetry.plans.catalog import QUERIES
 from facetry.schema import ASPECT_COLUMNS, CLASSES, review_schema
 from facetry.sources.reviews import read_reviews, write_csv
 
@@ -112,6 +114,39 @@ def test_labels_outside_the_classes_are_an_error(spark, tmp_path):
         models.train(bad, str(tmp_path / "n"), (1,), (2,), {1: "quality"}, classes=(0, 1))
 
 
+def test_naive_bayes_counts_every_word_of_a_large_vocabulary(spark, tmp_path):
+    """More than 5,000 distinct words; the class is told by words that are rare among them."""
+    def name(i):
+        return "".join(chr(97 + int(d)) for d in f"{i:05d}")
+
+    docs, labels = [], []
+    for i in range(60):
+        common = [name(j) for j in range(i % 6 * 1000, i % 6 * 1000 + 1000)]
+        docs.append((i, " ".join(common + [f"rare{'xy'[i // 6 % 2]}{name(i // 12)}"] * 3)))
+        labels.append((i, i // 6 % 2, i % 3 // 2))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {(r["doc_id"], r["aspect_idx"]): r["p1"] for r in QUERIES["aspect_naive_bayes"](spark, str(tmp_path)).collect()}
+    assert len(got) == 2 * len(docs)
+    words = sorted({w for _, t in docs for w in t.split()})
+    assert len(words) > 6000
+    place = {w: k for k, w in enumerate(words)}
+    counts = np.zeros((len(docs), len(words)))
+    for i, t in docs:
+        for w in t.split():
+            counts[i, place[w]] += 1
+    for aspect in (1, 2):
+        gold = np.array([row[aspect] for row in labels])
+        learn = np.arange(len(docs)) % 2 == 0
+        odds = []
+        for c in (0, 1):
+            seen = counts[learn & (gold == c)].sum(axis=0)
+            prior = np.log(((learn & (gold == c)).sum() + 1) / (learn.sum() + 2))
+            odds.append(prior + counts @ np.log((seen + 1) / (seen.sum() + len(words))))
+        want = 1 / (1 + np.exp(np.clip(odds[0] - odds[1], -700, 700)))
+        assert np.allclose([got[i, aspect] for i in range(len(docs))], want, atol=2e-6)
+
+
 def test_naive_bayes_against_its_formula(spark, tmp_path):
     rng = random.Random(3)
     rows = [(i, rng.choices(range(1, 7), k=rng.randint(0, 12)), i % 2) for i in range(40)]
