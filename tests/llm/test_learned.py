@@ -89,6 +89,32 @@ def test_the_models_are_distributions(spark):
         assert 0.85 < total < 1.05  # the words' own chances; what is missing belongs to words not seen
 
 
+def test_rare_toxic_words_and_the_joined_way(spark):
+    """Each toxic word stands in few training texts; tables too large to broadcast give the same scores."""
+    rows, labels = corpus()
+    rng, seen = random.Random(7), {}
+    for i in range(600, 900):
+        text = rows[i - 600][1].replace("nasty", "balo").replace("vile", "gema").replace("rotten", "cono").split()
+        word = f"slur{chr(97 + (i - 600) // 3 % 26)}{chr(97 + (i - 600) // 78)}"
+        text[rng.randrange(len(text))] = word
+        seen[word] = seen.get(word, 0) + 1
+        rows.append((i, " ".join(text), "en", "x"))
+        labels.append((i, 1))
+    assert max(seen.values()) <= 3
+    models = [toxicity.train(docs(spark, rows), labelled(spark, labels), F.lit(True), **o) for o in ({}, {"max_words": 15, "max_bigrams": 40})]
+    assert models[0].rest is None and models[1].rest is not None and len(models[1].keys) <= 40
+    odd = [(None, None, None, "x"), (1, "", None, "x"), (1, "unheard balo unheard", None, "x"), (1, "unheard balo unheard", None, "x")]
+    asked = docs(spark, [*rows, *odd])
+    made = [sorted(map(tuple, toxicity.predict(asked, m).collect()), key=str) for m in models]
+    assert [r[0] for r in made[0]] == [r[0] for r in made[1]] and len(made[1]) == len(rows) + len(odd)
+    assert np.allclose([r[1] for r in made[0]], [r[1] for r in made[1]], rtol=1e-9, atol=1e-12)
+    # a word of few counted texts is told from an unknown one
+    learned = [w for w in seen if w in models[0].index]
+    assert len(learned) > 50
+    ratio = lambda w: models[0].features(f"balo {w} balo")[0]
+    assert np.mean([ratio(w) > ratio("unheard") for w in learned]) > 0.95
+
+
 def test_without_two_classes(spark):
     rows, _ = corpus(n=20)
     ones = labelled(spark, [(i, 1) for i in range(20)] + [(None, 0), (5, None), (3, 0)])
