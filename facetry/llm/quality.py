@@ -236,8 +236,10 @@ def train(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
     made = rows.select("id", "y", "text").mapInArrow(make, "id long, y int, x array<double>")
-    # a fixed order, whatever the layout: ids that repeat add their rows side by side
-    got = made.select("y", "x", F.md5(F.col("id").cast("string")).alias("place")).toPandas()
+    # one row per id, the one with the smallest features: rows that repeat an id must not pass the sample's bound
+    each = made.groupBy("id").agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    # a fixed order, whatever the layout
+    got = each.select("y", "x", F.md5(F.col("id").cast("string")).alias("place")).toPandas()
     got = got.assign(key=[tuple(v) for v in got["x"]]).sort_values(["place", "key"])
     return AdditiveModel().fit(np.array(got["x"].tolist()), got["y"].to_numpy(float)) if got["y"].nunique() == 2 else None
 

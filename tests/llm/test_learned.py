@@ -158,6 +158,20 @@ def test_quality_edge_cases(spark):
     assert quality.features(None) == quality.features("") == quality.features(" \n") == [0.0] * len(quality.FEATURES)
 
 
+def test_rows_that_repeat_a_labelled_id_do_not_pass_the_sample(spark, monkeypatch):
+    rows, labels = corpus(n=200)
+    often = rows + [(i, t, "en", "x") for i, t, *_ in rows[:4] for _ in range(300)]
+    made, fitted = [], []
+    features = toxicity._features
+    monkeypatch.setattr(toxicity, "_features", lambda rows, model: fitted.append(rows.count()) or features(rows, model))
+    for some in (rows, often):
+        model = quality.train(docs(spark, some), labelled(spark, labels), F.lit(True))
+        made.append(sorted(map(tuple, quality.predict(docs(spark, rows), model).collect())))
+        toxicity.train(docs(spark, some), labelled(spark, labels), F.lit(True))
+    assert made[0] == made[1]
+    assert fitted[0] == fitted[1] <= len(rows)
+
+
 def test_training_does_not_depend_on_layout(spark):
     rows, labels = corpus(n=300)
     scores = []
