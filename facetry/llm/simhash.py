@@ -154,6 +154,13 @@ def simhash_groups(
     list_rows: int = 64,
 ) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row; the component is its smallest id."""
+    return _grouped(docs, doc_id, text, words, max_bits, list_rows).select(
+        F.col("id").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, max_bits: int, list_rows: int = 64) -> DataFrame:
+    """``(id, fp, component_id, component)`` per row; ``component`` is a fingerprint, also without any id."""
     rows = materialize(fingerprints(docs, doc_id, text, words))
     total = rows.count()
     each = materialize(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
@@ -172,16 +179,12 @@ def simhash_groups(
     )
     whole = attach(named, smallest, ["component"], "fps", named.count())
     ids = materialize(
-        whole.select("fp", "n", F.coalesce("smallest", "first").alias("component_id")).where(
-            "n > 1 or component_id is not null"
+        whole.select("fp", "n", "component", F.coalesce("smallest", "first").alias("component_id")).where(
+            "n > 1 or component_id is not null or component <> fp"
         )
     )
     back = attach(rows, ids, ["fp"], "n", total)
-    return back.select(
-        F.col("id").alias(doc_id),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    return back.select("id", "fp", "component_id", F.coalesce("component", "fp").alias("component"))
 
 
 def drop_near_copies(
@@ -189,10 +192,29 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each group those with its smallest id, with all columns.
 
-    Rows without an id stay. Rows that repeat the smallest id all stay: they are one document.
+    Rows that repeat the smallest id all stay: they are one document. An id that carries several texts
+    is decided for each. Rows without an id go if their group has one; else the group keeps one row, that
+    of the smallest fingerprint and text.
     """
-    groups = simhash_groups(docs, doc_id, text, words, max_bits)
-    gone = groups.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("id")).distinct()
-    gone = materialize(gone)
-    full = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"))
-    return full.join(gone, "id", "left_anti").select("row.*")
+    groups = materialize(_grouped(docs, doc_id, text, words, max_bits))
+    copies = F.coalesce(F.col("id") != F.col("component_id"), F.lit(False))
+    gone = materialize(groups.where(copies).select("id", "fp").distinct())
+    gone_ids = materialize(gone.select("id").distinct())
+    mixed = materialize(groups.where(~copies).select("id").join(gone_ids, "id", "left_semi").distinct())
+    full = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    stay = full.where(F.col("id").isNotNull()).join(gone_ids, "id", "left_anti").select("row.*")
+    print_of = F.udf(lambda t: int(np.uint64(fingerprint(t, words)).astype(np.int64)), "long")
+    if mixed.limit(1).count():
+        some = full.join(mixed, "id", "left_semi").withColumn("fp", print_of("text"))
+        stay = stay.unionByName(some.join(gone, ["id", "fp"], "left_anti").select("row.*"))
+    nameless = groups.where(F.col("id").isNull())
+    total = nameless.count()
+    if total:
+        each = nameless.groupBy("fp").agg(
+            F.min("component").alias("component"), F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")
+        )
+        found = materialize(full.where(F.col("id").isNull()).withColumn("fp", print_of("text")))
+        alone = attach(found, materialize(each), ["fp"], "n", total).where(F.col("component_id").isNull())
+        one = alone.groupBy("component").agg(F.min_by("row", F.struct("fp", "text")).alias("row"))
+        stay = stay.unionByName(one.select("row.*"))
+    return stay

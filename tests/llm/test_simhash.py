@@ -103,6 +103,17 @@ def test_groups_with_nulls_repeats_and_extra_columns(spark):
     assert len(known) == len(rows) - 2
 
 
+def test_copies_are_dropped_by_id_and_text(spark):
+    text = [" ".join(f"{a}{i}" for i in range(40)) for a in "abcd"]
+    rows = [(1, text[0], "stays"), (7, text[0], "goes"), (7, text[1], "stays"), (8, text[0], "goes"), (None, text[0], "goes"),
+            (None, text[2], "one"), (None, text[2], "one"), (None, text[3], "single"), (9, None, "stays"), (9, None, "stays")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fate string")
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    want = [r for r in rows if r[2] == "stays"] + sorted({r for r in rows if r[2] in ("one", "single")}, key=str)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash_groups(empty).count() == 0 and drop_near_copies(empty).count() == 0
