@@ -92,3 +92,20 @@ WITH p AS (
   FROM u LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1"""
+
+
+ORACLE["op13_substrings"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d
+), k AS (
+  SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY md5(array_to_string(w[pos:pos + 49], ' '))) AS first FROM s
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM k WHERE first < doc_id
+), r AS (
+  SELECT doc_id, list(pos) AS gone FROM g GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)"""

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetry.llm import exact_dedup, langid, mixing, pieces, quality, simhash, topk, toxicity, url_filter, warc
+from facetry.llm import (
+    exact_dedup,
+    langid,
+    mixing,
+    pieces,
+    quality,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from facetry.llm.common import held_out, table
 from facetry.session import materialize, read_spread
 
@@ -90,6 +102,11 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(documents(spark, sf, "doc_id", "text"), PIECE_MODEL, check=True)
 
 
+def op13_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    found = substrings.repeated_passages(documents(spark, sf, "doc_id", "text"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -103,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_url_filter,
         op10_sentencepiece,
+        op13_substrings,
     )
 }
