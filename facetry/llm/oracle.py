@@ -109,3 +109,37 @@ WITH d AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
        sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN r USING (doc_id)"""
+
+
+def _moved(k: int) -> str:
+    """One round: every part to its nearest entry of ``b{k}``, every entry to the mean of its parts."""
+    means = ", ".join(f"floor(sum(x[{i}])::DOUBLE / count(*))::BIGINT" for i in range(1, 5))
+    return f"""{_assigned(k)}, b{k + 1} AS (
+  SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{k} b
+  LEFT JOIN (SELECT part, entry, [{means}] AS c FROM a{k} GROUP BY part, entry) m USING (part, entry)
+)"""
+
+
+def _assigned(k: int) -> str:
+    distance = " + ".join(f"(x[{i}] - c[{i}]) * (x[{i}] - c[{i}])" for i in range(1, 5))
+    return f"""a{k} AS (
+  SELECT vec_id, part, any_value(x) AS x, min(d) AS d, arg_min(entry, (d, entry)) AS entry
+  FROM (SELECT vec_id, part, x, entry, {distance} AS d FROM p JOIN b{k} USING (part)) GROUP BY vec_id, part
+)"""
+
+
+# parts of four components, as the table's vectors have 64
+ORACLE["op12_vector_codes"] = f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT vec_id, part, v[4 * part + 1:4 * part + 4] AS x FROM v, (SELECT unnest(range(16)) AS part)
+), b0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p QUALIFY entry < 64
+), {_moved(0)}, {_moved(1)}, {_assigned(2)}, e AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM e JOIN v USING (vec_id)"""

@@ -18,6 +18,7 @@ from facetry.llm import (
     topk,
     toxicity,
     url_filter,
+    vector_codes,
     warc,
 )
 from facetry.llm.common import held_out, table
@@ -102,6 +103,20 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(documents(spark, sf, "doc_id", "text"), PIECE_MODEL, check=True)
 
 
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_spread(spark, f"{sf}/embeddings.parquet", "vec_id", "vec_id", "embedding", "label")
+    vectors = vector_codes.whole_vectors(rows, "vec_id", "embedding", 256, "label")
+    books = vector_codes.train(vectors, parts=16, entries=64, rounds=2)
+    coded = vector_codes.with_label_error(vector_codes.encode(vectors, books), "_label")
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        vector_codes.hex_code("code").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
 def op13_substrings(spark: SparkSession, sf: str) -> DataFrame:
     found = substrings.repeated_passages(documents(spark, sf, "doc_id", "text"), window=50)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -120,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_url_filter,
         op10_sentencepiece,
+        op12_vector_codes,
         op13_substrings,
     )
 }
