@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetry.llm import (
+    alignment,
     exact_dedup,
     langid,
     mixing,
@@ -25,6 +26,7 @@ from facetry.llm.common import held_out, table
 from facetry.session import materialize, read_spread
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 # (host, path, verdict)
 URL_RULES = [
@@ -103,6 +105,14 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(documents(spark, sf, "doc_id", "text"), PIECE_MODEL, check=True)
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    found = alignment.align(documents(spark, sf, "doc_id", "text"), BYTE_MODEL, PIECE_MODEL)
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
 def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     rows = read_spread(spark, f"{sf}/embeddings.parquet", "vec_id", "vec_id", "embedding", "label")
     vectors = vector_codes.whole_vectors(rows, "vec_id", "embedding", 256, "label")
@@ -135,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_url_filter,
         op10_sentencepiece,
+        op11_alignment,
         op12_vector_codes,
         op13_substrings,
     )
