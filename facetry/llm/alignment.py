@@ -31,6 +31,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from facetry.session import materialize, ship_package
 
 PIECE = 1 << 17  # ends merged at once
 SLICE = 600_000  # characters of texts aligned together
-CACHE_CHUNKS, CACHE_CHARS = 300_000, 8_000_000  # per worker process
+CACHE_CHUNKS, CACHE_CHARS = 400_000, 8_000_000  # per worker process
 SHIFT = 20  # bits of a B id in a pair's key
 HELD_LIMIT = 1 << 20  # distinct pairs a task holds before it passes them on
 
@@ -63,27 +64,41 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+# fixed value: how byte-level vocabularies of this kind cut a text before merging
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class Tokenisers:
-    """Both vocabularies as bytes per id, and the files' contents; small enough to broadcast."""
+    """Both vocabularies as bytes per id; small enough to broadcast."""
 
     def __init__(self, path_a: str, path_b: str):
         with open(path_a, encoding="utf-8") as file:
-            self.spec = file.read()
-        entries = json.loads(self.spec)["model"]["vocab"]
+            spec = json.load(file)
+        model, cut = spec["model"], spec["pre_tokenizer"]
         letters = byte_alphabet()
-        self.raw_a = [b""] * (max(entries.values()) + 1)
-        for entry, i in entries.items():
-            self.raw_a[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
+        self.raw_a = [b""] * (max(model["vocab"].values()) + 1)
+        special = {x["id"] for x in spec["added_tokens"]}
+        for entry, i in model["vocab"].items():
+            self.raw_a[i] = entry.encode() if i in special else bytes(letters[c] for c in entry)
+        # merges are tried in the order of the ids they make, so the ids serve as ranks
+        self.ranks = {raw: i for i, raw in enumerate(self.raw_a) if raw and i not in special}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"][x + y] for x, y in pairs]
+        plain = model["type"] == "BPE" and spec["normalizer"] is None and cut["type"] == "ByteLevel"
+        if not plain or cut["add_prefix_space"] or not cut.get("use_regex", True) or made != sorted(made):
+            raise ValueError("only byte-level BPE, cut by the usual pattern, with ids in the order of the merges")
+        if any(bytes([b]) not in self.ranks for b in range(256)):
+            raise ValueError("a byte has no token")
         self.raw_b = Vocabulary(path_b).raw  # refuses models whose pieces hold a blank inside
         with open(path_b, "rb") as file:
             self.model = file.read()
 
     def open(self):
+        """``(a, b)``: a tiktoken encoding of A's entries, and B."""
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        a = Tokenizer.from_str(self.spec)
-        a.encode_special_tokens = True
+        a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         return a, sentencepiece.SentencePieceProcessor(model_proto=self.model)
 
 
@@ -95,15 +110,14 @@ class Store:
         self.ends = np.zeros(1 << 14, np.int64)
         self.used = self.chunks = 0
 
-    def add(self, lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        total = int(sizes.sum())
-        self.ids = self._room(self.ids, self.used + total)
-        self.ends = self._room(self.ends, self.chunks + len(lists))
-        self.ids[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.int32, total)
-        self.ends[self.chunks : self.chunks + len(lists)] = self.used + np.cumsum(sizes)
-        self.used += total
-        self.chunks += len(lists)
+    def add(self, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Chunks with their ids in a row; ``ends``: where each chunk's ids end."""
+        self.ids = self._room(self.ids, self.used + len(ids))
+        self.ends = self._room(self.ends, self.chunks + len(ends))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.ends[self.chunks : self.chunks + len(ends)] = self.used + ends
+        self.used += len(ids)
+        self.chunks += len(ends)
 
     @staticmethod
     def _room(held: np.ndarray, size: int) -> np.ndarray:
@@ -125,6 +139,8 @@ class Encoder:
         self.a, self.b = tokenisers.open()
         self.bytes_a = np.array([len(x) for x in tokenisers.raw_a], np.int64)
         self.bytes_b = np.array([len(x) for x in tokenisers.raw_b], np.int64)
+        most = max(len(tokenisers.raw_a), len(tokenisers.raw_b))
+        self.decimals = [b"%d%s" % (i, mark) for i in range(most) for mark in (b",", b"|", b";")]
         self.clear()
 
     def clear(self) -> None:
@@ -133,6 +149,19 @@ class Encoder:
         self.chars = 0
         self.bad: set[int] = set()  # chunks that a tokeniser does not give back
 
+    def _forget(self) -> None:
+        """Keeps the half that was learned first: frequent chunks come early."""
+        kept = dict(islice(self.place.items(), CACHE_CHUNKS // 2))
+        chars = sum(map(len, kept))
+        if chars > CACHE_CHARS // 2:
+            self.clear()
+            return
+        self.place, self.chars = kept, chars
+        self.bad = {i for i in self.bad if i < len(kept)}
+        for store in self.stores:
+            store.chunks = len(kept)
+            store.used = int(store.ends[len(kept) - 1])
+
     @staticmethod
     def chunks(text: str) -> list[str]:
         """The text's chunks, each without its leading blank."""
@@ -141,27 +170,58 @@ class Encoder:
         return [c[1:] for c in CUT.split(" " + text) if c]
 
     def _learn(self, new: list[str]) -> None:
-        for begin in range(0, len(new), 10_000):
-            some = new[begin : begin + 10_000]
-            a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in some], add_special_tokens=False)]
+        # chunks without blanks may be encoded in a row, as the borders between them are kept
+        alone = [c for c in new if not c or " " in c or c[0].isspace()]
+        joined = [c for c in new if c and " " not in c and not c[0].isspace()]
+        for begin in range(0, len(joined), 5000):
+            some = joined[begin : begin + 5000]
+            found = self._in_a_row(some)
+            if found is None:  # a tokeniser does not give one of them back
+                alone += some
+            else:
+                self._keep(some, found)
+        for begin in range(0, len(alone), 5000):
+            some = alone[begin : begin + 5000]
+            a = [self.a.encode_ordinary(" " + c) for c in some]
             b = self.b.encode(some, num_threads=1)
-            raw_a, raw_b = self.tokenisers.raw_a, self.tokenisers.raw_b
-            for chunk, x, y in zip(some, a, b, strict=True):
-                whole = (" " + chunk).encode()
-                if b"".join([raw_a[i] for i in x]) != whole or b"".join([raw_b[i] for i in y]) != whole:
-                    self.bad.add(len(self.place))
-                self.place[chunk] = len(self.place)
-                self.chars += len(chunk)
-            self.stores[0].add(a)
-            self.stores[1].add(b)
+            raw, first = self.tokenisers.raw_b, len(self.place)
+            self.bad.update(first + i for i, c in enumerate(some) if b"".join([raw[x] for x in b[i]]) != (" " + c).encode())
+            self._keep(some, [(np.array([i for x in lists for i in x], np.int32), np.cumsum([len(x) for x in lists])) for lists in (a, b)])
+
+    def _in_a_row(self, some: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Per tokeniser the chunks' ids and where each chunk's ids end."""
+        text = " ".join(some)
+        data = (" " + text).encode()
+        borders = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)) + 1)
+        found = []
+        for ids, lengths, raw in (
+            (self.a.encode_ordinary(" " + text), self.bytes_a, self.tokenisers.raw_a),
+            (self.b.encode(text), self.bytes_b, self.tokenisers.raw_b),
+        ):
+            if b"".join([raw[i] for i in ids]) != data:
+                return None
+            ids = np.array(ids, np.int32)
+            ends = np.cumsum(lengths[ids])
+            at = np.searchsorted(ends, borders)
+            if (ends[at] != borders).any():
+                return None
+            found.append((ids, at + 1))
+        return found
+
+    def _keep(self, some: list[str], found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        first = len(self.place)
+        self.place.update(zip(some, range(first, first + len(some)), strict=True))
+        self.chars += sum(map(len, some))
+        for store, (ids, ends) in zip(self.stores, found, strict=True):
+            store.add(ids, ends)
 
     def slice(self, texts: list[str | None]) -> Aligned:
         cut = [self.chunks(t) if t else [] for t in texts]
         every = set().union(*cut)
         new = [c for c in every if c not in self.place]
         if self.place and (len(self.place) + len(new) > CACHE_CHUNKS or self.chars > CACHE_CHARS):
-            self.clear()
-            new = list(every)
+            self._forget()
+            new = [c for c in every if c not in self.place]
         self._learn(new)
         get = self.place.__getitem__
         chunks = [np.fromiter(map(get, c), np.int64, len(c)) for c in cut]
@@ -176,7 +236,7 @@ class Aligned:
     def __init__(self, encoder: Encoder, chunks: list[np.ndarray]):
         flat = np.concatenate([np.zeros(0, np.int64), *chunks])
         text_of_chunk = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
-        self.texts = len(chunks)
+        self.texts, self.decimals = len(chunks), encoder.decimals
         self.ids, self.ends, self.text, self.n = [], [], [], []
         for store, lengths in zip(encoder.stores, (encoder.bytes_a, encoder.bytes_b), strict=True):
             ids, sizes = store.take(flat)
@@ -217,23 +277,13 @@ class Aligned:
         groups = int(group_a[-1]) + 1 if len(group_a) else 0
         upto_a = np.cumsum(np.bincount(group_a, minlength=groups))
         before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=groups))])
-        # a group's A tokens come before its B tokens
-        at_a, at_b = np.arange(len(a)) + before_b[group_a], np.arange(len(b)) + upto_a[group_b]
-        ids, marks = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.uint8)
-        ids[at_a], ids[at_b] = a, b
-        marks[at_a], marks[at_b] = np.where(self.closes[0], ord("|"), ord(",")), np.where(self.closes[1], ord(";"), ord(","))
-        digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 7))
-        ends = np.cumsum(digits + 1)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-        out[ends - 1] = marks
-        left, rest = np.arange(len(ids)), ids
-        for k in range(7):  # the k-th digit from the right
-            out[ends[left] - 2 - k] = 48 + rest % 10
-            more = rest >= 10
-            left, rest = left[more], rest[more] // 10
-        data = out.tobytes()
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(self.n[0] + self.n[1])])].tolist()
-        return [data[i : max(i, j - 1)] for i, j in zip(edges, edges[1:], strict=False)]
+        # a group's A tokens come before its B tokens; each is written with the mark after it
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + before_b[group_a]] = 3 * a.astype(np.int64) + self.closes[0]
+        codes[np.arange(len(b)) + upto_a[group_b]] = 3 * b.astype(np.int64) + 2 * self.closes[1]
+        parts = list(map(self.decimals.__getitem__, codes.tolist()))
+        edges = np.concatenate([[0], np.cumsum(self.n[0] + self.n[1])]).tolist()
+        return [b"".join(parts[i:j])[:-1] for i, j in zip(edges, edges[1:], strict=False)]
 
 
 def _equal(ends: np.ndarray, others: np.ndarray, at: np.ndarray) -> np.ndarray:
