@@ -5,7 +5,7 @@ and B (a SentencePiece BPE model, which adds the blank itself). Both cut the sam
 are two ascending lists of byte ends. Where both end, a group of tokens ends; an A and a B token are
 linked when their byte ranges overlap.
 
-Merging. The ends of all texts of a slice form one list per tokeniser. The merge of both lists
+Merging. The ends of all different chunks (below) of a slice form one list per tokeniser. The merge of both lists
 is a path through a grid; binary searches along its diagonals, all in step, find where the path crosses
 them, which cuts the merge into pieces of ``PIECE`` ends whatever the texts' lengths. No cut separates two
 equal ends. Every piece is merged on its own: every distinct end closes exactly one overlap,
@@ -19,7 +19,8 @@ are broadcast; the links of rarer pairs, if there are any, are joined with the r
 
 Tokens are cached per chunk of text: neither tokeniser has tokens across a border before a single
 blank that a character other than white space follows (B has no piece with a blank inside, A's pattern takes
-such a blank to the right). The cache is bounded and serves all texts of a worker.
+such a blank to the right). A text's groups and links are those of its chunks, so a chunk that occurs
+often in a slice is merged once. The cache is bounded and serves all texts of a worker.
 
 Defined cases: strings of special tokens are plain text. A text that is null, empty or not given back by
 both tokenisers (it holds U+2581, which B reads as a blank) has no tokens, links or groups. Null ids
@@ -35,6 +36,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,13 +46,11 @@ from facetry.llm.texts import slices
 from facetry.session import materialize, ship_package
 
 PIECE = 1 << 17  # ends merged at once
-SLICE = 600_000  # characters of texts aligned together
+SLICE = 2_000_000  # characters of texts aligned together
 CACHE_CHUNKS, CACHE_CHARS = 400_000, 8_000_000  # per worker process
 SHIFT = 20  # bits of a B id in a pair's key
 HELD_LIMIT = 1 << 20  # distinct pairs a task holds before it passes them on
 
-# a blank that is followed by white space, or by nothing; white space at the start
-IRREGULAR = re.compile(r"\A\s| (?:\s|\Z)")
 CUT = re.compile(r"(?<! )(?= \S)")
 
 
@@ -163,11 +163,23 @@ class Encoder:
             store.used = int(store.ends[len(kept) - 1])
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
-        """The text's chunks, each without its leading blank."""
-        if not IRREGULAR.search(text):
-            return text.split(" ")
-        return [c[1:] for c in CUT.split(" " + text) if c]
+    def chunks(texts: pa.Array) -> tuple[list[str], list[np.ndarray]]:
+        """The different chunks, without their leading blanks, and per text the places of its own."""
+        known = pc.not_equal(pc.fill_null(texts, ""), "").to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        coded = lists.flatten().dictionary_encode()
+        different, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        out = np.split(codes, np.cumsum(lists.value_lengths().to_numpy())[:-1]) if len(texts) else []
+        # cut at every blank; a part that is empty or starts with white space should not have been cut off
+        odd = np.fromiter((not c or c[0].isspace() for c in different), bool, len(different))
+        more: dict[str, int] = {}
+        for i, (has_text, found) in enumerate(zip(known, out, strict=True)):
+            if not has_text:
+                out[i] = found[:0]
+            elif odd[found].any():
+                parts = [c[1:] for c in CUT.split(" " + texts[i].as_py()) if c]
+                out[i] = np.array([more.setdefault(c, len(different) + len(more)) for c in parts], np.int64)
+        return different + list(more), out
 
     def _learn(self, new: list[str]) -> None:
         # chunks without blanks may be encoded in a row, as the borders between them are kept
@@ -215,39 +227,49 @@ class Encoder:
         for store, (ids, ends) in zip(self.stores, found, strict=True):
             store.add(ids, ends)
 
-    def slice(self, texts: list[str | None]) -> Aligned:
-        cut = [self.chunks(t) if t else [] for t in texts]
-        every = set().union(*cut)
-        new = [c for c in every if c not in self.place]
+    def slice(self, texts: pa.Array) -> Aligned:
+        different, used = self.chunks(texts)
+        new = [c for c in different if c not in self.place]
         if self.place and (len(self.place) + len(new) > CACHE_CHUNKS or self.chars > CACHE_CHARS):
             self._forget()
-            new = [c for c in every if c not in self.place]
-        self._learn(new)
-        get = self.place.__getitem__
-        chunks = [np.fromiter(map(get, c), np.int64, len(c)) for c in cut]
+            new = [c for c in different if c not in self.place]
+        self._learn(list(dict.fromkeys(new)))
+        place = np.fromiter(map(self.place.__getitem__, different), np.int64, len(different))
+        chunks = [place[u] for u in used]
         if self.bad:
             chunks = [c if self.bad.isdisjoint(c.tolist()) else c[:0] for c in chunks]
         return Aligned(self, chunks)
 
 
 class Aligned:
-    """The tokens of some texts, aligned: all texts of a slice in one merge."""
+    """The tokens of some texts, aligned: all different chunks of a slice in one merge.
+
+    ``chunks`` are each text's chunks in the encoder's stores. Chunks end with a token of either kind, so
+    a text's links and groups are those of its chunks, one after the other.
+    """
 
     def __init__(self, encoder: Encoder, chunks: list[np.ndarray]):
-        flat = np.concatenate([np.zeros(0, np.int64), *chunks])
-        text_of_chunk = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
-        self.texts, self.decimals = len(chunks), encoder.decimals
-        self.ids, self.ends, self.text, self.n = [], [], [], []
+        different, self.chunk, self.times = np.unique(
+            np.concatenate([np.zeros(0, np.int64), *chunks]), return_inverse=True, return_counts=True
+        )
+        self.edges = np.cumsum([0, *map(len, chunks)])
+        self.chunks, self.decimals = len(different), encoder.decimals
+        self.ids, self.ends, self.owner, self.n = [], [], [], []
         for store, lengths in zip(encoder.stores, (encoder.bytes_a, encoder.bytes_b), strict=True):
-            ids, sizes = store.take(flat)
+            ids, sizes = store.take(different)
             self.ids.append(ids)
             self.ends.append(np.cumsum(lengths[ids]))
-            self.text.append(np.repeat(text_of_chunk, sizes))
-            self.n.append(np.bincount(text_of_chunk, sizes, self.texts).astype(np.int64))
+            self.owner.append(np.repeat(np.arange(self.chunks), sizes))
+            self.n.append(sizes)
         # the number of each token's group within the slice, and whether it closes it
         self.group = [np.zeros(len(x), np.int64) for x in self.ids]
         self.closes = [np.zeros(len(x), bool) for x in self.ids]
 
+    def total(self, per_chunk: np.ndarray) -> np.ndarray:
+        """Per text the sum of a number that its chunks have."""
+        upto = np.concatenate([[0], np.cumsum(per_chunk.astype(np.int64)[self.chunk])])
+        return upto[self.edges[1:]] - upto[self.edges[:-1]]
+
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The linked places of A and B tokens, piece by piece; fills in the groups."""
         a, b = self.ends
@@ -269,7 +291,7 @@ class Aligned:
         return (self.ids[0][at_a].astype(np.int64) << SHIFT) | self.ids[1][at_b]
 
     def n_groups(self) -> np.ndarray:
-        return np.bincount(self.text[0][self.closes[0]], minlength=self.texts).astype(np.int64)
+        return self.total(np.bincount(self.owner[0][self.closes[0]], minlength=self.chunks))
 
     def groups(self) -> list[bytes]:
         """Per text its groups in decimal, as in ``a1,a2|b1;a3|b2,b3``."""
@@ -282,8 +304,10 @@ class Aligned:
         codes[np.arange(len(a)) + before_b[group_a]] = 3 * a.astype(np.int64) + self.closes[0]
         codes[np.arange(len(b)) + upto_a[group_b]] = 3 * b.astype(np.int64) + 2 * self.closes[1]
         parts = list(map(self.decimals.__getitem__, codes.tolist()))
-        edges = np.concatenate([[0], np.cumsum(self.n[0] + self.n[1])]).tolist()
-        return [b"".join(parts[i:j])[:-1] for i, j in zip(edges, edges[1:], strict=False)]
+        edges = np.cumsum([0, *(self.n[0] + self.n[1])]).tolist()
+        written = [b"".join(parts[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
+        of_texts = list(map(written.__getitem__, self.chunk.tolist()))
+        return [b"".join(of_texts[i:j])[:-1] for i, j in zip(self.edges, self.edges[1:], strict=False)]
 
 
 def _equal(ends: np.ndarray, others: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -334,7 +358,7 @@ def _slices(batches: Iterator[pa.RecordBatch], encoder: Encoder):
     for batch in batches:
         for begin, end in slices(batch.column(1), SLICE):
             part = batch.slice(begin, end - begin)
-            yield part, encoder.slice(part.column(1).to_pylist())
+            yield part, encoder.slice(part.column(1))
 
 
 def pair_counts(docs: DataFrame, shared: Shared, text: str = "text") -> DataFrame:
@@ -343,8 +367,11 @@ def pair_counts(docs: DataFrame, shared: Shared, text: str = "text") -> DataFram
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for _, aligned in _slices(batches, shared.encoder()):
-            found = [aligned.keys(*link) for link in aligned.links()]
-            keys, more = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+            links = [np.stack([aligned.keys(*link), aligned.times[aligned.owner[0][link[0]]]]) for link in aligned.links()]
+            pairs, times = np.concatenate([np.zeros((2, 0), np.int64), *links], axis=1)
+            keys, place = np.unique(pairs, return_inverse=True)
+            more = np.zeros(len(keys), np.int64)
+            np.add.at(more, place, times)
             held, n = _added(held, n, keys, more)
             if len(held) > HELD_LIMIT:
                 yield pa.record_batch([held, n], ["pair", "n"])
@@ -405,16 +432,16 @@ def align(
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = known.value
         for part, aligned in _slices(batches, shared.encoder()):
-            links, best_, sums = np.zeros((3, aligned.texts), np.int64)
+            links, best_, sums = np.zeros((3, aligned.chunks), np.int64)
             for at_a, at_b in aligned.links():
-                owner = aligned.text[0][at_a]
+                owner = aligned.owner[0][at_a]
                 n = _looked_up(given, aligned.keys(at_a, at_b))
-                links += np.bincount(owner, minlength=aligned.texts)
-                best_ += np.bincount(owner[n == given.best[aligned.ids[1][at_b]]], minlength=aligned.texts)
+                links += np.bincount(owner, minlength=aligned.chunks)
+                best_ += np.bincount(owner[n == given.best[aligned.ids[1][at_b]]], minlength=aligned.chunks)
                 np.add.at(sums, owner, n)
-            best_ += part.column(2).to_numpy(zero_copy_only=False)
-            sums += part.column(3).to_numpy(zero_copy_only=False)
-            numbers = [pa.array(x) for x in (*aligned.n, aligned.n_groups(), links, best_, sums)]
+            best_ = aligned.total(best_) + part.column(2).to_numpy(zero_copy_only=False)
+            sums = aligned.total(sums) + part.column(3).to_numpy(zero_copy_only=False)
+            numbers = [pa.array(x) for x in (*map(aligned.total, aligned.n), aligned.n_groups(), aligned.total(links), best_, sums)]
             yield pa.record_batch([part.column(0), *numbers, pa.array(aligned.groups(), pa.binary()).cast(pa.string())], names)
 
     names = ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
@@ -443,14 +470,21 @@ def _with_rest(rows: DataFrame, rest: DataFrame, shared: Shared, known, best: np
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = known.value
         for part, aligned in _slices(batches, shared.encoder()):
-            asked = []
+            asked = [np.zeros((2, 0), np.int64)]
             for at_a, at_b in aligned.links():
                 keys = aligned.keys(at_a, at_b)
                 rare = ~_equal(keys, given.pairs, np.searchsorted(given.pairs, keys))
-                asked.append(np.stack([aligned.text[0][at_a[rare]], keys[rare]]))
-            (text, pair), times = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *asked], axis=1), axis=1, return_counts=True)
+                asked.append(np.stack([aligned.owner[0][at_a[rare]], keys[rare]]))
+            (owner, keys), times = np.unique(np.concatenate(asked, axis=1), axis=1, return_counts=True)
+            # from different chunks to the texts that hold them
+            first, sizes = np.searchsorted(owner, aligned.chunk), np.bincount(owner, minlength=aligned.chunks)[aligned.chunk]
+            at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+            text = np.repeat(np.repeat(np.arange(len(part)), np.diff(aligned.edges)), sizes)
+            (text, pair), place = np.unique(np.stack([text, keys[at]]), axis=1, return_inverse=True)
+            total = np.zeros(len(text), np.int64)
+            np.add.at(total, place, times[at])
             columns = [part.column(k).take(pa.array(text)) for k in (0, 2)]
-            yield pa.record_batch([*columns, pa.array(pair), pa.array(times, pa.int64())], ["id", "sha", "pair", "times"])
+            yield pa.record_batch([*columns, pa.array(pair), pa.array(total)], ["id", "sha", "pair", "times"])
 
     keyed = rows.withColumn("sha", F.sha2("text", 256))
     asked = keyed.select("id", "text", "sha").mapInArrow(ask, "id long, sha string, pair long, times long")

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -99,7 +100,7 @@ def test_pieces_of_any_size_give_the_same_links(tokenisers, monkeypatch, piece):
     given = [t for t in texts() if t is None or len(t) < 200]
 
     def run():
-        aligned = encoder.slice(given)
+        aligned = encoder.slice(pa.array(given, pa.string()))
         links = sorted(zip(*[np.concatenate(x).tolist() for x in zip(*aligned.links(), strict=True)], strict=True))
         return links, aligned.groups(), aligned.n_groups().tolist()
 
@@ -126,10 +127,12 @@ def test_chunks_are_encoded_as_in_their_text(tokenisers):
     a, b = libraries()
     encoder = Encoder(tokenisers)
     for text in texts():
-        chunks = encoder.chunks(text or "")
-        assert " " + (text or "") == "".join(" " + c for c in chunks)
+        different, places = encoder.chunks(pa.array([text, "x", text], pa.string()))
+        chunks = [different[i] for i in places[2].tolist()]
+        assert places[0].tolist() == places[2].tolist() and [different[i] for i in places[1].tolist()] == ["x"]
+        assert "".join(" " + c for c in chunks) == (" " + text if text else "")
         parts = [encoder.a.encode_ordinary(" " + c) for c in chunks]
-        assert sum(parts, []) == a.encode(" " + (text or ""), add_special_tokens=False).ids
+        assert sum(parts, []) == a.encode(" " + text if text else "", add_special_tokens=False).ids
         parts = encoder.b.encode(chunks, num_threads=1)
         assert sum(parts, []) == b.encode(text or "", num_threads=1) or text in ("", None)
 
@@ -140,7 +143,7 @@ def test_the_cache_is_bounded(tokenisers, monkeypatch):
     given = [t for t in texts() if t is None or len(t) < 200]
     want = brute(tokenisers, given)
     for begin in range(0, len(given), 10):
-        part = encoder.slice(given[begin : begin + 10])
+        part = encoder.slice(pa.array(given[begin : begin + 10], pa.string()))
         list(part.links())
         assert [g.decode() for g in part.groups()] == [w[-1] for w in want[begin : begin + 10]]
         assert len(encoder.place) <= 200
