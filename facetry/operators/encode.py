@@ -1,9 +1,8 @@
 """Token arrays to index sequences.
 
 A vocabulary that passes the size check is looked up inside the scan: one Arrow hash probe
-per batch, no shuffle and no exploded rows. A larger one is joined. Its index is the
-frequency rank, so the hot tokens are known: they are broadcast, and only the long tail,
-in which no token is frequent, is shuffled on the token.
+per batch, no shuffle and no exploded rows. A larger one is joined with the distinct tokens of blocks
+of documents; no plan step has a row per token.
 """
 
 from __future__ import annotations
@@ -17,11 +16,10 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from facetry.functions.arrays import pad_left
-from facetry.operators.joins import salted_join
+from facetry.operators import blocks
+from facetry.operators.blocks import BLOCK_ENTRIES
 from facetry.schema import MAXLEN
-from facetry.session import fits_broadcast, hot_limit, materialize, ship_package
-
-HOT_TOKENS = 50_000
+from facetry.session import fits_broadcast, ship_package
 
 
 class TokenIndex:
@@ -110,36 +108,33 @@ def lookup_chars(docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False)
 
 
 def lookup_by_join(
-    docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False, hot_tokens: int = HOT_TOKENS
+    docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False, block_tokens: int = BLOCK_ENTRIES
 ) -> DataFrame:
-    """``(id, seq)`` by joins only, for vocabularies of any size.
+    """``(id, seq)`` by a dictionary-coded join, for vocabularies of any size.
 
-    A token outside the hot part may still be frequent when the vocabulary lacks it, so the
-    shuffle join is salted. The tokens are written once, as hot and other ones are read apart.
+    The distinct tokens of a block of documents are joined with the vocabulary, one row each;
+    the indexes found go back to the block, which holds its texts as codes (``operators.blocks``).
     """
-    docs = materialize(docs.select("id", "tokens"))
-    hot_tokens = hot_limit(vocab, "idx", hot_tokens, "token")
-    rows = docs.select("id", F.posexplode_outer("tokens").alias("_pos", "token")).where("_pos IS NOT NULL")
-    hot = vocab.where(F.col("idx") <= hot_tokens).select("token", F.col("idx").alias("_hot"))
-    marked = rows.join(F.broadcast(hot), "token", "left")
-    common = marked.where("_hot IS NOT NULL").select("id", "_pos", F.col("_hot").alias("idx"))
-    rest = salted_join(
-        marked.where("_hot IS NULL").select("id", "_pos", "token"),
-        vocab.where(F.col("idx") > hot_tokens).select("token", "idx"),
-        ["token"],
-        "left" if keep_unknown else "inner",
-    ).select("id", "_pos", F.coalesce("idx", F.lit(0)).alias("idx"))
-    place = F.struct("_pos", F.col("idx").cast("int").alias("idx"))
-    found = (
-        common.unionByName(rest)
-        .groupBy("id")
-        .agg(F.array_sort(F.collect_list(place)).alias("_s"))
-    )
-    return (
-        docs.select("id")
-        .join(found, "id", "left")
-        .select("id", F.coalesce(F.col("_s.idx"), F.array().cast("array<int>")).alias("seq"))
-    )
+    coded = blocks.pack(docs.select("id", "tokens"), "tokens", most=block_tokens)
+    listed = blocks.dictionaries(coded, "token", T.StringType()).where("token IS NOT NULL")
+    found = listed.join(vocab.select("token", F.col("idx").cast("int").alias("idx")), "token").select("block", "code", "idx")
+
+    def decode(documents, rows):
+        import pyarrow as pa
+
+        codes = documents.column("codes")
+        offsets = np.asarray(codes.offsets).astype(np.int64)
+        each = codes.values.fill_null(-1).to_numpy(zero_copy_only=False)
+        index = np.zeros(int(each.max(initial=-1)) + 2, np.int32)  # the last one serves null tokens
+        index[rows["code"].to_numpy()] = rows["idx"].to_numpy()
+        seq = index[each]
+        if not keep_unknown:
+            known = seq > 0
+            offsets, seq = np.concatenate([[0], np.cumsum(known)])[offsets], seq[known]
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(seq))
+        return pa.table({"id": documents.column("id"), "seq": lists})
+
+    return blocks.meet(coded, found, decode, f"id {docs.schema['id'].dataType.simpleString()}, seq array<int>")
 
 
 def lookup(docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False) -> DataFrame:

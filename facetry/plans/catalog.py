@@ -50,7 +50,6 @@ W_OUT = [0.5, -0.75, 0.25]
 B_QUERY = [0.125, -0.25, 0.5]
 B_STEP = [0.25, 0.0, -0.125]
 MAXLEN = 1200
-VOCAB_MAX = 5000
 TWINS = ["e"]
 PHRASE_SIZES = [6, 12, 24, 48]
 ODD_TOKENS = [" ", "\n", "", "a b", "\\", "\\n", "\t", "2 3"]
@@ -403,7 +402,7 @@ def vocab_lookup_zero(spark, sf):
 def vocab_lookup_joined(spark, sf):
     """The shuffle plan for vocabularies that are too large to broadcast."""
     vocab = _benchmark_vocab(spark, sf)
-    return _seq_text(enc.lookup_by_join(_word_docs(spark, sf), vocab, keep_unknown=True, hot_tokens=100))
+    return _seq_text(enc.lookup_by_join(_word_docs(spark, sf), vocab, keep_unknown=True, block_tokens=1 << 16))
 
 
 def encode_pad(spark, sf):

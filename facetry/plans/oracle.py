@@ -261,7 +261,7 @@ SELECT doc_id, dim, round(coalesce(value, 0.0), 6) AS value FROM grid LEFT JOIN
 
 # Multinomial naive Bayes, one count added to every word and class; two classes, two aspects.
 BAYES = f"""WITH {_vocab(WORDS)},
-counts AS (SELECT id AS doc_id, idx, count(*) AS n FROM vocab_tokens JOIN vocab USING (token) WHERE idx <= {c.VOCAB_MAX} GROUP BY ALL),
+counts AS (SELECT id AS doc_id, idx, count(*) AS n FROM vocab_tokens JOIN vocab USING (token) GROUP BY ALL),
 gold AS (
   SELECT doc_id, 1 AS aspect_idx, quality AS y FROM labels WHERE doc_id % 2 = 0
   UNION ALL SELECT doc_id, 2, toxic FROM labels WHERE doc_id % 2 = 0),
@@ -270,8 +270,8 @@ prior AS (SELECT aspect_idx, y, ln(n + 1.0::DOUBLE) - ln(sum(n) OVER (PARTITION
 seen AS (SELECT aspect_idx, y, idx, sum(n) AS n FROM gold JOIN counts USING (doc_id) GROUP BY ALL),
 totals AS (SELECT aspect_idx, y, sum(n) AS total FROM seen GROUP BY ALL),
 theta AS (
-  SELECT t.aspect_idx, t.y, v.idx, ln(coalesce(s.n, 0) + 1.0::DOUBLE) - ln(t.total + {c.VOCAB_MAX}.0::DOUBLE) AS w
-  FROM totals t CROSS JOIN (SELECT idx FROM vocab WHERE idx <= {c.VOCAB_MAX}) v
+  SELECT t.aspect_idx, t.y, v.idx, ln(coalesce(s.n, 0) + 1.0::DOUBLE) - ln(t.total + (SELECT count(*) FROM vocab)::DOUBLE) AS w
+  FROM totals t CROSS JOIN (SELECT idx FROM vocab) v
   LEFT JOIN seen s ON s.aspect_idx = t.aspect_idx AND s.y = t.y AND s.idx = v.idx),
 sums AS (SELECT doc_id, aspect_idx, y, sum(n * w) AS s FROM counts JOIN theta USING (idx) GROUP BY ALL),
 raw AS (

@@ -55,8 +55,9 @@ def test_lookup_broadcast_and_joined(spark, docs, keep):
     df = frame(spark, rows)
     for got in (
         lookup(df, vocab, keep),
-        lookup_by_join(df, vocab, keep, hot_tokens=0),
-        lookup_by_join(df, vocab, keep, hot_tokens=10),
+        lookup_by_join(df, vocab, keep, block_tokens=1),
+        lookup_by_join(df, vocab, keep, block_tokens=50),
+        lookup_by_join(df, vocab, keep),
     ):
         assert {r["id"]: r["seq"] for r in got.collect()} == want
 
