@@ -81,13 +81,18 @@ def dictionaries(blocks: DataFrame, name: str, kind: T.DataType) -> DataFrame:
 def meet(
     blocks: DataFrame,
     found: DataFrame,
-    work: Callable[[pa.RecordBatch, pa.Table], pa.Table],
+    work: Callable[..., pa.Table],
     schema: str,
+    entries: bool = False,
 ) -> DataFrame:
-    """``work`` on the documents of each block and the rows of ``found(block, ..)`` that belong to it."""
+    """``work`` on the documents of each block and the rows of ``found(block, ..)`` that belong to it.
+
+    With ``entries`` the block's distinct entries are its third argument.
+    """
 
     def both(block: pa.Table, rows: pa.Table) -> pa.Table:
-        return work(unpacked(block["data"][0]), rows)
+        more = [unpacked(block["listed"][0]).column(0)] if entries else []
+        return work(unpacked(block["data"][0]), rows, *more)
 
-    packed_blocks = blocks.select("block", "data").groupBy("block")
-    return packed_blocks.cogroup(found.groupBy("block")).applyInArrow(both, schema)
+    columns = ["block", "data", *(["listed"] if entries else [])]
+    return blocks.select(*columns).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(both, schema)

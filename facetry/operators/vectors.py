@@ -1,9 +1,10 @@
 """Word vectors: embedding rows, pooled document vectors, vector training.
 
 An embedding table that passes the size check is broadcast as a matrix and each document
-is pooled where it is read: no exploded tokens and no shuffle. A larger table is joined on
-the token index and folded per (document, dimension). Whatever depends on a vector alone
-(attention projections) is computed once per vocabulary entry, ahead of both.
+is pooled where it is read: no exploded tokens and no shuffle. With a larger table blocks of documents
+(``operators.blocks``) meet the vectors they use, each once per block. Both ways pool by the same
+running states (``operators.pooling``). Whatever depends on a vector alone (attention projections) is
+computed once per vector.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from facetry.operators.joins import lookup_join
-from facetry.session import fits_broadcast, hot_limit, materialize, ship_package
+from facetry.operators import blocks
+from facetry.operators.pooling import Pooled
+from facetry.session import fits_broadcast, hot_limit, ship_package
 
-EPSILON = 1e-7  # fixed value: keeps an attention weight sum away from zero
 HOT_ROWS = 50_000
+BLOCK_STEPS = 1 << 18  # steps of one block, whose distinct vectors a task holds
 KINDS = ("mean", "max", "attention")
-_BLOCK = 1 << 15  # steps handled at once inside a task
+_RUN = 1 << 15  # steps handled at once inside a task
 
 
 def embedding_rows(vocab: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
@@ -45,32 +47,57 @@ def _dot(v: Column, weights: Sequence[float]) -> Column:
 StepBias = Sequence[float] | float | Callable
 
 
-def _bias_array(step_bias: StepBias, steps: int) -> np.ndarray:
-    """The bias of the first ``steps`` steps; a list that ends before them is an error."""
+def _bias_at(step_bias: StepBias, position: np.ndarray) -> np.ndarray:
+    """The bias of the steps at ``position``; a list that ends before them is an error."""
     if callable(step_bias):
-        return np.asarray(step_bias(np.arange(steps)), dtype=float)
+        return np.asarray(step_bias(position), dtype=float)
     if isinstance(step_bias, (int, float)):
-        return np.full(steps, float(step_bias))
+        return np.full(len(position), float(step_bias))
+    steps = int(position.max(initial=-1)) + 1
     if len(step_bias) < steps:
         raise ValueError(f"a text of {steps} steps, but only {len(step_bias)} step biases")
-    return np.asarray(step_bias, dtype=float)[:steps]
+    return np.asarray(step_bias, dtype=float)[position]
 
 
-def _bias_column(step_bias: StepBias) -> Column:
-    if callable(step_bias):
-        return step_bias(F.col("pos")).cast("double")
-    if isinstance(step_bias, (int, float)):
-        return F.lit(float(step_bias))
-    given = F.get(F.array(*[F.lit(float(b)) for b in step_bias]), F.col("pos"))
-    failed = F.raise_error(F.lit(f"a text has more steps than the {len(step_bias)} step biases"))
-    return F.coalesce(given, failed.cast("double"))
+class _Scores:
+    """The exponents of attention: ``tanh(v . w + b_t)``."""
 
+    def __init__(self, weights: Sequence[float] | None, step_bias: StepBias):
+        self.weights, self.step_bias = weights, step_bias
 
-def _largest_bias(docs: DataFrame, step_bias: StepBias) -> float:
-    if callable(step_bias):
-        longest = docs.agg(F.max(F.size("seq"))).first()[0] or 0
-        return float(np.abs(_bias_array(step_bias, max(longest, 1))).max())
-    return max(abs(b) for b in ([step_bias] if isinstance(step_bias, (int, float)) else step_bias))
+    def project(self, matrix: np.ndarray) -> np.ndarray | None:
+        """What depends on a vector alone, once per vector."""
+        return None if self.weights is None else matrix @ np.asarray(self.weights, dtype=float)
+
+    def at(self, projected, row, position, owner, queries) -> np.ndarray | None:
+        if self.weights is None:
+            return None
+        return np.tanh(projected[row] + _bias_at(self.step_bias, position))
+
+
+class _QueryScores(_Scores):
+    """The energies of a document's query: ``w_out . tanh(q + h) + b_t``, both sides projected before."""
+
+    def __init__(self, w_step, b_step, w_out, step_bias: StepBias):
+        self.w_step, self.b_step, self.w_out, self.step_bias = w_step, b_step, w_out, step_bias
+
+    def project(self, matrix: np.ndarray) -> np.ndarray:
+        return matrix @ np.asarray(self.w_step, dtype=float) + np.asarray(self.b_step, dtype=float)
+
+    def at(self, projected, row, position, owner, queries) -> np.ndarray:
+        hidden = np.tanh(queries[owner] + projected[row])
+        return hidden @ np.asarray(self.w_out, dtype=float) + _bias_at(self.step_bias, position)
+
+
+def _pool_lists(edges, row, use, matrix, projected, kinds, scores: _Scores, queries=None) -> np.ndarray:
+    """Documents whose steps lie between ``edges``, by matrix rows, in runs of a bounded length."""
+    states = Pooled(len(edges) - 1, matrix.shape[1], tuple(kinds))
+    for begin in range(0, len(row), _RUN):
+        steps = np.arange(begin, min(begin + _RUN, len(row)))[use[begin : begin + _RUN]]
+        owner = np.searchsorted(edges, steps, side="right") - 1
+        at = row[steps]
+        states.add(owner, matrix[at], scores.at(projected, at, steps - edges[owner], owner, queries))
+    return states.result()
 
 
 def _shared_matrix(embeddings: DataFrame, dim: int, project: Callable | None = None):
@@ -88,37 +115,6 @@ def _shared_matrix(embeddings: DataFrame, dim: int, project: Callable | None = N
     return embeddings.sparkSession.sparkContext.broadcast((keys[order], matrix, projected))
 
 
-def _document_blocks(seq, keys, mask_pads):
-    """Cut a batch into runs of whole documents with a bounded number of steps (or one document).
-
-    Yields first and last document, which of them have steps, where these start and how many
-    they are, and for each step its document, its position and its matrix row.
-    """
-    flat = seq.flatten().to_numpy()
-    lengths = np.diff(np.asarray(seq.offsets)).astype(np.int64)
-    edges = np.concatenate(([0], np.cumsum(lengths)))
-    first = 0
-    while first < len(lengths):
-        last = max(int(np.searchsorted(edges, edges[first] + _BLOCK, side="right")) - 1, first + 1)
-        part = flat[edges[first] : edges[last]]
-        sizes = lengths[first:last]
-        owner = np.repeat(np.arange(last - first), sizes)
-        position = np.arange(len(part)) - np.repeat(edges[first:last] - edges[first], sizes)
-        row = np.searchsorted(keys, part)
-        known = row < len(keys)
-        known[known] = keys[row[known]] == part[known]
-        row[~known] = len(keys)  # the zero row
-        if mask_pads:
-            use = part != 0
-            owner, position, row = owner[use], position[use], row[use]
-        counts = np.bincount(owner, minlength=last - first)
-        filled = counts > 0
-        starts = (np.cumsum(counts) - counts)[filled]
-        if len(row):
-            yield first, last, filled, starts, counts[filled], owner, position, row
-        first = last
-
-
 def _as_list_array(values: np.ndarray):
     """Rows of a matrix as an Arrow list array."""
     import pyarrow as pa
@@ -127,78 +123,66 @@ def _as_list_array(values: np.ndarray):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
 
 
-def _pool_in_tasks(docs, embeddings, dim, kinds, weights, step_bias, mask_pads):
-    project = (lambda m: m @ np.asarray(weights, dtype=float)) if weights is not None else None
-    shared = _shared_matrix(embeddings, dim, project)
+def _list_edges(lists) -> np.ndarray:
+    offsets = np.asarray(lists.offsets).astype(np.int64)
+    return offsets - offsets[0]
+
+
+def _pool_in_tasks(docs, embeddings, dim, kinds, scores: _Scores, mask_pads, *queries: str):
+    """``(id, _p)``, pooled in the scan by a broadcast matrix."""
+    shared = _shared_matrix(embeddings, dim, scores.project)
 
     @arrow_udf(T.ArrayType(T.DoubleType()))
-    def pooled(seq):
-        keys, vectors, scores = shared.value
-        out = np.zeros((len(seq), dim * len(kinds)))
-        blocks = _document_blocks(seq, keys, mask_pads)
-        for first, last, filled, starts, counts, _, position, row in blocks:
-            v = vectors[row].astype(float)
-            parts = []
-            for kind in kinds:
-                if kind == "mean":
-                    parts.append(np.add.reduceat(v, starts) / counts[:, None])
-                elif kind == "max":
-                    parts.append(np.maximum.reduceat(v, starts))
-                else:
-                    bias = _bias_array(step_bias, int(position.max()) + 1)
-                    a = np.exp(np.tanh(scores[row] + bias[position]))
-                    total = np.add.reduceat(a, starts) + EPSILON
-                    parts.append(np.add.reduceat(v * a[:, None], starts) / total[:, None])
-            out[first:last][filled] = np.hstack(parts)
-        return _as_list_array(out)
-
-    rows = docs.select("id", pooled(F.coalesce("seq", F.array().cast("array<int>"))).alias("_p"))
-    return rows.select(
-        "id", *[F.slice("_p", i * dim + 1, dim).alias(kind) for i, kind in enumerate(kinds)]
-    )
+    def pooled(seq, *asked):
+        keys, matrix, projected = shared.value
+        flat = seq.flatten().to_numpy()
+        row = np.searchsorted(keys, flat)
+        known = row < len(keys)
+        known[known] = keys[row[known]] == flat[known]
+        row[~known] = len(keys)  # the zero row
+        use = flat != 0 if mask_pads else np.ones(len(flat), bool)
+        given = [q.flatten().to_numpy().reshape(len(seq), -1) for q in asked]
+        return _as_list_array(_pool_lists(_list_edges(seq), row, use, matrix, projected, kinds, scores, *given))
 
+    return docs.select("id", pooled(F.coalesce("seq", F.array().cast("array<int>")), *queries).alias("_p"))
 
-def _steps(docs: DataFrame, table: DataFrame, dim: int, mask_pads: bool, *carry: str) -> DataFrame:
-    """One row per step with its vector, by joins only; no vector means zeros.
 
-    The index is a frequency rank, so the hot tokens are known: they are broadcast, and only
-    the infrequent rest is shuffled. The sequences are written once, as both parts read them.
-    """
-    docs = materialize(docs)
-    most = hot_limit(table, "idx", HOT_ROWS, row_bytes=4 * dim + 64)
-    rows = docs.select("id", *carry, F.posexplode_outer("seq").alias("pos", "idx"))
-    rows = rows.withColumn("idx", F.col("idx").cast("long")).where("idx IS NOT NULL")
-    if mask_pads:
-        rows = rows.where("idx <> 0")
-    hot, rest = F.col("idx") <= most, F.col("idx") > most
-    joined = lookup_join(rows.where(hot), table.where(hot), ["idx"], True, "left").unionByName(
-        rows.where(rest).join(table.where(rest), "idx", "left")
-    )
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    return joined.withColumn("v", F.coalesce("v", zeros))
+def _pool_in_blocks(docs, embeddings, dim, kinds, scores: _Scores, mask_pads, *queries: str):
+    """``(id, _p)`` for an embedding table of any size: blocks of documents meet the vectors they use.
 
+    The index is a frequency rank, so the hot tokens are known and broadcast; of the others a block
+    joins each distinct one once.
+    """
+    import pyarrow as pa
 
-def _fold(
-    docs: DataFrame, steps: DataFrame, dim: int, kinds: Sequence[str], top: Column | None = None
-) -> DataFrame:
-    """Running values per (document, dimension), then one array per document and kind."""
-    shift = F.exp(F.max("_e") - top) if top is not None else F.lit(1.0)
-    values = {
-        "mean": F.avg("_x"),
-        "max": F.max("_x"),
-        "attention": F.sum(F.col("_a") * F.col("_x")) / (F.sum("_a") + F.lit(EPSILON) * shift),
-    }
-    cells = (
-        steps.select("*", F.posexplode("v").alias("_k", "_v"))
-        .withColumn("_x", F.col("_v").cast("double"))
-        .groupBy("id", "_k")
-        .agg(*[values[k].alias(k) for k in kinds])
-    )
-    arrays = cells.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("_k", *kinds))).alias("_c"))
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    return docs.select("id").join(arrays, "id", "left").select(
-        "id", *[F.coalesce(F.col(f"_c.{k}"), zeros).alias(k) for k in kinds]
-    )
+    table = embeddings.select(F.col("idx").cast("long").alias("idx"), "v")
+    most = hot_limit(table, "idx", HOT_ROWS, row_bytes=4 * dim + 64)
+    shared = _shared_matrix(table.where(F.col("idx") <= most), dim)
+    coded = blocks.pack(docs.select("id", "seq", *queries), "seq", *queries, most=BLOCK_STEPS)
+    listed = blocks.dictionaries(coded, "idx", docs.schema["seq"].dataType.elementType)
+    listed = listed.select("block", "code", F.col("idx").cast("long").alias("idx")).where(F.col("idx") > most)
+    found = listed.join(table.where(F.col("idx") > most), "idx").select("block", "code", "v")
+
+    def work(documents, rows, entries):
+        keys, hot, _ = shared.value
+        idx = entries.to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.searchsorted(keys, idx)
+        at[at == len(keys)] = 0
+        matrix = np.zeros((len(idx) + 1, dim), hot.dtype)  # the last row serves null entries
+        warm = np.flatnonzero((keys[at] == idx) if len(keys) else np.zeros(len(idx), bool))
+        matrix[warm] = hot[at[warm]]
+        if rows.num_rows:
+            vectors = rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            matrix[rows["code"].to_numpy()] = vectors.reshape(-1, dim)
+        codes = documents.column("codes")
+        row = codes.values.fill_null(-1).to_numpy(zero_copy_only=False)
+        use = (np.append(idx, 0)[row] != 0) if mask_pads else np.ones(len(row), bool)
+        given = [documents.column(q).flatten().to_numpy().reshape(len(documents), -1) for q in queries]
+        made = _pool_lists(_list_edges(codes), row, use, matrix, scores.project(matrix), kinds, scores, *given)
+        return pa.table({"id": documents.column("id"), "_p": _as_list_array(made)})
+
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, _p array<double>"
+    return blocks.meet(coded, found, work, schema, entries=True)
 
 
 def pool(
@@ -216,19 +200,16 @@ def pool(
     ``embeddings`` is a materialised ``(idx, v)`` table; a step whose index it lacks counts as
     a zero vector, so all-zero rows may be left out of it. Attention weighs step ``t`` by
     ``exp(tanh(v . w + b_t))``. ``step_bias`` is a number, a list (an error for a text that is
-    longer) or a function of the step that works on columns and on arrays. A document without any
+    longer) or a function of an array of steps. A document without any
     step gets zeros. ``in_tasks`` is decided by the size of the table unless given.
     """
-    weights = attention_weights if "attention" in kinds else None
+    kinds = tuple(kinds)
+    scores = _Scores(attention_weights if "attention" in kinds else None, step_bias)
     if in_tasks is None:
         in_tasks = fits_broadcast(embeddings, row_bytes=4 * dim + 16)
-    if in_tasks:
-        return _pool_in_tasks(docs, embeddings, dim, tuple(kinds), weights, step_bias, mask_pads)
-    score = _dot(F.col("v"), weights).cast("double") if weights is not None else F.lit(0.0)
-    table = embeddings.select(F.col("idx").cast("long").alias("idx"), "v", score.alias("_s"))
-    steps = _steps(docs, table, dim, mask_pads)
-    score = F.coalesce("_s", F.lit(0.0)) + _bias_column(step_bias)
-    return _fold(docs, steps.withColumn("_a", F.exp(F.tanh(score))), dim, kinds)
+    how = _pool_in_tasks if in_tasks else _pool_in_blocks
+    rows = how(docs, embeddings, dim, kinds, scores, mask_pads)
+    return rows.select("id", *[F.slice("_p", i * dim + 1, dim).alias(kind) for i, kind in enumerate(kinds)])
 
 
 def document_features(pooled: DataFrame) -> DataFrame:
@@ -252,63 +233,19 @@ def query_attention_pool(
     """``(id, attention)`` of ``docs(id, seq, q)``, weighted by each document's query ``q``.
 
     ``e_t = w_out . tanh(q W_query + b_query + v_t W_step + b_step) + b_t``; softmax over the
-    steps with the maximum subtracted and EPSILON added to the sum. Multiplying numerator
-    and denominator by ``exp(max)`` turns that into plain sums beside a running maximum, so
-    the join plan needs one aggregation and no window over the document.
+    steps with the maximum subtracted and EPSILON added to the sum. The maximum is a running one
+    (``operators.pooling``), so energies of any size are weighed right.
     """
     hidden = len(w_out)
     b_query = b_query or [0.0] * hidden
     b_step = b_step or [0.0] * hidden
-
-    def project(v: Column, weights, bias) -> Column:
-        return F.array(
-            *[_dot(v, [row[j] for row in weights]) + F.lit(float(bias[j])) for j in range(hidden)]
-        )
-
-    asked = docs.select("id", "seq", project(F.col("q"), w_query, b_query).alias("_q"))
+    query = F.array(*[_dot(F.col("q"), [row[j] for row in w_query]) + F.lit(float(b_query[j])) for j in range(hidden)])
+    asked = docs.select("id", "seq", query.alias("_q"))
     if in_tasks is None:
         in_tasks = fits_broadcast(embeddings, row_bytes=4 * dim + 16)
-    if in_tasks:
-        return _query_pool_in_tasks(asked, embeddings, dim, w_step, b_step, w_out, step_bias, mask_pads)
-    table = embeddings.select(
-        F.col("idx").cast("long").alias("idx"), "v", project(F.col("v"), w_step, b_step).alias("_h")
-    )
-    steps = _steps(asked, table, dim, mask_pads, "_q").withColumn(
-        "_h", F.coalesce("_h", F.array(*[F.lit(float(b)) for b in b_step]))
-    )
-    terms = [F.lit(float(w)) * F.tanh(F.col("_q")[j] + F.col("_h")[j]) for j, w in enumerate(w_out)]
-    steps = steps.withColumn("_e", sum(terms[1:], terms[0]) + _bias_column(step_bias))
-    # |e| cannot exceed this bound, so the shifted exponentials cannot overflow.
-    bound = F.lit(float(sum(abs(w) for w in w_out) + _largest_bias(docs, step_bias)))
-    return _fold(docs, steps.withColumn("_a", F.exp(F.col("_e") - bound)), dim, ("attention",), bound)
-
-
-def _query_pool_in_tasks(asked, embeddings, dim, w_step, b_step, w_out, step_bias, mask_pads):
-    shared = _shared_matrix(
-        embeddings, dim, lambda m: m @ np.asarray(w_step, dtype=float) + np.asarray(b_step, dtype=float)
-    )
-
-    @arrow_udf(T.ArrayType(T.DoubleType()))
-    def pooled(seq, query):
-        keys, vectors, projected = shared.value
-        asked_for = query.flatten().to_numpy().reshape(len(seq), -1)
-        out = np.zeros((len(seq), dim))
-        blocks = _document_blocks(seq, keys, mask_pads)
-        for first, last, filled, starts, _, owner, position, row in blocks:
-            bias = _bias_array(step_bias, int(position.max()) + 1)
-            hidden = np.tanh(asked_for[first:last][owner] + projected[row])
-            e = hidden @ np.asarray(w_out, dtype=float) + bias[position]
-            top = np.zeros(last - first)
-            top[filled] = np.maximum.reduceat(e, starts)
-            a = np.exp(e - top[owner])
-            total = np.add.reduceat(a, starts) + EPSILON
-            out[first:last][filled] = (
-                np.add.reduceat(vectors[row] * a[:, None], starts) / total[:, None]
-            )
-        return _as_list_array(out)
-
-    seq = F.coalesce("seq", F.array().cast("array<int>"))
-    return asked.select("id", pooled(seq, "_q").alias("attention"))
+    how = _pool_in_tasks if in_tasks else _pool_in_blocks
+    scores = _QueryScores(w_step, b_step, w_out, step_bias)
+    return how(asked, embeddings, dim, ("softmax",), scores, mask_pads, "_q").withColumnRenamed("_p", "attention")
 
 
 def train_vectors(

@@ -47,6 +47,7 @@ ATTENTION = [((7 * i) % 11 - 5) / 10 for i in range(DIM)]
 W_QUERY = [[((i + 2 * j) % 5 - 2) / 4 for j in range(HIDDEN)] for i in range(4)]
 W_STEP = [[((i * (j + 1)) % 7 - 3) / 8 for j in range(HIDDEN)] for i in range(DIM)]
 W_OUT = [0.5, -0.75, 0.25]
+W_OUT_LARGE = [500.0, -750.0, 250.0]
 B_QUERY = [0.125, -0.25, 0.5]
 B_STEP = [0.25, 0.0, -0.125]
 MAXLEN = 1200
@@ -59,7 +60,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def step_bias(t):
-    """The attention bias of step ``t`` (a column or an array), for texts of any length."""
+    """The attention bias of the steps ``t`` (an array), for texts of any length."""
     return ((3 * t) % 7 - 3) / 20
 
 
@@ -520,19 +521,27 @@ def _pooled(kind: str) -> Query:
     return query
 
 
-def mean_pool_joined(spark, sf):
-    """The shuffle plan for embedding tables that are too large to broadcast."""
-    seqs, rows = _sequences(spark, sf)
-    return _dims(vectors.pool(seqs, rows, DIM, ("mean",), in_tasks=False), "mean")
+def _pooled_by_join(kind: str) -> Query:
+    """The plan for embedding tables that are too large to broadcast."""
 
+    def query(spark, sf):
+        seqs, rows = _sequences(spark, sf)
+        weights = ATTENTION if kind == "attention" else None
+        return _dims(vectors.pool(seqs, rows, DIM, (kind,), weights, step_bias, in_tasks=False), kind)
 
-def query_attention_pool(spark, sf):
-    seqs, rows = _sequences(spark, sf)
-    asked = seqs.withColumn("q", F.array(*[F.pmod(F.col("id") + i, F.lit(5)) / 5.0 for i in range(4)]))
-    pooled = vectors.query_attention_pool(
-        asked, rows, DIM, W_QUERY, W_STEP, W_OUT, B_QUERY, B_STEP, step_bias
-    )
-    return _dims(pooled, "attention")
+    return query
+
+
+def _query_attention(w_out: list[float], in_tasks: bool | None = None) -> Query:
+    def query(spark, sf):
+        seqs, rows = _sequences(spark, sf)
+        asked = seqs.withColumn("q", F.array(*[F.pmod(F.col("id") + i, F.lit(5)) / 5.0 for i in range(4)]))
+        pooled = vectors.query_attention_pool(
+            asked, rows, DIM, W_QUERY, W_STEP, w_out, B_QUERY, B_STEP, step_bias, in_tasks=in_tasks
+        )
+        return _dims(pooled, "attention")
+
+    return query
 
 
 def document_features(spark, sf):
@@ -757,8 +766,11 @@ QUERIES: dict[str, Query] = {
     "mean_pool": _pooled("mean"),
     "max_pool": _pooled("max"),
     "attention_pool": _pooled("attention"),
-    "mean_pool_joined": mean_pool_joined,
-    "query_attention_pool": query_attention_pool,
+    "mean_pool_joined": _pooled_by_join("mean"),
+    "max_pool_joined": _pooled_by_join("max"),
+    "attention_pool_joined": _pooled_by_join("attention"),
+    "query_attention_pool": _query_attention(W_OUT),
+    "query_attention_pool_joined": _query_attention(W_OUT_LARGE, in_tasks=False),
     "document_features": document_features,
     "word2vec_train": word2vec_train,
     "csv_roundtrip": csv_roundtrip,

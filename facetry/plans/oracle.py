@@ -241,10 +241,10 @@ def _projected(vector: str, weights, j: int, size: int) -> str:
     return f"list_sum(list_transform(range(1, {size + 1}), lambda i: {vector}[i]::DOUBLE * {column}[i]))"
 
 
-def _query_attention() -> str:
+def _query_attention(w_out: list[float]) -> str:
     asked = "[" + ", ".join(f"((doc_id + {i}) % 5) / 5.0" for i in range(4)) + "]::DOUBLE[]"
     hidden = " + ".join(
-        f"({c.W_OUT[j]}) * tanh({_projected('q', c.W_QUERY, j, 4)} + ({c.B_QUERY[j]})"
+        f"({w_out[j]}) * tanh({_projected('q', c.W_QUERY, j, 4)} + ({c.B_QUERY[j]})"
         f" + {_projected('v', c.W_STEP, j, c.DIM)} + ({c.B_STEP[j]}))"
         for j in range(c.HIDDEN)
     )
@@ -353,9 +353,9 @@ def statements() -> dict[str, str]:
         "embedding_rows": f"WITH {_vocab(WORDS)}, rows AS (SELECT idx, embedding AS v FROM vocab LEFT JOIN embeddings ON vec_id + 1 = idx UNION ALL SELECT 0, NULL) SELECT idx, {c.DIM} AS dim, round(coalesce(v[1], 0)::DOUBLE, 6) AS first, round(coalesce(v[{c.DIM}], 0)::DOUBLE, 6) AS last, round(coalesce(list_sum(list_transform(v, lambda x: x::DOUBLE)), 0), 6) AS total FROM rows",
         "mean_pool": _pooled("avg"),
         "max_pool": _pooled("max"),
-        "mean_pool_joined": _pooled("avg"),
         "attention_pool": f"WITH {SEQUENCES}, {ATTENTION} SELECT doc_id, dim, round(coalesce(value, 0.0), 6) AS value FROM grid LEFT JOIN attended USING (doc_id, dim)",
-        "query_attention_pool": _query_attention(),
+        "query_attention_pool": _query_attention(c.W_OUT),
+        "query_attention_pool_joined": _query_attention(c.W_OUT_LARGE),
         "document_features": f"WITH {SEQUENCES}, {ATTENTION}, pooled AS (SELECT doc_id, dim, avg(x) AS m, max(x) AS x FROM cells GROUP BY doc_id, dim), parts AS (SELECT doc_id, dim, m AS value FROM pooled UNION ALL SELECT doc_id, dim + {c.DIM}, x FROM pooled UNION ALL SELECT doc_id, dim + {2 * c.DIM}, value FROM attended), wide AS (SELECT doc_id, unnest(range(0, {3 * c.DIM}))::INTEGER AS dim FROM documents) SELECT doc_id, dim, round(coalesce(value, 0.0), 6) AS value FROM wide LEFT JOIN parts USING (doc_id, dim)",
         "word2vec_train": f"WITH chars AS (SELECT unnest(string_split({LOWER}, '')) AS c, generate_subscripts(string_split({LOWER}, ''), 1) AS place FROM documents WHERE length(text) > 0) SELECT DISTINCT CASE WHEN place % 2 = 0 AND c = 'e' THEN upper(c) ELSE c END AS token, 20 AS dim, true AS finite, CASE WHEN place % 2 = 0 AND c = 'e' THEN c END AS nearest FROM chars",
         "csv_roundtrip": "SELECT doc_id, text, " + ", ".join(f"((doc_id * 7 + {i - 1}) % 4 - 2)::INTEGER AS {name}" for i, _, name in ASPECTS) + " FROM documents",
@@ -373,5 +373,7 @@ def statements() -> dict[str, str]:
 
 def oracle() -> dict[str, str]:
     sql = statements()
+    for name in ("mean_pool", "max_pool", "attention_pool"):
+        sql[f"{name}_joined"] = sql[name]
     sql["vocab_lookup_joined"] = sql["vocab_lookup_zero"]
     return sql
