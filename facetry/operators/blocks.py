@@ -78,6 +78,18 @@ def dictionaries(blocks: DataFrame, name: str, kind: T.DataType) -> DataFrame:
     return blocks.select("block", "listed").mapInArrow(make, f"block long, code int, `{name}` {kind.simpleString()}")
 
 
+def documents(blocks: DataFrame, kind: T.DataType) -> DataFrame:
+    """``(block, place, id)``: one row per document; ``place`` is its row within the block."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column(0), batch.column(1), strict=True):
+                ids = unpacked(data).column("id")
+                yield pa.record_batch([pa.repeat(block, len(ids)), pa.array(np.arange(len(ids), dtype=np.int32)), ids], ["block", "place", "id"])
+
+    return blocks.select("block", "data").mapInArrow(make, f"block long, place int, id {kind.simpleString()}")
+
+
 def meet(
     blocks: DataFrame,
     found: DataFrame,

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from facetry.functions.text import lower_tokens
 from facetry.operators import models
 from facetry.operators.encode import encode
+from facetry.operators.models import ALL_ASPECTS
 from facetry.operators.scores import wide_to_long
 from facetry.operators.vectors import document_features, embedding_rows, pool
 from facetry.operators.vocabulary import fit_vocabulary
-from facetry.schema import ASPECT_COLUMNS, ASPECTS, MAXLEN
+from facetry.schema import ASPECT_COLUMNS, MAXLEN
 from facetry.sources.artifacts import build_if_absent
 
-ALL_ASPECTS = tuple(i for i, _, _ in ASPECTS)
-
 
 def prepare(
     spark: SparkSession, train_tokens: DataFrame, vectors: DataFrame, dim: int, out_dir: str
@@ -56,13 +55,20 @@ def train_all(
     dim: int,
     out_dir: str,
     aspects: Sequence[int] = ALL_ASPECTS,
-    epochs: Sequence[int] = (8,),
+    epochs: int = 8,
+    validation_tokens: DataFrame | None = None,
 ) -> None:
-    """Train and keep one model per aspect and epoch; ``train_tokens`` carries the labels."""
+    """Train all aspects by ``epochs`` passes and keep every pass; both tables carry the labels.
+
+    ``validation_tokens`` are classified after every pass within the same run (``models.history``).
+    """
     vocab, rows = prepare(spark, train_tokens, vectors, dim, out_dir)
-    feats = features(train_tokens, vocab, rows, dim)
-    table = models.training_table(feats, train_tokens.select("id", *ASPECT_COLUMNS))
-    models.train(table, f"{out_dir}/models", aspects, epochs)
+
+    def table(tokens: DataFrame) -> DataFrame:
+        return models.training_table(features(tokens, vocab, rows, dim), tokens.select("id", *ASPECT_COLUMNS))
+
+    held = None if validation_tokens is None else table(validation_tokens)
+    models.train(table(train_tokens), f"{out_dir}/models", aspects, epochs, validation=held)
 
 
 def validate_all(
@@ -73,7 +79,7 @@ def validate_all(
     aspects: Sequence[int] = ALL_ASPECTS,
     epochs: Sequence[int] = (8,),
 ) -> DataFrame:
-    """Metrics of every kept epoch, with the best F1 so far."""
+    """Metrics of kept passes on any labelled table, with the best F1 so far."""
     vocab = spark.read.parquet(f"{out_dir}/vocabulary")
     rows = spark.read.parquet(f"{out_dir}/embeddings")
     gold = wide_to_long(tokens.select("id", *ASPECT_COLUMNS)).select("id", "aspect_idx", "y")

@@ -283,6 +283,48 @@ SELECT doc_id, aspect_idx, round(1.0::DOUBLE / (1.0::DOUBLE + exp(s1 - s0)), 6)
   round(1.0::DOUBLE / (1.0::DOUBLE + exp(s0 - s1)), 6) AS p1, (s1 > s0)::INTEGER AS yhat FROM pair"""
 
 
+def _aspect_scores() -> str:
+    """Plain gradient steps of 20 multinomial models over standardised mean vectors; -1 is the intercept."""
+    labels = " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS aspect_idx, "
+        + " + ".join(f"((length(text) - length(replace(text, '{letter}', ''))) * 100 >= length(text) * {b})::INTEGER" for b in c.CLASS_BORDERS)
+        + " AS y FROM documents WHERE length(text) > 0"
+        for (i, _, _), letter in zip(ASPECTS, c.ASPECT_LETTERS, strict=True)
+    )
+    steps = []
+    for k in range(1, c.STEPS + 1):
+        steps.append(f"""{_softmax(k - 1, "WHERE doc_id % 2 = 0")},
+g{k} AS (
+  SELECT z.dim, p.aspect_idx, p.c, sum(z.z * (p.p - (p.c = g.y)::INTEGER)) / count(*) AS g
+  FROM p{k - 1} p JOIN gold g USING (doc_id, aspect_idx) JOIN z USING (doc_id) GROUP BY ALL),
+w{k} AS (
+  SELECT w.dim, w.aspect_idx, w.c, w.w - {c.STEP} * (coalesce(g.g, 0.0) + CASE WHEN w.dim < 0 OR g.g IS NULL THEN 0.0 ELSE {c.REG} * w.w END) AS w
+  FROM w{k - 1} w LEFT JOIN g{k} g USING (dim, aspect_idx, c))""")
+    four = ", ".join(f"round(max(p) FILTER (c = {k}), 6) AS p{k}" for k in range(4))
+    return f"""WITH {SEQUENCES},
+pooled AS (SELECT doc_id, dim, avg(x) AS value FROM cells GROUP BY doc_id, dim),
+x AS (SELECT doc_id, dim, coalesce(value, 0.0) AS x FROM grid LEFT JOIN pooled USING (doc_id, dim)),
+spread AS (
+  SELECT dim, avg(x) AS m, CASE WHEN sqrt(greatest(var_pop(x), 0)) < 1e-12 THEN 1.0 ELSE sqrt(greatest(var_pop(x), 0)) END AS s
+  FROM x WHERE doc_id % 2 = 0 GROUP BY dim),
+z AS (
+  SELECT doc_id, dim, (x - m) / s AS z FROM x JOIN spread USING (dim)
+  UNION ALL SELECT doc_id, -1, 1.0 FROM documents),
+gold AS ({labels}),
+w0 AS (
+  SELECT dim, aspect_idx, c, 0.0::DOUBLE AS w FROM (SELECT DISTINCT dim FROM z), (SELECT unnest(range(1, 21)) AS aspect_idx), (SELECT unnest(range(4)) AS c)),
+{", ".join(steps)},
+{_softmax(c.STEPS, "")}
+SELECT doc_id, aspect_idx::INTEGER AS aspect_idx, {four}, (arg_min(c, (-round(p, 6), c)) - 2)::INTEGER AS yhat FROM p{c.STEPS} GROUP BY doc_id, aspect_idx"""
+
+
+def _softmax(k: int, where: str) -> str:
+    return f"""s{k} AS (
+  SELECT doc_id, aspect_idx, c, sum(z * w) AS s FROM (SELECT * FROM z {where}) JOIN w{k} USING (dim) GROUP BY ALL),
+e{k} AS (SELECT doc_id, aspect_idx, c, exp(s - max(s) OVER (PARTITION BY doc_id, aspect_idx)) AS e FROM s{k}),
+p{k} AS (SELECT doc_id, aspect_idx, c, e / sum(e) OVER (PARTITION BY doc_id, aspect_idx) AS p FROM e{k})"""
+
+
 def _wide(expression: str, source: str) -> str:
     columns = ", ".join(f"any_value(v) FILTER (aspect_idx = {i}) AS {name}" for i, _, name in ASPECTS)
     return f"SELECT vec_id, {columns} FROM (SELECT vec_id, aspect_idx, {expression} AS v FROM {source}) GROUP BY vec_id"
@@ -366,7 +408,8 @@ def statements() -> dict[str, str]:
         "embedding_roundtrip": f"SELECT vec_id + 1 AS idx, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
         "build_if_absent_twice": "SELECT source, count(*) AS n FROM documents GROUP BY source",
         "vector_file_roundtrip": f"SELECT coalesce(([' ', chr(10), '', 'a b', chr(92), chr(92) || 'n', chr(9), '2 3'])[vec_id + 1], vec_id::VARCHAR) AS token, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
-        "aspect_scores": "SELECT doc_id, aspect_idx, 1.0::DOUBLE AS total, true AS largest FROM documents, (VALUES (1), (2)) a(aspect_idx)",
+        "aspect_scores": _aspect_scores(),
+        "aspect_naive_bayes_joined": BAYES,
         "aspect_naive_bayes": BAYES,
     }
 

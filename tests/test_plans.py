@@ -57,12 +57,18 @@ def test_train_validate_and_score(spark, reviews_path, tmp_path):
     vectors = preprocess.character_vectors(
         spark, reviews_path, f"{out}/vectors", size=8, window=3, iterations=2, partitions=1
     )
-    classify.train_all(spark, tokens, vectors, 8, out, aspects=(1, 20), epochs=(1, 8))
+    held = tokens.where("id % 3 = 0")
+    classify.train_all(spark, tokens, vectors, 8, out, aspects=(1, 20), epochs=8, validation_tokens=held)
     history = classify.validate_all(spark, tokens, 8, out, aspects=(1, 20), epochs=(1, 8))
     rows = {(r["aspect_idx"], r["epoch"]): r for r in history.collect()}
     assert rows.keys() == {(a, e) for a in (1, 20) for e in (1, 8)}
     assert rows[20, 8]["f1"] > 0.9
     assert rows[20, 8]["best_f1"] == max(rows[20, 1]["f1"], rows[20, 8]["f1"])
+    # the validation inside the training equals one of the kept states afterwards
+    again = classify.validate_all(spark, held, 8, out, aspects=(1, 20), epochs=tuple(range(1, 9)))
+    inside = models.history(spark, f"{out}/models", 8)
+    shown = lambda df: sorted((r[0], r[1], *[round(v, 9) for v in r[2:]]) for r in df.select(*again.columns).collect())
+    assert shown(again) == shown(inside)
 
     vocab = spark.read.parquet(f"{out}/vocabulary")
     embeddings = spark.read.parquet(f"{out}/embeddings")
@@ -105,15 +111,6 @@ def test_routed_scores_never_take_gold(spark):
         ensemble.route_scores(spark, scores, {"bigru": tuple(range(1, 21))}).collect()
 
 
-def test_labels_outside_the_classes_are_an_error(spark, tmp_path):
-    rows = [(i, [float(i % 2), 1.0], (0, 1, None)[i % 3]) for i in range(30)]
-    table = spark.createDataFrame(rows, "id long, features array<double>, quality int")
-    models.train(table, str(tmp_path / "m"), (1,), (2,), {1: "quality"}, classes=(0, 1))
-    bad = table.unionByName(table.where("id = 0").withColumn("quality", F.lit(7)))
-    with pytest.raises(Exception, match="outside the classes"):
-        models.train(bad, str(tmp_path / "n"), (1,), (2,), {1: "quality"}, classes=(0, 1))
-
-
 def test_naive_bayes_counts_every_word_of_a_large_vocabulary(spark, tmp_path):
     """More than 5,000 distinct words; the class is told by words that are rare among them."""
     def name(i):
@@ -147,24 +144,6 @@ def test_naive_bayes_counts_every_word_of_a_large_vocabulary(spark, tmp_path):
         assert np.allclose([got[i, aspect] for i in range(len(docs))], want, atol=2e-6)
 
 
-def test_naive_bayes_against_its_formula(spark, tmp_path):
-    rng = random.Random(3)
-    rows = [(i, rng.choices(range(1, 7), k=rng.randint(0, 12)), i % 2) for i in range(40)]
-    seqs = spark.createDataFrame([(i, s) for i, s, _ in rows], "id long, seq array<int>")
-    counts = models.count_features(seqs, 6)
-    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 25], "id long, quality int")
-    models.train(models.training_table(counts, labels), str(tmp_path), (1,), (1,), {1: "quality"}, classes=(0, 1), kind="bayes")
-    got = {r["id"]: r["p"][1] for r in models.score(counts, str(tmp_path), (1,), 1, classes=(0, 1), kind="bayes").collect()}
-    seen = [[t for i, s, y in rows if i < 25 and y == c for t in s] for c in (0, 1)]
-    docs = [sum(y == c for i, _, y in rows if i < 25) for c in (0, 1)]
-    for i, s, _ in rows:
-        log = [
-            math.log((docs[c] + 1) / 27) + sum(math.log((seen[c].count(t) + 1) / (len(seen[c]) + 6)) for t in s)
-            for c in (0, 1)
-        ]
-        assert got[i] == pytest.approx(1 / (1 + math.exp(log[0] - log[1])))
-
-
 def test_a_stop_list_too_long_for_an_expression(spark, monkeypatch):
     rows = [(1, "好吃的面"), (2, None), (3, "的的"), (4, "")]
     reviews = spark.createDataFrame(rows, "id long, content string")
