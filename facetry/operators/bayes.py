@@ -60,7 +60,7 @@ def train(
             np.add.at(n, (code[known], a, y[owner[known], a]), 1)
         idx = entries.to_numpy(zero_copy_only=False).astype(np.int64)
         kept = np.flatnonzero((idx >= 1) & (idx <= size) & n.any(axis=(1, 2)))
-        lists = pa.array(list(n[kept].reshape(len(kept), -1)), pa.list_(pa.int64()))
+        lists = pa.array(list(n[kept].reshape(len(kept), cells)), pa.list_(pa.int64()))
         return pa.table({"idx": idx[kept], "n": lists})
 
     part = blocks.meet(packed, found, count, "idx long, n array<long>", entries=True)
