@@ -14,16 +14,20 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from facetry.operators import blocks
+from facetry.operators.encode import lookup
 from facetry.operators.pooling import Pooled
-from facetry.session import fits_broadcast, hot_limit, ship_package
+from facetry.operators.vocabulary import fit_vocabulary
+from facetry.session import ensure_checkpoint_dir, fits_broadcast, hot_limit, materialize, ship_package
 
 HOT_ROWS = 50_000
+PAIR_STEPS = 1 << 20  # steps of one block of which the pairs are counted
 BLOCK_STEPS = 1 << 18  # steps of one block, whose distinct vectors a task holds
 KINDS = ("mean", "max", "attention")
 _RUN = 1 << 15  # steps handled at once inside a task
@@ -248,7 +252,87 @@ def query_attention_pool(
     return how(asked, embeddings, dim, ("softmax",), scores, mask_pads, "_q").withColumnRenamed("_p", "attention")
 
 
+def pair_weights(docs: DataFrame, vocab: DataFrame, window: int, tokens: str = "tokens") -> DataFrame:
+    """``(a, b, n)``: how often the indexes a and b stand within ``window`` steps of each other, both ways.
+
+    A pair k steps apart counts (window + 1 - k) / window. Blocks of documents add up their own pairs, so a
+    pair is one row per block however often it occurs; unknown tokens are left out before counting steps.
+    """
+    seqs = lookup(docs.select(F.monotonically_increasing_id().alias("id"), F.col(tokens).alias("tokens")), vocab)
+    packed = blocks.pack(seqs, "seq", most=PAIR_STEPS)
+
+    def count(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for data, listed in zip(batch.column(0), batch.column(1), strict=True):
+                codes = blocks.unpacked(data).column("codes")
+                idx = blocks.unpacked(listed).column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                code = codes.values.to_numpy(zero_copy_only=False).astype(np.int64)
+                owner = np.repeat(np.arange(len(codes)), codes.value_lengths().to_numpy(zero_copy_only=False))
+                keys, weights = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                for k in range(1, window + 1):
+                    near = owner[:-k] == owner[k:]
+                    left, right = code[:-k][near], code[k:][near]
+                    found, n = np.unique(np.minimum(left, right) * len(idx) + np.maximum(left, right), return_counts=True)
+                    every, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
+                    total = np.zeros(len(every), np.int64)
+                    np.add.at(total, place, np.concatenate([weights, n * (window + 1 - k)]))
+                    keys, weights = every, total
+                a, b = np.divmod(keys, max(1, len(idx)))
+                low, high = np.minimum(idx[a], idx[b]), np.maximum(idx[a], idx[b])
+                yield pa.record_batch([low, high, weights], ["a", "b", "n"])
+
+    half = packed.select("data", "listed").mapInArrow(count, "a long, b long, n long")
+    half = half.groupBy("a", "b").agg((F.sum("n") / F.lit(float(window))).alias("n"))
+    # a token next to itself counts from both sides
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    sides = half.select(F.explode(both).alias("p"), "n").select("p.a", "p.b", "n")
+    return sides.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def train_vectors(
+    docs: DataFrame,
+    tokens: str = "tokens",
+    size: int = 100,
+    window: int = 10,
+    min_count: int = 1,
+    iterations: int = 15,
+    seed: int = 16,
+    shift: float = 1.0,
+    reg: float = 0.05,
+) -> DataFrame:
+    """Train word vectors for a vocabulary of any size; returns ``(token, v)``.
+
+    Windowed pair counts become positive pointwise mutual information, less log(``shift``), and that table
+    is factorised by MLlib's blocked alternating least squares: no vocabulary and no matrix is on the
+    driver. Skip-gram with negative sampling factorises the same table (``train_skipgram`` is MLlib's own). A token
+    without any positive pair has a zero vector.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    vocab = fit_vocabulary(docs.select(F.monotonically_increasing_id().alias("id"), F.col(tokens).alias("tokens")))
+    vocab = vocab.where(F.col("n") >= min_count)
+    pairs = materialize(pair_weights(docs, vocab, window, tokens))
+    # each side's share of all pairs; the vocabulary's size, joined twice
+    sums = pairs.groupBy("a").agg(F.sum("n").alias("s"))
+    total = pairs.agg(F.sum("n")).first()[0] or 1.0
+    of_b = sums.select(F.col("a").alias("b"), F.col("s").alias("t"))
+    information = F.log(F.col("n") * F.lit(total) / (F.col("s") * F.col("t"))) - F.lit(float(np.log(shift)))
+    ratings = pairs.join(sums, "a").join(of_b, "b").select(
+        F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"), information.cast("float").alias("r")
+    )
+    ratings = materialize(ratings.where("r > 0"))
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), size)
+    if ratings.isEmpty():
+        return vocab.select("token", zeros.alias("v"))
+    fitted = ALS(
+        rank=size, maxIter=iterations, regParam=reg, userCol="a", itemCol="b", ratingCol="r", seed=seed, coldStartStrategy="drop"
+    ).fit(ratings)
+    factors = materialize(fitted.userFactors.select(F.col("id").cast("long").alias("idx"), F.col("features").alias("v")))
+    return vocab.join(factors, "idx", "left").select("token", F.coalesce("v", zeros).alias("v"))
+
+
+def train_skipgram(
     docs: DataFrame,
     tokens: str = "tokens",
     size: int = 100,
@@ -259,7 +343,7 @@ def train_vectors(
     max_vocabulary: int = 2_000_000,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Train word vectors; returns ``(token, v)``.
+    """Skip-gram word vectors; returns ``(token, v)``.
 
     MLlib keeps the vocabulary and its weights on the driver, so its size is checked first.
     Sentences are never cut: the limit is set to the longest token list of the input.

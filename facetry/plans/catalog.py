@@ -552,16 +552,16 @@ def document_features(spark, sf):
 
 
 def word2vec_train(spark, sf):
-    """Character vectors of the raw texts. Their values depend on scheduling, so a property of them is
-    shown: at odd places a character is replaced by a twin, which then has the same neighbours,
-    and the token nearest to the twin must be the character it stands for.
+    """Character vectors of the raw texts, size 100, window 10, 15 iterations. SQL cannot state their values, so a
+    property is shown: at odd places a character is replaced by a twin, which then has the same
+    neighbours, and the token nearest to the twin must be the character it stands for.
     """
     chars = F.transform(
         tx.char_tokens(F.lower("text")),
         lambda c, i: F.when((i % 2 == 1) & c.isin(*TWINS), F.upper(c)).otherwise(c),
     )
     docs = _documents(spark, sf).select(chars.alias("tokens")).where(F.size("tokens") > 0)
-    trained = materialize(vectors.train_vectors(docs, size=20, window=5, iterations=1))
+    trained = materialize(vectors.train_vectors(docs))
     finite = F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(1e6)))
     near = vectors.nearest_tokens(trained, [c.upper() for c in TWINS])
     shown = trained.select("token", F.size("v").alias("dim"), finite.alias("finite"))
@@ -705,7 +705,7 @@ def _naive_bayes(small: bool | None) -> Query:
     def query(spark, sf):
         """Every document scored over all its words, learned from the even labelled ids."""
         docs = _word_docs(spark, sf)
-        vocab = materialize(vocabulary.fit_vocabulary(docs))
+        vocab = vocabulary.fit_vocabulary(docs)
         size, aspects = max(1, vocab.count()), tuple(LABEL_ASPECTS)
         packed = bayes.pack(enc.lookup(docs, vocab))
         labels = _odd(spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("doc_id", "id"), 0)

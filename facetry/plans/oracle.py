@@ -399,7 +399,7 @@ def statements() -> dict[str, str]:
         "query_attention_pool": _query_attention(c.W_OUT),
         "query_attention_pool_joined": _query_attention(c.W_OUT_LARGE),
         "document_features": f"WITH {SEQUENCES}, {ATTENTION}, pooled AS (SELECT doc_id, dim, avg(x) AS m, max(x) AS x FROM cells GROUP BY doc_id, dim), parts AS (SELECT doc_id, dim, m AS value FROM pooled UNION ALL SELECT doc_id, dim + {c.DIM}, x FROM pooled UNION ALL SELECT doc_id, dim + {2 * c.DIM}, value FROM attended), wide AS (SELECT doc_id, unnest(range(0, {3 * c.DIM}))::INTEGER AS dim FROM documents) SELECT doc_id, dim, round(coalesce(value, 0.0), 6) AS value FROM wide LEFT JOIN parts USING (doc_id, dim)",
-        "word2vec_train": f"WITH chars AS (SELECT unnest(string_split({LOWER}, '')) AS c, generate_subscripts(string_split({LOWER}, ''), 1) AS place FROM documents WHERE length(text) > 0) SELECT DISTINCT CASE WHEN place % 2 = 0 AND c = 'e' THEN upper(c) ELSE c END AS token, 20 AS dim, true AS finite, CASE WHEN place % 2 = 0 AND c = 'e' THEN c END AS nearest FROM chars",
+        "word2vec_train": f"WITH chars AS (SELECT unnest(string_split({LOWER}, '')) AS c, generate_subscripts(string_split({LOWER}, ''), 1) AS place FROM documents WHERE length(text) > 0) SELECT DISTINCT CASE WHEN place % 2 = 0 AND c = 'e' THEN upper(c) ELSE c END AS token, 100 AS dim, true AS finite, CASE WHEN place % 2 = 0 AND c = 'e' THEN c END AS nearest FROM chars",
         "csv_roundtrip": "SELECT doc_id, text, " + ", ".join(f"((doc_id * 7 + {i - 1}) % 4 - 2)::INTEGER AS {name}" for i, _, name in ASPECTS) + " FROM documents",
         "csv_append": "SELECT doc_id, text FROM documents",
         "stop_words_file": "SELECT DISTINCT regexp_replace(line, '^[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+|[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+$', '', 'g') AS token FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE token <> ''",

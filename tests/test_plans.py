@@ -55,7 +55,7 @@ def test_train_validate_and_score(spark, reviews_path, tmp_path):
     reviews = read_reviews(spark, reviews_path)
     tokens = preprocess.preprocess_chars(reviews, ["的", "，"])
     vectors = preprocess.character_vectors(
-        spark, reviews_path, f"{out}/vectors", size=8, window=3, iterations=2, partitions=1
+        spark, reviews_path, f"{out}/vectors", size=8, window=3, iterations=2
     )
     held = tokens.where("id % 3 = 0")
     classify.train_all(spark, tokens, vectors, 8, out, aspects=(1, 20), epochs=8, validation_tokens=held)

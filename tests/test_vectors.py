@@ -119,13 +119,45 @@ def test_embedding_rows(spark):
     assert rows == {0: [0.0, 0.0], 1: [0.0, 0.0], 2: [1.0, 2.0]}
 
 
-def test_train_vectors(spark):
+def test_train_skipgram(spark):
     rng = random.Random(8)
     rows = [(rng.choices("吃好面店贵", k=30),) for _ in range(40)]
     docs = spark.createDataFrame(rows, "tokens array<string>")
-    trained = vectors.train_vectors(docs, size=7, window=3, iterations=2, partitions=2)
+    trained = vectors.train_skipgram(docs, size=7, window=3, iterations=2, partitions=2)
     got = {r["token"]: r["v"] for r in trained.collect()}
     assert set(got) == set("吃好面店贵")
     assert all(len(v) == 7 and all(map(math.isfinite, v)) for v in got.values())
     with pytest.raises(ValueError, match="max_vocabulary"):
-        vectors.train_vectors(docs, max_vocabulary=3)
+        vectors.train_skipgram(docs, max_vocabulary=3)
+
+
+def test_pair_weights_against_brute_force(spark):
+    rng = random.Random(4)
+    rows = [([rng.choice("abcde") for _ in range(rng.randint(0, 25))],) for _ in range(40)] + [(None,), (["z", "z"],)]
+    docs = spark.createDataFrame(rows, "tokens array<string>").repartition(3)
+    vocab = spark.createDataFrame([(t, 1, i + 1) for i, t in enumerate("abcdz")], "token string, n long, idx long")
+    got = {(r["a"], r["b"]): r["n"] for r in vectors.pair_weights(docs, vocab, 4).collect()}
+    want = {}
+    place = {t: i + 1 for i, t in enumerate("abcdz")}
+    for (tokens,) in rows:
+        seq = [place[t] for t in tokens or [] if t in place]
+        for i, a in enumerate(seq):
+            for j, b in enumerate(seq):
+                if 0 < abs(i - j) <= 4:
+                    want[a, b] = want.get((a, b), 0) + (5 - abs(i - j)) / 4
+    assert got == pytest.approx(want)
+
+
+def test_train_vectors_by_factorisation(spark):
+    """Two words with the same neighbours get close vectors; a word without neighbours gets zeros."""
+    rng = random.Random(6)
+    rows = [([rng.choice(("hot", "warm")) if k % 2 else rng.choice("abc") for k in range(20)],) for _ in range(60)]
+    rows += [([rng.choice("xyz") for _ in range(20)],) for _ in range(60)] + [(["alone"],)]
+    docs = spark.createDataFrame(rows, "tokens array<string>")
+    got = {r["token"]: np.array(r["v"]) for r in vectors.train_vectors(docs, size=8, window=2, iterations=5).collect()}
+    assert set(got) == {"hot", "warm", "alone", *"abcxyz"} and all(len(v) == 8 for v in got.values())
+    close = lambda a, b: got[a] @ got[b] / np.linalg.norm(got[a]) / np.linalg.norm(got[b])
+    assert close("hot", "warm") > 0.95 and not got["alone"].any()
+    assert max(close("hot", w) for w in "xyz") < close("hot", "warm")
+    nothing = vectors.train_vectors(docs.where("size(tokens) = 1"), size=3)
+    assert [list(r["v"]) for r in nothing.collect()] == [[0.0] * 3]
