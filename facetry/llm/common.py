@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import uuid
 from collections.abc import Sequence
 
@@ -18,6 +21,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_SHARE = 512
 
 
+def _letters() -> str:
+    """The characters of Unicode category L as ranges of a character class."""
+    found, begin = [], None
+    for c in range(sys.maxunicode + 2):
+        letter = c <= sys.maxunicode and unicodedata.category(chr(c)).startswith("L")
+        if letter and begin is None:
+            begin = c
+        elif not letter and begin is not None:
+            found.append(f"{chr(begin)}-{chr(c - 1)}")
+            begin = None
+    return "".join(found)
+
+
+# Runs of letters; the same runs that Spark finds by LETTER_RUN. No letter needs escaping in a class.
+LETTER_RUN = r"\p{L}+"
+LETTERS = re.compile(f"[{_letters()}]+")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table, read through Spark."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

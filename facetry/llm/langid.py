@@ -7,12 +7,11 @@ over all its words, repeats counted; the score is that language's share of the p
 divided by the square root of the words so that long texts do not all read 1.
 
 Training counts words on Spark over a bounded sample of labelled documents (about ``sample`` rows
-per language, drawn by a hash of the id) and keeps the ``max_words`` most frequent (word,
-language) counts (at the border all of one count go together); the n-grams are those of the kept
-words, weighted by their counts. The model's size is bounded by these parameters, so it is
-broadcast.
+per language, drawn by a hash of the id). All words of these documents are kept, however rare, and so are
+all their n-grams, weighted by the words' counts; a language whose words all occur once loses
+nothing. The number of sampled documents bounds the model, which is broadcast.
 
-Defined cases: a word is a run of letters, lower-cased; a null text or one without a letter is
+Defined cases: a word is a run of letters (Unicode category L), lower-cased; a null text or one without a letter is
 ``und`` with score 0; with no labelled text everything is ``und``. Ties go to the first language
 by name. A word whose characters were never seen adds nothing; if that holds for all words the
 frequency of the languages decides. Null ids and repeated rows are scored like any other row.
@@ -20,7 +19,6 @@ frequency of the languages decides. Null ids and repeated rows are scored like a
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetry.llm.common import most_frequent
+from facetry.llm.common import LETTER_RUN, LETTERS
 from facetry.session import materialize, ship_package
 
-LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 CACHE_WORDS, CACHE_LETTERS = 200_000, 64  # of words not seen in training, per worker process
 
@@ -127,8 +124,7 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    sample: int = 4000,
-    max_words: int = 150_000,
+    sample: int = 2000,
 ) -> Model:
     """Fit on about ``sample`` documents per language among those where ``learn`` holds."""
     usable = docs.where(
@@ -141,9 +137,9 @@ def train(
     shares = F.create_map(*[F.lit(x) for pair in sizes.items() for x in (pair[0], sample / pair[1])])
     draw = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
     chosen = usable.where(draw < F.element_at(shares, F.col("lang")))
-    words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("body"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("body"), F.lit(LETTER_RUN), F.lit(0))).alias("word"))
     counted = materialize(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
-    counts = most_frequent(counted, "n", max_words).toPandas().sort_values(["word", "lang"])
+    counts = counted.toPandas().sort_values(["word", "lang"])
     table = {(w, x): int(n) for x, w, n in zip(counts["lang"], counts["word"], counts["n"], strict=True)}
     return Model(table, sizes)
 

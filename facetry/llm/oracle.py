@@ -23,7 +23,7 @@ WITH v AS (
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  FROM (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id) q JOIN (SELECT DISTINCT vec_id, v FROM v) c ON c.vec_id <> q.vec_id
 ), r AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
 )

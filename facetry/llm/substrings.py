@@ -27,7 +27,7 @@ Defined cases: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a null or empty te
 shorter than a window loses nothing. A null id is no smaller and no larger than any: such a row
 removes nothing and loses nothing. Rows of one id are one document to the others and each of them
 is judged by itself; they do not count against each other. Windows repeated inside one document stay.
-Windows are equal when their 128-bit codes are.
+Windows are equal when their 96-bit codes are.
 """
 
 from __future__ import annotations
@@ -160,16 +160,17 @@ def _extended(batch: pa.RecordBatch, anchors: Anchors):
 
 
 def _window_codes(touched: DataFrame, anchors: Anchors) -> DataFrame:
-    """``(code, more, id)`` per extended window; code and more are 64 bits each."""
+    """``(code, more, id)`` per extended window; the code has 64 bits, and more has 32."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, words, runs, at in _extended(batch, anchors):
-                both = [pa.array(runs.codes(at, anchors.window, k).view(np.int64)) for k in (0, 1)]
+                code = runs.codes(at, anchors.window).view(np.int64)
+                more = (runs.codes(at, anchors.window, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 ids = batch.column(2).take(pa.array(words.text[at] + begin))
-                yield pa.record_batch([*both, ids], ["code", "more", "id"])
+                yield pa.record_batch([pa.array(code), pa.array(more), ids], ["code", "more", "id"])
 
-    return touched.select("text", "shared", "id").mapInArrow(make, "code long, more long, id long")
+    return touched.select("text", "shared", "id").mapInArrow(make, "code long, more int, id long")
 
 
 def _judged(owned: DataFrame, anchors: Anchors) -> DataFrame:

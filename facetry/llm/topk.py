@@ -11,7 +11,8 @@ smaller id can still win. The best k of each block meet in a window that keeps k
 
 Defined cases: a null vector, or one with a null, NaN or infinite component, takes no part,
 neither does a null id. Vectors are compared only with vectors of their own length; empty vectors
-score 0. Of rows that repeat an id the smallest vector takes part. Fewer than k other rows give
+score 0. An id may have several vectors: each different one is a candidate of all other ids' queries, and the
+smallest one is the id's query. Fewer than k other rows give
 fewer results, a lone query none. Components and scores beyond the range of a long are clipped
 to it. Empty tables give an empty result.
 """
@@ -89,15 +90,14 @@ def _best(places: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def integer_vectors(rows: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
-    """``(id, v array<long>)`` of the rows that take part."""
+    """``(id, v array<long>)`` of the rows that take part, equal ones once."""
     v = F.col(embedding)
     limit = F.lit(float("inf"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < limit))
     # as doubles, floor() saturates at the ends of a long
     whole = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     some = rows.where(F.col(vec_id).isNotNull() & F.coalesce(fine, F.lit(False)))
-    each = some.select(F.col(vec_id).cast("long").alias("id"), whole.alias("v"))
-    return each.groupBy("id").agg(F.min("v").alias("v"))
+    return some.select(F.col(vec_id).cast("long").alias("id"), whole.alias("v")).distinct()
 
 
 def top_k(
@@ -113,13 +113,14 @@ def top_k(
     """``(query_id, rank, vec_id, score)``; ``is_query`` is a condition on the column ``id``."""
     ship_package(rows.sparkSession)
     vectors = materialize(integer_vectors(rows, vec_id, embedding, scale))
-    n = vectors.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
+    queries = materialize(vectors.where(is_query).groupBy("id").agg(F.min("v").alias("v")))
+    n = {"n": vectors.count(), "q": queries.count()}
     blocks, chunks = max(1, -(-n["n"] // block_rows)), max(1, -(-n["q"] // chunk_queries))
     place = lambda seed, m: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(m))
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
     sides = [
         vectors.withColumn("block", place(0, blocks)).withColumn("chunk", every(chunks)).withColumn("asks", F.lit(False)),
-        vectors.where(is_query).withColumn("chunk", place(1, chunks)).withColumn("block", every(blocks)).withColumn("asks", F.lit(True)),
+        queries.withColumn("chunk", place(1, chunks)).withColumn("block", every(blocks)).withColumn("asks", F.lit(True)),
     ]
     meeting = sides[0].unionByName(sides[1])
 

@@ -1,12 +1,14 @@
 """Language, toxicity and quality: their rules on small inputs."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from facetry.llm import langid, quality, toxicity
+from facetry.llm.common import LETTER_RUN, LETTERS
 
 
 
@@ -44,6 +46,73 @@ def test_language_edge_cases(spark):
     assert langid.predict(docs(spark, []), model).count() == 0
 
 
+def test_only_letters_make_words(spark):
+    model = langid.train(docs(spark, LANGS), F.lit(True))
+    odd = ["½ ²", "Ⅷ ①", "٣ 4", "_ -", "́ ̈"]
+    got = langid.predict(docs(spark, [(i, t, None, "x") for i, t in enumerate(odd)]), model).collect()
+    assert {(r["lang_pred"], r["score"]) for r in got} == {("und", 0.0)}
+    # the runs that training counts on Spark are those that a prediction finds
+    texts = ["été ½x² Ⅷa", "ǅ ʰx ªb 漢字かな", "e\u0301te", "\U0001d4d0b \u2160c", "a_b'c\u200dd", "ß ſ ŉ İi"]
+    cut = F.regexp_extract_all(F.lower("text"), F.lit(LETTER_RUN), F.lit(0)).alias("w")
+    for row in docs(spark, [(i, t, None, "x") for i, t in enumerate(texts)]).select("text", cut).collect():
+        assert row["w"] == LETTERS.findall(row["text"].lower()), row["text"]
+
+
+def test_a_script_without_blanks_keeps_its_words(spark):
+    """A "word" of such a text is a whole sentence, which occurs once."""
+    rng = random.Random(5)
+    listed = ["我们", "他们", "的人", "这里", "不是", "了解", "在家", "有一"]
+    sentence = lambda: "".join(rng.choices(listed, k=6))
+    han = [(100 + i, "。".join(sentence() for _ in range(20)), "zh", "x") for i in range(30)]
+    common = [(200 + i, "the cat and the dog " * 20, "en", "x") for i in range(300)]
+    model = langid.train(docs(spark, LANGS + han[:25] + common), F.lit(True))
+    assert {model.predict(t)[0] for _, t, _, _ in han[25:]} == {"zh"}
+    assert all(w in model.words.row for _, t, _, _ in han[:25] for w in t.split("。"))
+
+
+def test_language_scores_by_hand(spark):
+    """The sums, done again in plain Python."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(["aba", "cab", "bac", "dada", "ab"] if i % 2 else ["dad", "add", "aba", "bad"], k=6)), "xy"[i % 2], "x") for i in range(30)]
+    model = langid.train(docs(spark, rows), F.lit(True))
+    counts = [Counter(w for i, t, _, _ in rows if i % 2 == c for w in t.split()) for c in (0, 1)]
+
+    def table(tallies):
+        keys = set(tallies[0]) | set(tallies[1])
+        logs = {k: [np.log((t.get(k, 0) + 0.5) / (sum(t.values()) + 0.5 * len(keys))) for t in tallies] for k in keys}
+        return {k: np.array(v) - np.mean(v) for k, v in logs.items()}
+
+    def grams(w, n):
+        w = f" {w} " if n > 1 else w
+        return [w[i : i + n] for i in range(len(w) - n + 1)]
+
+    words = table([dict(c) for c in counts])
+    shorter = {}
+    for n in range(1, 6):
+        tallies = [{}, {}]
+        for c in (0, 1):
+            for w, k in counts[c].items():
+                for g in grams(w, n):
+                    tallies[c][g] = tallies[c].get(g, 0) + k**0.5
+        shorter[n] = table(tallies)
+    for text in ("aba dad cab", "dadas", "abax zzz bad bad", "d"):
+        total = np.zeros(2)
+        for w in text.split():
+            if w in words:
+                total += words[w]
+                continue
+            for n in range(5, 0, -1):
+                known = [shorter[n][g] for g in grams(w, n) if g in shorter[n]]
+                if known:
+                    total += np.mean(known, axis=0)
+                    break
+        prior = np.log(np.array([16, 16]) / 32)
+        scaled = np.exp(prior + total / len(text.split()) ** 0.5)
+        best = int(np.argmax(prior + total))
+        lang, score = model.predict(text)
+        assert lang == "xy"[best] and score == pytest.approx(scaled[best] / scaled.sum(), abs=1e-5)
+
+
 def test_language_learns_only_where_it_may(spark):
     held = docs(spark, [*LANGS, *[(100 + i, "zzz yyy", "xx", "x") for i in range(9)]])
     model = langid.train(held, F.col("doc_id") < 100)

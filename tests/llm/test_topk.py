@@ -10,19 +10,17 @@ from facetry.llm.topk import top_k
 
 
 def brute(rows, k=5, step=50, scale=256):
-    vectors = {}
+    vectors, queries = set(), {}
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         whole = [math.floor(float(np.float32(x)) * scale) for x in v]
-        vectors[i] = min(vectors.get(i, whole), whole)
+        vectors.add((i, tuple(whole)))
+        if i % step == 0:
+            queries[i] = min(queries.get(i, tuple(whole)), tuple(whole))
     out = []
-    for q, a in vectors.items():
-        if q % step:
-            continue
-        scored = sorted(
-            ((-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors.items() if i != q and len(a) == len(b))
-        )
+    for q, a in queries.items():
+        scored = sorted(((-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors if i != q and len(a) == len(b)))
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -50,6 +48,12 @@ def test_edge_cases(spark):
     assert run(spark, [(50, [1.0])]) == []
 
 
+def test_every_vector_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(50, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [9.0, 0.0]), (7, [9.0, 0.0]), (50, [2.0, 0.0]), (100, [0.0, 1.0])]
+    assert run(spark, rows)[:3] == [(50, 1, 7, 9 * 65536), (50, 2, 7, 65536), (50, 3, 100, 0)]
+    assert run(spark, rows, block_rows=1) == run(spark, rows) == brute(rows)
+
+
 def test_huge_components_do_not_overflow(spark):
     rows = [(0, [3e38, 1.0]), (1, [3e38, -3e38]), (2, [1e10, 2.0]), (3, [-3e38, 0.0])]
     got = run(spark, rows)
