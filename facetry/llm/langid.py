@@ -124,7 +124,7 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    sample: int = 2000,
+    sample: int = 1000,
 ) -> Model:
     """Fit on about ``sample`` documents per language among those where ``learn`` holds."""
     usable = docs.where(
