@@ -1,4 +1,5 @@
 import functools
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ from tokenizers import Tokenizer
 
 from facetry.llm import alignment
 from facetry.llm.alignment import Encoder, Tokenisers, align, merge_path
-from facetry.llm.queries import BYTE_MODEL, PIECE_MODEL
+from facetry.llm.queries import BYTE_MODEL, PIECE_MODEL, op11_alignment
 
 
 @pytest.fixture(scope="module")
@@ -89,6 +90,15 @@ def test_against_brute_force(spark, tokenisers, max_pairs):
     assert sorted(map(tuple, got), key=str) == sorted(rows, key=str)
 
 
+def test_the_query_on_a_whole_table(spark, tokenisers):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = brute(tokenisers, [r["text"] for r in rows])
+    digest = lambda g: hashlib.sha256(g.encode()).hexdigest() if g else ""
+    got = {r["doc_id"]: tuple(r)[1:] for r in op11_alignment(spark, sf).collect()}
+    assert got == {r["doc_id"]: (*w[:-1], digest(w[-1])) for r, w in zip(rows, want, strict=True)}
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert align(frame, BYTE_MODEL, PIECE_MODEL).collect() == []
