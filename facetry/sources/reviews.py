@@ -15,6 +15,7 @@ from facetry.functions.arrays import (
     parse_token_list,
 )
 from facetry.schema import ASPECT_COLUMNS, review_schema
+from facetry.sources.records import read_records, stray_quote
 
 # Quoted fields hold line breaks and doubled quotes; blanks at the ends belong to the value.
 CSV_OPTIONS = {
@@ -40,12 +41,18 @@ def _strict(cell: Column, kind: T.DataType, name: str) -> Column:
     return value.alias(name)
 
 
-def read_reviews(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_reviews(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, split: bool = True
+) -> DataFrame:
     """``id``, ``content`` and the label columns, found by name in the files' header.
 
     The columns may stand in any order and others may be there too; every file must have the
     header of the first one. A cell that is no number, or a row with too few or too many
     fields, is an error.
+
+    A file is read by as many tasks as it has splits, its records cut by counting quotes
+    (``sources.records``). That needs quotes at the ends of cells only, others doubled; a stray one
+    is an error. ``split=False`` takes such files, and those whose lines end with a lone CR, by one task each.
     """
     schema = schema or review_schema()
     header = spark.read.options(**READ_OPTIONS).csv(path).columns
@@ -53,10 +60,25 @@ def read_reviews(spark: SparkSession, path: str, schema: T.StructType | None = N
     if missing:
         raise ValueError(f"{path} has no column {missing[0]}")
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = spark.read.options(**READ_OPTIONS, enforceSchema="false", mode="FAILFAST").schema(text).csv(path)
+    if split:
+        rows = _parsed(read_records(spark, path), text)
+    else:
+        rows = spark.read.options(**READ_OPTIONS, enforceSchema="false", mode="FAILFAST").schema(text).csv(path)
     return rows.select(*[_strict(F.col(f"`{f.name}`"), f.dataType, f.name) for f in schema])
 
 
+def _parsed(records: DataFrame, text: T.StructType) -> DataFrame:
+    """The cells of ``(record, first)``; the first record of every file must be the header ``text``."""
+    stray = F.raise_error(F.concat(F.lit("stray quote, read with split=False: "), F.substring("record", 1, 200)))
+    record = F.when(F.contains("record", F.lit('"')) & stray_quote(F.col("record")), stray.cast("string")).otherwise(F.col("record"))
+    cells = F.from_csv(record, text.simpleString()[7:-1].replace(":string", " string"), READ_OPTIONS | {"mode": "FAILFAST"})
+    rows = records.select(cells.alias("cells"), "first")
+    same = [F.col(f"cells.`{f.name}`").eqNullSafe(F.lit(f.name)) for f in text]
+    other = F.raise_error(F.lit("a file's CSV header differs from the first one's")).cast("boolean")
+    body = F.when(F.col("first"), F.when(~F.array_contains(F.array(*same), False), False).otherwise(other)).otherwise(True)
+    return rows.where(body).select("cells.*")
+
+
 def read_tokenised(spark: SparkSession, path: str) -> DataFrame:
     """Reviews whose ``content`` is the text of a token list, with a ``tokens`` array instead."""
     reviews = read_reviews(spark, path)
