@@ -635,6 +635,21 @@ def build_if_absent_twice(spark, sf):
     return build_if_absent(spark, path, lambda: counts.where("false"))
 
 
+def build_if_stale(spark, sf):
+    """Kept from half of the documents, built again when the rest is added, then taken as it is."""
+    given, path = _scratch(spark, "given"), _scratch(spark, "kept")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source")
+
+    def counts() -> DataFrame:
+        return spark.read.parquet(given).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+    docs.where("doc_id % 2 = 0").write.parquet(given)
+    build_if_absent(spark, path, counts, {"documents": given}, {"by": "source"})
+    docs.where("doc_id % 2 = 1").write.mode("append").parquet(given)
+    build_if_absent(spark, path, counts, {"documents": given}, {"by": "source"})
+    return build_if_absent(spark, path, lambda: counts().where("false"), {"documents": given}, {"by": "source"})
+
+
 def vector_file_roundtrip(spark, sf):
     """Tokens with blanks, line breaks, backslashes and nothing at all among them."""
     path = _scratch(spark, "vectors")
@@ -789,6 +804,7 @@ QUERIES: dict[str, Query] = {
     "vocabulary_roundtrip": vocabulary_roundtrip,
     "embedding_roundtrip": embedding_roundtrip,
     "build_if_absent_twice": build_if_absent_twice,
+    "build_if_stale": build_if_stale,
     "vector_file_roundtrip": vector_file_roundtrip,
     "aspect_scores": aspect_scores,
     "aspect_epochs": aspect_epochs,

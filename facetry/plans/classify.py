@@ -20,11 +20,17 @@ from facetry.sources.artifacts import build_if_absent
 def prepare(
     spark: SparkSession, train_tokens: DataFrame, vectors: DataFrame, dim: int, out_dir: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Vocabulary and embedding rows of the training split, each built if absent."""
+    """Vocabulary and embedding rows of the training split, each built if absent or out of date."""
     lowered = train_tokens.select("id", lower_tokens("tokens").alias("tokens"))
-    vocab = build_if_absent(spark, f"{out_dir}/vocabulary", lambda: fit_vocabulary(lowered))
+    vocab = build_if_absent(
+        spark, f"{out_dir}/vocabulary", lambda: fit_vocabulary(lowered), {"tokens": train_tokens}
+    )
     rows = build_if_absent(
-        spark, f"{out_dir}/embeddings", lambda: embedding_rows(vocab, vectors, dim)
+        spark,
+        f"{out_dir}/embeddings",
+        lambda: embedding_rows(vocab, vectors, dim),
+        {"vocabulary": f"{out_dir}/vocabulary", "vectors": vectors},
+        {"dim": dim},
     )
     return vocab, rows
 

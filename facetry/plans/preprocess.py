@@ -53,7 +53,7 @@ def preprocess_split(
     stop_path: str,
     dictionary_path: str | None = None,
 ) -> DataFrame:
-    """One split, built if absent. The mode is part of the path, so modes never mix."""
+    """One split, built if absent or if its files have changed. The mode is part of the path, so modes never mix."""
     if mode not in ("char", "word"):
         raise ValueError(mode)
 
@@ -70,14 +70,17 @@ def preprocess_split(
         words = stop_word_list(stop, STOP_LIST_MAX) if few else stop
         return preprocess_words(reviews, read_dictionary(spark, dictionary_path), words)
 
-    return build_if_absent(spark, f"{out_dir}/mode={mode}/split={split}", build)
+    inputs = {"reviews": csv_path, "stop": stop_path}
+    if mode == "word" and dictionary_path is not None:
+        inputs["dictionary"] = dictionary_path
+    return build_if_absent(spark, f"{out_dir}/mode={mode}/split={split}", build, inputs, {"stop_list_max": STOP_LIST_MAX})
 
 
 def character_vectors(spark: SparkSession, csv_path: str, path: str, **params) -> DataFrame:
-    """Vectors of the characters of the raw, unfiltered training text, built if absent."""
+    """Vectors of the characters of the raw, unfiltered training text, built if absent or out of date."""
 
     def build() -> DataFrame:
         reviews = read_reviews(spark, csv_path).where(F.col("content").isNotNull())
         return train_vectors(reviews.select(char_tokens("content").alias("tokens")), **params)
 
-    return build_if_absent(spark, path, build)
+    return build_if_absent(spark, path, build, {"reviews": csv_path}, params)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -13,14 +16,94 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read ``path``; only when it holds no finished table, build and write it first.
+MANIFEST = "_manifest.json"  # Spark's readers pass over names that begin with an underscore
+
+
+def fingerprint(spark: SparkSession, source: str | DataFrame) -> str | None:
+    """A code of the names, lengths and times of an input's files; None if it has no file.
+
+    The input is a file, a folder with everything below it, or a DataFrame, which stands for the files it
+    reads. Spark lists the files and adds up their codes; no content is read.
+    """
+    if isinstance(source, DataFrame):
+        paths = [unquote(name) for name in source.inputFiles()]
+    else:
+        system, place = _file_system(spark, source)
+        paths = [source] if system.exists(place) else []
+    if not paths:
+        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    facts = ["path", "length", F.unix_micros("modificationTime")]
+    codes = [F.bit_xor(F.xxhash64(F.lit(salt), *facts)) for salt in (0, 1)]
+    row = files.agg(F.count(F.lit(1)), *codes).first()
+    return ":".join(str(value) for value in row) if row[0] else None
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """What a kept table was built from; None without a whole manifest."""
+    system, place = _file_system(spark, f"{path}/{MANIFEST}")
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        text = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    try:
+        return json.loads(text)
+    except ValueError:  # cut off while it was written
+        return None
+
+
+def _write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
+    system, place = _file_system(spark, f"{path}/{MANIFEST}")
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    finally:
+        stream.close()
+
+
+def build_if_absent(
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    inputs: Mapping[str, str | DataFrame] | None = None,
+    params: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Read ``path``; only when it holds no finished table of these inputs, build and write it first.
 
     ``build`` is not even called for a finished table, so its plan costs nothing. What a
     failed run left behind is replaced.
+
+    With ``inputs`` or ``params`` a manifest beside the table states the inputs' fingerprints and the
+    parameters (JSON values). A table without one, or whose parameters or input files have changed since, is
+    built again. An input that has no files any more (raw files moved away after the import), or never had
+    any, is not compared. The manifest is removed with the old table and written last, so the table of a
+    killed run is never taken.
     """
-    if not is_complete(spark, path):
+    if inputs is None and params is None:
+        if not is_complete(spark, path):
+            build().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    codes = {name: fingerprint(spark, source) for name, source in (inputs or {}).items()}
+    asked = json.loads(json.dumps(params or {}))
+    kept = read_manifest(spark, path) if is_complete(spark, path) else None
+    same = (
+        kept is not None
+        and kept["params"] == asked
+        and kept["inputs"].keys() == codes.keys()
+        and all(code is None or kept["inputs"][name] == code for name, code in codes.items())
+    )
+    if not same:
         build().write.mode("overwrite").parquet(path)
+        # taken before the build: an input that changed meanwhile differs the next time
+        _write_manifest(spark, path, {"inputs": codes, "params": asked})
     return spark.read.parquet(path)
 
 

@@ -163,6 +163,54 @@ def test_build_if_absent(spark, tmp_path):
     assert calls == [1, 1]
 
 
+def test_a_manifest_tells_stale_tables(spark, tmp_path):
+    path, given, calls = str(tmp_path / "kept"), tmp_path / "raw files", []
+    given.mkdir()
+    (given / "a.txt").write_text("1\n2\n")
+
+    def kept(build=None, **params):
+        def read():
+            calls.append(1)
+            return spark.read.text(str(given))
+
+        return artifacts.build_if_absent(spark, path, build or read, {"raw": str(given)}, params).count()
+
+    assert kept(size=3, names=("a",)) == kept(size=3, names=("a",)) == 2 and len(calls) == 1
+    (given / "sub").mkdir()  # nothing in it
+    assert kept(size=3, names=("a",)) == 2 and len(calls) == 1
+    (given / "b.txt").write_text("3\n")
+    assert kept(size=3, names=("a",)) == 3 and len(calls) == 2
+    assert kept(size=4, names=("a",)) == 3 and len(calls) == 3
+    (given / "a.txt").write_text("1\n3\n")  # as long as before
+    assert kept(size=4, names=("a",)) == 3 and len(calls) == 4
+    # a build that fails leaves no table that is taken, even with the marker of a finished write
+    with pytest.raises(Exception, match="no such"):
+        kept(lambda: spark.range(9).selectExpr("raise_error('no such') AS x"), size=5)
+    (tmp_path / "kept").mkdir(exist_ok=True)
+    (tmp_path / "kept" / "_SUCCESS").touch()
+    assert kept(size=5) == 3 and len(calls) == 5
+    (tmp_path / "kept" / artifacts.MANIFEST).write_text('{"inputs": {"ra')  # cut off
+    (tmp_path / "kept" / f".{artifacts.MANIFEST}.crc").unlink()
+    assert kept(size=5) == 3 and len(calls) == 6
+    for name in ("a.txt", "b.txt"):
+        (given / name).unlink()
+    assert kept(size=5) == 3 and len(calls) == 6  # the raw files are gone: the table stays
+
+
+def test_a_dataframe_stands_for_its_files(spark, tmp_path):
+    path = str(tmp_path / "a table" / "part=1")
+    spark.range(5).write.parquet(path)
+    whole = artifacts.fingerprint(spark, path)
+    assert whole == artifacts.fingerprint(spark, path)
+    frame = lambda: spark.read.parquet(path).where("id > 1").groupBy("id").count()
+    before = artifacts.fingerprint(spark, frame())
+    assert before is not None and before == artifacts.fingerprint(spark, frame())
+    spark.range(1).write.mode("append").parquet(path)
+    assert artifacts.fingerprint(spark, frame()) != before
+    assert artifacts.fingerprint(spark, spark.range(3)) is None
+    assert artifacts.fingerprint(spark, str(tmp_path / "nowhere")) is None
+
+
 def test_kept_tables(spark, tmp_path):
     vocab = spark.createDataFrame([("a", 2, 1)], "token string, n long, idx long")
     rows = spark.createDataFrame([(0, [0.0]), (1, [2.0])], "idx long, v array<float>")
