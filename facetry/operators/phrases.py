@@ -3,25 +3,27 @@
 A list that passes the size check travels to the tasks, and each text is searched where it is
 read (``operators.matcher``); only matches leave the scan.
 
-A longer list meets the texts in an equi-join: every phrase is filed under the hash of an anchor,
-its first characters up to a power of two, and every text position offers its own anchors.
-Texts are cut into overlapping windows for that, so that one long text is many short rows.
+A longer list stays a table. Its Bloom filter travels instead (``operators.bloom``: the hashes of the phrases
+and of their first characters up to a power of two), and only pieces of text that pass it leave the scan, each
+once per slice of texts, for an equi-join with the list.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from facetry.operators import bloom
 from facetry.operators.joins import lookup_join
-from facetry.operators.matcher import Matcher, slices
+from facetry.operators.matcher import SLICE_CHARS, Matcher, slices
 from facetry.session import fits_broadcast, materialize, ship_package
 
-STEP = 128
-
 
 def _by_id(hits: DataFrame) -> DataFrame:
     """Shuffle the matches on ``id``.
@@ -67,50 +69,59 @@ def _matches_in_tasks(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     return found.select("id", "_m.pos", "_m.ord")
 
 
-def _anchor_length(n: Column, longest: int) -> Column:
-    """The largest power of two up to ``n``."""
-    size, length = F.lit(1), 2
-    while length <= longest:
-        size = F.when(n >= length, F.lit(length)).otherwise(size)
-        length *= 2
-    return size
+def candidates(docs: DataFrame, held: bloom.WindowFilter) -> DataFrame:
+    """``(token, ids, places)``: a row per slice of texts and different piece that the filter lets through.
+
+    ``ids`` and ``places`` say where the piece stands; together they are no longer than the slice. A
+    text longer than a slice is searched in pieces that overlap by the longest phrase.
+    """
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+    kind = docs.schema["id"].dataType
+    ids_type = T.ArrayType(kind)
+    over = max(n for lengths in held.lengths.values() for n in lengths) - 1
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            owner, offset, pieces = [], [], []
+            for i, text in enumerate(texts):
+                for at in range(0, len(text), SLICE_CHARS):
+                    owner.append(i)
+                    offset.append(at)
+                    pieces.append(text[at : at + SLICE_CHARS + over])
+            owner, offset = np.array(owner, np.int64), np.array(offset, np.int64)
+            for begin, end in slices(pieces):
+                some = pieces[begin:end]
+                start, size, ends = bloom.windows(shared.value, some)
+                which = np.searchsorted(ends, start, side="right")
+                own = start - np.concatenate([[0], ends])[which]
+                mine = own < SLICE_CHARS  # what starts later belongs to the next piece
+                start, size, which, own = start[mine], size[mine], which[mine] + begin, own[mine]
+                if not len(start):
+                    continue
+                joined = "".join(some)
+                coded = pa.array([joined[s : s + n] for s, n in zip(start.tolist(), size.tolist(), strict=True)]).dictionary_encode()
+                order = np.argsort(coded.indices.to_numpy(), kind="stable")
+                counts = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                ids = batch.column(0).take(pa.array(owner[which[order]]))
+                places = pa.array((own[order] + offset[which[order]]).astype(np.int32))
+                yield pa.record_batch(
+                    [coded.dictionary, pa.ListArray.from_arrays(offsets, ids), pa.ListArray.from_arrays(offsets, places)],
+                    ["token", "ids", "places"],
+                )
+
+    fields = [("token", T.StringType()), ("ids", ids_type), ("places", T.ArrayType(T.IntegerType()))]
+    return docs.select("id", "text").mapInArrow(find, T.StructType([T.StructField(*f) for f in fields]))
 
 
 def _matches_by_join(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Positions and phrases meet on anchor hashes alone; the text joins what is left of them."""
-    longest = phrases.agg(F.max(F.length("token"))).first()[0]
-    filed = phrases.withColumn("_len", F.length("token"))
-    filed = filed.withColumn("_k", _anchor_length(F.col("_len"), longest))
-    filed = filed.withColumn("_anchor", F.xxhash64(F.expr("left(token, _k)")))
-    sizes = [r["_k"] for r in filed.select("_k").distinct().orderBy("_k").collect()]
-    window = rf"(?s)(?=(.{{1,{STEP + longest - 1}}})).{{1,{STEP}}}"
-    windows = docs.select(
-        "id",
-        F.length("text").alias("_n"),
-        F.posexplode_outer(F.regexp_extract_all("text", F.lit(window), F.lit(1))).alias("_w", "_window"),
-    ).where("_window IS NOT NULL")
-    # written once: the anchors are made from it and the candidates are compared with it
-    windows = materialize(windows)
-    in_window = F.least(F.lit(STEP), F.col("_n") - F.col("_w") * STEP)
-    # an anchor that would leave the text is none
-    offered = F.filter(
-        F.array(*[
-            F.when(F.length("_window") >= F.col("_p") + k - 1, F.xxhash64(F.substring("_window", F.col("_p"), F.lit(k))))
-            for k in sizes
-        ]),
-        lambda x: x.isNotNull(),
-    )
-    starts = windows.select("id", "_w", "_window", F.explode(F.sequence(F.lit(1), in_window)).alias("_p"))
-    small = fits_broadcast(phrases, "token")
-    pairs = lookup_join(
-        starts.select("id", "_w", "_p", F.explode(F.array_distinct(offered)).alias("_anchor")),
-        filed.select("_anchor", "token", "_len", "ord"),
-        ["_anchor"],
-        small,
-    )
-    exact = F.substring("_window", F.col("_p"), F.col("_len")) == F.col("token")
-    compared = pairs.join(windows.select("id", "_w", "_window"), ["id", "_w"])
-    return compared.where(exact).select("id", (F.col("_w") * STEP + F.col("_p") - 1).alias("pos"), "ord")
+    """The pieces of text that pass the list's filter, each once per slice, meet the list itself."""
+    found = candidates(docs, bloom.build(phrases.select("token")))
+    met = lookup_join(found, phrases, ["token"], fits_broadcast(phrases, "token"))
+    rows = met.select("ord", F.explode_outer(F.arrays_zip("ids", "places")).alias("_m"))
+    return rows.select(F.col("_m.ids").alias("id"), F.col("_m.places").alias("pos"), "ord")
 
 
 def phrase_matches(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:

@@ -366,6 +366,11 @@ def phrase_hits_large(spark, sf):
     return _as_doc(phrases.phrase_hits(_documents(spark, sf), _large_phrase_list(spark, sf)))
 
 
+def phrase_hits_joined(spark, sf):
+    """The same long list as a table: the texts are searched with its Bloom filter."""
+    return _as_doc(phrases.phrase_hits(_documents(spark, sf), _large_phrase_list(spark, sf), small=False))
+
+
 def occurrence_counts(spark, sf):
     """How often one phrase occurs in each text, without building hits."""
     return _as_doc(_documents(spark, sf).select("id", tx.count_occurrences("text", "erer").alias("n")))
@@ -770,6 +775,7 @@ QUERIES: dict[str, Query] = {
     "phrase_hits": phrase_hits,
     "phrase_counts": phrase_counts,
     "phrase_hits_large": phrase_hits_large,
+    "phrase_hits_joined": phrase_hits_joined,
     "occurrence_counts": occurrence_counts,
     "vocab_fit": vocab_fit,
     "vocab_fit_words": vocab_fit_words,

@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from facetry.operators import bloom, phrases
 from facetry.operators.phrases import hit_map, phrase_counts, phrase_hits, phrase_matches
 
 PHRASES = ["aa", "aba", "(^_^)", "^_^", "b", "😀", "😀a", "aab", "(^_^)/~~", "abcabcabcabc", "\\E", "a.b", "好吃"]
@@ -63,3 +65,37 @@ def test_many_first_characters(spark):
     table = spark.createDataFrame([(p, i) for i, p in enumerate(listed)], "token string, ord long")
     want = brute(text, listed)[0]
     assert {r["pos"]: r["token"] for r in phrase_hits(docs, table).collect()} == want
+
+
+def test_the_filter_lets_little_through(spark, monkeypatch):
+    """Rows that leave the scan: a few times the matches, and one per slice for a piece that is everywhere."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(6, 20)))
+    listed = sorted({word() for _ in range(5_000)})
+    rows = [(str(i), " ".join([word() for _ in range(60)] + rng.choices(listed, k=3) + ["<everywhere>"])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id string, text string").coalesce(2)
+    table = spark.createDataFrame([(p, i) for i, p in enumerate([*listed, "<everywhere>"])], "token string, ord long")
+    held = bloom.build(table.select("token"))
+    found = phrases.candidates(docs, held)
+    matches = phrase_matches(docs, table, False).collect()
+    assert sorted(matches) == sorted(phrase_matches(docs, table, True).collect())
+    assert len(matches) > 800
+    assert found.select(F.sum(F.size("ids"))).first()[0] < 1.5 * len(matches)
+    assert found.where("token = '<everywhere>'").count() <= 2
+    # many small blocks; and a filter far too small for its list, which loses nothing
+    monkeypatch.setattr(bloom, "BLOCK_CELLS", 16)
+    for most, cells in ((1 << 20, 4096), (1, 16)):
+        tight = bloom.build(table.select("token"), most)
+        assert len(tight.cells) == cells
+        met = phrases.candidates(docs, tight).join(table, "token").select(F.explode(F.arrays_zip("ids", "places")).alias("m"), "ord")
+        assert sorted(map(tuple, met.select("m.ids", "m.places", "ord").collect())) == sorted(map(tuple, matches))
+
+
+def test_texts_longer_than_a_slice(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "SLICE_CHARS", 7)
+    text = "x" * 5 + "abcdefghij" * 3 + "yy" + "abc" * 4
+    docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (1, text)], "id long, text string")
+    table = spark.createDataFrame([("abcdefghij", 0), ("abc", 1), ("jab", 2), ("y", 3)], "token string, ord long")
+    got = phrase_matches(docs, table, False).collect()
+    want = [(1, at, n) for n, p in enumerate(["abcdefghij", "abc", "jab", "y"]) for at in range(len(text)) if text.startswith(p, at)]
+    assert sorted(map(tuple, got)) == sorted(want * 2)
