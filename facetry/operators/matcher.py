@@ -115,60 +115,68 @@ class Matcher:
         return same
 
     def longest_steps(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """At each place the length of the longest word that starts there (else 1), and the texts' ends."""
+        """``longest_of`` with the words of the list, and the texts' ends."""
         start, word, ends = self.matches(texts)
-        steps = np.ones(int(ends[-1]) if len(ends) else 0, np.int64)
-        by_size = np.argsort(self.sizes[word], kind="stable")
-        steps[start[by_size]] = self.sizes[word[by_size]]  # the longest is written last
-        return steps, ends
+        return longest_of(start, self.sizes[word], int(ends[-1]) if len(ends) else 0), ends
 
     def likeliest_steps(self, texts: Sequence[str], weights: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """At each place the length of the word that the best cut of the rest begins with.
-
-        The best cut has the largest sum of weights; a character that is no word weighs ``floor``;
-        of equal cuts the longer word wins. Where no word runs across a place the cut is
-        free to end, so texts fall into short stretches, solved from their ends, all in step.
-        """
+        """``likeliest_of`` with the words of the list, and the texts' ends."""
         start, word, ends = self.matches(texts)
-        total = int(ends[-1]) if len(ends) else 0
-        size = self.sizes[word]
-        single = np.full(total, floor, weights.dtype)
-        one = size == 1
-        single[start[one]] = weights[word[one]]
-        start, word, size = start[~one], word[~one], size[~one]
-        crossed = np.zeros(total + 2, np.int64)
-        np.add.at(crossed, start + 1, 1)
-        np.add.at(crossed, start + size, -1)
-        free = np.flatnonzero(np.cumsum(crossed)[: total + 1] == 0)
-        stop = free[np.searchsorted(free, np.arange(total), side="right")] if total else free[:0]
-        # by distance from the stretch's end, then place, then length
-        order = np.lexsort((size, start, stop[start] - start))
-        start, word, size = start[order], word[order], size[order]
-        runs = np.flatnonzero(np.diff(start, prepend=-1))
-        nth = np.arange(len(start)) - np.repeat(runs, np.diff(runs, append=len(start)))
-        depth = stop[start] - start
-        steps = np.ones(total, np.int64)
-        best = np.zeros(total + 1, weights.dtype)
-        places = np.argsort(stop - np.arange(total), kind="stable")
-        depths = (stop - np.arange(total))[places]
-        edges = np.searchsorted(depth, np.arange(1, (int(depths[-1]) if total else 0) + 2))
-        levels = np.searchsorted(depths, np.arange(1, (int(depths[-1]) if total else 0) + 2))
-        for d in range(len(levels) - 1):
-            at = places[levels[d] : levels[d + 1]]
-            # behind a stretch's end nothing is added: stretches do not touch each other
-            best[at] = single[at] + np.where(at + 1 < stop[at], best[np.minimum(at + 1, total)], 0)
-            lot = np.arange(edges[d], edges[d + 1])
-            rank = 0
-            while lot.size:
-                now = lot[nth[lot] == rank]
-                if not now.size:
-                    break
-                s, n = start[now], size[now]
-                score = weights[word[now]] + np.where(s + n < stop[s], best[np.minimum(s + n, total)], 0)
-                better = score >= best[s]
-                best[s[better]], steps[s[better]] = score[better], n[better]
-                rank += 1
-        return steps, ends
+        return likeliest_of(start, self.sizes[word], weights[word], int(ends[-1]) if len(ends) else 0, floor), ends
+
+
+def longest_of(start: np.ndarray, size: np.ndarray, total: int) -> np.ndarray:
+    """At each of ``total`` places the length of the longest word that starts there (else 1)."""
+    steps = np.ones(total, np.int64)
+    by_size = np.argsort(size, kind="stable")
+    steps[start[by_size]] = size[by_size]  # the longest is written last
+    return steps
+
+
+def likeliest_of(start: np.ndarray, size: np.ndarray, weight: np.ndarray, total: int, floor: float) -> np.ndarray:
+    """At each place the length of the word that the best cut of the rest begins with.
+
+    The best cut has the largest sum of weights; a character that is no word weighs ``floor``;
+    of equal cuts the longer word wins. Where no word runs across a place the cut is
+    free to end, so texts fall into short stretches, solved from their ends, all in step.
+    """
+    single = np.full(total, floor, weight.dtype)
+    one = size == 1
+    single[start[one]] = weight[one]
+    start, weight, size = start[~one], weight[~one], size[~one]
+    crossed = np.zeros(total + 2, np.int64)
+    np.add.at(crossed, start + 1, 1)
+    np.add.at(crossed, start + size, -1)
+    free = np.flatnonzero(np.cumsum(crossed)[: total + 1] == 0)
+    stop = free[np.searchsorted(free, np.arange(total), side="right")] if total else free[:0]
+    # by distance from the stretch's end, then place, then length
+    order = np.lexsort((size, start, stop[start] - start))
+    start, weight, size = start[order], weight[order], size[order]
+    runs = np.flatnonzero(np.diff(start, prepend=-1))
+    nth = np.arange(len(start)) - np.repeat(runs, np.diff(runs, append=len(start)))
+    depth = stop[start] - start
+    steps = np.ones(total, np.int64)
+    best = np.zeros(total + 1, weight.dtype)
+    places = np.argsort(stop - np.arange(total), kind="stable")
+    depths = (stop - np.arange(total))[places]
+    edges = np.searchsorted(depth, np.arange(1, (int(depths[-1]) if total else 0) + 2))
+    levels = np.searchsorted(depths, np.arange(1, (int(depths[-1]) if total else 0) + 2))
+    for d in range(len(levels) - 1):
+        at = places[levels[d] : levels[d + 1]]
+        # behind a stretch's end nothing is added: stretches do not touch each other
+        best[at] = single[at] + np.where(at + 1 < stop[at], best[np.minimum(at + 1, total)], 0)
+        lot = np.arange(edges[d], edges[d + 1])
+        rank = 0
+        while lot.size:
+            now = lot[nth[lot] == rank]
+            if not now.size:
+                break
+            s, n = start[now], size[now]
+            score = weight[now] + np.where(s + n < stop[s], best[np.minimum(s + n, total)], 0)
+            better = score >= best[s]
+            best[s[better]], steps[s[better]] = score[better], n[better]
+            rank += 1
+    return steps
 
 
 def slices(texts: Sequence[str]) -> Iterator[tuple[int, int]]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +12,14 @@ from pyspark.sql.functions import arrow_udf
 from facetry.functions.text import strip
 from facetry.operators.encode import TokenIndex
 from facetry.operators.joins import lookup_join
-from facetry.operators.matcher import Matcher, cut_places, slices, token_lists
+from facetry.operators.matcher import (
+    Matcher,
+    cut_places,
+    likeliest_of,
+    longest_of,
+    slices,
+    token_lists,
+)
 from facetry.operators.phrases import phrase_matches
 from facetry.operators.vocabulary import number_rows
 from facetry.session import fits_broadcast, materialize, ship_package
@@ -43,48 +49,35 @@ def extend_dictionary(base: DataFrame, added: DataFrame, freq: int | None = None
     return merged.agg(F.max(F.struct("_rank", "freq")).alias("_m")).select("token", "_m.freq")
 
 
-def _cuts(text: str, lengths: dict[int, int]) -> list[str]:
-    cut, at = [], 0
-    while at < len(text):
-        step = lengths.get(at, 1)
-        cut.append(text[at : at + step])
-        at += step
-    return cut
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _cut_longest(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.Series:
-    """Walk each text from the left, taking the longest word found at the place reached."""
-
-    def cut(text, pos, size):
-        # in ascending length the longest word of a place is the one that stays
-        words = sorted(zip(size, pos)) if pos is not None else ()
-        return _cuts(text, {p: n for n, p in words})
-
-    return pd.Series([cut(*row) for row in zip(texts, starts, lengths)], dtype=object)
+def _cut_with_words(floor: int | None):
+    """Cuts of texts by the words found in them: places, lengths and weights per text.
 
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _cut_likeliest(
-    texts: pd.Series, starts: pd.Series, lengths: pd.Series, weights: pd.Series, floors: pd.Series
-) -> pd.Series:
-    """Cut each text so that the summed log-probabilities of its words are largest.
-
-    A character that is no listed word weighs the floor. Of equal cuts the longer word wins.
+    The longest word of each place, or with ``floor`` (the weight of a character that is no word) the
+    likeliest cut; all texts of a slice at once, as the matcher cuts them.
     """
 
-    def cut(text, pos, size, weight, floor):
-        words: dict[int, list] = {}
-        for n, p, w in sorted(zip(size, pos, weight)) if pos is not None else ():
-            words.setdefault(p, []).append((n, w))
-        best, step = [0] * (len(text) + 1), {}
-        for at in range(len(text) - 1, -1, -1):
-            options = {1: floor, **dict(words.get(at, ()))}
-            best[at], step[at] = max((w + best[at + n], n) for n, w in options.items())
-        return _cuts(text, step)
+    @arrow_udf(T.ArrayType(T.StringType()))
+    def cut(texts, places, lengths, weights):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        counts = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        places, lengths, weights = (c.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (places, lengths, weights))
+        values, parts = texts.to_pylist(), []
+        for begin, end in slices(values):
+            some = values[begin:end]
+            ends = np.cumsum([len(t) for t in some]).astype(np.int64)
+            own = slice(upto[begin], upto[end])
+            start = places[own] + np.repeat(np.concatenate([[0], ends[:-1]]), counts[begin:end])
+            if floor is None:
+                steps = longest_of(start, lengths[own], int(ends[-1]))
+            else:
+                steps = likeliest_of(start, lengths[own], weights[own], int(ends[-1]), floor)
+            parts.append(token_lists(some, cut_places(steps), ends))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
 
-    rows = zip(texts, starts, lengths, weights, floors)
-    return pd.Series([cut(*row) for row in rows], dtype=object)
+    return cut
 
 
 def _cut_with_list(dictionary: DataFrame, total: float | None):
@@ -127,11 +120,8 @@ def _segment_by_matches(
         fits_broadcast(words, "token"),
     )
     found = matches.groupBy("id").agg(F.collect_list(F.struct("pos", "len", "weight")).alias("_words"))
-    args = [F.coalesce("text", F.lit("")), F.col("_words.pos"), F.col("_words.len")]
-    if total:
-        cut = _cut_likeliest(*args, F.col("_words.weight"), F.lit(_floor(total)))
-    else:
-        cut = _cut_longest(*args)
+    words = [F.col(f"_words.{name}") for name in ("pos", "len", "weight")]
+    cut = _cut_with_words(_floor(total) if total else None)(F.coalesce("text", F.lit("")), *words)
     joined = docs.join(found, "id", "left")
     return joined.withColumn("tokens", F.when(F.col("text").isNotNull(), cut)).drop("_words")
 

@@ -451,6 +451,15 @@ def segment_large_dictionary(spark, sf):
     return _as_doc(cut.select("id", F.size("tokens").alias("n_tokens"), _joined("tokens", "/").alias("tokens")))
 
 
+def segment_joined(spark, sf):
+    """The same dictionary as a table, which a Bloom filter stands for in the scan."""
+    docs = _documents(spark, sf, F.lower("text"))
+    found = docs.select(F.explode_outer(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("token"))
+    listed = found.where("token IS NOT NULL").groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    cut = segment.segment(docs, listed, small=False)
+    return _as_doc(cut.select("id", F.size("tokens").alias("n_tokens"), _joined("tokens", "/").alias("tokens")))
+
+
 def word_tokens(spark, sf):
     """Word mode of preprocessing on Han text: strip symbols, segment, drop stop words."""
     dictionary = _dictionary(spark, sf, han(F.col("text")), r"[\x{4e00}-\x{9fff}]+")
@@ -787,6 +796,7 @@ QUERIES: dict[str, Query] = {
     "segment_longest_match": segment_longest_match,
     "segment_likeliest": segment_likeliest,
     "segment_large_dictionary": segment_large_dictionary,
+    "segment_joined": segment_joined,
     "word_tokens": word_tokens,
     "stop_words_removed": stop_words_removed,
     "stop_words_joined": stop_words_joined,

@@ -420,5 +420,6 @@ def oracle() -> dict[str, str]:
     for name in ("mean_pool", "max_pool", "attention_pool"):
         sql[f"{name}_joined"] = sql[name]
     sql["vocab_lookup_joined"] = sql["vocab_lookup_zero"]
+    sql["segment_joined"] = sql["segment_large_dictionary"]
     sql["phrase_hits_joined"] = sql["phrase_hits_large"]
     return sql
