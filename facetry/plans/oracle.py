@@ -407,7 +407,7 @@ def statements() -> dict[str, str]:
         "vocabulary_roundtrip": f"WITH {_vocab(WORDS)} SELECT token, n, idx FROM vocab",
         "embedding_roundtrip": f"SELECT vec_id + 1 AS idx, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
         "build_if_absent_twice": "SELECT source, count(*) AS n FROM documents GROUP BY source",
-        "build_if_stale": "SELECT source, count(*) AS n FROM documents GROUP BY source",
+        "build_if_stale": f"SELECT doc_id, len(regexp_extract_all({LOWER}, {_q(c.WORD)}))::INTEGER AS n_tokens FROM documents",
         "vector_file_roundtrip": f"SELECT coalesce(([' ', chr(10), '', 'a b', chr(92), chr(92) || 'n', chr(9), '2 3'])[vec_id + 1], vec_id::VARCHAR) AS token, unnest(range(0, {c.DIM}))::INTEGER AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings",
         "aspect_scores": _aspect_scores(),
         "aspect_naive_bayes_joined": BAYES,
