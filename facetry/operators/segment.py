@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from facetry.functions.text import strip
+from facetry.operators import bloom
 from facetry.operators.encode import TokenIndex
 from facetry.operators.joins import lookup_join
 from facetry.operators.matcher import (
@@ -20,8 +21,7 @@ from facetry.operators.matcher import (
     slices,
     token_lists,
 )
-from facetry.operators.phrases import phrase_matches
-from facetry.operators.vocabulary import number_rows
+from facetry.operators.phrases import candidates
 from facetry.session import fits_broadcast, materialize, ship_package
 
 HOT_TOKENS = 50_000
@@ -108,18 +108,24 @@ def _cut_with_list(dictionary: DataFrame, total: float | None):
 def _segment_by_matches(
     docs: DataFrame, dictionary: DataFrame, total: float | None
 ) -> DataFrame:
-    """Find all dictionary words, then cut each text with the words found in it."""
-    ship_package(docs.sparkSession)
-    words = number_rows(dictionary, "token", name="ord")
+    """Find all dictionary words, then cut each text with the words found in it.
+
+    For the longest match a word of one character changes nothing, as any other character is cut alone too.
+    """
     weight = _weight(total) if total else F.lit(0).cast("long")
-    sized = words.select("ord", F.length("token").alias("len"), weight.alias("weight"))
-    matches = lookup_join(
-        phrase_matches(docs.select("id", "text"), words.select("token", "ord"), False),
-        sized,
-        ["ord"],
-        fits_broadcast(words, "token"),
+    listed = dictionary.select("token", F.length("token").alias("len"), weight.alias("weight"))
+    listed = listed if total else listed.where("len > 1")
+    if listed.isEmpty():
+        return docs.withColumn("tokens", F.when(F.col("text").isNotNull(), _cut_with_list(dictionary, total)(F.coalesce("text", F.lit("")))))
+    met = lookup_join(
+        candidates(docs.select("id", "text"), bloom.build(listed.select("token"))),
+        listed,
+        ["token"],
+        fits_broadcast(dictionary, "token"),
     )
-    found = matches.groupBy("id").agg(F.collect_list(F.struct("pos", "len", "weight")).alias("_words"))
+    placed = met.select("len", "weight", F.explode_outer(F.arrays_zip("ids", "places")).alias("_m"))
+    placed = placed.select(F.col("_m.ids").alias("id"), F.struct(F.col("_m.places").alias("pos"), "len", "weight").alias("_word"))
+    found = placed.groupBy("id").agg(F.collect_list("_word").alias("_words"))
     words = [F.col(f"_words.{name}") for name in ("pos", "len", "weight")]
     cut = _cut_with_words(_floor(total) if total else None)(F.coalesce("text", F.lit("")), *words)
     joined = docs.join(found, "id", "left")

@@ -58,6 +58,14 @@ def test_longest_match(spark, rows, dictionary, small):
     assert got == {i: None if t is None else longest(t) for i, t in rows}
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_a_dictionary_without_longer_words(spark, rows, small):
+    docs = spark.createDataFrame(rows, "id long, text string")
+    for listed in ([], [("面", 3)]):
+        got = segment(docs, spark.createDataFrame(listed, "token string, freq long"), small=small).collect()
+        assert {r["id"]: r["tokens"] for r in got} == {i: None if t is None else list(t) for i, t in rows}
+
+
 def test_likeliest_cut(spark, rows, dictionary):
     docs = spark.createDataFrame(rows, "id long, text string")
     a = {r["id"]: r["tokens"] for r in segment(docs, dictionary, "frequency", small=True).collect()}
