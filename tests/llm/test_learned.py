@@ -1,10 +1,13 @@
 """Language, toxicity and quality: their rules on small inputs."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from facetry.llm import langid, quality, toxicity
@@ -150,16 +153,93 @@ def test_toxic_words_in_long_texts(spark):
     assert scores[1] == scores[2] == scores[None] and scores[3] > 0.5 > scores[4]
 
 
-def test_the_models_are_distributions(spark):
-    rows, labels = corpus(n=200)
-    model = toxicity.train(docs(spark, rows), labelled(spark, labels), F.lit(True), min_docs=1)
-    for c in (0, 1):
-        total = model.log[c].sum()
-        assert 0.85 < total < 1.05  # the words' own chances; what is missing belongs to words not seen
+def plain_toxicity(learned, everything):
+    """The class models by their formulas over strings: a function from (word before, word) to the log-ratio."""
 
+    def pairs_of(text):
+        words = re.findall("[^\\W\\d_]+", (text or "").lower())
+        return list(zip(["", *words[:-1]], words))
 
-def test_rare_toxic_words_and_the_joined_way(spark):
-    """Each toxic word stands in few training texts; tables too large to broadcast give the same scores."""
+    def discounts(counts):
+        n1, n2, n3, n4 = (sum(c == k for c in counts) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        raw = [
+            1 - 2 * y * n2 / n1 if n1 else 0.5,
+            2 - 3 * y * n3 / n2 if n2 else 1.0,
+            3 - 4 * y * n4 / n3 if n3 else 1.5,
+        ]
+        cut = [0.0, *[min(max(d, 0.1 * k), 0.95 * k) for k, d in zip((1, 2, 3), raw)]]
+        return lambda c: cut[min(c, 3)]
+
+    n = {c: Counter(g for y, t in learned if y == c for g in pairs_of(t)) for c in (0, 1)}
+    listed = set(n[0]) | set(n[1])
+    n["all"] = Counter(g for t in everything for g in pairs_of(t) if g in listed)
+    off = {c: discounts([k for k in n[c].values() if k]) for c in n}
+    words = {w for g in listed for w in g}
+    contexts = Counter(w for _, w in listed)
+    share = lambda w: (contexts[w] + 0.5) / (len(listed) + 0.5 * (len(words) + 1))
+    own = {}
+    for c in (0, 1):
+        single = Counter()
+        for (_, w), k in n[c].items():
+            single[w] += k
+        cut, total = discounts(list(single.values())), sum(single.values())
+        left = sum(cut(k) for k in single.values()) / total
+        own[c] = lambda w, s=single, cut=cut, left=left, total=total: max(s[w] - cut(s[w]), 0) / total + left * share(w)
+
+    def level(c, v, w, below):
+        after = {g: k for g, k in n[c].items() if g[0] == v}
+        total = sum(after.values())
+        if not total:
+            return below
+        left = sum(off[c](k) for k in after.values()) / total
+        return max(after.get((v, w), 0) - off[c](after.get((v, w), 0)), 0) / total + left * below
+
+    def ratio(v, w):
+        p = [level(c, v, w, level("all", v, w, own[c](w))) for c in (0, 1)]
+        return np.log(p[1] / p[0])
+
+    return ratio, own, words
+
+
+def test_toxicity_against_plain_models(spark):
+    """Every ratio of two small class models, with unlabelled documents in the shared counts."""
+    rng = random.Random(3)
+    words = ["Alo", "bema", "ciru", "dono", "\u00e9t\u00e9", "\u6c34"]
+    text = lambda extra: " ".join(rng.choices(words + extra, k=rng.randint(1, 12)))
+    learned = [(y, text(["vile", "rot"] if y else ["mild"])) for y in (0, 1) for _ in range(12)]
+    everything = [*[t for _, t in learned], *[text(["vile", "new"]) for _ in range(40)], None, "", "1 2"]
+    counted = spark.createDataFrame(learned, "y int, text string").repartition(3)
+    texts = spark.createDataFrame([(t,) for t in everything], "text string").repartition(4)
+    model = toxicity.fit(counted, texts)
+    ratio, own, known = plain_toxicity(learned, everything)
+    for c in (0, 1):
+        missing = own[c]("never heard")
+        assert sum(own[c](w) for w in known) + missing == pytest.approx(1)
+    asked = [*[t for t in everything if t], "unheard", "alo unheard vile", "vile-vile3ROT"]
+    keys = toxicity.Keys(pa.array(asked))
+    got = model.ratio(keys) / toxicity.UNIT
+    want = []
+    for t in asked:
+        found = re.findall("[^\\W\\d_]+", t.lower())
+        want += [ratio(v, w) for v, w in zip(["", *found[:-1]], found)]
+    assert len(got) == len(want) and np.allclose(got, want, atol=2 / toxicity.UNIT)
+    # features by hand, alone and in a batch
+    found = model.features(keys)
+    begin = 0
+    for i, size in enumerate(keys.sizes.tolist()):
+        own_ratio = np.rint(got[begin : begin + size] * toxicity.UNIT) / toxicity.UNIT
+        begin += size
+        if not size:
+            assert not found[i].any()
+            continue
+        best = [max(own_ratio[j : j + s].mean() for j in range(size - s + 1)) for s in (min(s, size) for s in toxicity.SPANS)]
+        assert np.allclose(found[i], [*best, own_ratio.mean(), np.log1p(size)])
+        assert (model.features(toxicity.Keys(pa.array([asked[i]])))[0] == found[i]).all()
+
+
+def test_rare_toxic_words(spark):
+    """Each toxic word stands in few training texts."""
     rows, labels = corpus()
     rng, seen = random.Random(7), {}
     for i in range(600, 900):
@@ -170,20 +250,39 @@ def test_rare_toxic_words_and_the_joined_way(spark):
         rows.append((i, " ".join(text), "en", "x"))
         labels.append((i, 1))
     assert max(seen.values()) <= 3
-    models = [toxicity.train(docs(spark, rows), labelled(spark, labels), F.lit(True), **o) for o in ({}, {"max_words": 15, "max_bigrams": 40})]
-    assert models[0].rest is None and models[1].rest is not None and len(models[1].keys) <= 40
+    model = toxicity.train(docs(spark, rows), labelled(spark, labels), F.lit(True))
     odd = [(None, None, None, "x"), (1, "", None, "x"), (1, "unheard balo unheard", None, "x"), (1, "unheard balo unheard", None, "x")]
-    asked = docs(spark, [*rows, *odd])
-    made = [sorted(map(tuple, toxicity.predict(asked, m).collect()), key=str) for m in models]
-    assert [r[0] for r in made[0]] == [r[0] for r in made[1]] and len(made[1]) == len(rows) + len(odd)
-    assert np.allclose([r[1] for r in made[0]], [r[1] for r in made[1]], rtol=1e-9, atol=1e-12)
+    assert toxicity.predict(docs(spark, [*rows, *odd]), model).count() == len(rows) + len(odd)
     # a word of few counted texts is told from an unknown one
-    learned = [w for w in seen if w in models[0].index]
+    held = set(model.words.tolist())
+    learned = [w for w in seen if xxhash.xxh3_64_intdigest(w) in held]
     assert len(learned) > 50
-    ratio = lambda w: models[0].features(f"balo {w} balo")[0]
+    ratio = lambda w: model.features(toxicity.Keys(pa.array([f"balo {w} balo"])))[0, 0]
     assert np.mean([ratio(w) > ratio("unheard") for w in learned]) > 0.95
 
 
+def test_the_sample_keeps_its_bounds(spark):
+    """Texts are learned from up to the given characters per class; shared counts go on growing."""
+    rows, labels = corpus(n=200)
+    long = [(900, "vile " * 20_000, "en", "x")]
+    frame, marks = docs(spark, rows + long), labelled(spark, [*labels, (900, 1)])
+    usable = toxicity._drawn(toxicity._usable(marks, "doc_id", "toxic", F.lit(True)), 1000)
+    texts = frame.select(F.col("doc_id").alias("id"), "text")
+    for most in (100_000, 10_000_000):
+        kept = toxicity._sampled_texts(texts, usable, most).toPandas()
+        chars = kept.assign(n=kept["text"].str.len()).groupby("y")["n"].sum()
+        assert (chars <= most).all() and len(chars) == 2
+        assert (900 in set(kept["id"])) == (most > 100_000)
+    assert len(kept) == 201
+    counted = spark.createDataFrame([(0, "balo gema"), (1, "balo vile")], "y int, text string")
+    shared = []
+    for parts in (1, 3):
+        grams = toxicity._class_counts(counted)
+        found = toxicity._with_shared(grams, texts.unionByName(texts) if parts > 1 else texts)
+        shared.append(sum(r["n"] for r in found.collect()))
+    assert shared[1] == 2 * shared[0] > 0
+
+
 def test_without_two_classes(spark):
     rows, _ = corpus(n=20)
     ones = labelled(spark, [(i, 1) for i in range(20)] + [(None, 0), (5, None), (3, 0)])

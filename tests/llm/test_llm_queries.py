@@ -89,7 +89,7 @@ def test_classifiers_on_held_out_labels(spark, name, label):
     positive = held.loc[held["y"] == 1, "score"].to_numpy()
     other = held.loc[held["y"] == 0, "score"].to_numpy()
     auc = np.mean(positive[:, None] > other) + 0.5 * np.mean(positive[:, None] == other)
-    assert auc > (0.6 if label == "toxic" else 0.98)  # some 70 held-out toxicity labels, 7 of them toxic
+    assert auc > (0.8 if label == "toxic" else 0.98)  # some 70 held-out toxicity labels, 6 of them toxic
 
 
 def test_sentencepiece_equals_the_public_library(spark, database):
