@@ -276,9 +276,10 @@ def test_the_sample_keeps_its_bounds(spark):
     assert len(kept) == 201
     counted = spark.createDataFrame([(0, "balo gema"), (1, "balo vile")], "y int, text string")
     shared = []
-    words = toxicity._sample_words(counted)
+    words = toxicity.Sent(spark, toxicity._sample_words(counted), ascending=True)
     pairs, n0, n1 = toxicity._class_counts(counted, words)
-    assert len(words) == 4 and sorted(zip(n0.tolist(), n1.tolist())) == [(0, 1), (1, 0), (1, 1)]
+    pairs = toxicity.Sent(spark, pairs, ascending=True)
+    assert words.size == 4 and sorted(zip(n0.tolist(), n1.tolist())) == [(0, 1), (1, 0), (1, 1)]
     for some in (texts, texts.unionByName(texts).repartition(7)):
         shared.append(toxicity._shared_counts(some, words, pairs).sum())
     assert shared[1] == 2 * shared[0] > 0
