@@ -234,7 +234,8 @@ def test_toxicity_against_plain_models(spark):
             assert not found[i].any()
             continue
         best = [max(own_ratio[j : j + s].mean() for j in range(size - s + 1)) for s in (min(s, size) for s in toxicity.SPANS)]
-        assert np.allclose(found[i], [*best, own_ratio.mean(), np.log1p(size)])
+        often = [np.log1p((own_ratio >= level).sum()) for level in toxicity.LEVELS]
+        assert np.allclose(found[i], [*best, *often, own_ratio.mean(), np.log1p(size)])
         assert (model.features(toxicity.Keys(pa.array([asked[i]])))[0] == found[i]).all()
 
 
