@@ -286,6 +286,17 @@ def test_the_sample_keeps_its_bounds(spark):
     assert shared[1] == 2 * shared[0] > 0
 
 
+def test_toxicity_of_a_sample_without_words(spark):
+    rows = [(i, [None, "", "1 2"][i % 3], "en", "x") for i in range(60)]
+    model = toxicity.train(docs(spark, rows), labelled(spark, [(i, i % 2) for i in range(60)]), F.lit(True))
+    asked = docs(spark, [*rows, (60, "some words", "en", "x"), (61, "w " * 100_000, "en", "x")])
+    # clashing names of other columns
+    asked = asked.withColumn("y", F.lit("y")).withColumn("id", F.lit(1)).withColumn("predicted", F.lit(2))
+    got = toxicity.predict(asked, model)
+    assert got.columns == ["doc_id", "score", "predicted"]
+    assert all(0 <= r["score"] <= 1 for r in got.collect()) and got.count() == 62
+
+
 def test_without_two_classes(spark):
     rows, _ = corpus(n=20)
     ones = labelled(spark, [(i, 1) for i in range(20)] + [(None, 0), (5, None), (3, 0)])
