@@ -55,11 +55,13 @@ EMOJI_TEXT = (
     r"\x{1F5F3}\x{1F5FA}\x{1F6CB}\x{1F6CD}-\x{1F6CF}\x{1F6E0}-\x{1F6E5}\x{1F6E9}\x{1F6F0}\x{1F6F3}"
 )
 _UNIT = rf"[{EMOJI_SHOWN}{EMOJI_TEXT}]\x{{FE0F}}?[\x{{1F3FB}}-\x{{1F3FF}}]?"
+# Every emoji but a keycap begins in one of these few ranges, which other characters are asked for first.
+_FIRST = r"[\x{A9}\x{AE}\x{203C}-\x{3299}\x{1F004}-\x{1FAFF}]"
 # A pair of regional letters, a keycap, a tag sequence (flags of regions), or one emoji with its
 # selector, skin tone and joined followers.
 EMOJI_PATTERN = (
-    rf"(?:[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|[0-9#*]\x{{FE0F}}?\x{{20E3}}"
-    rf"|\x{{1F3F4}}[\x{{E0020}}-\x{{E007E}}]+\x{{E007F}}|{_UNIT}(?:\x{{200D}}{_UNIT})*)"
+    rf"(?:[0-9#*]\x{{FE0F}}?\x{{20E3}}|(?={_FIRST})(?:[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}"
+    rf"|\x{{1F3F4}}[\x{{E0020}}-\x{{E007E}}]+\x{{E007F}}|{_UNIT}(?:\x{{200D}}{_UNIT})*))"
 )
 
 # What counts as white space at the ends of a list entry.

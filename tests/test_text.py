@@ -117,3 +117,17 @@ def test_lower_tokens_token_by_token(spark):
     df = spark.createDataFrame([(["A", "Σ", "É"],)], "t array<string>")
     assert df.select(tx.lower_tokens("t")).first()[0] == ["a", "σ", "é"]
     assert df.select(F.lower(F.lit("ß"))).first()[0] == "ß"
+
+
+def test_every_emoji_begins_where_it_is_looked_for(spark):
+    """A few ranges are asked first; they hold all first characters but those of keycaps."""
+    as_python = lambda c: re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: "\\U" + m[1].rjust(8, "0"), c)
+    first = re.compile(as_python(tx._FIRST))
+    known = re.compile(as_python(rf"[{tx.EMOJI_SHOWN}{tx.EMOJI_TEXT}\x{{1F1E6}}-\x{{1F1FF}}]"))
+    every = [chr(c) for c in range(0x110000) if known.match(chr(c))]
+    assert len(every) > 1_000 and all(map(first.match, every))
+    flags = set(map(chr, range(0x1F1E6, 0x1F200)))
+    shown = [c for c in every if c not in flags]
+    text = "7#z".join(shown) + "7\ufe0f\u20e3#\u20e3\U0001f1e8\U0001f1f3\U0001f1e8 9"
+    got = spark.createDataFrame([(text,)], "text string").select(tx.emojis("text")).first()[0]
+    assert got == [*shown, "7\ufe0f\u20e3", "#\u20e3", "\U0001f1e8\U0001f1f3"]
