@@ -34,6 +34,16 @@ def unpacked(data: pa.BinaryScalar) -> pa.RecordBatch:
     return pa.ipc.open_stream(data.as_buffer()).read_next_batch()
 
 
+def ranges(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``most`` entries, or one row; ``ends`` are the rows' running sums."""
+    begin = 0
+    while begin < len(ends):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield begin, end
+        begin = end
+
+
 def pack(docs: DataFrame, entries: str, *carry: str, most: int = BLOCK_ENTRIES) -> DataFrame:
     """``(block, data, listed)`` of ``docs(id, <entries>, <carry>)``, written once.
 
@@ -46,10 +56,8 @@ def pack(docs: DataFrame, entries: str, *carry: str, most: int = BLOCK_ENTRIES)
         for batch in batches:
             lists = batch.column(1)
             ends = np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            begin = 0
-            while begin < len(ends):
+            for begin, end in ranges(ends, most):
                 before = ends[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(ends, before + most, side="right")))
                 part = batch.slice(begin, end - begin)
                 coded = part.column(1).flatten().dictionary_encode()
                 offsets = np.concatenate([[0], ends[begin:end] - before]).astype(np.int32)
@@ -57,7 +65,6 @@ def pack(docs: DataFrame, entries: str, *carry: str, most: int = BLOCK_ENTRIES)
                 data = pa.record_batch([part.column(0), codes, *part.columns[2:]], ["id", "codes", *carry])
                 listed = pa.record_batch([coded.dictionary], ["value"])
                 yield pa.record_batch([[packed(data)], [packed(listed)]], schema=out)
-                begin = end
 
     out = pa.schema([("data", pa.binary()), ("listed", pa.binary())])
     rows = docs.select("id", entries, *carry).mapInArrow(make, "data binary, listed binary")

@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -191,6 +191,20 @@ def slices(texts: Sequence[str]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def runs(codes: np.ndarray, ends: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the longest stretches of ``member`` characters; none runs across a text's end."""
+    inside = np.zeros(len(codes), bool)
+    held = codes < len(member)
+    inside[held] = member[codes[held]]
+    fresh = np.zeros(len(codes) + 1, bool)
+    fresh[0] = True
+    fresh[ends] = True
+    before = np.concatenate([[False], inside[:-1]])[: len(codes)]
+    begins = np.flatnonzero(inside & (fresh[:-1] | ~before))
+    after = np.concatenate([inside[1:], [False]])[: len(codes)]
+    return begins, np.flatnonzero(inside & (fresh[1:] | ~after)) + 1
+
+
 def cut_places(steps: np.ndarray) -> np.ndarray:
     """Where the tokens start when every step is followed from the start of the first text."""
     out, at, jump, end = [], 0, steps.tolist(), len(steps)

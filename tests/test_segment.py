@@ -5,6 +5,7 @@ from functools import lru_cache
 
 import pytest
 
+from facetry.operators import segment as segment_module
 from facetry.operators.joins import drop_listed
 from facetry.operators.segment import extend_dictionary, keywords, segment
 
@@ -106,3 +107,60 @@ def test_drop_listed(spark, small):
     rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "c")] + [(3, "hot")] * 500, "id int, token string")
     stop = spark.createDataFrame([("a",), ("hot",)], "token string")
     assert {tuple(r) for r in drop_listed(rows, stop, "token", small).collect()} == {(1, "b"), (2, "c")}
+
+
+def test_a_large_dictionary_is_asked_once_per_block_and_piece(spark, monkeypatch):
+    """However often a word stands in the texts: what is asked is bounded by the words, not by the matches."""
+    rng = random.Random(4)
+    rows = [(None if i == 7 else i % 50, " ".join(rng.choices(["牛肉面", "好吃", "abcd", "x1"], k=300))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    asked, known = [], segment_module.blocks.dictionaries
+
+    def counted(*args):
+        asked.append(known(*args))
+        return asked[-1]
+
+    monkeypatch.setattr(segment_module.blocks, "dictionaries", counted)
+    got = segment(docs, spark.createDataFrame(list(WORDS.items()), "token string, freq long"), small=False).collect()
+    assert Counter((r["id"], tuple(r["tokens"])) for r in got) == Counter((i, tuple(longest(t))) for i, t in rows)
+    assert sum(a.count() for a in asked) <= len(WORDS)
+
+
+@pytest.mark.parametrize("method", ["longest", "frequency"])
+def test_what_the_filter_lets_through_wrongly(spark, rows, dictionary, monkeypatch, method):
+    build = segment_module.bloom.build
+    monkeypatch.setattr(segment_module.bloom, "BLOCK_CELLS", 16)
+    monkeypatch.setattr(segment_module.bloom, "build", lambda words: full(build(words, 1)))
+
+    def full(held):
+        held.cells[:] = ~held.cells[0] | held.cells[0]  # every window passes
+        return held
+
+    docs = spark.createDataFrame(rows, "id long, text string")
+    want = {r["id"]: r["tokens"] for r in segment(docs, dictionary, method, small=True).collect()}
+    assert {r["id"]: r["tokens"] for r in segment(docs, dictionary, method, small=False).collect()} == want
+
+
+def test_texts_are_cut_slice_by_slice(spark, rows, dictionary, monkeypatch):
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    sizes = []
+    bounded = segment_module._bounded
+
+    def watched(docs, tokens, name="tokens"):
+        sizes.append(name)
+        return bounded(docs, lambda texts: tokens(texts) if sum(map(len, texts)) <= 32 else 1 / 0, name)
+
+    monkeypatch.setattr(segment_module, "SLICE_CHARS", 32)
+    monkeypatch.setattr(segment_module, "_bounded", watched)
+    got = {r["id"]: r["tokens"] for r in segment(docs, dictionary, small=True).collect()}
+    assert sizes and got == {i: None if t is None else longest(t) for i, t in rows}
+
+
+def test_keywords_by_join_have_no_row_per_document_and_token(spark, capsys):
+    docs = spark.createDataFrame([(1, ["a", "b", None, "a"]), (2, ["b"]), (3, []), (4, None)], "id long, tokens array<string>")
+    found = keywords(docs, 1, False)
+    assert [(r["id"], r["token"], r["weight"], r["rank"]) for r in found.orderBy("id").collect()] == [
+        (1, "a", round(2 * math.log(4), 9), 1), (2, "b", round(math.log(2), 9), 1)
+    ]
+    found.explain()
+    assert "Window" not in capsys.readouterr().out
