@@ -14,12 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
 
-from facetry.operators import bloom
+from facetry.operators import blocks, bloom
 from facetry.operators.joins import lookup_join
 from facetry.operators.matcher import SLICE_CHARS, Matcher, slices
 from facetry.session import fits_broadcast, materialize, ship_package
@@ -43,30 +43,21 @@ def _matches_in_tasks(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(
         (Matcher(listed["token"].to_pylist()), listed["ord"].to_numpy())
     )
-    hit = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("ord", T.LongType())])
-
-    @arrow_udf(T.ArrayType(hit))
-    def find(texts):
-        import pyarrow as pa
 
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, numbers = shared.value
-        values = ["" if t is None else t for t in texts.to_pylist()]
-        parts = []
-        for begin, end in slices(values):
-            start, word, ends = matcher.matches(values[begin:end])
-            order = np.argsort(start, kind="stable")
-            start, word = start[order], word[order]
-            owner = np.searchsorted(ends, start, side="right")
-            own = start - np.concatenate([[0], ends])[owner]
-            rows = pa.StructArray.from_arrays(
-                [pa.array(own.astype(np.int32)), pa.array(numbers[word])], fields=list(pa.struct([("pos", pa.int32()), ("ord", pa.int64())]))
-            )
-            offsets = np.concatenate([[0], np.searchsorted(start, ends)]).astype(np.int32)
-            parts.append(pa.ListArray.from_arrays(pa.array(offsets), rows))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.struct([("pos", pa.int32()), ("ord", pa.int64())])))
-
-    found = docs.select("id", F.explode_outer(find("text")).alias("_m")).where("_m IS NOT NULL")
-    return found.select("id", "_m.pos", "_m.ord")
+        for batch in batches:
+            sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for begin, end in blocks.ranges(np.cumsum(sizes, dtype=np.int64), SLICE_CHARS):
+                part = batch.slice(begin, end - begin)
+                start, word, ends = matcher.matches(pc.fill_null(part.column(1), "").to_pylist())
+                owner = np.searchsorted(ends, start, side="right")
+                own = start - np.concatenate([[0], ends])[owner]
+                columns = [part.column(0).take(pa.array(owner)), pa.array(own.astype(np.int32)), pa.array(numbers[word])]
+                yield pa.record_batch(columns, ["id", "pos", "ord"])
+
+    fields = [("id", docs.schema["id"].dataType), ("pos", T.IntegerType()), ("ord", T.LongType())]
+    return docs.select("id", "text").mapInArrow(find, T.StructType([T.StructField(*f) for f in fields]))
 
 
 def candidates(docs: DataFrame, held: bloom.WindowFilter) -> DataFrame:
@@ -117,11 +108,21 @@ def candidates(docs: DataFrame, held: bloom.WindowFilter) -> DataFrame:
 
 
 def _matches_by_join(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """The pieces of text that pass the list's filter, each once per slice, meet the list itself."""
-    found = candidates(docs, bloom.build(phrases.select("token")))
-    met = lookup_join(found, phrases, ["token"], fits_broadcast(phrases, "token"))
-    rows = met.select("ord", F.explode_outer(F.arrays_zip("ids", "places")).alias("_m"))
-    return rows.select(F.col("_m.ids").alias("id"), F.col("_m.places").alias("pos"), "ord")
+    """The pieces of text that pass the list's filter, each once per slice, meet the list itself.
+
+    No piece is a row more often than there are slices of text, so the list is joined as it is, once: the matches
+    keep all its columns.
+    """
+    met = candidates(docs, bloom.build(phrases.select("token"))).join(phrases, "token")
+    rows = met.select(*phrases.columns, F.explode_outer(F.arrays_zip("ids", "places")).alias("_m"))
+    return rows.select(F.col("_m.ids").alias("id"), F.col("_m.places").alias("pos"), *phrases.columns)
+
+
+def _listed(phrases: DataFrame, small: bool | None) -> tuple[DataFrame, bool]:
+    """The list without empty phrases, written, and whether it travels to the tasks."""
+    listed = phrases.where(F.length("token") > 0).select("token", F.col("ord").cast("long").alias("ord"))
+    listed = materialize(listed)
+    return listed, fits_broadcast(listed, "token", row_bytes=60) if small is None else small
 
 
 def phrase_matches(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:
@@ -130,13 +131,11 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, small: bool | None = Non
     ``docs`` is ``(id, text)`` with unique ids; ``phrases`` is ``(token, ord)`` with distinct
     tokens. Only matches are shuffled. ``small`` overrides the size check of the list.
     """
-    phrases = phrases.where(F.length("token") > 0).select("token", F.col("ord").cast("long").alias("ord"))
-    phrases = materialize(phrases)
-    if phrases.isEmpty():
+    listed, small = _listed(phrases, small)
+    if listed.isEmpty():
         return docs.select("id", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("ord")).where("false")
-    if fits_broadcast(phrases, "token", row_bytes=60) if small is None else small:
-        return _by_id(_matches_in_tasks(docs, phrases))
-    return _by_id(_matches_by_join(docs, phrases))
+    found = _matches_in_tasks(docs, listed) if small else _matches_by_join(docs, listed)
+    return _by_id(found.select("id", "pos", "ord"))
 
 
 def _with_border(phrases: DataFrame) -> DataFrame:
@@ -151,13 +150,40 @@ def _with_border(phrases: DataFrame) -> DataFrame:
     )
 
 
+def _kept_of(grouped: DataFrame) -> DataFrame:
+    """``pos`` instead of ``_all``, all places of a phrase in a text: those that do not overlap, from the left."""
+
+    def take(kept: Column, pos: Column) -> Column:
+        free = (F.size(kept) == 0) | (pos >= F.element_at(kept, -1) + F.col("_len"))
+        return F.when(free, F.concat(kept, F.array(pos))).otherwise(kept)
+
+    chosen = F.aggregate("_all", F.array().cast("array<int>"), take)
+    others = [c for c in grouped.columns if c not in ("_all", "_len")]
+    return grouped.select(*others, F.explode_outer(chosen).alias("pos")).where("pos IS NOT NULL")
+
+
 def _occurrences(docs: DataFrame, phrases: DataFrame, small: bool | None) -> DataFrame:
-    """``(id, pos, ord)``, non-overlapping per phrase from the left, partitioned by ``id``.
+    """``(id, pos, ord, token)``, non-overlapping per phrase from the left, partitioned by ``id``.
 
     Grouping on ``id`` and something else keeps that partitioning. A group of one text and
-    one phrase is bounded by the text.
+    one phrase is bounded by the text. Matches of a list that travels have no ``token`` yet (``_named``).
     """
-    matches = phrase_matches(docs, phrases, small)
+    listed, small = _listed(phrases, small)
+    if small or listed.isEmpty():
+        return _occurrences_of_travelling(phrase_matches(docs, listed, True), listed)
+    # one join with the list, which says what is needed of a phrase: nothing is asked for again
+    told = listed.join(_with_border(listed), "ord")
+    overlapping = not told.where("_border").isEmpty()
+    matches = _by_id(_matches_by_join(docs, told if overlapping else listed))
+    if not overlapping:
+        return matches
+    simple = matches.where("NOT _border")
+    grouped = matches.where("_border").groupBy("id", "ord", "token", "_len").agg(F.array_sort(F.collect_list("pos")).alias("_all"))
+    columns = ["id", "pos", "ord", "token"]
+    return simple.select(*columns).unionByName(_kept_of(grouped).select(*columns))
+
+
+def _occurrences_of_travelling(matches: DataFrame, phrases: DataFrame) -> DataFrame:
     bordered = _with_border(phrases)
     if bordered.where("_border").isEmpty():
         return matches
@@ -169,31 +195,30 @@ def _occurrences(docs: DataFrame, phrases: DataFrame, small: bool | None) -> Dat
         .groupBy("id", "ord", "_len")
         .agg(F.array_sort(F.collect_list("pos")).alias("_all"))
     )
+    return simple.select("id", "pos", "ord").unionByName(_kept_of(grouped).select("id", "pos", "ord"))
 
-    def take(kept: Column, pos: Column) -> Column:
-        free = (F.size(kept) == 0) | (pos >= F.element_at(kept, -1) + F.col("_len"))
-        return F.when(free, F.concat(kept, F.array(pos))).otherwise(kept)
 
-    chosen = F.aggregate("_all", F.array().cast("array<int>"), take)
-    kept = grouped.select("id", F.explode_outer(chosen).alias("pos"), "ord").where("pos IS NOT NULL")
-    return simple.select("id", "pos", "ord").unionByName(kept)
+def _named(rows: DataFrame, phrases: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with the phrases' own text, if they do not have it."""
+    if "token" not in rows.columns:
+        rows = lookup_join(rows, phrases.select("ord", "token"), ["ord"], fits_broadcast(phrases, "token"))
+    return rows.select(*columns)
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:
     """``(id, pos, token)``: one phrase per position, the later list entry wins a tie."""
     hits = _occurrences(docs, phrases, small)
-    last = hits.groupBy("id", "pos").agg(F.max("ord").alias("ord"))
-    fits = fits_broadcast(phrases, "token")
-    return lookup_join(last, phrases.select("ord", "token"), ["ord"], fits).select("id", "pos", "token")
+    token = [F.max_by("token", "ord").alias("token")] if "token" in hits.columns else []
+    last = hits.groupBy("id", "pos").agg(F.max("ord").alias("ord"), *token)
+    return _named(last, phrases, "id", "pos", "token")
 
 
 def phrase_counts(docs: DataFrame, phrases: DataFrame, small: bool | None = None) -> DataFrame:
     """``(id, token, n)``: how often each phrase occurs in each text that has it."""
-    counts = _occurrences(docs, phrases, small).groupBy("id", "ord").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    fits = fits_broadcast(phrases, "token")
-    return lookup_join(counts, phrases.select("ord", "token"), ["ord"], fits).select("id", "token", "n")
+    hits = _occurrences(docs, phrases, small)
+    token = [F.first("token").alias("token")] if "token" in hits.columns else []
+    counts = hits.groupBy("id", "ord").agg(F.count(F.lit(1)).alias("n"), *token)
+    return _named(counts, phrases, "id", "token", "n")
 
 
 def hit_map(hits: DataFrame) -> DataFrame:

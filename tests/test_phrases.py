@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from facetry.operators import bloom, phrases
+from facetry.operators import bloom, joins, phrases
 from facetry.operators.phrases import hit_map, phrase_counts, phrase_hits, phrase_matches
 
 PHRASES = ["aa", "aba", "(^_^)", "^_^", "b", "😀", "😀a", "aab", "(^_^)/~~", "abcabcabcabc", "\\E", "a.b", "好吃"]
@@ -99,3 +99,31 @@ def test_texts_longer_than_a_slice(spark, monkeypatch):
     got = phrase_matches(docs, table, False).collect()
     want = [(1, at, n) for n, p in enumerate(["abcdefghij", "abc", "jab", "y"]) for at in range(len(text)) if text.startswith(p, at)]
     assert sorted(map(tuple, got)) == sorted(want * 2)
+
+
+def test_a_list_too_large_to_travel_is_joined_once(spark, sample, monkeypatch):
+    """No copies of the list per salt, and no further joins with it."""
+    def refused(*args, **kwargs):
+        raise AssertionError("the list is copied")
+
+    monkeypatch.setattr(joins, "salted_join", refused)
+    monkeypatch.setattr(phrases, "fits_broadcast", lambda *args, **kwargs: False)
+    docs = spark.createDataFrame(sample, "id long, text string").repartition(4)
+    for listed in (PHRASES, ["(^_^)", "^_^", "b", "ab"]):
+        table = spark.createDataFrame([(p, i) for i, p in enumerate(listed)], "token string, ord long")
+        found = [brute(text or "", listed) for _, text in sample]
+        want_hits = {(i, at, p) for (i, _), (hits, _) in zip(sample, found) for at, p in hits.items()}
+        want_counts = {(i, p, n) for (i, _), (_, counts) in zip(sample, found) for p, n in counts.items()}
+        assert {tuple(r) for r in phrase_hits(docs, table).collect()} == want_hits
+        assert {tuple(r) for r in phrase_counts(docs, table).collect()} == want_counts
+
+
+def test_matches_leave_a_task_slice_by_slice(spark, sample, monkeypatch, capsys):
+    monkeypatch.setattr(phrases, "SLICE_CHARS", 40)
+    docs = spark.createDataFrame(sample, "id long, text string").coalesce(1)
+    table = spark.createDataFrame([(p, i) for i, p in enumerate(PHRASES)], "token string, ord long")
+    found = phrase_matches(docs, table, True)
+    found.explain()
+    assert "Generate" not in capsys.readouterr().out  # no list of all matches of a batch is taken apart
+    want = [(i, at, n) for i, t in sample for n, p in enumerate(PHRASES) for at in range(len(t or "")) if t.startswith(p, at)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
