@@ -8,8 +8,11 @@ of documents; no plan step has a row per token.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +21,7 @@ from pyspark.sql.functions import arrow_udf
 from facetry.functions.arrays import pad_left
 from facetry.operators import blocks
 from facetry.operators.blocks import BLOCK_ENTRIES
+from facetry.operators.matcher import SLICE_CHARS
 from facetry.schema import MAXLEN
 from facetry.session import fits_broadcast, ship_package
 
@@ -75,7 +79,7 @@ def lookup_chars(docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False)
     """``(id, seq)`` of the characters of ``docs(id, text)``, without building token arrays.
 
     A character vocabulary cannot outgrow the code points there are, so it always fits: it
-    becomes an array indexed by code point, and a batch of texts is one array lookup. An entry
+    becomes an array indexed by code point, and a slice of texts is one array lookup. An entry
     that is not one character is an error.
     """
     spark = docs.sparkSession
@@ -88,23 +92,22 @@ def lookup_chars(docs: DataFrame, vocab: DataFrame, keep_unknown: bool = False)
     index[[ord(c) for c in single["token"].to_pylist()]] = single["idx"].to_numpy()
     shared = spark.sparkContext.broadcast(index)
 
-    @arrow_udf(T.ArrayType(T.IntegerType()))
-    def probe(texts):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        texts = pc.fill_null(texts, "")
-        joined = "".join(texts.to_pylist()).encode("utf-32-le", "surrogatepass")
-        found = shared.value[np.frombuffer(joined, dtype=np.uint32)]
-        lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
-        edges = np.concatenate(([0], np.cumsum(lengths)))
-        if not keep_unknown:
-            known = found > 0
-            edges = np.concatenate(([0], np.cumsum(known)))[edges]
-            found = found[known]
-        return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(found))
-
-    return docs.select("id", probe("text").alias("seq"))
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for begin, end in blocks.ranges(np.cumsum(sizes, dtype=np.int64), SLICE_CHARS):
+                texts = "".join(pc.fill_null(batch.column(1).slice(begin, end - begin), "").to_pylist())
+                found = shared.value[np.frombuffer(texts.encode("utf-32-le", "surrogatepass"), np.uint32)]
+                edges = np.concatenate(([0], np.cumsum(sizes[begin:end])))
+                if not keep_unknown:
+                    known = found > 0
+                    edges = np.concatenate(([0], np.cumsum(known)))[edges]
+                    found = found[known]
+                seq = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(found))
+                yield pa.record_batch([batch.column(0).slice(begin, end - begin), seq], ["id", "seq"])
+
+    fields = [("id", docs.schema["id"].dataType), ("seq", T.ArrayType(T.IntegerType()))]
+    return docs.select("id", "text").mapInArrow(probe, T.StructType([T.StructField(*f) for f in fields]))
 
 
 def lookup_by_join(

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from facetry.functions.text import char_tokens
+from facetry.operators import encode as encode_module
 from facetry.operators.encode import encode, encode_chars, lookup, lookup_by_join, lookup_chars
 from facetry.operators.vocabulary import distinct_in_order, fit_vocabulary, number_rows
 
@@ -91,3 +92,14 @@ def test_character_lookup_takes_characters_only(spark):
     vocab = spark.createDataFrame([("a", 1, 1), ("ab", 1, 2)], "token string, n long, idx long")
     with pytest.raises(ValueError, match="not a character"):
         lookup_chars(frame(spark, [(1, ["a"])]).select("id", F.lit("a").alias("text")), vocab)
+
+
+def test_characters_are_looked_up_slice_by_slice(spark, texts, monkeypatch):
+    monkeypatch.setattr(encode_module, "SLICE_CHARS", 50)
+    docs = spark.createDataFrame([*enumerate(texts), (None, "a好"), (-1, None)], "id long, text string").coalesce(1)
+    vocab = spark.createDataFrame([(c, i + 1) for i, c in enumerate("a好X 😀")], "token string, idx long")
+    place = {r["token"]: r["idx"] for r in vocab.collect()}
+    for keep in (True, False):
+        got = [(r["id"], r["seq"]) for r in encode_module.lookup_chars(docs, vocab, keep).collect()]
+        want = [(i, [place.get(c, 0) for c in t or "" if keep or c in place]) for i, t in [*enumerate(texts), (None, "a好"), (-1, None)]]
+        assert got == want
