@@ -43,10 +43,38 @@ def _unescape(item: Column) -> Column:
     return F.array_join(F.transform(pieces, resolve), "")
 
 
+# Code points that are no characters: they stand for separators and escapes while a whole list is rewritten.
+_SEPARATOR, _BACKSLASH, _QUOTE = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+def _count(text: Column, part: str) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
+
+
 def parse_token_list(text: Column | str) -> Column:
-    """Read the text of a quoted list (``['a', "b"]``) as an array, without evaluating it."""
+    """Read the text of a quoted list (``['a', "b"]``) as an array, without evaluating it.
+
+    A list as ``format_token_list`` writes it is taken apart as one text, any other one item by item.
+    """
+    text = _col(text)
+    masked = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit("\\'"), F.lit(_QUOTE))
+    for escaped, raw in (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+        masked = F.replace(masked, F.lit(escaped), F.lit(raw))
+    inner = F.substr(masked, F.lit(3), F.length(masked) - 4)
+    # every quote between the first and the last one belongs to a separator
+    usual = masked.startswith("['") & masked.endswith("']") & (F.length(masked) >= 4)
+    usual &= _count(inner, "'") == 2 * _count(inner, "', '")
+    for mark in (_SEPARATOR, _BACKSLASH, _QUOTE):
+        usual &= ~F.contains(text, F.lit(mark))
+    items = F.replace(inner, F.lit("', '"), F.lit(_SEPARATOR))
+    items = F.replace(F.replace(items, F.lit(_QUOTE), F.lit("'")), F.lit(_BACKSLASH), F.lit("\\"))
+    usual &= ~F.contains(masked, F.lit("\\"))
+    return F.when(usual, F.split(items, _SEPARATOR)).otherwise(_parse_items(text))
+
+
+def _parse_items(text: Column) -> Column:
     quoted = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
-    items = F.regexp_extract_all(_col(text), F.lit(quoted), F.lit(0))
+    items = F.regexp_extract_all(text, F.lit(quoted), F.lit(0))
 
     def unquote(item: Column) -> Column:
         inner = F.substr(item, F.lit(2), F.length(item) - 2)
@@ -57,13 +85,19 @@ def parse_token_list(text: Column | str) -> Column:
 
 def format_token_list(tokens: Column | str) -> Column:
     """Write an array as the text of a quoted list that ``parse_token_list`` reads back."""
+    tokens = _col(tokens)
 
-    def quote(t: Column) -> Column:
+    def escape(t: Column) -> Column:
         for raw, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
             t = F.replace(t, F.lit(raw), F.lit(escaped))
-        return F.concat(F.lit("'"), t, F.lit("'"))
-
-    return F.concat(F.lit("["), F.array_join(F.transform(_col(tokens), quote), ", "), F.lit("]"))
+        return t
+
+    # all tokens at once, unless one is null or holds the separator: then there are more separators than gaps
+    joined = F.array_join(tokens, _SEPARATOR, _SEPARATOR)
+    usual = _count(joined, _SEPARATOR) == F.size(tokens) - 1
+    whole = F.concat(F.lit("['"), F.replace(escape(joined), F.lit(_SEPARATOR), F.lit("', '")), F.lit("']"))
+    each = F.transform(tokens, lambda t: F.concat(F.lit("'"), escape(t), F.lit("'")))
+    return F.when(usual, whole).otherwise(F.concat(F.lit("["), F.array_join(each, ", "), F.lit("]")))
 
 
 def checked_vector(p: Column | str, size: int = len(CLASSES)) -> Column:

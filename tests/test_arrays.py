@@ -63,3 +63,34 @@ def test_argmax_rejects_nan(spark):
 def test_one_hot(spark):
     want = [[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1], [0, 0, 0, 0], [0, 0, 0, 0]]
     assert run(spark, [-2, -1, 0, 1, 7, None], "int", one_hot("x")) == want
+
+
+def test_whole_lists_are_read_and_written_like_their_items(spark):
+    import random
+
+    rng = random.Random(3)
+    parts = ["'", "\\", "\n", "\t", "\r", '"', ", ", "', '", "a", "n", "", "['", "']", "\ufdd0", "\ufdd1", "\ufdd2", "é", "\\'"]
+    lists = [["".join(rng.choices(parts, k=rng.randint(0, 4))) for _ in range(rng.randint(0, 5))] for _ in range(300)]
+    nulls = [["a", None], [None, "a\ufdd0"], [None], None]
+    rows = spark.createDataFrame([(t,) for t in lists + nulls], "t array<string>").withColumn("s", format_token_list("t"))
+    for r in rows.withColumn("back", parse_token_list("s")).collect():
+        want = None if r["t"] is None else [t for t in r["t"] if t is not None]
+        assert r["back"] == want and (want is None or ast.literal_eval(r["s"]) == want)
+    foreign = ["['a','b']", "[ 'a', \"b', '\", 'c' ]", "['a\\x41', '\\u4e00']", "['a', 'b'", "['']", "[', ', 'b']", "['a' 'b', 'c']", "['\\d']", "['"]
+    read = spark.createDataFrame([(t,) for t in foreign], "s string").select(parse_token_list("s")).collect()
+    assert [r[0] for r in read] == [["a", "b"], ["a", "b', '", "c"], ["aA", "一"], ["a", "b"], [""], [", ", "b"], ["a", "b", "c"], ["d"], []]
+
+
+def test_usual_lists_need_no_pattern_per_item(spark):
+    """Read as one text even if the way for odd lists is not there."""
+    from pyspark.sql import functions as F
+
+    from facetry.functions import arrays
+
+    rows = spark.createDataFrame([(["a", "'", "\\", "\n", ", ", "b"],)], "t array<string>")
+    way = arrays._parse_items
+    arrays._parse_items = lambda text: F.raise_error(F.lit("item by item")).cast("array<string>")
+    try:
+        assert rows.select(parse_token_list(format_token_list("t"))).first()[0] == ["a", "'", "\\", "\n", ", ", "b"]
+    finally:
+        arrays._parse_items = way
