@@ -27,8 +27,9 @@ from facetry.operators.vocabulary import fit_vocabulary
 from facetry.session import ensure_checkpoint_dir, fits_broadcast, hot_limit, materialize, ship_package
 
 HOT_ROWS = 50_000
+DENSE = 1 << 10  # different tokens of a block up to which all their pairs are counted in a table
 PAIR_STEPS = 1 << 20  # steps of one block of which the pairs are counted
-BLOCK_STEPS = 1 << 18  # steps of one block, whose distinct vectors a task holds
+BLOCK_STEPS = 1 << 20  # steps of one block, whose distinct vectors a task holds
 KINDS = ("mean", "max", "attention")
 _RUN = 1 << 15  # steps handled at once inside a task
 
@@ -271,14 +272,23 @@ def pair_weights(docs: DataFrame, vocab: DataFrame, window: int, tokens: str = "
                 code = codes.values.to_numpy(zero_copy_only=False).astype(np.int64)
                 owner = np.repeat(np.arange(len(codes)), codes.value_lengths().to_numpy(zero_copy_only=False))
                 keys, weights = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                table = np.zeros(len(idx) ** 2, np.int64) if len(idx) <= DENSE else None
                 for k in range(1, window + 1):
                     near = owner[:-k] == owner[k:]
                     left, right = code[:-k][near], code[k:][near]
+                    if table is not None:  # few different tokens: every pair has its cell
+                        table += np.bincount(left * len(idx) + right, minlength=len(table)) * (window + 1 - k)
+                        continue
                     found, n = np.unique(np.minimum(left, right) * len(idx) + np.maximum(left, right), return_counts=True)
                     every, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
                     total = np.zeros(len(every), np.int64)
                     np.add.at(total, place, np.concatenate([weights, n * (window + 1 - k)]))
                     keys, weights = every, total
+                if table is not None:
+                    cells = table.reshape(len(idx), len(idx))
+                    cells = np.triu(cells + cells.T) - np.diag(np.diag(cells))
+                    keys = np.flatnonzero(cells)
+                    weights = cells.ravel()[keys]
                 a, b = np.divmod(keys, max(1, len(idx)))
                 low, high = np.minimum(idx[a], idx[b]), np.maximum(idx[a], idx[b])
                 yield pa.record_batch([low, high, weights], ["a", "b", "n"])

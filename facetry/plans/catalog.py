@@ -574,7 +574,7 @@ def word2vec_train(spark, sf):
         tx.char_tokens(F.lower("text")),
         lambda c, i: F.when((i % 2 == 1) & c.isin(*TWINS), F.upper(c)).otherwise(c),
     )
-    docs = _documents(spark, sf).select(chars.alias("tokens")).where(F.size("tokens") > 0)
+    docs = _documents(spark, sf).where(F.length("text") > 0).select(chars.alias("tokens"))
     trained = materialize(vectors.train_vectors(docs))
     finite = F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(1e6)))
     near = vectors.nearest_tokens(trained, [c.upper() for c in TWINS])

@@ -161,3 +161,20 @@ def test_train_vectors_by_factorisation(spark):
     assert max(close("hot", w) for w in "xyz") < close("hot", "warm")
     nothing = vectors.train_vectors(docs.where("size(tokens) = 1"), size=3)
     assert [list(r["v"]) for r in nothing.collect()] == [[0.0] * 3]
+
+
+def test_pairs_of_few_tokens_are_counted_in_a_table(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [([rng.choice("abcd") for _ in range(rng.randint(0, 30))],) for _ in range(30)]
+    docs = spark.createDataFrame(rows, "tokens array<string>").repartition(2)
+    vocab = spark.createDataFrame([(t, 1, i + 1) for i, t in enumerate("abcd")], "token string, n long, idx long")
+    dense = sorted(vectors.pair_weights(docs, vocab, 3).collect())
+    monkeypatch.setattr(vectors, "DENSE", 0)
+    assert dense == sorted(vectors.pair_weights(docs, vocab, 3).collect()) and dense
+
+
+def test_a_rare_vector_goes_to_few_blocks(spark):
+    """Half a million steps are one block, which asks for a vector once."""
+    docs = spark.range(64, numPartitions=1).selectExpr("id", "transform(sequence(1, 8192), x -> cast(x % 100 AS int)) AS seq")
+    coded = vectors.blocks.pack(docs, "seq", most=vectors.BLOCK_STEPS)
+    assert coded.count() == 1
