@@ -27,6 +27,7 @@ from facetry.operators.matcher import (
 )
 from facetry.session import fits_broadcast, materialize, ship_package
 
+HOT_TOKENS = 50_000
 BLOCK_CHARS = 1 << 21  # of texts that ask a large dictionary together, or one text
 UNITS = float(1 << 32)  # log-probabilities are summed as whole numbers, so that equal cuts are equal
 
@@ -339,11 +340,31 @@ def _top_in_tasks(documents: int, spread: DataFrame, top: int):
     return best
 
 
+def _frequent_cutoff(spread: DataFrame) -> int:
+    """Document counts above this belong to tokens few and short enough to broadcast."""
+    most = HOT_TOKENS
+    while most:
+        head = spread.select("_docs").orderBy(F.desc("_docs")).limit(most + 1)
+        cutoff = head.agg(F.min("_docs")).first()[0] or 0
+        if fits_broadcast(spread.where(F.col("_docs") > cutoff), "token", 24, max_rows=HOT_TOKENS):
+            return cutoff
+        most //= 4
+    return spread.agg(F.max("_docs")).first()[0] or 0
+
+
 def _keywords_in_blocks(docs: DataFrame, documents: int, spread: DataFrame, top: int) -> DataFrame:
-    """``(id, _b)``: the distinct tokens of blocks of documents meet their document counts, and a block is ranked whole."""
+    """``(id, _b)``: the distinct tokens of blocks of documents meet their document counts, and a block is ranked whole.
+
+    The counts of the most frequent tokens are broadcast, so that the shuffle on the token only sees rare ones.
+    """
     coded = blocks.pack(docs.select("id", "tokens"), "tokens")
     listed = blocks.dictionaries(coded, "token", T.StringType()).where("token IS NOT NULL")
-    found = listed.join(spread, "token").select("block", "code", "_docs")
+    cutoff = _frequent_cutoff(spread)
+    hot = spread.where(F.col("_docs") > cutoff).withColumnRenamed("_docs", "_hot")
+    marked = listed.join(F.broadcast(hot), "token", "left")
+    common = marked.where("_hot IS NOT NULL").withColumnRenamed("_hot", "_docs")
+    rare = marked.where("_hot IS NULL").drop("_hot").join(spread.where(F.col("_docs") <= cutoff), "token")
+    found = common.select("block", "code", "_docs").unionByName(rare.select("block", "code", "_docs"))
 
     def rank(rows: pa.RecordBatch, counts: pa.Table, entries: pa.Array) -> pa.Table:
         codes = rows.column("codes")
