@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from facetry.functions import text as tx
 from facetry.functions.arrays import (
@@ -687,16 +688,35 @@ CLASS_BORDERS = (2, 5, 8)  # occurrences per 100 characters, from which the next
 STEPS, STEP, REG = 3, 2.0, 0.01
 
 
+def _letter_counts(letters: str):
+    """A text to how often each letter occurs in it, null to zeros; texts are read once per letter."""
+
+    @arrow_udf("array<int>")
+    def count(texts):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        each = [pc.count_substring(texts, letter) for letter in letters]
+        flat = np.column_stack([pc.fill_null(n, 0).to_numpy(zero_copy_only=False) for n in each]).astype(np.int32).ravel()
+        offsets = np.arange(len(texts) + 1, dtype=np.int32) * len(letters)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+    return count
+
+
 def _letter_labels(spark, sf) -> DataFrame:
     """``(id, <20 label columns>)``; an empty text has no label."""
+    counted = _documents(spark, sf).select(
+        "id", F.length("text").alias("size"), _letter_counts(ASPECT_LETTERS)("text").alias("n")
+    )
     cells = []
-    for name, letter in zip(ASPECT_COLUMNS, ASPECT_LETTERS, strict=True):
-        n = F.length("text") - F.length(F.replace("text", F.lit(letter), F.lit("")))
+    for place, name in enumerate(ASPECT_COLUMNS):
         label = F.lit(-2)
         for border in CLASS_BORDERS:
-            label = label + (n * 100 >= F.length("text") * border).cast("int")
-        cells.append(F.when(F.length("text") > 0, label).alias(name))
-    return _documents(spark, sf).select("id", *cells)
+            label = label + (F.col("n")[place] * 100 >= F.col("size") * border).cast("int")
+        cells.append(F.when(F.col("size") > 0, label).alias(name))
+    return counted.select("id", *cells)
 
 
 def _odd(df: DataFrame, remainder: int) -> DataFrame:
@@ -714,10 +734,9 @@ def aspect_scores(spark, sf):
     models.train(table, path, passes=STEPS, reg=REG, step=STEP)
     scored = models.score(features, path, epoch=STEPS)
     # two classes that no training document has are equally likely, but for the last bits
-    p = F.transform("p", lambda x: F.round(x, 6))
-    return scored.select(
-        F.col("id").alias("doc_id"), "aspect_idx", *[p[k].alias(f"p{k}") for k in range(4)], argmax_class(p).alias("yhat")
-    )
+    rounded = scored.withColumn("p", F.transform("p", lambda x: F.round(x, 6)))
+    four = [F.col("p")[k].alias(f"p{k}") for k in range(4)]
+    return rounded.select(F.col("id").alias("doc_id"), "aspect_idx", *four, argmax_class("p").alias("yhat"))
 
 
 def aspect_epochs(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetry.operators import bayes, models
+from facetry.plans import catalog
 from facetry.schema import ASPECT_COLUMNS, CLASSES
 
 D = 5
@@ -143,3 +144,17 @@ def test_naive_bayes_against_its_formula(spark, tmp_path, small):
                 for c in (0, 1)
             ]
             assert got[i, aspect] == pytest.approx(1 / (1 + math.exp(log[0] - log[1])))
+
+
+def test_letters_are_counted_once_per_text(spark, tmp_path):
+    texts = ["", None, "e", "éE e" * 7, "t" * 30 + "x" * 70, "sentence " * 5000, "\x00\n日本e"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = catalog._letter_labels(spark, str(tmp_path))
+    want = {}
+    for i, t in enumerate(texts):
+        cells = [sum(t.count(c) * 100 >= len(t) * b for b in catalog.CLASS_BORDERS) - 2 if t else None for c in catalog.ASPECT_LETTERS]
+        want[i] = tuple(cells)
+    assert {r["id"]: tuple(r)[1:] for r in made.collect()} == want
+    # a text was searched up to three times per letter before
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace" not in plan and plan.count("count(") == 1

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from facetry.operators import vectors
+from facetry.operators import pooling, vectors
 from facetry.operators.pooling import EPSILON, Pooled
 from facetry.session import materialize
 
@@ -87,3 +87,11 @@ def test_a_single_large_weight(spark):
     for in_tasks in (True, False):
         row = vectors.query_attention_pool(docs, table, 1, [[1.0]], [[1.0]], [500.0], in_tasks=in_tasks).first()
         assert row["attention"] == pytest.approx([-0.5], abs=1e-6)
+
+
+@pytest.mark.parametrize("how", [np.add, np.maximum])
+def test_rows_are_reduced_by_document(how):
+    rng = np.random.default_rng(5)
+    starts = np.unique(np.append(0, rng.integers(0, 700, 40)))
+    values = rng.normal(size=(700, 9))
+    assert np.allclose(pooling._by_document(how, values, starts), how.reduceat(values, starts), rtol=1e-12, atol=0 if how is np.maximum else 1e-12)
