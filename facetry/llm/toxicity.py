@@ -12,26 +12,27 @@ tells a text with several from one with a rare word that happens to stand in the
 (best spans, log counts at the levels, whole text, log length), fitted on one labelled text in four, which the class
 counts did not see, turns that into the score.
 
-What grows and what is bounded: the class models are fitted on a sample of labelled texts, at most ``sample`` per
-class with at most ``max_chars`` characters in all (in a fixed pseudo-random order of the ids; a text with more than
-a 64th of ``max_chars`` is not learned from). No word and no bigram of the sample is dropped. The shared counts of
-its bigrams are made over all documents. A word or bigram that is not in the sample has the same chance in both
-classes but for constants that the model holds, however frequent it is elsewhere; so the ratio of the two classes
-is whole with the sample's tables alone: sorted 64-bit keys and 32-bit ratios, 12 bytes a bigram. Counting is done
-by Spark's tasks; the driver turns the sample's counts, bounded like the sample, into ratios.
+All labelled texts are learned from; no word and no bigram of them is dropped. The shared counts of their bigrams are made
+over all documents. A word or bigram that no counted text has has the same chance in both classes but for constants that
+the model holds, however frequent it is elsewhere; so the ratio of the two classes is whole with the counted texts'
+tables alone. Up to ``local_chars`` characters of labelled texts these are broadcast: sorted 64-bit keys and 32-bit ratios, 12
+bytes a bigram; counting is done by Spark's tasks, the driver turns the counts into ratios. With more labelled texts nothing
+is broadcast or collected (``toxicity_chunks``). ``sample`` and ``max_chars`` bound the labelled texts, for callers that want that
+(in a fixed pseudo-random order of the ids; a text with more than a 64th of ``max_chars`` is not learned from).
 
 Words are known by 64-bit hashes (the chance that any two of a million meet is one in 10^7), bigrams by two word
 numbers. Ratios are whole multiples of 2^-16, so sums do not depend on how texts are batched.
 
 Defined cases: words are runs of letters, lower-cased. A text without words (null, empty) gets the score of a text
 whose likelihoods are equal. Without labels of both classes every score is 0.5 and every prediction 1. Labels that
-are null, and ids with both labels, are not learned from. Of the rows that repeat a sampled id, the smallest text is
+are null, and ids with both labels, are not learned from. Of the rows that repeat a labelled id, the smallest text is
 learned from; all are counted for the shared counts, and all are scored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,17 @@ from facetry.llm.common import digest_order, written
 from facetry.llm.texts import slices
 from facetry.session import materialize, ship_package
 
+if TYPE_CHECKING:
+    from facetry.llm.toxicity_chunks import ChunkModel
+
 SPANS = (1, 2, 6)
 LEVELS = (1, 2, 3, 4)  # log-ratios that a word may reach
 START = np.uint64(2)  # the key of what stands before a text's first word
 UNIT = 1 << 16
 NOT_LETTERS = r"\PL+"
 BLOCK = 1 << 16  # shared counts that travel together
+LOCAL_CHARS = 16_000_000  # of labelled texts, up to which their tables are broadcast
+LOCAL_ROWS = 1_000_000
 LANES = 256  # of tasks whose counts are added up before all are
 
 
@@ -190,36 +196,43 @@ class Model:
         return np.where(found >= 0, self.ratios[found].astype(np.int64), own + before)
 
     def features(self, keys: Keys) -> np.ndarray:
-        """A row per text: best spans, words at the levels, whole text, log length; zeros for a text without words."""
-        made = np.zeros((len(keys.sizes), len(SPANS) + len(LEVELS) + 2))
-        some = np.flatnonzero(keys.sizes)
-        if not len(some):
-            return made
-        starts, sizes = keys.starts[some], keys.sizes[some]
-        ratio = self.ratio(keys)
-        for i, level in enumerate(LEVELS):
-            made[some, len(SPANS) + i] = np.log1p(np.add.reduceat((ratio >= level * UNIT).astype(np.int64), starts))
-        sums = np.concatenate([[0], np.cumsum(ratio)])
-        whole = sums[starts + sizes] - sums[starts]
-        left = np.repeat(starts + sizes, sizes) - np.arange(len(sums) - 1)
-        for i, span in enumerate(SPANS):
-            run = np.full(len(sums) - 1, np.iinfo(np.int64).min)
-            at = np.flatnonzero(left >= span)
-            run[at] = sums[at + span] - sums[at]
-            best = np.maximum.reduceat(run, starts)
-            made[some, i] = np.where(sizes >= span, best / (span * UNIT), whole / (sizes * UNIT))
-        made[some, -2] = whole / (sizes * UNIT)
-        made[some, -1] = np.log1p(sizes)
-        return made
+        return text_features(self.ratio(keys) if len(keys.words) else np.empty(0, np.int64), keys.starts, keys.sizes)
 
     def score(self, keys: Keys) -> np.ndarray:
-        found = self.features(keys)
-        if self.weights is None:
-            return 1 / (1 + np.exp(-np.clip(found[:, -2], -30, 30)))
-        total = np.full(len(found), self.weights[-1])
-        for i, weight in enumerate(self.weights[:-1]):  # column by column: the same sum in any batch
-            total = total + found[:, i] * weight
-        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+        return sigmoid(self.features(keys), self.weights)
+
+
+def text_features(ratio: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row per text: best spans, words at the levels, whole text, log length; zeros for a text without words."""
+    made = np.zeros((len(sizes), len(SPANS) + len(LEVELS) + 2))
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return made
+    starts, sizes = starts[some], sizes[some]
+    for i, level in enumerate(LEVELS):
+        made[some, len(SPANS) + i] = np.log1p(np.add.reduceat((ratio >= level * UNIT).astype(np.int64), starts))
+    sums = np.concatenate([[0], np.cumsum(ratio)])
+    whole = sums[starts + sizes] - sums[starts]
+    left = np.repeat(starts + sizes, sizes) - np.arange(len(sums) - 1)
+    for i, span in enumerate(SPANS):
+        run = np.full(len(sums) - 1, np.iinfo(np.int64).min)
+        at = np.flatnonzero(left >= span)
+        run[at] = sums[at + span] - sums[at]
+        best = np.maximum.reduceat(run, starts)
+        made[some, i] = np.where(sizes >= span, best / (span * UNIT), whole / (sizes * UNIT))
+    made[some, -2] = whole / (sizes * UNIT)
+    made[some, -1] = np.log1p(sizes)
+    return made
+
+
+def sigmoid(found: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
+    """The score of features; without weights that of the whole text's ratio."""
+    if weights is None:
+        return 1 / (1 + np.exp(-np.clip(found[:, -2], -30, 30)))
+    total = np.full(len(found), weights[-1])
+    for i, weight in enumerate(weights[:-1]):  # column by column: the same sum in any batch
+        total = total + found[:, i] * weight
+    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
 def _units(ratio: np.ndarray) -> np.ndarray:
@@ -265,16 +278,30 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-    sample: int = 20_000,
-    max_chars: int = 64_000_000,
-) -> Model | None:
-    """Fit on ``labels`` where ``learn`` holds (a condition on the id); None without both classes."""
+    sample: int | None = None,
+    max_chars: int | None = None,
+    local_chars: int = LOCAL_CHARS,
+) -> Model | ChunkModel | None:
+    """Fit on ``labels`` where ``learn`` holds (a condition on the id); None without both classes.
+
+    All labelled texts are learned from, unless ``sample`` texts or ``max_chars`` characters per class are asked for.
+    """
     usable = _usable(labels, doc_id, label, learn)
     if usable.select("y").distinct().count() < 2:
         return None
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    rows = _sampled_texts(texts, _drawn(usable, sample), max_chars)
+    if sample is None and max_chars is None:
+        # ids and lengths only; rows that repeat an id are counted too
+        size = texts.select("id", F.length("text").alias("n")).join(usable, "id").agg(F.sum("n"), F.count(F.lit(1))).first()
+        if (size[0] or 0) > local_chars or size[1] > LOCAL_ROWS:
+            from facetry.llm.toxicity_chunks import ChunkModel
+
+            return ChunkModel(_scored_texts(docs, doc_id, text), usable)
+        rows = _one_text(texts, usable)
+    else:
+        chosen = usable if sample is None else _drawn(usable, sample)
+        rows = _sampled_texts(texts, chosen, 1 << 62 if max_chars is None else max_chars)
     # one labelled text in four fits the score and is not counted
     fits = F.pmod(F.xxhash64("id"), F.lit(4)) == 0
     model = fit(rows.where(~fits).select("y", "text"), texts)
@@ -286,9 +313,19 @@ def train(
     return model
 
 
+def _scored_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+
+
+def _one_text(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``(id, y, text)``: the smallest text of each chosen id."""
+    one = texts.where("text IS NOT NULL").join(chosen, "id")
+    return written(one.groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text")), "learned")
+
+
 def _sampled_texts(texts: DataFrame, chosen: DataFrame, max_chars: int) -> DataFrame:
     """``(id, y, text)``: one text per chosen id, as many per class as fit into ``max_chars``."""
-    one = texts.join(F.broadcast(chosen), "id").where(F.length("text") * 64 <= max_chars)
+    one = texts.join(F.broadcast(chosen), "id").where(F.length("text") <= max_chars // 64)
     one = written(one.groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text")), "sample")
     # at most the sample's rows, two classes: a small window
     upto = W.partitionBy("y").orderBy(digest_order("id"), "id").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -435,10 +472,13 @@ def _features(rows: DataFrame, model: Model):
     return rows.select("y", "text").mapInArrow(make, "y int, x array<double>").toPandas()
 
 
-def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model | ChunkModel | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, score, predicted)`` per row, from the text alone."""
     spark = docs.sparkSession
     ship_package(spark)
+    rows = _scored_texts(docs, doc_id, text)
+    if model is not None and not isinstance(model, Model):
+        return model.score(rows).withColumnRenamed("id", doc_id)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -450,5 +490,4 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
                 [batch.column(0), pa.array(made), pa.array((made >= 0.5).astype(np.int32))], ["id", "score", "predicted"]
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(score, "id long, score double, predicted int").withColumnRenamed("id", doc_id)

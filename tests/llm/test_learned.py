@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from facetry.llm import langid, quality, toxicity
+from facetry.llm import langid, quality, toxicity, toxicity_chunks
 from facetry.llm.common import LETTER_RUN, LETTERS
 
 
@@ -365,3 +365,28 @@ def test_training_does_not_depend_on_layout(spark):
         ]
         scores.append([{r["doc_id"]: r["score"] for r in m.collect()} for m in made])
     assert scores[0] == scores[1]
+
+
+def test_chunks_learn_from_all_labelled_texts(spark, monkeypatch):
+    """Chunks that meet their counts score as local tables do, and nothing labelled is left out."""
+    rows, labels = corpus(n=300)
+    odd = [(1, "vile balo x", "en", "x"), (1, "vile balo x", "en", "x"), (2, None, None, "x"), (None, None, None, "x"), (999, "", None, "x")]
+    frame, marks = docs(spark, [*rows, *odd]).repartition(5), labelled(spark, [*labels, (999, 0), (None, 1)])
+    whole = toxicity.train(frame, marks, F.lit(True))
+    assert isinstance(whole, toxicity.Model)
+    monkeypatch.setattr(toxicity_chunks, "CHUNK", 1000)
+    model = toxicity.train(frame, marks, F.lit(True), local_chars=0)
+    assert np.allclose(model.weights, whole.weights, atol=1e-6)
+    for asked in (frame, docs(spark, [*rows[:40], *odd, (5, "unheard vile words balo", "en", "x")])):
+        made = [sorted(toxicity.predict(asked, m).collect(), key=str) for m in (whole, model)]
+        assert [(r["doc_id"], r["predicted"]) for r in made[0]] == [(r["doc_id"], r["predicted"]) for r in made[1]]
+        assert np.allclose([r["score"] for r in made[0]], [r["score"] for r in made[1]], atol=1e-6)
+
+
+def test_more_labelled_texts_than_the_former_sample_are_learned_from(spark):
+    """A class of more than 20,000 texts: of each only its last word is its own."""
+    rows = [(i, f"balo gema w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)}", "en", "x") for i in range(30_000)]
+    marks = labelled(spark, [(i, int(i % 10 == 0)) for i in range(30_000)])
+    counted = spark.range(30_000).where(F.pmod(F.xxhash64("id"), F.lit(4)) != 0).count()
+    model = toxicity.train(docs(spark, rows), marks, F.lit(True))
+    assert len(model.words) == counted + 3  # balo, gema and what stands before a text
