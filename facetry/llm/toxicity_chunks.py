@@ -1,12 +1,15 @@
 """The class models of ``toxicity`` over labelled texts of any number: chunks of texts meet the counts they ask for.
 
-A chunk holds the words of some 2 million places of text as codes into its own sorted dictionary, written once. Every
+A chunk holds the words of some 4 million places of text as codes, small ones for its frequent words, written once. Every
 chunk sends each of its different bigrams once, with its counts, to the part that the bigram's hash falls into. A part adds
 up what it got and answers every chunk with the totals over all texts; of the chunks that hold a bigram the first one
 owns it and adds it to its two words' sums, which are sent, added up and answered alike. A chunk then has the counts of
 all its bigrams and words, so it compares its texts by the formulas of ``toxicity``. Blocks travel sorted and packed. A
 frequent word or bigram is one entry per chunk, so no part is larger than others; nothing but a few sums is on the driver.
 
+Disk is what this costs most of: questions are asked for half of the bigrams at a time and leave the disks when they are
+answered, word sums are made from the bigrams owned alone, and texts are compared by groups of chunks.
+
 Bigrams are known by some 20 bits of a hash more than it takes to number all words of the texts: that one meets any
 other has a chance of at most 2^-20.
 """
@@ -15,18 +18,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetry.llm.toxicity import START, UNIT, Discounts, _packed, _text_slices, _units, _unpacked, sigmoid, text_features
 from facetry.operators.models import matrix, summed
-from facetry.session import ensure_checkpoint_dir, fits_broadcast, materialize, ship_package
+from facetry.session import ensure_checkpoint_dir, fits_broadcast, materialize, materialize_released, ship_package
 
-CHUNK = 1 << 21  # words of a chunk, or one slice of texts
+CHUNK = 1 << 22  # words of a chunk, or one slice of texts
 PART = 1 << 21  # words per part; a part gets fewer bigrams than that
+ASK_ROUNDS = 2  # bigrams are asked for by so many ranges of their hashes, one after the other
+COMPARE_ROUNDS = 4  # texts are compared by so many groups of chunks
 MORE_BITS = 20  # of a bigram's hash
 LEVELS = 3  # ordinary, toxic, all documents
 SUMS = 15  # of a word, see ``_word_sums``
@@ -34,13 +42,14 @@ SUMS = 15  # of a word, see ``_word_sums``
 # what a text is for: asked only, neither counted nor learned from; plain; counted in a class; fits the score
 ASKED, PLAIN, COUNTED, FITS, EXTRA = -2, -1, 0, 2, 4  # + class; + EXTRA: stands for the rows that repeat its id
 
-BLOCK = "part int, chunk long, n int, data array<binary>"
+BLOCK = "part int, kind int, chunk long, n int, data array<binary>"
+OWNED, PAIRS, WORDS, NOTE = range(4)  # kinds of answers: of bigrams the chunk owns, of all its bigrams, of words; for the driver
 
 
-def _block(part: int, chunk: int, *arrays: np.ndarray) -> pa.RecordBatch:
+def _block(part: int, chunk: int, *arrays: np.ndarray, kind: int = -1) -> pa.RecordBatch:
     data = pa.array([[_packed(x) for x in arrays]], pa.list_(pa.binary()))
-    sizes = [pa.array([part], pa.int32()), pa.array([chunk], pa.int64()), pa.array([len(arrays[0])], pa.int32())]
-    return pa.record_batch([*sizes, data], ["part", "chunk", "n", "data"])
+    sizes = [pa.array([x], pa.int32()) for x in (part, kind)]
+    return pa.record_batch([*sizes, pa.array([chunk], pa.int64()), pa.array([len(arrays[0])], pa.int32()), data], ["part", "kind", "chunk", "n", "data"])
 
 
 def _steps(keys: np.ndarray) -> np.ndarray:
@@ -51,26 +60,50 @@ def _keys(body: bytes, size: int) -> np.ndarray:
     return np.cumsum(_unpacked(body, size, np.uint64), dtype=np.uint64)
 
 
+def _listed(words: np.ndarray) -> dict[str, pa.Array]:
+    """Words as codes, small ones for frequent words: their high bytes are mostly equal. Words of one count stand sorted."""
+    known, codes, n = np.unique(words, return_inverse=True, return_counts=True)
+    known, n = np.append(known, START), np.append(n, 0)  # what stands before a text is asked for, too
+    order = np.lexsort((known, -n))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return {
+        "n": pa.array([len(codes)], pa.int32()),
+        "n_listed": pa.array([len(known)], pa.int32()),
+        "codes": pa.array([_packed(rank[codes])], pa.binary()),
+        "listed": pa.array([_packed(_steps(known[order]))], pa.binary()),
+    }
+
+
+def _unlisted(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted words of ``_listed``, and each word's place among them."""
+    words = _keys(row["listed"], row["n_listed"])
+    order = np.argsort(words)
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return words[order], place[_unpacked(row["codes"], row["n"], np.int32)]
+
+
 class Chunk:
     """Texts as codes of words; their different bigrams in the order of their hashes."""
 
     def __init__(self, row: dict, bits: int):
         self.chunk, self.ids, self.roles = row["chunk"], row["ids"], np.array(row["roles"], np.int64)
         self.sizes = _unpacked(row["sizes"], len(self.roles), np.int32).astype(np.int64)
-        self.words = _keys(row["listed"], row["n_listed"])
-        codes = _unpacked(row["codes"], row["n"], np.int32).astype(np.int64)
+        self.words, codes = _unlisted(row)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        before = np.concatenate([[0], codes[:-1]])[: len(codes)]
+        before = np.append(np.int32(0), codes[:-1])[: len(codes)]
         before[self.starts[self.sizes > 0]] = np.searchsorted(self.words, START)
-        found, place = np.unique(before * len(self.words) + codes, return_inverse=True)
-        self.first, self.second = np.divmod(found, len(self.words))
+        found, place = np.unique(before.astype(np.int64) * len(self.words) + codes, return_inverse=True)
+        place = place.astype(np.int32)
+        self.first, self.second = (x.astype(np.int32) for x in np.divmod(found, len(self.words)))
         keys = self.words[self.first] * np.uint64(0x9E3779B97F4A7C15) + self.words[self.second]
         keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - bits)
         order = np.argsort(keys)
         self.pairs, self.first, self.second = keys[order], self.first[order], self.second[order]
-        where = np.empty(len(order), np.int64)
-        where[order] = np.arange(len(order))
+        where = np.empty(len(order), np.int32)
+        where[order] = np.arange(len(order), dtype=np.int32)
         self.place = where[place]  # of every word of the texts
 
     def counts(self) -> list[np.ndarray]:
@@ -86,17 +119,11 @@ def chunks(texts: DataFrame) -> DataFrame:
 
     def state(held: list) -> pa.RecordBatch:
         ids, roles, sizes, words = (list(x) for x in zip(*held, strict=True))
-        words = np.concatenate(words)
-        listed = np.unique(np.append(words, START))
-        codes = np.searchsorted(listed, words).astype(np.int32)
         columns = {
             "ids": pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
             "roles": pa.array([pa.concat_arrays(roles).to_pylist()], pa.list_(pa.int32())),
-            "n": pa.array([len(codes)], pa.int32()),
-            "n_listed": pa.array([len(listed)], pa.int32()),
             "sizes": pa.array([_packed(np.concatenate(sizes).astype(np.int32))], pa.binary()),
-            "codes": pa.array([_packed(codes)], pa.binary()),
-            "listed": pa.array([_packed(_steps(listed))], pa.binary()),
+            **_listed(np.concatenate(words)),
         }
         return pa.record_batch(list(columns.values()), list(columns))
 
@@ -114,7 +141,7 @@ def chunks(texts: DataFrame) -> DataFrame:
             yield state(held)
 
     ship_package(texts.sparkSession)
-    kind = "ids array<long>, roles array<int>, n int, n_listed int, sizes binary, codes binary, listed binary"
+    kind = "ids array<long>, roles array<int>, sizes binary, n int, n_listed int, codes binary, listed binary"
     made = texts.select(F.col("id").cast("long"), "text", F.col("role").cast("int")).mapInArrow(make, kind)
     return _by_chunk(made.withColumn("chunk", F.monotonically_increasing_id()))
 
@@ -148,11 +175,14 @@ def labelled_texts(texts: DataFrame, usable: DataFrame) -> DataFrame:
     return rows.select("id", "text", F.when(F.col("extra").isNull(), F.col("role")).otherwise(PLAIN).alias("role")).unionByName(extra)
 
 
-def _dealt(chunk: int, keys: np.ndarray, bits: int, parts: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Blocks of sorted keys of ``bits`` bits and their columns, one per part."""
+def _dealt(
+    chunk: int, keys: np.ndarray, bits: int, parts: int, columns: list[np.ndarray], only: range | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Blocks of sorted keys of ``bits`` bits and their columns, one per part; ``only`` those of some parts."""
     width = np.uint64(bits - parts.bit_length() + 1)
-    edges = [*np.searchsorted(keys >> width, np.arange(parts, dtype=np.uint64)), len(keys)]
-    for part, (begin, end) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+    only = range(parts) if only is None else only
+    edges = np.searchsorted(keys >> width, np.arange(only.start, only.stop + 1, dtype=np.uint64))
+    for part, begin, end in zip(only, edges[:-1], edges[1:], strict=True):
         if end > begin:
             yield _block(part, chunk, _steps(keys[begin:end]), *[x[begin:end] for x in columns])
 
@@ -170,11 +200,11 @@ class Totals:
             given = np.concatenate([_unpacked(b["data"][i], b["n"], kind) for b in self.blocks])
             self.sums.append(np.bincount(self.at, weights=given, minlength=len(self.keys)).astype(np.int64))
 
-    def answers(self, *columns: np.ndarray) -> pa.Table:
+    def answers(self, kind: int, *columns: np.ndarray) -> pa.Table:
         """For each chunk the columns, which are by entry of the blocks."""
         ends = np.cumsum([b["n"] for b in self.blocks])
         made = [
-            _block(self.part, b["chunk"], *[x[end - b["n"] : end] for x in columns])
+            _block(self.part, b["chunk"], *[x[end - b["n"] : end] for x in columns], kind=kind)
             for b, end in zip(self.blocks, ends, strict=True)
         ]
         return pa.Table.from_batches(made)
@@ -182,11 +212,11 @@ class Totals:
 
 def _note(*numbers: np.ndarray) -> pa.Table:
     """A part's sums for the driver."""
-    return pa.Table.from_batches([_block(-1, 0, np.concatenate(numbers).astype(np.float64))])
+    return pa.Table.from_batches([_block(-1, 0, np.concatenate(numbers).astype(np.float64), kind=NOTE)])
 
 
 def _noted(answers: DataFrame, size: int) -> np.ndarray:
-    rows = answers.where("part = -1").select("n", "data").toArrow().to_pylist()
+    rows = answers.where(F.col("kind") == NOTE).select("n", "data").toArrow().to_pylist()
     return np.sum([np.zeros(size), *[_unpacked(r["data"][0], r["n"], np.float64) for r in rows]], axis=0)
 
 
@@ -199,32 +229,48 @@ def _add_pairs(table: pa.Table) -> pa.Table:
     totals = Totals(table, LEVELS, np.int32)
     held = (totals.sums[0] > 0) | (totals.sums[1] > 0)
     n = [np.where(held, x, 0) for x in totals.sums]
-    owned = np.zeros(len(totals.at), np.uint8)
-    owned[totals.first[held]] = 1
-    return pa.concat_tables([totals.answers(*[x[totals.at] for x in n], owned), _note(*map(_kinds, n))])
+    owned = np.zeros(len(totals.at), bool)
+    owned[totals.first[held]] = True
+    every = [x[totals.at] for x in n]
+    answers = [totals.answers(OWNED, *[np.where(owned, x, 0) for x in every]), totals.answers(PAIRS, *every)]
+    return pa.concat_tables([*answers, _note(*map(_kinds, n))])
 
 
 def _add_words(table: pa.Table) -> pa.Table:
     totals = Totals(table, SUMS, np.int64)
     contexts, *single = totals.sums[-3:]
     note = _note([np.count_nonzero(contexts), contexts.sum(dtype=np.int64)], *map(_kinds, single))
-    return pa.concat_tables([totals.answers(*[x[totals.at] for x in totals.sums]), note])
+    return pa.concat_tables([totals.answers(WORDS, *_thin([x[totals.at] for x in totals.sums])), note])
+
+
+def _thin(sums: list[np.ndarray]) -> list[np.ndarray]:
+    """Word sums less what the others say of them: mostly zeros, which pack well."""
+    made = list(sums)
+    for c in range(LEVELS):
+        made[c] = sums[c] - sum(k * x for k, x in zip((1, 2, 3), sums[LEVELS + 3 * c :], strict=False))
+    made[-2:] = [single - leads for single, leads in zip(sums[-2:], sums[:2], strict=True)]
+    return made
 
 
-def _answer(table: pa.Table, kind: int, kinds: list) -> list[np.ndarray]:
-    """A chunk's answers of one kind (0: bigrams, 1: words), in the order of its sorted keys."""
-    rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["part"])
-    return [np.concatenate([np.empty(0, k), *[_unpacked(r["data"][i], r["n"], k) for r in rows]]) for i, k in enumerate(kinds)]
+def _whole(thin: list[np.ndarray]) -> list[np.ndarray]:
+    made = list(thin)
+    for c in range(LEVELS):
+        made[c] = thin[c] + sum(k * x for k, x in zip((1, 2, 3), thin[LEVELS + 3 * c :], strict=False))
+    made[-2:] = [single + leads for single, leads in zip(thin[-2:], made[:2], strict=True)]
+    return made
 
 
-PAIR_KINDS = [np.int64] * LEVELS + [np.uint8]
-WORD_KINDS = [np.int64] * SUMS
+def _answer(table: pa.Table, kind: int, columns: int) -> list[np.ndarray]:
+    """A chunk's answers of one kind, in the order of its sorted keys."""
+    rows = sorted((r for r in table.filter(pc.equal(table["kind"], kind)).to_pylist()), key=lambda r: r["part"])
+    none = np.empty(0, np.int64)
+    return [np.concatenate([none, *[_unpacked(r["data"][i], r["n"]) for r in rows]]) for i in range(columns)]
 
 
-def _word_sums(chunk: Chunk, n: list[np.ndarray], owned: np.ndarray) -> list[np.ndarray]:
+def _word_sums(chunk: Chunk, n: list[np.ndarray]) -> list[np.ndarray]:
     """Over the bigrams owned, by word: per level how often it leads and how many bigrams of 1, 2 and more it
     leads; how many it ends, and how often in both classes."""
-    own = np.flatnonzero(owned)
+    own = np.flatnonzero((n[0] > 0) | (n[1] > 0))
     n = [x[own] for x in n]
     by = lambda of, x: np.bincount(of[own], weights=x, minlength=len(chunk.words)).astype(np.int64)
     leads = [by(chunk.first, x) for x in n]
@@ -266,38 +312,45 @@ def features(states: DataFrame) -> DataFrame:
     parts = 1 << max(3, (words // PART).bit_length())
     bits = min(64, words.bit_length() + MORE_BITS)
 
-    def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                chunk = Chunk(batch.slice(row, 1).to_pylist()[0], bits)
-                yield from _dealt(chunk.chunk, chunk.pairs, bits, parts, chunk.counts())
+    def ask_pairs(only: range) -> DataFrame:
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    chunk = Chunk(batch.slice(row, 1).to_pylist()[0], bits)
+                    yield from _dealt(chunk.chunk, chunk.pairs, bits, parts, chunk.counts(), only)
+
+        return states.mapInArrow(ask, BLOCK).groupBy("part").applyInArrow(_add_pairs, BLOCK)
 
-    pairs = materialize(states.mapInArrow(ask_pairs, BLOCK).groupBy("part").applyInArrow(_add_pairs, BLOCK))
+    # a round's questions leave the disks before the next one's are written
+    edges = [parts * i // ASK_ROUNDS for i in range(ASK_ROUNDS + 1)]
+    pairs = reduce(DataFrame.unionByName, [materialize_released(ask_pairs(range(*x))) for x in pairwise(edges)])
     note = _noted(pairs, 6 * LEVELS)
     off = [Discounts(*note[6 * c : 6 * c + 4]) for c in range(LEVELS)]
 
     def ask_words(state: pa.Table, found: pa.Table) -> pa.Table:
         chunk = Chunk(state.to_pylist()[0], bits)
-        *n, owned = _answer(found, 0, PAIR_KINDS)
-        made = list(_dealt(chunk.chunk, chunk.words, 64, parts, _word_sums(chunk, n, owned)))
+        made = list(_dealt(chunk.chunk, chunk.words, 64, parts, _word_sums(chunk, _answer(found, OWNED, LEVELS))))
         return pa.Table.from_batches(made)
 
-    answers = pairs.where("part >= 0").withColumn("kind", F.lit(0))
-    asked = states.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(ask_words, BLOCK)
-    sums = materialize(asked.groupBy("part").applyInArrow(_add_words, BLOCK))
+    owned = pairs.where(F.col("kind") == OWNED)
+    asked = states.groupBy("chunk").cogroup(owned.groupBy("chunk")).applyInArrow(ask_words, BLOCK)
+    sums = materialize_released(asked.groupBy("part").applyInArrow(_add_words, BLOCK))
     word_note = _noted(sums, 14)
 
     def compare(state: pa.Table, found: pa.Table) -> pa.Table:
         chunk = Chunk(state.to_pylist()[0], bits)
-        n = _answer(found, 0, PAIR_KINDS)[:LEVELS]
-        ratio = _ratio(chunk, n, _answer(found, 1, WORD_KINDS), off, word_note)
+        ratio = _ratio(chunk, _answer(found, PAIRS, LEVELS), _whole(_answer(found, WORDS, SUMS)), off, word_note)
         x = text_features(ratio, chunk.starts, chunk.sizes)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
         return pa.table({"id": pa.array(chunk.ids, pa.int64()), "role": pa.array(chunk.roles.astype(np.int32)), "x": lists})
 
-    both = answers.unionByName(sums.where("part >= 0").withColumn("kind", F.lit(1)))
-    made = states.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(compare, "id long, role int, x array<double>")
-    return materialize(made)
+    answers = pairs.where(F.col("kind") == PAIRS).unionByName(sums.where(F.col("kind") == WORDS))
+    made = []
+    for i in range(COMPARE_ROUNDS):  # only one group's answers travel at a time
+        some = F.pmod(F.xxhash64("chunk"), F.lit(COMPARE_ROUNDS)) == i
+        both = states.where(some).groupBy("chunk").cogroup(answers.where(some).groupBy("chunk"))
+        made.append(materialize_released(both.applyInArrow(compare, "id long, role int, x array<double>")))
+    return reduce(DataFrame.unionByName, made).coalesce(made[0].rdd.getNumPartitions())
 
 
 def fit_weights(rows: DataFrame, ridge: float = 1.0, steps: int = 50) -> np.ndarray | None:

@@ -75,6 +75,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Spark removes an action's shuffle files at its end instead of when the driver collects its garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize_released(df: DataFrame) -> DataFrame:
+    """``materialize`` that leaves only the result on the disks: the shuffle files it needed go with it.
+
+    The setting holds for the plan made here; ``df`` and the session's other frames are as before.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        return materialize(df.select("*"))
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 SPREAD_MAX_BYTES = 1 << 30
 
 

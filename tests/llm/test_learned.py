@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -383,6 +384,42 @@ def test_chunks_learn_from_all_labelled_texts(spark, monkeypatch):
         assert np.allclose([r["score"] for r in made[0]], [r["score"] for r in made[1]], atol=1e-6)
 
 
+def test_chunks_leave_no_questions_on_the_disk(spark, monkeypatch):
+    """What chunks and parts send each other goes when it is answered, and rounds change no feature."""
+    rows, labels = corpus(n=300)
+    usable = toxicity._usable(labelled(spark, labels), "doc_id", "toxic", F.lit(True))
+    monkeypatch.setattr(toxicity_chunks, "CHUNK", 500)
+    texts = toxicity_chunks.labelled_texts(docs(spark, rows).select(F.col("doc_id").alias("id"), "text"), usable)
+    states = toxicity_chunks.chunks(texts)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left() -> int:
+        files = disk.getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()))
+
+    made, before = [], left()
+    for rounds in ((1, 1), (2, 4), (3, 2)):
+        for name, value in zip(("ASK_ROUNDS", "COMPARE_ROUNDS"), rounds, strict=True):
+            monkeypatch.setattr(toxicity_chunks, name, value)
+        made.append(sorted(map(tuple, toxicity_chunks.features(states).collect())))
+        until = time.time() + 20
+        while left() > before + 20_000 and time.time() < until:
+            time.sleep(0.2)
+        assert left() <= before + 20_000  # some sums
+    assert made[0] == made[1] == made[2] and len(made[0]) == len(rows)
+
+
+def test_chunks_pack_words_and_sums():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 5000):
+        words = rng.integers(3, 1 << 63, 400, np.uint64)[np.minimum(rng.geometric(0.05, n), 399)]
+        known, codes = toxicity_chunks._unlisted({k: v.to_pylist()[0] for k, v in toxicity_chunks._listed(words).items()})
+        assert (known == np.unique(np.append(words, toxicity.START))).all() and (known[codes] == words).all()
+    sums = [rng.integers(0, 50, 30) for _ in range(toxicity_chunks.SUMS)]
+    for got, want in zip(toxicity_chunks._whole(toxicity_chunks._thin(sums)), sums, strict=True):
+        assert (got == want).all()
+
+
 def test_more_labelled_texts_than_the_former_sample_are_learned_from(spark):
     """A class of more than 20,000 texts: of each only its last word is its own."""
     rows = [(i, f"balo gema w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)}", "en", "x") for i in range(30_000)]
