@@ -39,8 +39,8 @@ MORE_BITS = 20  # of a bigram's hash
 LEVELS = 3  # ordinary, toxic, all documents
 SUMS = 15  # of a word, see ``_word_sums``
 
-# what a text is for: asked only, neither counted nor learned from; plain; counted in a class; fits the score
-ASKED, PLAIN, COUNTED, FITS, EXTRA = -2, -1, 0, 2, 4  # + class; + EXTRA: stands for the rows that repeat its id
+# what a text is for: null, or asked only, neither counted nor learned from; plain; counted in a class; fits the score
+NULL, ASKED, PLAIN, COUNTED, FITS, EXTRA = -3, -2, -1, 0, 2, 4  # + class; + EXTRA: stands for the rows that repeat its id
 
 BLOCK = "part int, kind int, chunk long, n int, data array<binary>"
 OWNED, PAIRS, WORDS, NOTE = range(4)  # kinds of answers: of bigrams the chunk owns, of all its bigrams, of words; for the driver
@@ -89,6 +89,8 @@ class Chunk:
 
     def __init__(self, row: dict, bits: int):
         self.chunk, self.ids, self.roles = row["chunk"], row["ids"], np.array(row["roles"], np.int64)
+        if row.get("places"):
+            self.roles[row["places"]] = row["learned"]
         self.sizes = _unpacked(row["sizes"], len(self.roles), np.int32).astype(np.int64)
         self.words, codes = _unlisted(row)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -157,22 +159,40 @@ def _by_chunk(states: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def labelled_texts(texts: DataFrame, usable: DataFrame) -> DataFrame:
-    """``(id, text, role)``: all rows of ``texts(id, text)``; of rows that repeat a labelled id the smallest text is learned from."""
+def learned_chunks(texts: DataFrame, usable: DataFrame) -> DataFrame:
+    """Chunks of all rows of ``texts(id, text)``; of rows that repeat a labelled id the smallest text is learned from.
+
+    With more labels than fit a broadcast the texts are not shuffled to meet them: their ids do once the chunks are written.
+    """
     role = F.col("y") + F.when(F.pmod(F.xxhash64("id"), F.lit(4)) == 0, FITS).otherwise(COUNTED)
     usable = usable.select("id", role.alias("role"))
-    usable = F.broadcast(usable) if fits_broadcast(usable) else usable
+    few_labels = fits_broadcast(usable)
+    usable = F.broadcast(usable) if few_labels else usable
     # a null text is not learned from
     repeated = texts.where("text IS NOT NULL").select("id").join(usable, "id").groupBy("id", "role").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = materialize(repeated.select("id", (F.col("role") + EXTRA).alias("extra")))
-    role = F.when(F.col("text").isNotNull() & F.col("role").isNotNull(), F.col("role")).otherwise(PLAIN)
-    rows = texts.join(usable, "id", "left").withColumn("role", role)
-    if repeated.isEmpty():
-        return rows.select("id", "text", "role")
-    few = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
-    extra = texts.join(few, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("extra").alias("role"))
-    rows = rows.join(few, "id", "left")
-    return rows.select("id", "text", F.when(F.col("extra").isNull(), F.col("role")).otherwise(PLAIN).alias("role")).unionByName(extra)
+    if few_labels:
+        role = F.when(F.col("text").isNotNull() & F.col("role").isNotNull(), F.col("role")).otherwise(PLAIN)
+        rows = texts.join(usable, "id", "left").withColumn("role", role)
+    else:
+        rows = texts.withColumn("role", F.when(F.col("text").isNull(), NULL).otherwise(PLAIN))
+    if not repeated.isEmpty():
+        few = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
+        extra = texts.join(few, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("extra").alias("role"))
+        if few_labels:
+            rows = rows.join(few, "id", "left").withColumn("role", F.when(F.col("extra").isNull(), F.col("role")).otherwise(PLAIN))
+        rows = rows.select("id", "text", "role").unionByName(extra)
+    states = chunks(rows)
+    return states if few_labels else _with_roles(states, usable.join(repeated, "id", "left_anti"))
+
+
+def _with_roles(states: DataFrame, usable: DataFrame) -> DataFrame:
+    """Chunks with the ``places`` of their plain texts that ``usable(id, role)`` has, and what these are ``learned`` for."""
+    rows = states.select("chunk", F.posexplode(F.arrays_zip("ids", "roles")).alias("place", "row")).where(F.col("row.roles") == PLAIN)
+    found = rows.select("chunk", "place", F.col("row.ids").alias("id")).join(usable, "id")
+    found = found.groupBy("chunk").agg(F.collect_list(F.struct("place", "role")).alias("found"))
+    found = found.select("chunk", F.col("found.place").alias("places"), F.col("found.role").alias("learned"))
+    return states.join(materialize_released(found), "chunk", "left")
 
 
 def _dealt(
@@ -386,7 +406,7 @@ class ChunkModel:
 
     def __init__(self, texts: DataFrame, usable: DataFrame):
         self.texts = texts
-        self.states = chunks(labelled_texts(texts, usable))
+        self.states = learned_chunks(texts, usable)
         self.features = features(self.states)
         fits = F.col("role").isin(FITS, FITS + 1, EXTRA + FITS, EXTRA + FITS + 1)
         self.weights = fit_weights(materialize(self.features.where(fits).select("x", F.pmod("role", F.lit(2)).alias("y"))))
@@ -397,7 +417,7 @@ class ChunkModel:
             rows = self.features.where(F.col("role") < EXTRA)
         else:
             asked = chunks(texts.withColumn("role", F.lit(ASKED))).withColumn("chunk", -1 - F.col("chunk"))
-            rows = features(self.states.unionByName(asked)).where(F.col("role") == ASKED)
+            rows = features(self.states.unionByName(asked, allowMissingColumns=True)).where(F.col("role") == ASKED)
         weights = self.weights
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

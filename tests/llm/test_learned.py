@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from facetry import session
 from facetry.llm import langid, quality, toxicity, toxicity_chunks
 from facetry.llm.common import LETTER_RUN, LETTERS
 
@@ -368,7 +369,8 @@ def test_training_does_not_depend_on_layout(spark):
     assert scores[0] == scores[1]
 
 
-def test_chunks_learn_from_all_labelled_texts(spark, monkeypatch):
+@pytest.mark.parametrize("most_labels", [1000, 0])
+def test_chunks_learn_from_all_labelled_texts(spark, monkeypatch, most_labels):
     """Chunks that meet their counts score as local tables do, and nothing labelled is left out."""
     rows, labels = corpus(n=300)
     odd = [(1, "vile balo x", "en", "x"), (1, "vile balo x", "en", "x"), (2, None, None, "x"), (None, None, None, "x"), (999, "", None, "x")]
@@ -376,6 +378,7 @@ def test_chunks_learn_from_all_labelled_texts(spark, monkeypatch):
     whole = toxicity.train(frame, marks, F.lit(True))
     assert isinstance(whole, toxicity.Model)
     monkeypatch.setattr(toxicity_chunks, "CHUNK", 1000)
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", most_labels)
     model = toxicity.train(frame, marks, F.lit(True), local_chars=0)
     assert np.allclose(model.weights, whole.weights, atol=1e-6)
     for asked in (frame, docs(spark, [*rows[:40], *odd, (5, "unheard vile words balo", "en", "x")])):
@@ -389,8 +392,7 @@ def test_chunks_leave_no_questions_on_the_disk(spark, monkeypatch):
     rows, labels = corpus(n=300)
     usable = toxicity._usable(labelled(spark, labels), "doc_id", "toxic", F.lit(True))
     monkeypatch.setattr(toxicity_chunks, "CHUNK", 500)
-    texts = toxicity_chunks.labelled_texts(docs(spark, rows).select(F.col("doc_id").alias("id"), "text"), usable)
-    states = toxicity_chunks.chunks(texts)
+    states = toxicity_chunks.learned_chunks(docs(spark, rows).select(F.col("doc_id").alias("id"), "text"), usable)
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def left() -> int:
@@ -409,6 +411,27 @@ def test_chunks_leave_no_questions_on_the_disk(spark, monkeypatch):
     assert made[0] == made[1] == made[2] and len(made[0]) == len(rows)
 
 
+def test_texts_are_not_shuffled_to_many_labels(spark, monkeypatch):
+    """Labels beyond a broadcast meet the ids of written chunks; the roles are those of a broadcast."""
+    rows, labels = corpus(n=120)
+    odd = [(1, "vile balo x", "en", "x"), (2, None, None, "x"), (None, "vile", None, "x"), (900, None, None, "x"), (901, "", None, "x")]
+    texts = docs(spark, [*rows, *odd]).repartition(3).select(F.col("doc_id").alias("id"), "text")
+    usable = toxicity._usable(labelled(spark, [*labels, (900, 1), (901, 0)]), "doc_id", "toxic", F.lit(True))
+    monkeypatch.setattr(toxicity_chunks, "CHUNK", 300)
+    written, made = [], []
+    by_chunk = toxicity_chunks._by_chunk
+    monkeypatch.setattr(toxicity_chunks, "_by_chunk", lambda states: written.append(states) or by_chunk(states))
+    for few in (True, False):
+        monkeypatch.setattr(toxicity_chunks, "fits_broadcast", lambda lookup, few=few: few or lookup.columns != ["id", "role"])
+        states = toxicity_chunks.learned_chunks(texts, usable)
+        roles = [r for row in states.collect() for c in [toxicity_chunks.Chunk(row.asDict(), 40)] for r in zip(c.ids, c.roles.tolist())]
+        made.append(sorted((str(i), toxicity_chunks.PLAIN if r == toxicity_chunks.NULL else r) for i, r in roles))
+    assert made[0] == made[1] and len(made[0]) == len(rows) + len(odd) + 1
+    assert {r for _, r in made[0]} >= {-1, 0, 1, 2, 3}
+    plan = written[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 def test_chunks_pack_words_and_sums():
     rng = np.random.default_rng(5)
     for n in (0, 1, 5000):
